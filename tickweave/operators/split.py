@@ -57,35 +57,44 @@ def stratified_holdout(
     key: str = KEY,
     tie: str = TIE,
     out: str = "holdout",
-    prefix_hex: int = 4,
+    bucket_rows: int = 2048,
 ) -> DataFrame:
     """In every (series, stratum) mark the round(frac * size) rows with
     the smallest md5(tie) as holdout (a deterministic stratified shuffle).
 
-    Exact and skew-safe: rows are bucketed by the first ``prefix_hex`` hex
-    digits of the hash; bucket counts give, per stratum, the boundary bucket;
-    rows before it are taken whole and only the boundary bucket (about
-    size / 16^prefix_hex rows) is ranked by a window.
+    Exact and skew-safe. The hash's leading 40 bits are cut into 2^b buckets
+    per stratum, b chosen from the stratum size so a bucket holds about
+    ``bucket_rows`` rows. Bucket counts (a small table) give each stratum's
+    boundary bucket: buckets before it are taken whole, buckets after it not
+    at all, and only the boundary bucket is ranked by a window. No task ever
+    holds a whole stratum unless the stratum itself is about one bucket.
     """
     keys = [key, stratum]
+    sizes = sdf.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
+    bits = F.least(
+        F.lit(40),
+        F.greatest(F.lit(0), F.ceil(F.log2(F.col("_size").cast("double") / F.lit(float(bucket_rows))))),
+    ).cast("int")
+    sizes = sizes.withColumn("_bits", bits).withColumn(
+        "_m", F.round(F.col("_size").cast("double") * F.lit(float(frac))).cast("bigint")
+    )
     h = F.md5(F.col(tie).cast("string"))
-    x = sdf.withColumn("_h", h).withColumn("_b", F.conv(F.substring(h, 1, prefix_hex), 16, 10).cast("bigint"))
-    counts = x.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_bc"))
+    h40 = F.conv(F.substring(h, 1, 10), 16, 10).cast("bigint")
+    x = (
+        sdf.join(bounded_broadcast(sizes), keys)
+        .withColumn("_h", h)
+        .withColumn("_b", F.call_function("shiftright", h40, F.lit(40) - F.col("_bits")))
+    )
+    counts = x.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_bc"), F.first("_m").alias("_m"))
     w = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    cum = counts.select(
-        *keys,
-        "_b",
-        "_bc",
-        F.coalesce(F.sum("_bc").over(w), F.lit(0)).alias("_before"),
-        F.sum("_bc").over(Window.partitionBy(*keys)).alias("_size"),
-    ).withColumn("_m", F.round(F.col("_size").cast("double") * F.lit(float(frac))).cast("bigint"))
+    cum = counts.select(*keys, "_b", "_bc", F.coalesce(F.sum("_bc").over(w), F.lit(0)).alias("_before"))
     x = x.join(bounded_broadcast(cum), [*keys, "_b"])
     end = F.col("_before") + F.col("_bc")
     straddles = (F.col("_before") < F.col("_m")) & (end > F.col("_m"))
     cols = list(sdf.columns) + [out]
     # buckets wholly before the m-th row are in, wholly after are out
     plain = x.filter(~straddles).withColumn(out, end <= F.col("_m"))
-    # only buckets containing the m-th row are ranked (about size/16^prefix rows)
+    # only buckets containing the m-th row are ranked
     rk = Window.partitionBy(*keys, "_b").orderBy("_h", tie)
     ranked = x.filter(straddles).withColumn(out, (F.row_number().over(rk) + F.col("_before")) <= F.col("_m"))
     return plain.select(cols).unionByName(ranked.select(cols))

@@ -456,3 +456,8 @@ def q_prep_flagship(spark, d):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     k[2:]: v for k, v in sorted(globals().items()) if k.startswith("q_") and callable(v)
 }
+
+
+def reset_cache() -> None:
+    """Forget memoised sequenced tables (benchmarks time each query whole)."""
+    _SEQ_CACHE.clear()
