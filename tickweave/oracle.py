@@ -299,4 +299,25 @@ SQL: dict[str, str] = {
                   when w < floor(nw * cast(0.95 as double)) then 'val' else 'test' end as split,
              count(distinct w) as n_windows, round(avg(y), 6) as mean_target
       from tg group by 1, 2""",
+    "a15_accuracy": """
+      with d as (select event_type as currency, cast(ts as date) as d_, max_by(value, ts) as close
+                 from events group by 1, 2),
+      c as (select currency, d_, close / nullif(lag(close) over (partition by currency order by d_), 0) - 1 as chg from d),
+      l as (select currency, d_, cast(case when chg > 0 then 1 else 0 end as double) as move from c where chg is not null),
+      p as (select currency, move, lag(move) over (partition by currency order by d_) as prediction from l)
+      select currency, round(avg(cast(prediction = move as double)), 6) as accuracy, count(*) as n
+      from p where prediction is not null group by 1""",
+    "m14_partition_sweep": """
+      with s as (select round(corr(value, cast(json_extract_string(props, '$.k') as double)), 6) as corr,
+                        count(*) as n, round(sum(cast(json_extract_string(props, '$.k') as double)), 6) as total,
+                        round(avg(cast(json_extract_string(props, '$.k') as double)), 6) as average from events)
+      select corr, n, total, average, cast(p as bigint) as partitions from s, (select unnest([1, 8, 18]) as p)""",
+    "m18_prep": T
+    + "select event_id, pos // 12 as pos, round(price, 6) as price from t where currency = 'click' and pos % 12 = 0",
+    "s1_csv_round_trip": """
+      select event_id, event_type as currency, date_trunc('second', ts) as dt, round(value, 6) as price,
+             round(cast(json_extract_string(props, '$.k') as double), 6) as volume from events""",
+    "s2_json_round_trip": """
+      select event_id, event_type as currency, date_trunc('second', ts) as dt, round(value, 6) as price,
+             round(cast(json_extract_string(props, '$.k') as double), 6) as volume from events""",
 }

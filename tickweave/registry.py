@@ -434,6 +434,142 @@ def q_m17_label(spark, d):
     return C.movement_label(raw_ticks(spark, d))
 
 
+def q_a15_accuracy(spark, d):
+    """Accuracy of a momentum call (tomorrow moves like today) per series."""
+    from pyspark.sql import Window
+
+    lab = C.movement_label(raw_ticks(spark, d))
+    w = Window.partitionBy("currency").orderBy("d_")  # daily table: #days rows per series
+    pred = lab.withColumn("prediction", F.lag("move").over(w)).filter(F.col("prediction").isNotNull())
+    acc = pred.groupBy("currency").agg(
+        r6(F.avg((F.col("prediction") == F.col("move")).cast("double"))).alias("accuracy"),
+        F.count(F.lit(1)).alias("n"),
+    )
+    return acc
+
+
+SWEEP_PARTITIONS = (1, 8, 18)
+
+
+def q_m14_partition_sweep(spark, d):
+    """The stats job (corr + count + sum + avg) after repartition(n) for
+    several n; values must not depend on n (timings are in bench.py)."""
+    out = None
+    for n in SWEEP_PARTITIONS:
+        t = P.repartitioned(raw_ticks(spark, d), n)
+        r = t.agg(
+            r6(ST.guarded_corr("price", "volume")).alias("corr"), F.count(F.lit(1)).alias("n"),
+            r6(F.sum("volume")).alias("total"), r6(F.avg("volume")).alias("average"),
+        ).withColumn("partitions", F.lit(n).cast("bigint"))
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+def q_m18_prep(spark, d):
+    """Load, filter one currency, every-12th row."""
+    t = raw_ticks(spark, d).filter(F.col("currency") == BASE)
+    return P.every_nth(sequence(t), HOURLY).select("event_id", "pos", r6("price").alias("price"))
+
+
+def _round_trip(spark, d, fmt: str):
+    from pyspark.sql import types as TT
+
+    from tickweave.schema import TICK_CSV_HEADER
+    from tickweave.session import scratch_path
+    from tickweave.sources import files as FS
+
+    t = raw_ticks(spark, d)
+    ref = t.select(
+        F.col("event_id").alias(TICK_CSV_HEADER[0]), F.col("currency").alias(TICK_CSV_HEADER[1]),
+        F.col("dt").cast("timestamp").alias(TICK_CSV_HEADER[2]), F.col("price").alias(TICK_CSV_HEADER[3]),
+        F.col("volume").alias(TICK_CSV_HEADER[4]), F.col("market_cap").alias(TICK_CSV_HEADER[5]),
+        F.lit(None).cast(TT.DoubleType()).alias(TICK_CSV_HEADER[6]),
+        F.lit(None).cast(TT.DoubleType()).alias(TICK_CSV_HEADER[7]),
+    )
+    path = scratch_path(spark, f"ticks-{fmt}")
+    out = ref.repartitionByRange(TICK_CSV_HEADER[2], TICK_CSV_HEADER[0]).sortWithinPartitions(
+        TICK_CSV_HEADER[2], TICK_CSV_HEADER[0]).write.option("timestampFormat", "yyyy-MM-dd HH:mm:ss")
+    if fmt == "csv":
+        out.option("header", True).csv(path)
+        back = FS.read_ticks_csv(spark, path)
+    else:
+        out.json(path)
+        back = FS.read_ticks_json(spark, path)
+    return back.select("event_id", "currency", F.col("dt").cast("timestamp_ntz").alias("dt"),
+                       r6("price").alias("price"), r6("volume").alias("volume"))
+
+
+def q_s1_csv_round_trip(spark, d):
+    """S1 + S4: ticks written as the reference CSV (sorted sink), scanned back."""
+    return _round_trip(spark, d, "csv")
+
+
+def q_s2_json_round_trip(spark, d):
+    """S2 + S4: the same through JSON lines."""
+    return _round_trip(spark, d, "json")
+
+
+def q_m11_arima_order(spark, d):
+    """(d, p, q) per series of the hourly price series (rows-only check)."""
+    models, _ = _arima(spark, d)
+    return models.select("currency", "d", "p", "q", r6("aic").alias("aic"), "nobs")
+
+
+def _arima(spark, d):
+    from tickweave.operators import arima as AR
+
+    return AR.arima_fit(hourly(spark, d), "price")
+
+
+def q_m12_arima_forecast(spark, d):
+    """100-step forecast per series from the chosen order."""
+    from tickweave.operators import arima as AR
+
+    models, resid = _arima(spark, d)
+    return AR.arima_forecast(models, resid, "price", steps=100).select(
+        "currency", "step", r6("forecast").alias("forecast"))
+
+
+def q_m8_movement_rf(spark, d):
+    """M8: random-forest up/down classifier over the train-portion sweep."""
+    from tickweave.operators import ml
+
+    return ml.movement_sweep(ml.movement_frame(raw_ticks(spark, d), BASE, "view"))
+
+
+def _model_windows(spark, d):
+    s = P.every_nth(ticks(spark, d), HOURLY, drop_first=1)
+    s = TR.log1p_features(s, FEATS)
+    s = S.scale_chain(s, FEATS)
+    w = W.sliding_windows(s, FEATS, n_in=35, n_out=3)
+    return SP.ordered_split(w, (0.9, 0.95))
+
+
+def q_m9_rf_forecast(spark, d):
+    """M9 + A10: random-forest multi-horizon forecast, test metrics per series."""
+    from tickweave.operators import ml
+
+    sc = ml.rf_forecast(_model_windows(spark, d), FEATS, num_trees=10)
+    return _metrics_out(M.regression_metrics(sc), ("currency",))
+
+
+def q_m10_rf_grid(spark, d):
+    """3-fold grid search, mean cross-validated rmse per grid point."""
+    from tickweave.operators import ml
+
+    _, grid = ml.rf_grid(_model_windows(spark, d).filter("split = 'train'"), FEATS, depths=(3, 5),
+                         trees=(5, 10), min_leaf=(1,), parallelism=4)
+    return grid
+
+
+def q_m13_mlp(spark, d):
+    """Data-parallel MLP (105-128-64-3), test metrics per series."""
+    from tickweave.operators import ml
+
+    _, _, sc = ml.mlp_forecast(_model_windows(spark, d), FEATS, epochs=10, lr=1e-3)
+    return _metrics_out(M.regression_metrics(sc), ("currency",))
+
+
 def flagship(spark: SparkSession, d: str, step: int = HOURLY) -> DataFrame:
     """Prep pipeline over every series: every-nth (drop first), ln(x+1), chain
     scaling, 35->3 sliding windows, chronological .90/.95 split of windows;
