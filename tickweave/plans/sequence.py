@@ -4,14 +4,15 @@
 to one task; with few series (or one hot series holding a third of all rows)
 that task is unbounded. Instead:
 
-1. ``repartitionByRange(P, key, order)`` samples the full sort key and cuts
-   the data into P balanced, ordered chunks, splitting hot series across many
-   chunks. Each row records its chunk (partition id) and its rank inside the
+1. ``repartitionByRange(key, order)`` samples the full sort key and cuts
+   the data into balanced, ordered chunks (spark.sql.shuffle.partitions, or
+   ``chunks``), splitting hot series across many chunks. Each row records its chunk (partition id) and its rank inside the
    chunk (``monotonically_increasing_id`` after ``sortWithinPartitions``).
 2. The chunked rows are written once to the shared checkpoint folder. This
    cuts the lineage: the sampled range bounds are not recomputed differently
    by later jobs or by task retries after an executor loss.
-3. A per-(series, chunk) table (count, first rank) - at most P + #series rows -
+3. A per-(series, chunk) table (count, first rank) - at most #chunks + #series
+   rows -
    gets running offsets per series and is joined back behind a size check.
 
 Result columns: the input columns plus ``_chunk`` (int), ``pos`` (bigint,
@@ -44,9 +45,12 @@ def sequence(
 ) -> DataFrame:
     spark = df.sparkSession
     keys = _as_list(key)
-    P = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Without an explicit chunk count the range exchange uses
+    # spark.sql.shuffle.partitions and AQE may coalesce neighbouring ranges to
+    # the advisory partition size; coalesced ranges stay contiguous.
+    ranged = df.repartitionByRange(chunks, *keys, *order) if chunks else df.repartitionByRange(*keys, *order)
     ranged = (
-        df.repartitionByRange(P, *keys, *order)
+        ranged
         .sortWithinPartitions(*keys, *order)
         .withColumn("_chunk", F.spark_partition_id())
         .withColumn("_rid", F.monotonically_increasing_id())
