@@ -123,3 +123,23 @@ def test_incremental_ingest_twice_adds_nothing(spark):
                                                 "1546387500": {"v": [3.0, 2.0, 3.0, 4.0, 5.0]}})
     assert ingest_new(spark, root, dst, ck) == 1
     assert spark.read.parquet(dst).count() == 3
+
+
+def test_result_append_and_window_sink(spark):
+    from tickweave.operators import split as SP
+    from tickweave.operators import windows as W
+    from tickweave.plans import sequence
+    from tickweave.sources import write_result, write_windows
+
+    d = _tmp()
+    res = spark.createDataFrame([("eth", 0.77), ("zil", -0.05)], "coin string, corr double")
+    write_result(res, os.path.join(d, "corr"))
+    write_result(res.limit(1), os.path.join(d, "corr"))
+    assert spark.read.schema("coin string, corr double").csv(os.path.join(d, "corr")).count() == 3
+    s = sequence(make_ticks(spark, [("a", i, i, float(i), 1.0, 2.0) for i in range(60)]), chunks=2)
+    w = SP.ordered_split(W.sliding_windows(s, ("price", "volume"), n_in=5, n_out=2), (0.8,), ("train", "test"))
+    write_windows(w.drop("pos", "n"), os.path.join(d, "win"))
+    back = spark.read.parquet(os.path.join(d, "win"))
+    assert back.count() == 54 and {r["split"] for r in back.select("split").distinct().collect()} == {"train", "test"}
+    first = back.filter("window_id = 0").first()
+    assert [x["price"] for x in first["x"]] == [0.0, 1.0, 2.0, 3.0, 4.0] and first["y"] == [5.0, 6.0]

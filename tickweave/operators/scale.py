@@ -114,6 +114,13 @@ def robust_stats(df: DataFrame, cols: Sequence[str] = FEATURES, by: str | Sequen
     return out.withColumns({f"{c}_iqr": F.col(f"{c}_q75") - F.col(f"{c}_q25") for c in cols})
 
 
+def _fit_rows(df: DataFrame, fit_on: Column | None) -> DataFrame:
+    """Fit scope (C15): all rows (None, the reference's default, which leaks
+    test rows into the fit), or only rows matching ``fit_on`` (e.g. the train
+    split). Per-split fits put the split column into ``by`` instead."""
+    return df if fit_on is None else df.filter(fit_on)
+
+
 def _nz(x: Column) -> Column:
     """Divisor guard (C7): zero range or iqr -> 1, like sklearn."""
     return F.coalesce(F.nullif(x, F.lit(0.0)), F.lit(1.0))
@@ -126,10 +133,11 @@ def zscore(
     ddof: int = 1,
     suffix: str = "",
     keep_stats: bool = False,
+    fit_on: Column | None = None,
 ) -> DataFrame:
     """M1/M2: (x - mean) / sd; ``by`` may include a split column (per-split
     fit, C15). A zero sd divides by 1."""
-    st = column_stats(df, cols, by, ddof)
+    st = column_stats(_fit_rows(df, fit_on), cols, by, ddof)
     j = with_stats(df, st, by)
     out = j.withColumns({f"{c}{suffix}": (F.col(c) - F.col(f"{c}_mean")) / _nz(F.col(f"{c}_sd")) for c in cols})
     return out if keep_stats else out.drop(*[f"{c}_{s}" for c in cols for s in ("mean", "sd")])
@@ -141,9 +149,10 @@ def robust_scale(
     by: str | Sequence[str] = KEY,
     suffix: str = "",
     keep_stats: bool = False,
+    fit_on: Column | None = None,
 ) -> DataFrame:
     """M3: (x - median) / iqr (sklearn RobustScaler defaults)."""
-    st = robust_stats(df, cols, by)
+    st = robust_stats(_fit_rows(df, fit_on), cols, by)
     j = with_stats(df, st, by)
     out = j.withColumns({f"{c}{suffix}": (F.col(c) - F.col(f"{c}_med")) / _nz(F.col(f"{c}_iqr")) for c in cols})
     if keep_stats:
@@ -157,9 +166,10 @@ def minmax_scale(
     by: str | Sequence[str] = KEY,
     suffix: str = "",
     keep_stats: bool = False,
+    fit_on: Column | None = None,
 ) -> DataFrame:
     """M4: (x - min) / (max - min); zero range divides by 1."""
-    st = minmax_stats(df, cols, by)
+    st = minmax_stats(_fit_rows(df, fit_on), cols, by)
     j = with_stats(df, st, by)
     out = j.withColumns(
         {f"{c}{suffix}": (F.col(c) - F.col(f"{c}_min")) / _nz(F.col(f"{c}_max") - F.col(f"{c}_min")) for c in cols}
@@ -173,6 +183,7 @@ def scale_chain(
     by: str | Sequence[str] = KEY,
     suffix: str = "",
     keep_stats: bool = False,
+    fit_on: Column | None = None,
 ) -> DataFrame:
     """M4 chain: robust scaling followed by min-max scaling.
 
@@ -182,7 +193,7 @@ def scale_chain(
     min/max aggregation; no quantile pass is needed. ``inverse_scale`` undoes
     both steps with the same statistics.
     """
-    return minmax_scale(df, cols, by, suffix, keep_stats)
+    return minmax_scale(df, cols, by, suffix, keep_stats, fit_on)
 
 
 def inverse_scale(

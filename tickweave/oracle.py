@@ -320,4 +320,11 @@ SQL: dict[str, str] = {
     "s2_json_round_trip": """
       select event_id, event_type as currency, date_trunc('second', ts) as dt, round(value, 6) as price,
              round(cast(json_extract_string(props, '$.k') as double), 6) as volume from events""",
+    "j5_score_join": PERSIST + "select currency, " + METRICS + " from s group by 1",
+    "m6_fit_on_train": T
+    + """,
+      s as (select *, case when pos < floor(n * cast(0.8 as double)) then 'train' else 'test' end as split from t),
+      mm as (select currency, min(price) as lo, max(price) as hi from s where split = 'train' group by 1)
+      select event_id, split, round((price - lo) / coalesce(nullif(hi - lo, 0), 1), 6) as price_s
+      from s join mm using (currency)""",
 }

@@ -570,6 +570,37 @@ def q_m13_mlp(spark, d):
     return _metrics_out(M.regression_metrics(sc), ("currency",))
 
 
+def q_j5_score_join(spark, d):
+    """J5 + W14: persistence predictions joined with actuals taken from the
+    35->3 windows' aligned targets, by (series, window, horizon); metrics."""
+    s = ticks(spark, d)
+    pred = M.persistence_scores(s).select("currency", "window_id", "horizon", "predicted")
+    act = W.align_horizons(W.sliding_windows(s, ("price",), n_in=35, n_out=3), 35).select(
+        "currency", "window_id", "horizon", F.col("value").alias("actual"))
+    return _metrics_out(M.regression_metrics(M.score_join(pred, act)), ("currency",))
+
+
+def q_m6_fit_on_train(spark, d):
+    """Min-max fitted on the train split only, applied to every row."""
+    s = SP.ordered_split(ticks(spark, d), (0.8,), ("train", "test"))
+    sc = S.minmax_scale(s, ("price",), suffix="_s", fit_on=F.col("split") == "train")
+    return sc.select("event_id", "split", r6("price_s").alias("price_s"))
+
+
+def q_m15_partition_sweep_ml(spark, d):
+    """The movement classifier after repartition(n) for several n
+    (rows-only: tree induction may differ with partitioning)."""
+    from tickweave.operators import ml
+
+    frame = ml.movement_frame(raw_ticks(spark, d), BASE, "view").cache()
+    out = None
+    for n in SWEEP_PARTITIONS:
+        r = ml.movement_sweep(P.repartitioned(frame, n), portions=(0.5,)).withColumn(
+            "partitions", F.lit(n).cast("bigint"))
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
 def flagship(spark: SparkSession, d: str, step: int = HOURLY) -> DataFrame:
     """Prep pipeline over every series: every-nth (drop first), ln(x+1), chain
     scaling, 35->3 sliding windows, chronological .90/.95 split of windows;
