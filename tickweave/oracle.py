@@ -190,7 +190,8 @@ SQL: dict[str, str] = {
                                      then ln(price / nullif(lag(price) over w, 0)) end, 6) as log_return
       from t window w as (partition by currency order by pos)""",
     "w8_diff2": T
-    + """select event_id, round((price - lag(price, 1) over w) - (lag(price, 1) over w - lag(price, 2) over w), 6) as diff2
+    + """select event_id, round((price - lag(price, 1) over w) - (lag(price, 1) over w - lag(price, 2) over w), 6)
+             + cast(0 as double) as diff2
       from t window w as (partition by currency order by pos)""",
     "w9_split_counts": T
     + """select currency, case when pos < floor(n * cast(0.9 as double)) then 'train'
