@@ -50,6 +50,16 @@ def window_mean_scores(sdf: DataFrame, col: str = "price", n_in: int = 35, n_out
     ).select("model", key, "window_id", (F.col("_i") + 1).alias("horizon"), "actual", "predicted")
 
 
+def to_usd(scores: DataFrame, stats: DataFrame, feature: str, key: str = KEY) -> DataFrame:
+    """M5 on a score frame: undo min-max (the chain, C8/C9) and ln(x+1) on
+    both actual and predicted, so metrics come out in USD (A11)."""
+    from tickweave.operators.scale import inverse_scale
+
+    s = inverse_scale(scores, stats, "actual", feature, key, out="_a")
+    s = inverse_scale(s, stats, "predicted", feature, key, out="_p")
+    return s.drop("actual", "predicted").withColumnRenamed("_a", "actual").withColumnRenamed("_p", "predicted")
+
+
 def score_join(pred: DataFrame, actual: DataFrame, keys: Sequence[str] = (KEY, "window_id", "horizon")) -> DataFrame:
     """Predictions next to actuals by (series, window, horizon); a hash
     join on the full key, so no series lands in one task."""

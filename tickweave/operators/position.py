@@ -83,7 +83,8 @@ def first_rows(df: DataFrame, k: int, order: Sequence[str] = ORDER) -> DataFrame
 
 
 def last_rows(df: DataFrame, k: int, order: Sequence[str] = ORDER) -> DataFrame:
-    """T3 global: last k rows in time order, returned in ascending order."""
+    """T3 global: the last k rows in time order (top-k on the reversed order;
+    a DataFrame, not the driver list ``DataFrame.tail`` returns, C12)."""
     return df.orderBy(*[F.col(c).desc() for c in order]).limit(k)
 
 

@@ -328,4 +328,5 @@ SQL: dict[str, str] = {
       mm as (select currency, min(price) as lo, max(price) as hi from s where split = 'train' group by 1)
       select event_id, split, round((price - lo) / coalesce(nullif(hi - lo, 0), 1), 6) as price_s
       from s join mm using (currency)""",
+    "a11_rmse_usd": PERSIST + "select currency, " + METRICS + " from s group by 1",
 }

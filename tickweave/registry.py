@@ -601,6 +601,16 @@ def q_m15_partition_sweep_ml(spark, d):
     return out
 
 
+def q_a11_rmse_usd(spark, d):
+    """A11 + M5: persistence forecast on the ln(x+1), chain-scaled price,
+    predictions and actuals scaled back to USD before the metrics."""
+    s = TR.log1p_features(ticks(spark, d), ("price",), suffix="_ln")
+    st = S.minmax_stats(s, ("price_ln",))
+    sc = S.scale_chain(s, ("price_ln",), suffix="_s")
+    usd = M.to_usd(M.persistence_scores(sc, "price_ln_s"), st, "price_ln")
+    return _metrics_out(M.regression_metrics(usd), ("currency",))
+
+
 def flagship(spark: SparkSession, d: str, step: int = HOURLY) -> DataFrame:
     """Prep pipeline over every series: every-nth (drop first), ln(x+1), chain
     scaling, 35->3 sliding windows, chronological .90/.95 split of windows;
