@@ -136,7 +136,7 @@ def zscore(
     fit_on: Column | None = None,
 ) -> DataFrame:
     """M1/M2: (x - mean) / sd; ``by`` may include a split column (per-split
-    fit, C15). A zero sd divides by 1."""
+    fit, C15). A zero or undefined (one-row) sd divides by 1."""
     st = column_stats(_fit_rows(df, fit_on), cols, by, ddof)
     j = with_stats(df, st, by)
     out = j.withColumns({f"{c}{suffix}": (F.col(c) - F.col(f"{c}_mean")) / _nz(F.col(f"{c}_sd")) for c in cols})
