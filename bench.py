@@ -54,7 +54,7 @@ def stats_job(spark, n):
 def rf_job(spark, n):
     def q():
         frame = P.repartitioned(ml.movement_frame(ticks_from_events(spark, SF_DIR), "click", "view"), n)
-        return ml.movement_sweep(frame, portions=(0.5,), num_trees=20)
+        return ml.movement_sweep(frame, portions=(0.5,), num_trees=20, keep_partitioning=True)
     return q
 
 

@@ -2,7 +2,6 @@
 shorter than a window or block, NULL and zero prices, sentinel in row 1."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from tests.conftest import make_ticks
 from tickweave.operators import corr as C

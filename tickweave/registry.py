@@ -592,10 +592,10 @@ def q_m15_partition_sweep_ml(spark, d):
     (rows-only: tree induction may differ with partitioning)."""
     from tickweave.operators import ml
 
-    frame = ml.movement_frame(raw_ticks(spark, d), BASE, "view").cache()
+    frame = ml.movement_frame(raw_ticks(spark, d), BASE, "view")
     out = None
     for n in SWEEP_PARTITIONS:
-        r = ml.movement_sweep(P.repartitioned(frame, n), portions=(0.5,)).withColumn(
+        r = ml.movement_sweep(P.repartitioned(frame, n), portions=(0.5,), keep_partitioning=True).withColumn(
             "partitions", F.lit(n).cast("bigint"))
         out = r if out is None else out.unionByName(r)
     return out
