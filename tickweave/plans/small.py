@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickweave.session import BROADCAST_ROWS_CONF, DEFAULT_BROADCAST_ROWS, int_conf
+from tickweave.session import BROADCAST_ROWS_CONF, DEFAULT_BROADCAST_ROWS, checkpoint_root, int_conf
 
 
 def bounded_broadcast(df: DataFrame, limit: int | None = None) -> DataFrame:
-    """Cache ``df``, count it, and mark it for broadcast only under the bound.
+    """Materialise ``df``, count it, and mark it for broadcast only under the bound.
 
     Used for one-row-per-series statistics and per-chunk tables whose size is
     bounded by (#series + #chunks), not by the data. Above the bound the plain
@@ -19,5 +19,9 @@ def bounded_broadcast(df: DataFrame, limit: int | None = None) -> DataFrame:
     bound = limit if limit is not None else int_conf(
         spark, BROADCAST_ROWS_CONF, DEFAULT_BROADCAST_ROWS
     )
-    df = df.cache()
+    # A reliable checkpoint, not cache(): it cuts the lineage (a lost executor
+    # cannot change the table), and AQE sizes its partitions (a cached plan
+    # keeps every shuffle partition, hundreds of near-empty ones).
+    checkpoint_root(spark)
+    df = df.checkpoint(eager=True)
     return F.broadcast(df) if df.count() <= bound else df
