@@ -90,3 +90,26 @@ def test_null_prices_do_not_break_stats(spark):
     assert q["price_med"] is not None
     m = M.regression_metrics(M.persistence_scores(s, n_in=3, n_out=1))
     assert m.count() == 1
+
+
+def test_wide_sentinel_table_cases(spark):
+    """D4 fixture: sentinel in the first row, the last row, none; a constant column."""
+    import numpy as np
+
+    rng = np.random.default_rng(9)
+    n = 30
+    base = rng.normal(size=n)
+    cols = {
+        "Btc": list(base[:-1]) + [100000.0],               # sentinel in the last row
+        "Eth": list(base * 2 + 1),                           # no sentinel, perfectly correlated
+        "Ada": [100000.0] + list(rng.normal(size=n - 1)),    # sentinel in the first row
+        "Flat": [3.0] * n,                                   # constant column
+    }
+    rows = [tuple([str(cols[c][i]) for c in cols] + [i + 1]) for i in range(n)]
+    wide = spark.createDataFrame(rows, "Btc string, Eth string, Ada string, Flat string, Index int")
+    long = C.wide_to_long(wide)
+    out = {r["coin"]: r for r in C.sentinel_corr(long, "Btc", "chg").collect()}
+    assert out["Btc"]["n"] == n - 1 and abs(out["Btc"]["corr"] - 1.0) < 1e-12
+    assert out["Eth"]["n"] == n - 1 and abs(out["Eth"]["corr"] - 1.0) < 1e-12
+    assert "Ada" not in out
+    assert out["Flat"]["corr"] is None

@@ -76,6 +76,15 @@ def rank_by_corr(sweep: DataFrame, k: int | None = None) -> DataFrame:
     return out.limit(k) if k else out
 
 
+def wide_to_long(wide: DataFrame, index: str = "Index", key: str = KEY, value: str = "chg") -> DataFrame:
+    """The reference's wide change table (one column per coin plus an index
+    column) -> long form (key, pos, value); values are try-cast to double so
+    text cells never raise (C16)."""
+    coins = [c for c in wide.columns if c != index]
+    long = wide.unpivot([index], coins, key, "_v")
+    return long.select(key, F.col(index).try_cast("bigint").alias("pos"), F.col("_v").try_cast("double").alias(value))
+
+
 def series_end(sdf: DataFrame, col: str, key: str = KEY, sentinel: float = SENTINEL) -> DataFrame:
     """First position whose value is the sentinel (NULL if none)."""
     return sdf.groupBy(key).agg(F.min(F.when(F.col(col) == F.lit(sentinel), F.col("pos"))).alias("end_pos"))

@@ -118,7 +118,7 @@ SQL: dict[str, str] = {
       select coin, corr from c order by corr desc, coin limit 3""",
     "p6_trim_sentinel": T
     + """,
-      s as (select currency, pos, case when pos = 20 + length(currency) then 100000.0 else price end as v from t),
+      s as (select currency, pos, case when pos = n - 5 * length(currency) then 100000.0 else price end as v from t),
       e as (select currency, coalesce(min(pos) filter (where v = 100000.0), 4611686018427387904) as end_pos
             from s group by 1),
       b as (select s.pos, s.v as base_v, e.end_pos as base_end from s join e using (currency) where currency = 'click')

@@ -235,7 +235,9 @@ def q_t4_rank_corr(spark, d):
 
 def q_p6_trim_sentinel(spark, d):
     s = ticks(spark, d)
-    s = s.withColumn("v", F.when(F.col("pos") == 20 + F.length("currency"), F.lit(C.SENTINEL)).otherwise(F.col("price")))
+    # each series ends at its own sentinel, 5 * len(name) rows before its end
+    end = F.col("n") - F.lit(5) * F.length("currency")
+    s = s.withColumn("v", F.when(F.col("pos") == end, F.lit(C.SENTINEL)).otherwise(F.col("price")))
     out = C.sentinel_corr(s, BASE, "v")
     return out.select("coin", "n", r6("corr").alias("corr"))
 
