@@ -72,7 +72,8 @@ def sequence(
         (F.sum("_cnt").over(running) - F.col("_cnt")).alias("_start"),
         F.sum("_cnt").over(Window.partitionBy(*keys)).alias("n"),
     )
-    ct = bounded_broadcast(ct)
+    # deterministic and narrow (3 columns of the written table): count, no copy
+    ct = bounded_broadcast(ct, materialize=False)
     cond = [m[k].eqNullSafe(ct[f"_k{i}"]) for i, k in enumerate(keys)]
     cond.append(m["_chunk"] == ct["_c"])
     out = m.join(ct, cond).withColumn(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tickweave.session import BROADCAST_ROWS_CONF, DEFAULT_BROADCAST_ROWS, checkpoint_root, int_conf
 
 
-def bounded_broadcast(df: DataFrame, limit: int | None = None) -> DataFrame:
+def bounded_broadcast(df: DataFrame, limit: int | None = None, materialize: bool = True) -> DataFrame:
     """Materialise ``df``, count it, and mark it for broadcast only under the bound.
 
     Used for one-row-per-series statistics and per-chunk tables whose size is
@@ -21,7 +21,10 @@ def bounded_broadcast(df: DataFrame, limit: int | None = None) -> DataFrame:
     )
     # A reliable checkpoint, not cache(): it cuts the lineage (a lost executor
     # cannot change the table), and AQE sizes its partitions (a cached plan
-    # keeps every shuffle partition, hundreds of near-empty ones).
-    checkpoint_root(spark)
-    df = df.checkpoint(eager=True)
+    # keeps every shuffle partition, hundreds of near-empty ones). Tables that
+    # are cheap and deterministic to recompute (``materialize=False``, e.g. a
+    # chunk table read from narrow columns of a written table) are only counted.
+    if materialize:
+        checkpoint_root(spark)
+        df = df.checkpoint(eager=True)
     return F.broadcast(df) if df.count() <= bound else df
