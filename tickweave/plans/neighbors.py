@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickweave.functions.scalar import idiv
 from tickweave.schema import KEY
 from tickweave.session import BLOCK_ROWS_CONF, DEFAULT_BLOCK_ROWS, int_conf
 
@@ -38,22 +39,27 @@ def with_neighbors(
 ) -> DataFrame:
     """Add ``_blk`` and ``_own``; own rows plus halo copies for each block."""
     B = block_rows(sdf, before, after, rows)
-    blk = F.floor(F.col("pos") / F.lit(B)).cast("bigint")
-    off = F.col("pos") % F.lit(B)
-    tags = [F.struct(blk.alias("b"), F.lit(True).alias("own"))]
-    if after:
-        tags.append(
-            F.when((off < after) & (blk > 0), F.struct((blk - 1).alias("b"), F.lit(False).alias("own")))
-        )
-    if before:
-        tags.append(
-            F.when(off >= B - before, F.struct((blk + 1).alias("b"), F.lit(False).alias("own")))
-        )
-    if len(tags) == 1:
+    blk = idiv("pos", B)
+    if not before and not after:
         return sdf.withColumn("_blk", blk).withColumn("_own", F.lit(True))
-    arr = F.filter(F.array(*tags), lambda t: t.isNotNull())
+    off = F.col("pos") % F.lit(B)
+
+    def tag(b, own):
+        return F.struct(b.alias("b"), F.lit(own).alias("own"))
+
+    own = tag(blk, True)
+    to_prev = (off < after) & (blk > 0) if after else F.lit(False)  # first rows -> previous block
+    to_next = off >= B - before if before else F.lit(False)  # last rows -> next block
+    prev, nxt = tag(blk - 1, False), tag(blk + 1, False)
+    # plain CASE over fixed arrays (no lambda): most rows get array(own)
+    tags = (
+        F.when(to_prev & to_next, F.array(own, prev, nxt))
+        .when(to_prev, F.array(own, prev))
+        .when(to_next, F.array(own, nxt))
+        .otherwise(F.array(own))
+    )
     return (
-        sdf.withColumn("_t", F.explode(arr))
+        sdf.withColumn("_t", F.explode(tags))
         .withColumn("_blk", F.col("_t.b"))
         .withColumn("_own", F.col("_t.own"))
         .drop("_t")
