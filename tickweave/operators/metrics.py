@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickweave.plans.neighbors import block_window, lagged, with_neighbors
@@ -95,14 +95,8 @@ def compare_models(*scores: DataFrame) -> DataFrame:
     for s in scores[1:]:
         u = u.unionByName(s)
     m = regression_metrics(u, by=("model",))
-    return m.withColumn("rank", F.rank().over(_rank_window()))
-
-
-def _rank_window():
-    from pyspark.sql import Window
-
     # one row per model: a global order over a handful of rows
-    return Window.orderBy(F.col("rmse").asc_nulls_last(), F.col("model"))
+    return m.withColumn("rank", F.rank().over(Window.orderBy(F.col("rmse").asc_nulls_last(), F.col("model"))))
 
 
 def accuracy(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
