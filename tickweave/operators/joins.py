@@ -4,7 +4,6 @@ does by hand (zip by position, attach fitted stats, score with actual)."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tickweave.schema import KEY
 
@@ -16,6 +15,3 @@ def zip_by_position(a: DataFrame, b: DataFrame, key: str = KEY, a_cols=("x",), b
     right = b.select(key, "pos", *b_cols)
     return left.join(right, [key, "pos"])
 
-
-def rename_cols(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
-    return df.select(*[F.col(c).alias(mapping.get(c, c)) for c in df.columns])

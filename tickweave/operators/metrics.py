@@ -99,6 +99,9 @@ def compare_models(*scores: DataFrame) -> DataFrame:
     return m.withColumn("rank", F.rank().over(Window.orderBy(F.col("rmse").asc_nulls_last(), F.col("model"))))
 
 
-def accuracy(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """Share of rows where the prediction equals the label."""
-    return pred.agg(F.avg((F.col(prediction) == F.col(label)).cast("double")).alias("accuracy"), F.count(F.lit(1)).alias("n"))
+def accuracy(pred: DataFrame, label: str = "label", prediction: str = "prediction",
+             by: Sequence[str] | None = None) -> DataFrame:
+    """Share of rows where the prediction equals the label (per group)."""
+    aggs = [F.avg((F.col(prediction) == F.col(label)).cast("double")).alias("accuracy"),
+            F.count(F.lit(1)).alias("n")]
+    return pred.groupBy(*by).agg(*aggs) if by else pred.agg(*aggs)

@@ -443,11 +443,8 @@ def q_a15_accuracy(spark, d):
     lab = C.movement_label(raw_ticks(spark, d))
     w = Window.partitionBy("currency").orderBy("d_")  # daily table: #days rows per series
     pred = lab.withColumn("prediction", F.lag("move").over(w)).filter(F.col("prediction").isNotNull())
-    acc = pred.groupBy("currency").agg(
-        r6(F.avg((F.col("prediction") == F.col("move")).cast("double"))).alias("accuracy"),
-        F.count(F.lit(1)).alias("n"),
-    )
-    return acc
+    acc = M.accuracy(pred, "move", "prediction", by=("currency",))
+    return acc.select("currency", r6("accuracy").alias("accuracy"), "n")
 
 
 SWEEP_PARTITIONS = (1, 8, 18)
