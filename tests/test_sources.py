@@ -143,3 +143,16 @@ def test_result_append_and_window_sink(spark):
     assert back.count() == 54 and {r["split"] for r in back.select("split").distinct().collect()} == {"train", "test"}
     first = back.filter("window_id = 0").first()
     assert [x["price"] for x in first["x"]] == [0.0, 1.0, 2.0, 3.0, 4.0] and first["y"] == [5.0, 6.0]
+
+
+def test_key_partitioned_sink_prunes_folders(spark):
+    from tests.conftest import SF001
+    from tickweave.sources.events import ticks_from_events
+
+    d = os.path.join(_tmp(), "by_key")
+    write_ticks(ticks_from_events(spark, SF001), d, partition_by_key=True)
+    assert sorted(x for x in os.listdir(d) if x.startswith("currency="))[0] == "currency=click"
+    back = spark.read.parquet(d).filter(F.col("currency") == "click")
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(currency" in plan and "click" in plan
+    assert back.count() == ticks_from_events(spark, SF001).filter(F.col("currency") == "click").count()

@@ -99,11 +99,20 @@ def point_rejects(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def write_ticks(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
+def write_ticks(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
+                partition_by_key: bool = False) -> None:
     """Time-sorted sink: a range partition on (dt, event_id) plus a sort
-    inside each task gives globally ordered files without one sorting task."""
-    out = df.repartitionByRange(DT, TIE).sortWithinPartitions(DT, TIE)
+    inside each task gives globally ordered files without one sorting task.
+    With ``partition_by_key`` the files go to ``currency=<c>/`` folders (range
+    on (currency, dt, event_id), so each task writes one or two folders) and
+    later currency filters prune whole folders."""
+    if partition_by_key:
+        out = df.repartitionByRange(KEY, DT, TIE).sortWithinPartitions(KEY, DT, TIE)
+    else:
+        out = df.repartitionByRange(DT, TIE).sortWithinPartitions(DT, TIE)
     w = out.write.mode(mode)
+    if partition_by_key:
+        w = w.partitionBy(KEY)
     if fmt == "csv":
         w.option("header", True).option("timestampFormat", "yyyy-MM-dd HH:mm:ss").csv(path)
     elif fmt == "json":
