@@ -55,7 +55,8 @@ def points_to_ticks(docs: DataFrame, path_col: str = "_path") -> DataFrame:
     a non-numeric epoch or a missing price is dropped on its own (C19), not
     the rest of its file; ``v`` shorter than 5 gives NULLs."""
     pts = docs.select(
-        F.element_at(F.split(F.col(path_col), "/"), -2).alias(KEY),
+        # parent folder, Hive style "currency=<c>" accepted too
+        F.regexp_replace(F.element_at(F.split(F.col(path_col), "/"), -2), r"^[^=]*=", "").alias(KEY),
         F.explode_outer("data.points").alias("_epoch", "_p"),
     )
     v = F.col("_p.v")
