@@ -71,9 +71,11 @@ def corr_sweep(daily: DataFrame, base: str, value: str = "v", key: str = KEY, on
 
 
 def rank_by_corr(sweep: DataFrame, k: int | None = None) -> DataFrame:
-    """T4: coins by correlation, descending; top k if given."""
-    out = sweep.orderBy(F.col("corr").desc_nulls_last(), F.col("coin"))
-    return out.limit(k) if k else out
+    """T4: coins by correlation, descending, with their rank; top k if given.
+    The sweep has one row per coin, so the global order is over a few rows."""
+    w = Window.orderBy(F.col("corr").desc_nulls_last(), F.col("coin"))
+    out = sweep.withColumn("rank", F.row_number().over(w).cast("bigint"))
+    return out.filter(F.col("rank") <= k) if k else out
 
 
 def wide_to_long(wide: DataFrame, index: str = "Index", key: str = KEY, value: str = "chg") -> DataFrame:

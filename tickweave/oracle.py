@@ -115,7 +115,7 @@ SQL: dict[str, str] = {
       with d as (select event_type as currency, cast(ts as date) as d_, avg(value) as v from events group by 1, 2),
       b as (select d_, v as base_v from d where currency = 'click'),
       c as (select d.currency as coin, round(corr(b.base_v, d.v), 6) as corr from d join b using (d_) group by 1)
-      select coin, corr from c order by corr desc, coin limit 3""",
+      select coin, corr, row_number() over (order by corr desc, coin) as rank from c order by corr desc, coin limit 3""",
     "p6_trim_sentinel": T
     + """,
       s as (select currency, pos, case when pos = n - 5 * length(currency) then 100000.0 else price end as v from t),

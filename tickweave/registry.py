@@ -230,7 +230,7 @@ def q_a8_corr_sweep(spark, d):
 def q_t4_rank_corr(spark, d):
     sw = C.corr_sweep(C.daily_mean(raw_ticks(spark, d)), BASE).withColumn("corr", r6("corr"))
     top = C.rank_by_corr(sw, 3)
-    return top.select("coin", "corr")
+    return top.select("coin", "corr", "rank")
 
 
 def q_p6_trim_sentinel(spark, d):
