@@ -113,3 +113,22 @@ def test_wide_sentinel_table_cases(spark):
     assert out["Eth"]["n"] == n - 1 and abs(out["Eth"]["corr"] - 1.0) < 1e-12
     assert "Ada" not in out
     assert out["Flat"]["corr"] is None
+
+
+def test_broadcast_only_under_the_bound(spark):
+    from tickweave.plans.small import bounded_broadcast
+    from tickweave.session import BROADCAST_ROWS_CONF
+
+    df = spark.range(100).withColumnRenamed("id", "k")
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    spark.conf.set(BROADCAST_ROWS_CONF, "10")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = big.join(bounded_broadcast(df), "k")._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan
+        spark.conf.set(BROADCAST_ROWS_CONF, "1000")
+        plan = big.join(bounded_broadcast(df), "k")._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan
+    finally:
+        spark.conf.unset(BROADCAST_ROWS_CONF)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

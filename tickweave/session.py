@@ -16,6 +16,9 @@ DEFAULT_BLOCK_ROWS = 262_144
 # Largest small side (rows) that is broadcast; above it a shuffle join is used.
 BROADCAST_ROWS_CONF = "spark.tickweave.broadcastRows"
 DEFAULT_BROADCAST_ROWS = 1_000_000
+# ... and largest estimated size (rows x fixed-width estimate of the schema).
+BROADCAST_BYTES_CONF = "spark.tickweave.broadcastBytes"
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def get_session(
