@@ -39,6 +39,14 @@ REPEATS = int(os.environ.get("BENCH_REPEATS", "5"))
 PARTS = [int(x) for x in os.environ.get("BENCH_PARTITIONS", "1,11,18,50").split(",")]
 
 
+def _sf_value(path: str):
+    tag = os.path.basename(path.rstrip("/")).replace("sf", "")
+    try:
+        return float(tag)
+    except ValueError:
+        return tag
+
+
 def run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
@@ -96,7 +104,7 @@ def main() -> None:
         "value": round(sum(results.values()), 3),
         "unit": "sec",
         "queries": results,
-        "sf": os.path.basename(SF_DIR.rstrip("/")).replace("sf", ""),
+        "sf": _sf_value(SF_DIR),
         "cpus": CPUS,
         "shuffle_partitions": CPUS,
         "repeats": REPEATS,
