@@ -164,8 +164,8 @@ SQL: dict[str, str] = {
             from t window w as (partition by currency order by pos))
       select currency, round(regr_slope(dy, y1), 6) as gamma,
              round(regr_slope(dy, y1) / sqrt((1 - regr_r2(dy, y1)) * regr_syy(dy, y1)
-                   / ((regr_count(dy, y1) - 2) * regr_sxx(dy, y1))), 6) as t_stat,
-             regr_count(dy, y1) as nobs
+                   / ((cast(regr_count(dy, y1) as bigint) - 2) * regr_sxx(dy, y1))), 6) as t_stat,
+             cast(regr_count(dy, y1) as bigint) as nobs
       from l group by 1""",
     "w3_windows_long": H
     + """,
