@@ -16,6 +16,10 @@ from tools.check_oracle import TABLES, norm
 QUERIES = entry.queries()
 SQL = entry.oracle_sql()
 
+# Spark simple type -> DuckDB type name, for the schema half of the check.
+DUCK_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+             "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
 
 @pytest.fixture(scope="module")
 def con():
@@ -30,6 +34,9 @@ def con():
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_duckdb(spark, con, name):
     sdf = QUERIES[name](spark, SF001)
+    stypes = {f.name: DUCK_TYPE.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema.fields}
+    rel = con.sql(SQL[name])
+    assert stypes == {c: str(t) for c, t in zip(rel.columns, rel.types)}
     scols = sdf.columns
     srows = [tuple(r) for r in sdf.collect()]
     res = con.execute(SQL[name])
