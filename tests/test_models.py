@@ -66,3 +66,22 @@ def test_mlp_and_rf_forecasts(spark):
     rf = ml.rf_forecast(w, ("price",), num_trees=5)
     r = rf.groupBy().agg(F.avg((F.col("predicted") - F.col("actual")) ** 2).alias("mse")).first()["mse"]
     assert r < 0.1
+
+
+def test_mlp_gradient_matches_finite_differences():
+    rng = np.random.default_rng(0)
+    sizes = [4, 5, 3, 2]
+    params = ml._init(sizes, rng)
+    X, Y = rng.normal(size=(6, 4)), rng.normal(size=(6, 2))
+    g, _ = ml._grad(params, X, Y)
+    flat, gflat = ml._flat(params), ml._flat(g)
+
+    def loss(v):
+        return ml._grad(ml._unflat(v, sizes), X, Y)[1]
+
+    eps = 1e-6
+    for i in rng.choice(flat.size, 12, replace=False):
+        d = np.zeros_like(flat)
+        d[i] = eps
+        num = (loss(flat + d) - loss(flat - d)) / (2 * eps)
+        assert abs(num - gflat[i]) < 1e-4 * max(1.0, abs(num))
