@@ -329,4 +329,11 @@ SQL: dict[str, str] = {
       select event_id, split, round((price - lo) / coalesce(nullif(hi - lo, 0), 1), 6) as price_s
       from s join mm using (currency)""",
     "a11_rmse_usd": PERSIST + "select currency, " + METRICS + " from s group by 1",
+    "s8_html_rows": T
+    + """,
+      d as (select currency, cast(dt as date) as d_, arg_min(price, (dt, event_id)) as open, max(price) as high,
+                   min(price) as low, arg_max(price, (dt, event_id)) as close, sum(volume) as value,
+                   arg_max(market_cap, (dt, event_id)) as market_cap
+            from t group by 1, 2)
+      select currency, d_, try_cast(replace(format('{:,.2f}', open), ',', '') as double) as open, try_cast(replace(format('{:,.2f}', high), ',', '') as double) as high, try_cast(replace(format('{:,.2f}', low), ',', '') as double) as low, try_cast(replace(format('{:,.2f}', close), ',', '') as double) as close, try_cast(replace(format('{:,.2f}', value), ',', '') as double) as value, try_cast(replace(format('{:,.2f}', market_cap), ',', '') as double) as market_cap from d""",
 }

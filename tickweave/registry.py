@@ -610,6 +610,45 @@ def q_a11_rmse_usd(spark, d):
     return _metrics_out(M.regression_metrics(usd), ("currency",))
 
 
+def ohlc_pages(spark, d) -> DataFrame:
+    """One HTML page per series holding its daily OHLC table (header row of
+    <th>, one <tr> of 7 <td> per day, money as '$1,234.56'), derived from the
+    tick table: the shape of the reference's scraped history pages."""
+    t = raw_ticks(spark, d)
+    o = F.struct(F.col("dt"), F.col("event_id"))
+    daily = t.groupBy("currency", F.to_date("dt").alias("d_")).agg(
+        F.min_by("price", o).alias("open"), F.max("price").alias("high"), F.min("price").alias("low"),
+        F.max_by("price", o).alias("close"), F.sum("volume").alias("value"),
+        F.max_by("market_cap", o).alias("market_cap"),
+    )
+
+    def money(c):
+        return F.concat(F.lit("<td>$"), F.format_number(c, 2), F.lit("</td>"))
+
+    row = F.concat(
+        F.lit("<tr><td>"), F.date_format("d_", "MMM d, yyyy"), F.lit("</td>"),
+        *[money(c) for c in ("open", "high", "low", "close", "value", "market_cap")], F.lit("</tr>"),
+    )
+    header = "<tr>" + "".join(f"<th>{h}</th>" for h in ("Date", "Open", "High", "Low", "Close", "Volume",
+                                                        "Market Cap")) + "</tr>"
+    # one page per series: #days rows per group (a calendar, not the ticks)
+    pages = daily.groupBy("currency").agg(F.array_sort(F.collect_list(F.struct("d_", row.alias("r")))).alias("_rows"))
+    return pages.select(
+        F.xxhash64("currency").alias("page_id"), "currency",
+        F.concat(F.lit("<html><body><table><thead>" + header + "</thead><tbody>"),
+                 F.array_join(F.transform("_rows", lambda x: x["r"]), ""), F.lit("</tbody></table></body></html>")
+                 ).alias("html"),
+    )
+
+
+def q_s8_html_rows(spark, d):
+    """S8 + S9: daily rows parsed back out of HTML table pages."""
+    from tickweave.sources.html import html_table_rows
+
+    rows = html_table_rows(ohlc_pages(spark, d))
+    return rows.select("currency", F.col("day").alias("d_"), "open", "high", "low", "close", "value", "market_cap")
+
+
 def flagship(spark: SparkSession, d: str, step: int = HOURLY) -> DataFrame:
     """Prep pipeline over every series: every-nth (drop first), ln(x+1), chain
     scaling, 35->3 sliding windows, chronological .90/.95 split of windows;
