@@ -39,7 +39,7 @@ BASE = "click"  # base series of the correlation sweeps
 CURRENCIES = ("click", "error", "purchase", "signup", "view")  # pivot columns of M16
 HOURLY = 12  # every-12th row: 5-minute ticks -> hourly
 
-_SEQ_CACHE: dict[tuple[str, str], str] = {}
+_SEQ_CACHE: dict[tuple[str, str], DataFrame] = {}
 
 
 def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,28 +64,6 @@ def hourly(spark: SparkSession, sf_dir: str, drop_first: int = 0) -> DataFrame:
 
 FEATS = ("price", "volume", "market_cap")
 
-# ---------------------------------------------------------------- DuckDB side
-# Tick CTE (same adapter as tickweave.sources.events), with positions.
-T = """
-with t as (
-  select event_type as currency, ts as dt, event_id, value as price,
-         cast(json_extract_string(props, '$.k') as double) as volume,
-         value * (user_id + 1) as market_cap,
-         row_number() over (partition by event_type order by ts, event_id) - 1 as pos,
-         count(*) over (partition by event_type) as n
-  from events)
-"""
-# Hourly series: every 12th tick, renumbered (p, m = series length).
-H = T + """,
-h as (select currency, event_id, dt, pos // 12 as p, (n + 11) // 12 as m, price, volume, market_cap
-      from t where pos % 12 = 0)
-"""
-
-
-def _r(c: str) -> str:
-    return f"round({c}, 6)"
-
-
 # ---------------------------------------------------------------- queries
 def q_w1_position(spark, d):
     return ticks(spark, d).select("event_id", "currency", "pos", "n")
