@@ -64,6 +64,7 @@ def hourly(spark: SparkSession, sf_dir: str, drop_first: int = 0) -> DataFrame:
 
 FEATS = ("price", "volume", "market_cap")
 
+
 # ---------------------------------------------------------------- queries
 def q_w1_position(spark, d):
     return ticks(spark, d).select("event_id", "currency", "pos", "n")
