@@ -158,3 +158,22 @@ def test_duckdb_oracle_smoke_on_sf001(spark):
     con.execute(f"create view events as select * from '{SF001}/events.parquet'")
     exp = con.execute(e.oracle_sql()["prep_flagship"]).df()
     assert len(got) == len(exp)
+
+
+def test_augmented_adf_matches_least_squares(spark):
+    rng = np.random.default_rng(11)
+    x = np.cumsum(rng.normal(size=400)) + 50
+    df = make_ticks(spark, [("s", i, i, float(v), 1.0, 1.0) for i, v in enumerate(x)])
+    a = ST.adf(sequence(df, chunks=3), "price", lags=2).first()
+    dy = np.diff(x)
+    rows = range(3, len(x))  # t with y_{t-1}, dy_{t-1}, dy_{t-2} defined
+    X = np.array([[1.0, x[t - 1], dy[t - 2], dy[t - 3]] for t in rows])
+    y = np.array([dy[t - 1] for t in rows])
+    b, *_ = np.linalg.lstsq(X, y, rcond=None)
+    resid = y - X @ b
+    s2 = resid @ resid / (len(y) - X.shape[1])
+    se = np.sqrt(np.diag(np.linalg.inv(X.T @ X)) * s2)
+    assert a["nobs"] == len(y)
+    assert abs(a["gamma"] - b[1]) < 1e-8 and abs(a["t_stat"] - b[1] / se[1]) < 1e-6
+    a0 = ST.adf(sequence(df, chunks=3), "price").first()
+    assert a0["nobs"] == len(x) - 1

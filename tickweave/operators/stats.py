@@ -67,21 +67,31 @@ def acf(sdf: DataFrame, col: str = "price", max_lag: int = 10, key: str = KEY) -
     )
 
 
-def adf(sdf: DataFrame, col: str = "price", key: str = KEY) -> DataFrame:
-    """A14 (k = 0): Dickey-Fuller regression dy_t = a + g*y_{t-1} + e with a
-    constant; returns g (``gamma``), its t statistic and the sample size."""
-    l = lagged(sdf, {"_y1": (col, 1)}, key).withColumn("_dy", F.col(col) - F.col("_y1"))
-    g = l.groupBy(key).agg(
-        F.regr_slope("_dy", "_y1").alias("gamma"),
-        F.regr_r2("_dy", "_y1").alias("_r2"),
-        F.regr_sxx("_dy", "_y1").alias("_sxx"),
-        F.regr_syy("_dy", "_y1").alias("_syy"),
-        F.regr_count("_dy", "_y1").alias("nobs"),
-    )
-    se = F.sqrt(
-        F.try_divide((F.lit(1.0) - F.col("_r2")) * F.col("_syy"), (F.col("nobs") - 2) * F.col("_sxx"))
-    )
-    return g.select(key, "gamma", F.try_divide(F.col("gamma"), F.nullif(se, F.lit(0.0))).alias("t_stat"), "nobs")
+def adf(sdf: DataFrame, col: str = "price", key: str = KEY, lags: int = 0) -> DataFrame:
+    """Dickey-Fuller regression with a constant,
+    dy_t = a + g*y_{t-1} + sum_j c_j*dy_{t-j} + e  (j = 1..lags, augmented if
+    lags > 0); returns g (``gamma``), its t statistic and the sample size.
+    lags = 0 is one ``regr_*`` aggregation; lags > 0 solves the per-series
+    normal equations (``ols``)."""
+    if lags == 0:
+        l = lagged(sdf, {"_y1": (col, 1)}, key).withColumn("_dy", F.col(col) - F.col("_y1"))
+        g = l.groupBy(key).agg(
+            F.regr_slope("_dy", "_y1").alias("gamma"),
+            F.regr_r2("_dy", "_y1").alias("_r2"),
+            F.regr_sxx("_dy", "_y1").alias("_sxx"),
+            F.regr_syy("_dy", "_y1").alias("_syy"),
+            F.regr_count("_dy", "_y1").alias("nobs"),
+        )
+        se = F.sqrt(
+            F.try_divide((F.lit(1.0) - F.col("_r2")) * F.col("_syy"), (F.col("nobs") - 2) * F.col("_sxx"))
+        )
+        return g.select(key, "gamma", F.try_divide(F.col("gamma"), F.nullif(se, F.lit(0.0))).alias("t_stat"), "nobs")
+    l = lagged(sdf, {f"_y{i}": (col, i) for i in range(1, lags + 2)}, key)
+    l = l.withColumn("_dy", F.col(col) - F.col("_y1"))
+    for j in range(1, lags + 1):
+        l = l.withColumn(f"_dy{j}", F.col(f"_y{j}") - F.col(f"_y{j + 1}"))
+    fit = ols(l, "_dy", ["_y1"] + [f"_dy{j}" for j in range(1, lags + 1)], key)
+    return fit.select(key, F.col("coef")[1].alias("gamma"), F.col("t")[1].alias("t_stat"), "nobs")
 
 
 def normal_equations(df: DataFrame, y: str, xs: Sequence[str], by: str | Sequence[str] = KEY) -> DataFrame:
