@@ -60,3 +60,21 @@ def test_lag_lead_across_blocks(spark, block):
     assert len(m) == 10000
     for c in ("l1", "l4", "f3"):
         assert np.allclose(m[c + "_x"].astype(float), m[c + "_y"].astype(float), equal_nan=True)
+
+
+def test_multi_column_series_key(spark, small_blocks):
+    from pyspark.sql import Window
+
+    rows = [(f"c{i % 2}", f"x{i % 3}", i, i, float(i * i % 17)) for i in range(300)]
+    df = spark.createDataFrame(rows, "currency string, venue string, epoch long, event_id long, price double")
+    df = df.select("currency", "venue", F.timestamp_seconds("epoch").alias("dt"), "event_id", "price")
+    s = sequence(df, key=["currency", "venue"], chunks=5)
+    got = lagged(s, {"l2": ("price", 2)}, key=["currency", "venue"]).select("event_id", "pos", "n", "l2")
+    w = Window.partitionBy("currency", "venue").orderBy("dt", "event_id")
+    exp = df.select(
+        "event_id",
+        (F.row_number().over(w) - 1).cast("bigint").alias("pos"),
+        F.count(F.lit(1)).over(Window.partitionBy("currency", "venue")).alias("n"),
+        F.lag("price", 2).over(w).alias("l2"),
+    )
+    assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
