@@ -85,3 +85,15 @@ def test_mlp_gradient_matches_finite_differences():
         d[i] = eps
         num = (loss(flat + d) - loss(flat - d)) / (2 * eps)
         assert abs(num - gflat[i]) < 1e-4 * max(1.0, abs(num))
+
+
+def test_select_d_with_augmented_test(spark):
+    rng = np.random.default_rng(12)
+    walk = np.cumsum(rng.normal(size=800))
+    twice = np.cumsum(np.cumsum(rng.normal(size=800)))
+    rows = [("ar", i, i, float(v), 1.0, 1.0) for i, v in enumerate(_ar2(800, 13))]
+    rows += [("walk", i, 10_000 + i, float(v), 1.0, 1.0) for i, v in enumerate(walk)]
+    rows += [("i2", i, 20_000 + i, float(v), 1.0, 1.0) for i, v in enumerate(twice)]
+    s = sequence(make_ticks(spark, rows), chunks=4)
+    d = {r["currency"]: r["d"] for r in A.select_d(s, "price", adf_lags=3).collect()}
+    assert d == {"ar": 0, "walk": 1, "i2": 2}

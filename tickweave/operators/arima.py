@@ -46,17 +46,32 @@ def _diff_expr(d: int, shift: int = 0):
     return e
 
 
-def select_d(sdf: DataFrame, col: str = "price", max_d: int = 2, key: str = KEY, crit: float = DF_CRIT_5) -> DataFrame:
-    """Per series: DF t statistics of Delta^0..Delta^max_d and the chosen d."""
-    l = lagged(sdf.withColumn("_y0", F.col(col)), {f"_y{k}": (col, k) for k in range(1, max_d + 2)}, key)
-    aggs = []
-    for d in range(max_d + 1):
-        x = _diff_expr(d, 1)
-        dy = _diff_expr(d, 0) - x
-        se = F.sqrt(F.try_divide((F.lit(1.0) - F.regr_r2(dy, x)) * F.regr_syy(dy, x),
-                                 (F.regr_count(dy, x) - 2) * F.regr_sxx(dy, x)))
-        aggs.append(F.try_divide(F.regr_slope(dy, x), F.nullif(se, F.lit(0.0))).alias(f"t{d}"))
-    g = l.groupBy(key).agg(*aggs)
+def select_d(sdf: DataFrame, col: str = "price", max_d: int = 2, key: str = KEY, crit: float = DF_CRIT_5,
+             adf_lags: int = 0) -> DataFrame:
+    """Per series: Dickey-Fuller t statistics of Delta^0..Delta^max_d and the
+    chosen d (the smallest whose statistic is below ``crit``). With
+    ``adf_lags`` = k > 0 the regressions are augmented with k lagged
+    differences and solved from per-series normal equations."""
+    depth = max_d + 1 + adf_lags
+    l = lagged(sdf.withColumn("_y0", F.col(col)), {f"_y{k}": (col, k) for k in range(1, depth + 1)}, key)
+    if adf_lags == 0:
+        aggs = []
+        for d in range(max_d + 1):
+            x = _diff_expr(d, 1)
+            dy = _diff_expr(d, 0) - x
+            se = F.sqrt(F.try_divide((F.lit(1.0) - F.regr_r2(dy, x)) * F.regr_syy(dy, x),
+                                     (F.regr_count(dy, x) - 2) * F.regr_sxx(dy, x)))
+            aggs.append(F.try_divide(F.regr_slope(dy, x), F.nullif(se, F.lit(0.0))).alias(f"t{d}"))
+        g = l.groupBy(key).agg(*aggs)
+    else:
+        g = None
+        for d in range(max_d + 1):
+            cols = {"_dw": _diff_expr(d, 0) - _diff_expr(d, 1), "_w1": _diff_expr(d, 1)}
+            for j in range(1, adf_lags + 1):
+                cols[f"_dw{j}"] = _diff_expr(d, j) - _diff_expr(d, j + 1)
+            fit = ols(l.withColumns(cols), "_dw", ["_w1"] + [f"_dw{j}" for j in range(1, adf_lags + 1)], key)
+            td = fit.select(key, F.col("t")[1].alias(f"t{d}"))
+            g = td if g is None else g.join(td, key, "full")
     choose = F.lit(max_d)
     for d in reversed(range(max_d + 1)):
         choose = F.when(F.col(f"t{d}") < F.lit(crit), F.lit(d)).otherwise(choose)
@@ -80,11 +95,12 @@ def arima_fit(
     max_d: int = 2,
     long_ar: int = 8,
     key: str = KEY,
+    adf_lags: int = 0,
 ) -> tuple[DataFrame, DataFrame]:
     """Returns (models, residual frame). models: key, d, p, q, aic, coef
     (constant, phi_1..p, theta_1..q), sigma2, nobs. The residual frame is the
     input with ``_w`` (differenced series) and ``_e`` (long-AR residuals)."""
-    dsel = select_d(sdf, col, max_d, key)
+    dsel = select_d(sdf, col, max_d, key, adf_lags=adf_lags)
     w = _differenced(sdf, dsel, col, max_d, key)
     lags = {f"_w{i}": ("_w", i) for i in range(1, long_ar + 1)}
     wl = lagged(w, lags, key)
