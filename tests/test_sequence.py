@@ -78,3 +78,15 @@ def test_multi_column_series_key(spark, small_blocks):
         F.lag("price", 2).over(w).alias("l2"),
     )
     assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
+
+
+def test_task_retries_give_the_same_positions():
+    """Every map task fails once and is retried; positions stay exact."""
+    import os
+    import subprocess
+    import sys
+
+    here = os.path.dirname(os.path.abspath(__file__))
+    out = subprocess.run([sys.executable, os.path.join(here, "retry_job.py"), SF01],
+                         capture_output=True, text=True, timeout=600)
+    assert "RETRY_OK" in out.stdout, out.stdout[-2000:] + out.stderr[-2000:]
