@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickweave.functions.scalar import idiv
@@ -72,7 +72,7 @@ def block_window(key: str | Sequence[str] = KEY) -> Window:
 
 def lagged(
     sdf: DataFrame,
-    cols: dict[str, Column | tuple[str, int]],
+    cols: dict[str, tuple[str, int]],
     key: str | Sequence[str] = KEY,
     rows: int | None = None,
 ) -> DataFrame:
