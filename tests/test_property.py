@@ -39,3 +39,32 @@ def test_positions_and_lags_match_pandas(spark, rows, chunks, block, lag):
         for c in ("lg", "ld"):
             a, b = got[c].astype(float), exp[c].astype(float)
             assert ((a == b) | (a.isna() & b.isna())).all()
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=rows_strategy, n_in=st.integers(1, 5), n_out=st.integers(1, 3), stride=st.integers(1, 3),
+       block=st.integers(1, 8))
+def test_sliding_windows_match_numpy(spark, rows, n_in, n_out, stride, block):
+    import numpy as np
+
+    from tickweave.operators.windows import sliding_windows
+    from tickweave.session import BLOCK_ROWS_CONF
+
+    data = [(c, t, i, float(v), float(i), 0.0) for i, (c, t, v) in enumerate(rows)]
+    spark.conf.set(BLOCK_ROWS_CONF, str(block))
+    try:
+        s = sequence(make_ticks(spark, data), chunks=3)
+        w = sliding_windows(s, ("price", "volume"), n_in=n_in, n_out=n_out, stride=stride).collect()
+    finally:
+        spark.conf.unset(BLOCK_ROWS_CONF)
+    got = {(r["currency"], r["window_id"]): ([x["price"] for x in r["x"]], list(r["y"])) for r in w}
+    pdf = pd.DataFrame(data, columns=["currency", "t", "event_id", "price", "v", "m"]).sort_values(
+        ["currency", "t", "event_id"])
+    exp = {}
+    size = n_in + n_out
+    for c, g in pdf.groupby("currency"):
+        p = g.price.to_numpy()
+        if len(p) >= size:
+            for k, win in enumerate(np.lib.stride_tricks.sliding_window_view(p, size)[::stride]):
+                exp[(c, k)] = (list(win[:n_in]), list(win[n_in:]))
+    assert got == exp
