@@ -68,3 +68,25 @@ def test_sliding_windows_match_numpy(spark, rows, n_in, n_out, stride, block):
             for k, win in enumerate(np.lib.stride_tricks.sliding_window_view(p, size)[::stride]):
                 exp[(c, k)] = (list(win[:n_in]), list(win[n_in:]))
     assert got == exp
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 30),
+                               st.one_of(st.none(), st.integers(-5, 5).map(float))), min_size=1, max_size=80),
+       probs=st.lists(st.sampled_from([0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]), min_size=1, max_size=3))
+def test_exact_quantiles_match_numpy(spark, rows, probs):
+    import numpy as np
+
+    from tickweave.operators.scale import exact_quantiles
+
+    data = [(c, t, i, v, 0.0, 0.0) for i, (c, t, v) in enumerate(rows)]
+    q = exact_quantiles(make_ticks(spark, data), ("price",), probs).collect()
+    got = {r["currency"]: [r[f"q{i}"] for i in range(len(probs))] for r in q}
+    exp = {}
+    for c in {c for c, _, _ in rows}:
+        vals = np.array([v for cc, _, v in rows if cc == c and v is not None])
+        if len(vals):
+            exp[c] = list(np.percentile(vals, [100 * p for p in probs]))
+    assert set(got) == set(exp)
+    for c in exp:
+        assert np.allclose(got[c], exp[c])
