@@ -90,3 +90,28 @@ def test_exact_quantiles_match_numpy(spark, rows, probs):
     assert set(got) == set(exp)
     for c in exp:
         assert np.allclose(got[c], exp[c])
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(sizes=st.lists(st.integers(0, 90), min_size=1, max_size=3), frac=st.sampled_from([0.1, 0.1111, 0.3, 0.5]),
+       bucket_rows=st.integers(1, 20), k=st.integers(1, 5))
+def test_stratified_holdout_matches_brute_force(spark, sizes, frac, bucket_rows, k):
+    import hashlib
+    import math
+
+    from tickweave.operators.split import stratified_holdout, time_strata
+
+    data, eid = [], 0
+    for si, n in enumerate(sizes):
+        for t in range(n):
+            data.append((f"s{si}", t, eid, 1.0, 0.0, 0.0))
+            eid += 1
+    s = time_strata(sequence(make_ticks(spark, data), chunks=2), k)
+    got = {r["event_id"] for r in stratified_holdout(s, frac, bucket_rows=bucket_rows).filter("holdout").collect()}
+    pdf = s.select("currency", "stratum", "event_id").toPandas()
+    exp = set()
+    for _, g in pdf.groupby(["currency", "stratum"]):
+        m = int(math.floor(len(g) * frac + 0.5))
+        key = g.event_id.map(lambda e: hashlib.md5(str(e).encode()).hexdigest())
+        exp |= set(g.assign(h=key).sort_values(["h", "event_id"]).event_id.head(m))
+    assert got == exp
