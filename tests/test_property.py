@@ -115,3 +115,44 @@ def test_stratified_holdout_matches_brute_force(spark, sizes, frac, bucket_rows,
         key = g.event_id.map(lambda e: hashlib.md5(str(e).encode()).hexdigest())
         exp |= set(g.assign(h=key).sort_values(["h", "event_id"]).event_id.head(m))
     assert got == exp
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=rows_strategy, step=st.integers(1, 5), drop=st.integers(0, 2),
+       start=st.one_of(st.none(), st.integers(-8, 8)), stop=st.one_of(st.none(), st.integers(-8, 8)),
+       k=st.integers(1, 6))
+def test_every_nth_slices_blocks_match_python(spark, rows, step, drop, start, stop, k):
+    from pyspark.sql import functions as F
+
+    from tickweave.operators.position import every_nth, slice_rows
+    from tickweave.operators.windows import blocks
+
+    data = [(c, t, i, float(v), float(i), 0.0) for i, (c, t, v) in enumerate(rows)]
+    s = sequence(make_ticks(spark, data), chunks=3)
+    pdf = pd.DataFrame(data, columns=["currency", "t", "event_id", "price", "volume", "m"]).sort_values(
+        ["currency", "t", "event_id"])
+    series = {c: list(g.event_id) for c, g in pdf.groupby("currency")}
+
+    nth = every_nth(s, step, drop)
+    got = {(r["currency"], r["pos"]): (r["event_id"], r["n"]) for r in nth.collect()}
+    exp = {}
+    for c, ids in series.items():
+        kept = ids[::step][drop:]
+        exp.update({(c, p): (e, len(kept)) for p, e in enumerate(kept)})
+    assert got == exp
+
+    sl = slice_rows(s, start, stop)
+    got = {(r["currency"], r["pos"]): (r["event_id"], r["n"]) for r in sl.collect()}
+    exp = {}
+    for c, ids in series.items():
+        part = ids[start:stop]
+        exp.update({(c, p): (e, len(part)) for p, e in enumerate(part)})
+    assert got == exp
+
+    b = blocks(s, k, ("volume",), "price").select("currency", "block_id", F.transform("x", lambda r: r["volume"]))
+    got = {(r[0], r[1]): [int(v) for v in r[2]] for r in b.collect()}
+    exp = {}
+    for c, ids in series.items():
+        for j in range(len(ids) // k):
+            exp[(c, j)] = ids[j * k:(j + 1) * k]
+    assert got == exp
