@@ -156,3 +156,25 @@ def test_every_nth_slices_blocks_match_python(spark, rows, step, drop, start, st
         for j in range(len(ids) // k):
             exp[(c, j)] = ids[j * k:(j + 1) * k]
     assert got == exp
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=rows_strategy, cut1=st.sampled_from([0.5, 0.8, 0.9]), k=st.integers(1, 12), last=st.integers(0, 10))
+def test_splits_and_strata_match_python(spark, rows, cut1, k, last):
+    from tickweave.operators.split import last_k_split, ordered_split, time_strata
+
+    data = [(c, t, i, float(v), 0.0, 0.0) for i, (c, t, v) in enumerate(rows)]
+    s = sequence(make_ticks(spark, data), chunks=2)
+    out = time_strata(last_k_split(ordered_split(s, (cut1, 0.95)), last, out="lk"), k)
+    got = {r["event_id"]: (r["split"], r["lk"], r["stratum"]) for r in out.collect()}
+    pdf = pd.DataFrame(data, columns=["currency", "t", "event_id", "price", "v", "m"]).sort_values(
+        ["currency", "t", "event_id"])
+    exp = {}
+    for _, g in pdf.groupby("currency"):
+        n = len(g)
+        size, rem = n // k, n % k
+        classes = [i for i in range(k) for _ in range(size)] + [k - 1] * rem  # reference rule
+        for p, e in enumerate(g.event_id):
+            split = "train" if p < int(n * cut1) else "val" if p < int(n * 0.95) else "test"
+            exp[e] = (split, "test" if p >= n - last else "train", classes[p])
+    assert got == exp
