@@ -50,6 +50,18 @@ def window_mean_scores(sdf: DataFrame, col: str = "price", n_in: int = 35, n_out
     ).select("model", key, "window_id", (F.col("_i") + 1).alias("horizon"), "actual", "predicted")
 
 
+def window_persistence_scores(windows: DataFrame, feature: str = "price", split: str | None = "test",
+                              key: str = KEY) -> DataFrame:
+    """Persistence forecast on a window frame (x, y): every horizon predicts
+    the last input value of ``feature``; optionally one split only."""
+    w = windows if split is None else windows.filter(F.col("split") == split)
+    return w.select(
+        F.lit("persistence").alias("model"), key, "window_id",
+        F.element_at(F.col("x"), -1)[feature].alias("predicted"),
+        F.posexplode("y").alias("_i", "actual"),
+    ).select("model", key, "window_id", (F.col("_i") + 1).alias("horizon"), "actual", "predicted")
+
+
 def to_usd(scores: DataFrame, stats: DataFrame, feature: str, key: str = KEY) -> DataFrame:
     """M5 on a score frame: undo min-max (the chain, C8/C9) and ln(x+1) on
     both actual and predicted, so metrics come out in USD (A11)."""

@@ -589,6 +589,18 @@ def q_a11_rmse_usd(spark, d):
     return _metrics_out(M.regression_metrics(usd), ("currency",))
 
 
+def q_a17_compare_models(spark, d):
+    """A17 over the model jobs: persistence, random forest and MLP forecasts
+    on the same test windows, ranked by rmse (rows-only: randomised models)."""
+    from tickweave.operators import ml
+
+    w = _model_windows(spark, d)
+    rf = ml.rf_forecast(w, FEATS, num_trees=10)
+    _, _, mlp = ml.mlp_forecast(w, FEATS, epochs=10, lr=1e-3)
+    c = M.compare_models(M.window_persistence_scores(w, "price"), rf, mlp)
+    return _metrics_out(c, ("model",)).join(c.select("model", F.col("rank").cast("bigint").alias("rank")), "model")
+
+
 def ohlc_pages(spark, d) -> DataFrame:
     """One HTML page per series holding its daily OHLC table (header row of
     <th>, one <tr> of 7 <td> per day, money as '$1,234.56'), derived from the
