@@ -42,11 +42,13 @@ def daily_change(df: DataFrame, col: str = "price", key: str = KEY) -> DataFrame
     return d.withColumn("chg", safe_div("close", F.lag("close").over(w)) - F.lit(1.0))
 
 
-def daily_change_wide(df: DataFrame, currencies: Sequence[str], col: str = "price", key: str = KEY) -> DataFrame:
-    """One row per day, one change column per currency (pivot with the
-    values listed, so no extra job discovers them)."""
+def daily_change_wide(df: DataFrame, currencies: Sequence[str] | None = None, col: str = "price",
+                      key: str = KEY) -> DataFrame:
+    """One row per day, one change column per currency. Listing the
+    currencies saves the job that discovers them (one row per series)."""
     ch = daily_change(df, col, key)
-    return ch.groupBy("d_").pivot(key, list(currencies)).agg(F.first("chg"))
+    g = ch.groupBy("d_")
+    return (g.pivot(key, list(currencies)) if currencies else g.pivot(key)).agg(F.first("chg"))
 
 
 def movement_label(df: DataFrame, col: str = "price", key: str = KEY) -> DataFrame:
