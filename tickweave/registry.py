@@ -602,7 +602,7 @@ def q_a17_compare_models(spark, d):
 
 
 def ohlc_pages(spark, d) -> DataFrame:
-    """One HTML page per series holding its daily OHLC table (header row of
+    """One HTML page per series and month holding its daily OHLC table (header row of
     <th>, one <tr> of 7 <td> per day, money as '$1,234.56'), derived from the
     tick table: the shape of the reference's scraped history pages."""
     t = raw_ticks(spark, d)
@@ -622,10 +622,11 @@ def ohlc_pages(spark, d) -> DataFrame:
     )
     header = "<tr>" + "".join(f"<th>{h}</th>" for h in ("Date", "Open", "High", "Low", "Close", "Volume",
                                                         "Market Cap")) + "</tr>"
-    # one page per series: #days rows per group (a calendar, not the ticks)
-    pages = daily.groupBy("currency").agg(F.array_sort(F.collect_list(F.struct("d_", row.alias("r")))).alias("_rows"))
+    # one page per series and month: at most 31 rows per group
+    pages = daily.groupBy("currency", F.trunc("d_", "month").alias("_month")).agg(
+        F.array_sort(F.collect_list(F.struct("d_", row.alias("r")))).alias("_rows"))
     return pages.select(
-        F.xxhash64("currency").alias("page_id"), "currency",
+        F.xxhash64("currency", "_month").alias("page_id"), "currency",
         F.concat(F.lit("<html><body><table><thead>" + header + "</thead><tbody>"),
                  F.array_join(F.transform("_rows", lambda x: x["r"]), ""), F.lit("</tbody></table></body></html>")
                  ).alias("html"),
