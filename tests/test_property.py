@@ -178,3 +178,35 @@ def test_splits_and_strata_match_python(spark, rows, cut1, k, last):
             split = "train" if p < int(n * cut1) else "val" if p < int(n * 0.95) else "test"
             exp[e] = (split, "test" if p >= n - last else "train", classes[p])
     assert got == exp
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 30), st.integers(0, 4).map(float)),
+                     max_size=80),
+       d=st.integers(1, 3), block=st.integers(1, 6))
+def test_returns_and_differences_match_pandas(spark, rows, d, block):
+    import numpy as np
+
+    from tickweave.operators.transform import difference, log_return, pct_change
+    from tickweave.session import BLOCK_ROWS_CONF
+
+    data = [(c, t, i, v, 0.0, 0.0) for i, (c, t, v) in enumerate(rows)]
+    spark.conf.set(BLOCK_ROWS_CONF, str(block))
+    try:
+        s = sequence(make_ticks(spark, data), chunks=2)
+        out = log_return(pct_change(difference(s, "price", d, "dd")))
+        got = out.select("event_id", "dd", "pct_change", "log_return").toPandas().set_index("event_id").sort_index()
+    finally:
+        spark.conf.unset(BLOCK_ROWS_CONF)
+    pdf = pd.DataFrame(data, columns=["currency", "t", "event_id", "price", "v", "m"]).sort_values(
+        ["currency", "t", "event_id"])
+    g = pdf.groupby("currency")["price"]
+    prev = g.shift(1)
+    pdf["dd"] = g.transform(lambda x: x.diff(1) if d == 1 else x.diff().diff() if d == 2 else x.diff().diff().diff())
+    ratio = pdf.price / prev.where(prev != 0)
+    pdf["pct_change"] = ratio - 1
+    pdf["log_return"] = np.log(ratio.where(ratio > 0))
+    exp = pdf.set_index("event_id").sort_index()
+    for c in ("dd", "pct_change", "log_return"):
+        a, b = got[c].astype(float), exp[c].astype(float)
+        assert ((np.isclose(a, b)) | (a.isna() & b.isna())).all(), c
