@@ -210,3 +210,34 @@ def test_returns_and_differences_match_pandas(spark, rows, d, block):
     for c in ("dd", "pct_change", "log_return"):
         a, b = got[c].astype(float), exp[c].astype(float)
         assert ((np.isclose(a, b)) | (a.isna() & b.isna())).all(), c
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 40), st.floats(-3, 3, allow_nan=False)),
+                     min_size=1, max_size=80),
+       lags=st.integers(1, 4), block=st.integers(1, 6))
+def test_acf_matches_definition(spark, rows, lags, block):
+    import numpy as np
+
+    from tickweave.operators.stats import acf
+    from tickweave.session import BLOCK_ROWS_CONF
+
+    data = [(c, t, i, float(v), 0.0, 0.0) for i, (c, t, v) in enumerate(rows)]
+    spark.conf.set(BLOCK_ROWS_CONF, str(block))
+    try:
+        got = {(r["currency"], r["lag"]): r["acf"] for r in acf(sequence(make_ticks(spark, data), chunks=2),
+                                                                  "price", lags).collect()}
+    finally:
+        spark.conf.unset(BLOCK_ROWS_CONF)
+    pdf = pd.DataFrame(data, columns=["currency", "t", "event_id", "price", "v", "m"]).sort_values(
+        ["currency", "t", "event_id"])
+    exp = {}
+    for c, g in pdf.groupby("currency"):
+        z = g.price.to_numpy() - g.price.mean()
+        c0 = (z * z).sum()
+        for h in range(1, lags + 1):
+            s = (z[: len(z) - h] * z[h:]).sum() if len(z) > h else 0.0
+            exp[(c, h)] = None if c0 == 0 else s / c0
+    assert set(got) == set(exp)
+    for k, v in exp.items():
+        assert (got[k] is None and v is None) or (v is not None and got[k] is not None and np.isclose(got[k], v))
