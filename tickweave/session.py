@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -83,3 +85,27 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 def int_conf(spark: SparkSession, key: str, default: int) -> int:
     v = spark.conf.get(key, None)
     return int(v) if v else default
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send the package's sources to the Python workers, once per application:
+    functions that run there are found by import, whatever folder or path the
+    driver was started with."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in sorted(os.walk(top)):
+            for name in sorted(f for f in files if f.endswith(".py")):
+                path = os.path.join(folder, name)
+                z.write(path, os.path.relpath(path, os.path.dirname(top)))
+    path = os.path.join(tempfile.mkdtemp(prefix="tickweave-ship-"), "tickweave.zip")
+    with open(path, "wb") as f:
+        f.write(packed.getvalue())
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
