@@ -19,26 +19,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tickweave.llm import bpe, mixing, qda, secretscan, simhash
-from tickweave.llm.common import read_table, written
+from tickweave.llm.common import prepare, read_table, written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
     return qda.keep_good(docs, qda.fit(spark, docs, read_table(spark, sf_dir, "labels")))
 
 
 def near_dups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
     return simhash.keep_one(docs, shingle=4, max_bits=4)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
     return secretscan.redact(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
     return mixing.in_mixed_order(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
     return bpe.digests(docs, bpe.public_bpe())
 
 

@@ -36,8 +36,8 @@ from pyspark.sql import types as T
 
 from tickweave.llm.common import written
 
-BUCKETS = 4_096
-NO_RANK = 2_147_483_647
+BUCKETS = 32_768
+DICTIONARY_WORDS = 800_000  # encoded once and broadcast: a bound of about 40 MB
 LONG_WORD = 64  # bytes; longer words are merged rank by rank, all places at once
 
 
@@ -52,6 +52,10 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def _no_pieces() -> Column:
+    return F.array().cast("array<binary>")
+
+
 class Bpe:
     """Column expressions for one vocabulary."""
 
@@ -60,81 +64,68 @@ class Bpe:
         if missing:
             raise ValueError(f"the vocabulary has no token for {len(missing)} of the 256 bytes")
         self.ranks, self.pattern = ranks, pattern
-        # A bucket is one string: the answer for "not found", then ",HEX=rank" for each
-        # token. Few, long literals: a task reads its plan in no time.
-        buckets = [f"{NO_RANK:010d}"] * BUCKETS
+        self.width = len(str(max(ranks.values()))) + 1
+        self.none = 10**self.width - 1  # more than any rank
+        # A bucket is one string: the answer for "not found", then ",BASE64=rank" a token.
+        buckets = [f"{self.none}"] * BUCKETS
         for token, rank in ranks.items():
-            buckets[zlib.crc32(token) % BUCKETS] += f",{token.hex().upper()}={rank:010d}"
+            buckets[zlib.crc32(token) % BUCKETS] += f",{base64.b64encode(token).decode()}={rank:0{self.width}d}"
         # from_json of a literal is folded to a literal array by the optimiser
         self._map = F.from_json(F.lit(json.dumps(buckets)), "array<string>")
-        by_rank = {r: t for t, r in ranks.items()}
-        pieces = [by_rank.get(i, b"").hex().upper() for i in range(max(by_rank) + 1)]
-        self._pieces = F.from_json(F.lit(json.dumps(pieces, separators=(",", ":"))), "array<string>")
 
     def rank(self, keys: Column) -> Column:
-        """Ranks of an array of byte strings; NO_RANK where there is none."""
+        """Ranks of an array of byte strings; ``none`` where there is none."""
         return F.transform(keys, lambda k: F.substring(F.call_function(
-            "substring_index", F.get(self._map, (F.crc32(k) % BUCKETS).cast("int")), F.concat(F.lit(","), F.hex(k), F.lit("=")),
-            F.lit(-1)), 1, 10).cast("int"))
+            "substring_index", F.get(self._map, (F.crc32(k) % BUCKETS).cast("int")), F.concat(F.lit(","), F.base64(k), F.lit("=")),
+            F.lit(-1)), 1, self.width).cast("int"))
+
+    def _state(self, pieces: Column, ranks: Column) -> Column:
+        """Pieces, ranks of neighbouring pairs, and the place (from 1) of the
+        leftmost pair of lowest rank, 0 if no pair can be joined."""
+        return _let(ranks, lambda r: F.struct(pieces.alias("p"), r.alias("r"), F.array_position(
+            r, F.least(F.array_min(r), F.lit(self.none - 1))).cast("int").alias("i")))
 
     def _start(self, word: Column) -> Column:
         n = F.octet_length(word)
         pieces = F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(word, i, F.lit(1)))
         pairs = F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.substring(word, i, F.lit(2)))
-        return F.struct(pieces.alias("p"), self.rank(pairs).alias("r"))
+        return self._state(pieces, self.rank(F.when(n > 1, pairs).otherwise(_no_pieces())))
 
     def _merge_one(self, s: Column) -> Column:
         """The state after joining the leftmost pair of lowest rank."""
-        p, r = s["p"], s["r"]
-
-        def joined(e: Column) -> Column:
-            i, x = e["i"], e["x"]  # 1-based place of the pair, and its bytes
-            none = F.array().cast("array<binary>")
-            before = F.when(i > 1, F.array(F.concat(F.get(p, i - 2), x))).otherwise(none)
-            after = F.when(i < F.size(r), F.array(F.concat(x, F.get(p, i + 1)))).otherwise(none)
-            return F.struct(
-                F.concat(F.slice(p, F.lit(1), i - 1), F.array(x), F.slice(p, i + 2, F.size(p))).alias("p"),
-                F.concat(F.slice(r, F.lit(1), F.greatest(i - 2, F.lit(0))), self.rank(F.concat(before, after)),
-                         F.slice(r, i + 2, F.size(r))).alias("r"))
-
-        place = F.array_position(r, F.array_min(r)).cast("int")
-        pair = _let(place, lambda i: F.struct(i.alias("i"), F.concat(F.get(p, i - 1), F.get(p, i)).alias("x")))
-        return _let(pair, joined)
+        p, r, i = s["p"], s["r"], s["i"]
+        x = F.concat(F.get(p, i - 1), F.get(p, i))
+        before = F.when(i > 1, F.array(F.concat(F.get(p, i - 2), x))).otherwise(_no_pieces())
+        after = F.when(i < F.size(r), F.array(F.concat(x, F.get(p, i + 1)))).otherwise(_no_pieces())
+        return self._state(
+            F.concat(F.slice(p, F.lit(1), i - 1), F.array(x), F.slice(p, i + 2, F.size(p))),
+            F.concat(F.slice(r, F.lit(1), F.greatest(i - 2, F.lit(0))), self.rank(F.concat(before, after)), F.slice(r, i + 2, F.size(r))))
 
     def _merge_all(self, s: Column) -> Column:
         """The state after joining every pair of the lowest rank, left to right
         without overlap (in a run of such pairs, every second one)."""
         p, r = s["p"], s["r"]
+        text = F.array_join(F.transform(r, lambda x: F.when(x == F.get(r, s["i"] - 1), F.lit("1")).otherwise(F.lit("0"))), "")
+        flags = F.split(F.regexp_replace(text, "11", "10"), "")  # '1' where a pair begins
 
-        def joined(flags: Column) -> Column:  # '1' where a pair begins, '0' elsewhere
-            pieces = F.transform(p, lambda x, i: F.when(F.get(flags, i) == "1", F.concat(x, F.get(p, i + 1)))
-                                 .when(F.coalesce(F.get(flags, i - 1), F.lit("0")) == "1", F.lit(None)).otherwise(x))
-            return _let(F.filter(pieces, lambda x: x.isNotNull()), lambda q: F.struct(
-                q.alias("p"), self.rank(F.transform(F.slice(q, F.lit(1), F.size(q) - 1),
-                                                    lambda x, i: F.concat(x, F.get(q, i + 1)))).alias("r")))
-
-        def marked(m: Column) -> Column:
-            text = F.array_join(F.transform(r, lambda x: F.when(x == m, F.lit("1")).otherwise(F.lit("0"))), "")
-            return F.split(F.regexp_replace(text, "11", "10"), "")
+        def joined(f: Column) -> Column:
+            pieces = F.transform(p, lambda x, k: F.when(F.get(f, k) == "1", F.concat(x, F.get(p, k + 1)))
+                                 .when(F.coalesce(F.get(f, k - 1), F.lit("0")) == "1", F.lit(None)).otherwise(x))
+            return _let(F.filter(pieces, lambda x: x.isNotNull()), lambda q: self._state(q, self.rank(
+                F.transform(F.slice(q, F.lit(1), F.size(q) - 1), lambda x, k: F.concat(x, F.get(q, k + 1))))))
 
-        return _let(_let(F.array_min(r), marked), joined)
+        return _let(flags, joined)
 
     def encode_word(self, word: Column) -> Column:
-        """Token ids (array<int>) of one pre-token given as bytes."""
+        """Token ids (array<int>) of one pre-token given as bytes. A pre-token that
+        is a token itself is for the caller to look up."""
         n = F.octet_length(word)
 
         def step(s: Column, _: Column) -> Column:
-            done = F.coalesce(F.array_min(s["r"]), F.lit(NO_RANK)) == NO_RANK
-            return F.when(done, s).when(n <= LONG_WORD, self._merge_one(s)).otherwise(self._merge_all(s))
+            return F.when(s["i"] == 0, s).when(n <= LONG_WORD, self._merge_one(s)).otherwise(self._merge_all(s))
 
         state = F.aggregate(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), self._start(word), step)
-        whole = self.rank(F.array(word))
-        return (F.when(n == 0, F.array().cast("array<int>")).when(F.get(whole, F.lit(0)) != NO_RANK, whole)
-                .otherwise(self.rank(state["p"])))
-
-    def decode(self, ids: Column) -> Column:
-        """Bytes of an array of token ids: the pieces, put one after another."""
-        return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(self._pieces, i)), ""))
+        return F.when(n == 0, F.array().cast("array<int>")).otherwise(self.rank(state["p"]))
 
     # ------------------------------------------------------------- documents
     def word_counts(self, docs: DataFrame, text: str) -> DataFrame:
@@ -159,55 +150,109 @@ class Bpe:
         parts = docs.select(F.col(text).cast("string").alias("t")).mapInArrow(count, "word binary, n long")
         return parts.groupBy("word").agg(F.sum("n").alias("n"))
 
-    def dictionary(self, docs: DataFrame, text: str, size: int) -> pa.Table:
-        """The ``size`` most frequent words with their ids, encoded by the fold."""
-        top = self.word_counts(docs, text).orderBy(F.col("n").desc(), "word").limit(size).select("word")
-        top = written(top, "bpe-words")
+    def dictionary(self, docs: DataFrame, text: str, size: int) -> bytes:
+        """The ``size`` most frequent words with their ids, encoded by the fold,
+        and the tokens that are text with their own id, as one Arrow file."""
         parts = max(12, docs.sparkSession.sparkContext.defaultParallelism * 4)
-        return top.repartition(parts).select("word", self.encode_word(F.col("word")).alias("ids")).toArrow()
-
-    def encode(self, docs: DataFrame, text: str = "text", out: str = "ids", dictionary_words: int = 400_000) -> DataFrame:
+        top = self.word_counts(docs, text).orderBy(F.col("n").desc(), "word").limit(size).select("word")
+        top = written(top.repartition(parts, "word"), "bpe-words")
+        table = top.select("word", self.encode_word(F.col("word")).alias("ids")).toArrow()
+        whole = sorted((t, r) for t, r in self.ranks.items() if _is_text(t))
+        own = pa.table([pa.array([t for t, _ in whole], pa.binary()), pa.array([[r] for _, r in whole], pa.list_(pa.int32()))], ["word", "ids"])
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_file(sink, own.schema) as f:
+            f.write_table(table.cast(own.schema))
+            f.write_table(own)  # last: a token is never cut further
+        return sink.getvalue().to_pybytes()
+
+    def encode(self, docs: DataFrame, text: str = "text", out: str = "ids", dictionary_words: int = DICTIONARY_WORDS) -> DataFrame:
         """``docs`` with a column ``out``: the token ids (array<int>) of the whole
         text, as the public tokenizer library gives them without special tokens."""
-        spark, pattern = docs.sparkSession, self.pattern
-        table = self.dictionary(docs, text, dictionary_words)
-        words = table.column("word").combine_chunks() if table.num_rows else pa.array([], pa.binary())
-        ids = table.column("ids").to_pylist()
-        shared = spark.sparkContext.broadcast((words.to_pylist(), [np.array(x, "<u4").tobytes() for x in ids]))
-        kind = T.ArrayType(T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("word", T.BinaryType())]))
-
-        @F.pandas_udf(kind)
-        def pieces(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            known = {w.decode(): i for w, i in zip(*shared.value)}
-            find, get = regex.compile(pattern).findall, known.get
-            none = np.empty(0, "<i4")
-
-            def row(t: str | None) -> list[dict]:
-                out, run = [], []
-                for w in find(t or ""):
-                    x = get(w)
-                    if x is None:
-                        out.append({"ids": np.frombuffer(b"".join(run), "<i4") if run else none, "word": w.encode()})
-                        run = []
-                    else:
-                        run.append(x)
-                if run:
-                    out.append({"ids": np.frombuffer(b"".join(run), "<i4"), "word": None})
-                return out
-
-            for s in batches:
-                yield pd.Series([row(t) for t in s], dtype=object)
-
-        held = "__bpe_pieces"
-        both = docs.withColumn(held, pieces(F.col(text).cast("string")))
+        pattern, held = self.pattern, "__bpe_pieces"
+        shared = docs.sparkSession.sparkContext.broadcast(self.dictionary(docs, text, dictionary_words))
+        place = docs.columns.index(text)
+
+        def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known, find = read_dictionary(shared.value), regex.compile(pattern).findall
+            for b in batches:
+                for i in range(0, b.num_rows, PIECE_ROWS):
+                    part = b.slice(i, PIECE_ROWS)
+                    found = split_words(part.column(place), known, find)
+                    yield pa.RecordBatch.from_arrays([*part.columns, found], [*part.schema.names, held])
+
+        ids, word = T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("word", T.BinaryType())
+        both = docs.withColumn(text, F.col(text).cast("string"))
+        both = both.mapInArrow(pieces, T.StructType([*both.schema.fields, T.StructField(held, T.ArrayType(T.StructType([ids, word])))]))
         ids_of = F.transform(held, lambda s: F.when(s["word"].isNull(), s["ids"]).otherwise(F.concat(s["ids"], self.encode_word(s["word"]))))
         return both.withColumn(out, F.flatten(ids_of)).drop(held)
 
+    def pieces_by_id(self) -> list[bytes]:
+        by_rank = {r: t for t, r in self.ranks.items()}
+        return [by_rank.get(i, b"") for i in range(max(by_rank) + 1)]
 
-@F.pandas_udf(T.StringType())
-def ids_sha256(ids: pd.Series) -> pd.Series:
-    """Hex SHA-256 of the ids as little-endian unsigned 32-bit integers."""
-    return pd.Series([hashlib.sha256(np.asarray(x, "<u4").tobytes()).hexdigest() for x in ids], dtype=object)
+    def decode(self, ids: Column) -> Column:
+        """Bytes of an array of token ids: the pieces, put one after another.
+        Null for a null array; an id that is no token is an error."""
+        pieces = self.pieces_by_id()
+
+        @F.pandas_udf("binary")
+        def join(arrays: pd.Series) -> pd.Series:
+            return pd.Series([None if x is None else decoded(x, pieces) for x in arrays], dtype=object)
+
+        return join(ids)
+
+
+def decoded(ids: np.ndarray, pieces: list[bytes]) -> bytes:
+    if len(ids) and ids.min() < 0:
+        raise ValueError("an id that is no token")
+    return b"".join(map(pieces.__getitem__, ids.tolist()))
+
+
+def _is_text(token: bytes) -> bool:
+    try:
+        return bool(token.decode())
+    except UnicodeDecodeError:
+        return False
+
+
+PIECE_ROWS = 64  # documents whose pieces a task holds at once
+
+
+def read_dictionary(file: bytes) -> dict[str, bytes]:
+    """Word -> its ids as little-endian 32-bit integers."""
+    table = pa.ipc.open_file(pa.BufferReader(file)).read_all().combine_chunks()
+    if not table.num_rows:
+        return {}
+    words, ids = table.column("word").chunk(0), table.column("ids").chunk(0)
+    raw, offsets = np.asarray(ids.flatten(), "<i4").tobytes(), ids.offsets.to_numpy()
+    at = (4 * (offsets - offsets[0])).tolist()
+    return {w.as_py().decode(): raw[a:b] for w, a, b in zip(words, at, at[1:])}
+
+
+def split_words(texts: pa.Array, known: dict[str, bytes], find) -> pa.Array:
+    """Per text the ids of known words, cut where a word is not known:
+    list<struct<ids, word>>."""
+    runs, lengths, words, ends = [], [], [], [0]
+    for t in texts:
+        n = 0
+        for w in find(t.as_py() or ""):
+            x = known.get(w)
+            if x is None:
+                lengths.append(n)
+                words.append(w.encode())
+                n = 0
+            else:
+                runs.append(x)
+                n += len(x)
+        if n:
+            lengths.append(n)
+            words.append(None)
+        ends.append(len(words))
+    flat = np.frombuffer(b"".join(runs), "<i4")
+    cuts = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64) // 4]).astype(np.int32)
+    ids = pa.ListArray.from_arrays(pa.array(cuts), pa.array(flat))
+    rows = pa.StructArray.from_arrays([ids, pa.array(words, pa.binary())], ["ids", "word"])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows)
 
 
 def public_bpe() -> Bpe:
@@ -217,8 +262,17 @@ def public_bpe() -> Bpe:
     return Bpe(load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
 
 
-def digests(docs: DataFrame, bpe: Bpe, text: str = "text", doc_id: str = "doc_id", dictionary_words: int = 400_000) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row."""
+def digests(docs: DataFrame, bpe: Bpe, text: str = "text", doc_id: str = "doc_id", dictionary_words: int = DICTIONARY_WORDS) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 (of the ids as little-endian unsigned 32-bit
+    integers) and decoded_sha256 of every row."""
     rows = bpe.encode(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "text", "ids", dictionary_words)
-    return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), ids_sha256("ids").alias("ids_sha256"),
-                       F.sha2(bpe.decode(F.col("ids")), 256).alias("decoded_sha256"))
+    pieces = bpe.pieces_by_id()
+
+    @F.pandas_udf("ids_sha256 string, decoded_sha256 string")
+    def hashed(arrays: pd.Series) -> pd.DataFrame:
+        own = [hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in arrays]
+        back = [hashlib.sha256(decoded(x, pieces)).hexdigest() for x in arrays]
+        return pd.DataFrame({"ids_sha256": own, "decoded_sha256": back})
+
+    rows = rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), hashed("ids").alias("h"))
+    return rows.select("doc_id", "n_tokens", "h.ids_sha256", "h.decoded_sha256")

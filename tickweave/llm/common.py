@@ -5,13 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickweave.session import scratch_path
+from tickweave.session import scratch_path, ship_package
+
+ARROW_ROWS = "512"  # rows that Python gets at once: texts may be long
 
 # The white space that separates words in the contracts.
 SPACE_CLASS = r"[\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 
 
+def prepare(spark: SparkSession) -> None:
+    """What every query and stage needs: small Arrow batches, and workers that
+    can import the package."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    ship_package(spark)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tickweave.llm import bpe, htmlcrf, langid, mixing, qda, qualityrules, secretscan, simhash, tokencount, topk
-from tickweave.llm.common import read_table
+from tickweave.llm.common import prepare, read_table
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,7 +54,16 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read_table(spark, sf_dir, "documents"), bpe.public_bpe())
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_token_counts, op3_simhash, op4_secret_scan, op5_quality_rules,
+def _prepared(query):
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        prepare(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+QUERIES = {f.__name__: _prepared(f) for f in (op1_language_id, op2_token_counts, op3_simhash, op4_secret_scan, op5_quality_rules,
                                    op6_source_mix, op7_exact_topk, op8_html_text, op9_quality_classifier, op10_byte_bpe)}
 
 
