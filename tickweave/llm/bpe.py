@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 from tickweave.llm.common import written
 
 BUCKETS = 32_768
-DICTIONARY_WORDS = 800_000  # encoded once and broadcast: a bound of about 40 MB
+DICTIONARY_WORDS = 800_000  # encoded once and broadcast: a bound of about 15 MB
 LONG_WORD = 64  # bytes; longer words are merged rank by rank, all places at once
 
 
@@ -160,7 +160,7 @@ class Bpe:
         whole = sorted((t, r) for t, r in self.ranks.items() if _is_text(t))
         own = pa.table([pa.array([t for t, _ in whole], pa.binary()), pa.array([[r] for _, r in whole], pa.list_(pa.int32()))], ["word", "ids"])
         sink = pa.BufferOutputStream()
-        with pa.ipc.new_file(sink, own.schema) as f:
+        with pa.ipc.new_file(sink, own.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as f:
             f.write_table(table.cast(own.schema))
             f.write_table(own)  # last: a token is never cut further
         return sink.getvalue().to_pybytes()
