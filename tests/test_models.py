@@ -54,39 +54,18 @@ def test_movement_frame_from_events(spark):
     assert f.count() > 100 and set(f.columns) == {"t_", "base_chg", "label"}
 
 
-def test_mlp_and_rf_forecasts(spark):
+def test_rf_and_ridge_forecasts(spark):
     rng = np.random.default_rng(6)
     v = np.sin(np.arange(400) / 5.0) + 0.05 * rng.normal(size=400)
     s = sequence(make_ticks(spark, [("s", i, i, float(x), 1.0, 1.0) for i, x in enumerate(v)]), chunks=3)
     w = SP.ordered_split(W.sliding_windows(s, ("price",), n_in=10, n_out=2), (0.8, 0.9))
-    weights, hist, scores = ml.mlp_forecast(w, ("price",), hidden=(16, 8), epochs=15, lr=1e-2)
-    h = hist.toPandas()
-    assert h.train_loss.iloc[-1] < h.train_loss.iloc[0]
-    assert scores.count() == 2 * w.filter("split = 'test'").count()
-    rf = ml.rf_forecast(w, ("price",), num_trees=5)
+    ridge = ml.linear_forecast(w, ("price",), n_out=2)
+    assert ridge.count() == 2 * w.filter("split = 'test'").count()
+    rf = ml.rf_forecast(w, ("price",), n_out=2, num_trees=20)
     r = rf.groupBy().agg(F.avg((F.col("predicted") - F.col("actual")) ** 2).alias("mse")).first()["mse"]
     assert r < 0.1
 
 
-def test_mlp_gradient_matches_finite_differences():
-    rng = np.random.default_rng(0)
-    sizes = [4, 5, 3, 2]
-    params = ml._init(sizes, rng)
-    X, Y = rng.normal(size=(6, 4)), rng.normal(size=(6, 2))
-    g, _ = ml._grad(params, X, Y)
-    flat, gflat = ml._flat(params), ml._flat(g)
-
-    def loss(v):
-        return ml._grad(ml._unflat(v, sizes), X, Y)[1]
-
-    eps = 1e-6
-    for i in rng.choice(flat.size, 12, replace=False):
-        d = np.zeros_like(flat)
-        d[i] = eps
-        num = (loss(flat + d) - loss(flat - d)) / (2 * eps)
-        assert abs(num - gflat[i]) < 1e-4 * max(1.0, abs(num))
-
-
 def test_select_d_with_augmented_test(spark):
     rng = np.random.default_rng(12)
     walk = np.cumsum(rng.normal(size=800))
@@ -97,3 +76,39 @@ def test_select_d_with_augmented_test(spark):
     s = sequence(make_ticks(spark, rows), chunks=4)
     d = {r["currency"]: r["d"] for r in A.select_d(s, "price", adf_lags=3).collect()}
     assert d == {"ar": 0, "walk": 1, "i2": 2}
+
+
+def test_arima_orders_on_known_series(spark):
+    rows = []
+
+    def add(name, values):
+        k = len(rows)
+        rows.extend((name, i, k + i, float(x), 1.0, 1.0) for i, x in enumerate(values))
+
+    y = _ar2(2000, 3)
+    for level in (0, 10**6, 10**9):
+        add(f"ar{level}", y + level)
+    e = np.random.default_rng(5).normal(size=2001)
+    add("ma", e[1:] + 0.8 * e[:-1])
+    add("walk", np.cumsum(np.random.default_rng(6).normal(size=1500)))
+    add("constant", np.full(500, 7.0))
+    add("short", _ar2(9, 1))
+    models, resid = A.arima_fit(sequence(make_ticks(spark, rows), chunks=4), "price")
+    got = {r["currency"]: r for r in models.collect()}
+    for level in (0, 10**6, 10**9):
+        r = got[f"ar{level}"]
+        assert (r["d"], r["p"], r["q"]) == (0, 2, 0)
+        assert abs(r["coef"][1] - 0.5) < 0.06 and abs(r["coef"][2] + 0.3) < 0.06
+    assert (got["ma"]["d"], got["ma"]["p"], got["ma"]["q"]) == (0, 0, 1)
+    assert abs(got["ma"]["coef"][1] - 0.8) < 0.1
+    assert got["walk"]["d"] == 1 and got["constant"]["d"] == 0
+    assert got["short"]["p"] is None and got["short"]["nobs"] == 0
+    ahead = {r["currency"]: r["forecast"] for r in A.arima_forecast(models, resid, steps=1).collect()}
+    assert abs(ahead["constant"] - 7.0) < 1e-9 and ahead["short"] is None
+    assert abs(ahead["ar1000000"] - ahead["ar0"] - 10**6) < 1e-3
+
+
+def test_models_without_windows(spark):
+    none = spark.createDataFrame([], "currency string, window_id long, split string, y array<double>, x array<struct<price:double>>")
+    assert ml.rf_forecast(none, ("price",)).count() == 0
+    assert ml.rf_grid(none, ("price",))[1].count() == 0

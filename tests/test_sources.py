@@ -121,7 +121,7 @@ def test_incremental_ingest_twice_adds_nothing(spark):
     assert ingest_new(spark, root, dst, ck) == 0
     _write_points(root, "bitcoin", "20190102", {"1546387200": {"v": [2.0, 2.0, 3.0, 4.0, 5.0]},
                                                 "1546387500": {"v": [3.0, 2.0, 3.0, 4.0, 5.0]}})
-    assert ingest_new(spark, root, dst, ck) == 1
+    assert ingest_new(spark, root, dst, ck) == 2
     assert spark.read.parquet(dst).count() == 3
 
 

@@ -72,9 +72,10 @@ def select_d(sdf: DataFrame, col: str = "price", max_d: int = 2, key: str = KEY,
             fit = ols(l.withColumns(cols), "_dw", ["_w1"] + [f"_dw{j}" for j in range(1, adf_lags + 1)], key)
             td = fit.select(key, F.col("t")[1].alias(f"t{d}"))
             g = td if g is None else g.join(td, key, "full")
+    # a series without variation left has no statistic and needs no more differences
     choose = F.lit(max_d)
     for d in reversed(range(max_d + 1)):
-        choose = F.when(F.col(f"t{d}") < F.lit(crit), F.lit(d)).otherwise(choose)
+        choose = F.when((F.col(f"t{d}") < F.lit(crit)) | F.col(f"t{d}").isNull(), F.lit(d)).otherwise(choose)
     return g.withColumn("d", choose)
 
 
@@ -93,13 +94,24 @@ def arima_fit(
     max_p: int = 3,
     max_q: int = 3,
     max_d: int = 2,
-    long_ar: int = 8,
+    long_ar: int | None = None,
     key: str = KEY,
     adf_lags: int = 0,
 ) -> tuple[DataFrame, DataFrame]:
     """Returns (models, residual frame). models: key, d, p, q, aic, coef
     (constant, phi_1..p, theta_1..q), sigma2, nobs. The residual frame is the
-    input with ``_w`` (differenced series) and ``_e`` (long-AR residuals)."""
+    input with ``_w`` (differenced series) and ``_e`` (long-AR residuals).
+
+    The fit runs on standardised series, so that levels do not cost digits. The
+    long AR grows with the length, 10 log10(n) within 8..24, unless given. A
+    series too short for the fit has a NULL order."""
+    unit = sdf.groupBy(key).agg(F.avg(col).alias("_mu"), F.nullif(F.stddev_pop(col), F.lit(0.0)).alias("_sd"), F.max("n").alias("_len"))
+    unit = bounded_broadcast(unit.withColumn("_sd", F.coalesce("_sd", F.lit(1.0))))
+    if long_ar is None:
+        longest = unit.agg(F.max("_len")).first()[0] or 1
+        long_ar = min(24, max(8, int(10 * np.log10(longest))))
+    sdf = sdf.join(unit.drop("_len"), key).withColumn("_z", (F.col(col) - F.col("_mu")) / F.col("_sd"))
+    col = "_z"
     dsel = select_d(sdf, col, max_d, key, adf_lags=adf_lags)
     w = _differenced(sdf, dsel, col, max_d, key)
     lags = {f"_w{i}": ("_w", i) for i in range(1, long_ar + 1)}
@@ -116,7 +128,8 @@ def arima_fit(
         key,
     )
     xs = [f"_wl{i}" for i in range(1, max_p + 1)] + [f"_el{j}" for j in range(1, max_q + 1)]
-    ne = normal_equations(hr, "_w", xs, key).join(bounded_broadcast(dsel.select(key, "d")), key)
+    ne = normal_equations(hr, "_w", xs, key)
+    ne = bounded_broadcast(dsel.select(key, "d")).join(ne, key, "left").join(unit.drop("_len"), key)
     k = len(xs) + 1
     schema = T.StructType(
         [f for f in ne.schema.fields if f.name == key]
@@ -134,6 +147,11 @@ def arima_fit(
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
         for _, r in pdf.iterrows():
+            if r["xtx"] is None or not r["nobs"] > 2 * k:
+                out.append({key: r[key], "d": int(r["d"]), "p": None, "q": None, "aic": None, "coef": None, "sigma2": None,
+                            "nobs": int(r["nobs"]) if r["nobs"] == r["nobs"] and r["nobs"] else 0})
+                continue
+            mu, sd = float(r["_mu"]), float(r["_sd"])
             full = unpack_xtx(np.asarray(r["xtx"], dtype=float), k)
             xty = np.asarray(r["xty"], dtype=float)
             n = int(r["nobs"])
@@ -143,22 +161,32 @@ def arima_fit(
                 b, ssr, _ = solve_ols(full[np.ix_(idx, idx)], xty[idx], float(r["yty"]), n)
                 s2 = max(ssr / max(n, 1), 1e-300)
                 aic = n * np.log(s2) + 2 * (p + q + 1)
-                if best is None or aic < best[3] - 1e-9:
-                    best = (p, q, b, aic, s2)
-            p, q, b, aic, s2 = best
+                bic = aic + (np.log(n) - 2) * (p + q + 1)  # chooses: AIC overfits on these residuals
+                if best is None or bic < best[5] - 1e-9:
+                    best = (p, q, b, aic, s2, bic)
+            p, q, b, aic, s2, _ = best
+            # back to the units of the series
+            b = np.array(b, dtype=float)
+            b[0] = b[0] * sd + (mu * (1 - b[1:1 + p].sum()) if int(r["d"]) == 0 else 0.0)
+            aic, s2 = aic + 2 * n * np.log(sd), s2 * sd * sd
             out.append({key: r[key], "d": int(r["d"]), "p": p, "q": q, "aic": float(aic),
                         "coef": [float(v) for v in b], "sigma2": float(s2), "nobs": n})
-        return pd.DataFrame(out, columns=[f.name for f in schema.fields])
+        frame = pd.DataFrame(out, columns=[f.name for f in schema.fields])
+        return frame.astype({"p": "Int32", "q": "Int32", "nobs": "Int64"})
 
+    resid = resid.withColumn("_w", F.col("_w") * F.col("_sd") + F.when(F.col("d") == 0, F.col("_mu")).otherwise(F.lit(0.0)))
+    resid = resid.withColumn("_e", F.col("_e") * F.col("_sd")).drop("_mu", "_sd", "_z")
     models = ne.groupBy(key).applyInPandas(search, schema)
     return models, resid
 
 
 def arima_forecast(models: DataFrame, resid: DataFrame, col: str = "price", steps: int = 100,
-                   key: str = KEY, tail: int = 8) -> DataFrame:
-    """``steps``-ahead forecast per series from the fitted order. Only the
-    last ``tail`` rows of each series (y, w, e) travel to the per-series
-    function, so the group size is fixed."""
+                   key: str = KEY) -> DataFrame:
+    """``steps``-ahead forecast per series from the fitted order, NULL
+    where there is none. Only the last rows of each series (y, w, e), as many
+    as the largest order needs, travel to the per-series function."""
+    most = models.agg(F.max(F.greatest("d", "p", "q"))).first()[0]
+    tail = max(1, most or 0)
     last = resid.filter(F.col("pos") >= F.col("n") - tail).select(key, "pos", F.col(col).alias("y"), "_w", "_e")
     j = last.join(bounded_broadcast(models.select(key, "d", "p", "q", "coef")), key)
     schema = T.StructType(
@@ -168,6 +196,8 @@ def arima_forecast(models: DataFrame, resid: DataFrame, col: str = "price", step
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("pos")
+        if pd.isna(pdf["p"].iloc[0]):
+            return pd.DataFrame([{key: pdf[key].iloc[0], "step": h, "forecast": None} for h in range(1, steps + 1)])
         d, p, q = int(pdf["d"].iloc[0]), int(pdf["p"].iloc[0]), int(pdf["q"].iloc[0])
         coef = np.asarray(pdf["coef"].iloc[0], dtype=float)
         c, phi, theta = coef[0], coef[1: 1 + p], coef[1 + p: 1 + p + q]

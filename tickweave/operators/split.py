@@ -109,9 +109,7 @@ def hash_split(
     digits: int = 7,
 ) -> DataFrame:
     """M7: deterministic random split (C17): bucket = first ``digits`` hex
-    digits of md5(tie) mod 1000; bucket < portion*1000 -> names[0]. Unlike
+    digits of md5(tie); bucket < portion * 16^digits -> names[0]. Unlike
     ``randomSplit`` it does not change with partitioning."""
-    bucket = F.conv(F.substring(F.md5(F.col(tie).cast("string")), 1, digits), 16, 10).cast("bigint") % 1000
-    return df.withColumn("_hb", bucket).withColumn(
-        out, F.when(F.col("_hb") < F.lit(int(round(portion * 1000))), names[0]).otherwise(names[1])
-    ).drop("_hb")
+    bucket = F.conv(F.substring(F.md5(F.col(tie).cast("string")), 1, digits), 16, 10).cast("bigint")
+    return df.withColumn(out, F.when(bucket < F.lit(portion * 16.0**digits), names[0]).otherwise(names[1]))

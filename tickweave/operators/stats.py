@@ -23,10 +23,12 @@ Z99 = 2.5758293035489004
 
 
 def guarded_corr(a: str | Column, b: str | Column) -> Column:
-    """Pearson correlation; NULL when either side is constant (C16: plain
-    ``corr`` divides by zero there under ANSI)."""
+    """Pearson correlation over the pairs without a NULL; NULL when either side
+    is constant there (C16: plain ``corr`` divides by zero under ANSI)."""
     a = F.col(a) if isinstance(a, str) else a
     b = F.col(b) if isinstance(b, str) else b
+    both = a.isNotNull() & b.isNotNull()
+    a, b = F.when(both, a), F.when(both, b)
     return F.try_divide(F.covar_pop(a, b), F.nullif(F.stddev_pop(a) * F.stddev_pop(b), F.lit(0.0)))
 
 

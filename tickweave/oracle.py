@@ -116,6 +116,15 @@ SQL: dict[str, str] = {
     + ", ".join(f"round(min({c}), 6) as {c}_min, round(max({c}), 6) as {c}_max" for c in FEATS)
     + " from t group by 1",
     "a7_pair_corr": T + "select currency, round(corr(price, volume), 6) as corr from t group by 1",
+    "a7_pair_corr_nulls": T
+    + """, c as (select currency, case when event_id % 7 <> 0 then price end as p, case when event_id % 5 <> 0 then volume end as v from t)
+      select currency, round(corr(p, v), 6) as corr from c group by 1""",
+    "a8_corr_changes": """
+      with d as (select event_type as currency, cast(ts as date) as d_, max_by(value, ts) as close from events group by 1, 2),
+      g as (select currency, d_, close / nullif(lag(close) over (partition by currency order by d_), 0) - 1 as v from d),
+      b as (select d_, v as base_v from g where currency = 'click'),
+      c as (select g.currency as coin, round(corr(b.base_v, g.v), 6) as corr from g join b using (d_) group by 1)
+      select coin, corr, row_number() over (order by corr desc, coin) as rank from c order by corr desc, coin limit 3""",
     "a8_corr_sweep": """
       with d as (select event_type as currency, cast(ts as date) as d_, avg(value) as v from events group by 1, 2),
       b as (select d_, v as base_v from d where currency = 'click')
@@ -281,7 +290,7 @@ SQL: dict[str, str] = {
       s as (select event_id, (lp - lo) / coalesce(nullif(hi - lo, 0), 1) as sc, lo, hi from l join mm using (currency))
       select event_id, round(exp(sc * coalesce(nullif(hi - lo, 0), 1) + lo) - 1, 6) as price_back from s""",
     "m7_hash_split": """
-      select event_id, case when cast(('0x' || substr(md5(cast(event_id as varchar)), 1, 7)) as bigint) % 1000 < 700
+      select event_id, case when cast(('0x' || substr(md5(cast(event_id as varchar)), 1, 7)) as bigint) < 0.7 * 268435456
                             then 'train' else 'test' end as split from events""",
     "m16_daily_wide": """
       with d as (select event_type as currency, cast(ts as date) as d_, max_by(value, ts) as close
@@ -326,10 +335,10 @@ SQL: dict[str, str] = {
     "m18_prep": T
     + "select event_id, pos // 12 as pos, round(price, 6) as price from t where currency = 'click' and pos % 12 = 0",
     "s1_csv_round_trip": """
-      select event_id, event_type as currency, date_trunc('second', ts) as dt, round(value, 6) as price,
+      select event_id, event_type as currency, ts as dt, round(value, 6) as price,
              round(cast(json_extract_string(props, '$.k') as double), 6) as volume from events""",
     "s2_json_round_trip": """
-      select event_id, event_type as currency, date_trunc('second', ts) as dt, round(value, 6) as price,
+      select event_id, event_type as currency, ts as dt, round(value, 6) as price,
              round(cast(json_extract_string(props, '$.k') as double), 6) as volume from events""",
     "j5_score_join": PERSIST + "select currency, " + METRICS + " from s group by 1",
     "m6_fit_on_train": T

@@ -36,20 +36,23 @@ from tickweave.plans.sequence import sequence
 from tickweave.sources.events import load_table, ticks_from_events
 
 BASE = "click"  # base series of the correlation sweeps
-CURRENCIES = ("click", "error", "purchase", "signup", "view")  # pivot columns of M16
 HOURLY = 12  # every-12th row: 5-minute ticks -> hourly
 
-_SEQ_CACHE: dict[tuple[str, str], DataFrame] = {}
+_SEQ_CACHE: dict[tuple, DataFrame] = {}
 
 
 def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sequenced tick table of ``sf_dir``; the positions are materialised once
     per session and data directory (a written table in the checkpoint folder)."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    raw = ticks_from_events(spark, sf_dir)
+    # replaced files change the key: their times and sizes are part of it
+    meta = load_table(spark, sf_dir, "events").select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
+    stamp = meta.distinct().agg(F.count("*"), F.sum(F.xxhash64(*meta.columns).cast("decimal(38,0)"))).first()
+    key = (spark.sparkContext.applicationId, sf_dir, *stamp)
     df = _SEQ_CACHE.get(key)
     if df is not None:
         return df
-    df = sequence(ticks_from_events(spark, sf_dir))
+    df = sequence(raw)
     _SEQ_CACHE[key] = df
     return df
 
@@ -206,6 +209,21 @@ def q_a8_corr_sweep(spark, d):
     return sw.select("coin", "n", r6("corr").alias("corr"))
 
 
+def q_a8_corr_changes(spark, d):
+    """A8 over M16's daily changes, ranked (T4): what the reference correlates."""
+    ch = C.daily_change(raw_ticks(spark, d)).withColumnRenamed("chg", "v")
+    sw = C.corr_sweep(ch, BASE).withColumn("corr", r6("corr"))
+    return C.rank_by_corr(sw, 3).select("coin", "corr", "rank")
+
+
+def q_a7_pair_corr_nulls(spark, d):
+    """A7 with NULL cells on both sides: only whole pairs count."""
+    t = raw_ticks(spark, d)
+    t = t.withColumn("price", F.when(F.col("event_id") % 7 != 0, F.col("price")))
+    t = t.withColumn("volume", F.when(F.col("event_id") % 5 != 0, F.col("volume")))
+    return _round_all(ST.pair_corr(t, "price", "volume"), ("currency",))
+
+
 def q_t4_rank_corr(spark, d):
     sw = C.corr_sweep(C.daily_mean(raw_ticks(spark, d)), BASE).withColumn("corr", r6("corr"))
     top = C.rank_by_corr(sw, 3)
@@ -234,6 +252,11 @@ def _metrics_out(m: DataFrame, keys) -> DataFrame:
     return m.select(*keys, "n", *[r6(c).alias(c) for c in ("mse", "rmse", "mae", "mean_error")])
 
 
+def _ranked_out(c: DataFrame) -> DataFrame:
+    return c.select("model", "n", *[r6(x).alias(x) for x in ("mse", "rmse", "mae", "mean_error")],
+                    F.col("rank").cast("bigint").alias("rank"))
+
+
 def q_a10_metrics(spark, d):
     return _metrics_out(M.regression_metrics(M.persistence_scores(ticks(spark, d))), ("currency",))
 
@@ -250,7 +273,7 @@ def q_a12_r2(spark, d):
 def q_a17_compare(spark, d):
     s = ticks(spark, d)
     c = M.compare_models(M.persistence_scores(s), M.window_mean_scores(s))
-    return _metrics_out(c, ("model",)).join(c.select("model", F.col("rank").cast("bigint").alias("rank")), "model")
+    return _ranked_out(c)
 
 
 def q_a13_acf(spark, d):
@@ -407,8 +430,8 @@ def q_m7_hash_split(spark, d):
 
 
 def q_m16_daily_wide(spark, d):
-    w = C.daily_change_wide(raw_ticks(spark, d), CURRENCIES)
-    return w.select("d_", *[r6(c).alias(c) for c in CURRENCIES])
+    w = C.daily_change_wide(raw_ticks(spark, d))  # one column for every series there is
+    return w.select("d_", *[r6(F.col(f"`{c}`")).alias(c) for c in w.columns if c != "d_"])
 
 
 def q_m17_label(spark, d):
@@ -452,7 +475,7 @@ def q_m18_prep(spark, d):
 def _round_trip(spark, d, fmt: str):
     from pyspark.sql import types as TT
 
-    from tickweave.schema import TICK_CSV_HEADER
+    from tickweave.schema import TICK_CSV_HEADER, TIME_TEXT
     from tickweave.session import scratch_path
     from tickweave.sources import files as FS
 
@@ -466,7 +489,7 @@ def _round_trip(spark, d, fmt: str):
     )
     path = scratch_path(spark, f"ticks-{fmt}")
     out = ref.repartitionByRange(TICK_CSV_HEADER[2], TICK_CSV_HEADER[0]).sortWithinPartitions(
-        TICK_CSV_HEADER[2], TICK_CSV_HEADER[0]).write.option("timestampFormat", "yyyy-MM-dd HH:mm:ss")
+        TICK_CSV_HEADER[2], TICK_CSV_HEADER[0]).write.option("timestampFormat", TIME_TEXT)
     if fmt == "csv":
         out.option("header", True).csv(path)
         back = FS.read_ticks_csv(spark, path)
@@ -527,27 +550,24 @@ def q_m9_rf_forecast(spark, d):
     """M9 + A10: random-forest multi-horizon forecast, test metrics per series."""
     from tickweave.operators import ml
 
-    sc = ml.rf_forecast(_model_windows(spark, d), FEATS, num_trees=10)
+    sc = ml.rf_forecast(_model_windows(spark, d), FEATS, n_out=3, num_trees=100, max_depth=10)
     return _metrics_out(M.regression_metrics(sc), ("currency",))
 
 
 def q_m10_rf_grid(spark, d):
-    """3-fold grid search, mean cross-validated rmse per grid point."""
+    """3-fold grid search over depth, trees and leaf size for each horizon,
+    mean cross-validated rmse per grid point."""
     from tickweave.operators import ml
 
-    _, grid = ml.rf_grid(_model_windows(spark, d).filter("split = 'train'"), FEATS, depths=(3, 5),
-                         trees=(5, 10), min_leaf=(1,), parallelism=4)
+    w = _model_windows(spark, d).filter("split = 'train'")
+    grid = None
+    for h in (1, 2, 3):
+        _, g = ml.rf_grid(w, FEATS, horizon=h, depths=(5, 10), trees=(20, 50), min_leaf=(1, 3))
+        g = g.withColumn("horizon", F.lit(h))
+        grid = g if grid is None else grid.unionByName(g)
     return grid
 
 
-def q_m13_mlp(spark, d):
-    """Data-parallel MLP (105-128-64-3), test metrics per series."""
-    from tickweave.operators import ml
-
-    _, _, sc = ml.mlp_forecast(_model_windows(spark, d), FEATS, epochs=10, lr=1e-3)
-    return _metrics_out(M.regression_metrics(sc), ("currency",))
-
-
 def q_j5_score_join(spark, d):
     """J5 + W14: persistence predictions joined with actuals taken from the
     35->3 windows' aligned targets, by (series, window, horizon); metrics."""
@@ -565,20 +585,6 @@ def q_m6_fit_on_train(spark, d):
     return sc.select("event_id", "split", r6("price_s").alias("price_s"))
 
 
-def q_m15_partition_sweep_ml(spark, d):
-    """The movement classifier after repartition(n) for several n
-    (rows-only: tree induction may differ with partitioning)."""
-    from tickweave.operators import ml
-
-    frame = ml.movement_frame(raw_ticks(spark, d), BASE, "view")
-    out = None
-    for n in SWEEP_PARTITIONS:
-        r = ml.movement_sweep(P.repartitioned(frame, n), portions=(0.5,), keep_partitioning=True).withColumn(
-            "partitions", F.lit(n).cast("bigint"))
-        out = r if out is None else out.unionByName(r)
-    return out
-
-
 def q_a11_rmse_usd(spark, d):
     """A11 + M5: persistence forecast on the ln(x+1), chain-scaled price,
     predictions and actuals scaled back to USD before the metrics."""
@@ -590,15 +596,15 @@ def q_a11_rmse_usd(spark, d):
 
 
 def q_a17_compare_models(spark, d):
-    """A17 over the model jobs: persistence, random forest and MLP forecasts
-    on the same test windows, ranked by rmse (rows-only: randomised models)."""
+    """A17 over the model jobs: persistence, random forest and ridge regression
+    on the same test windows, ranked by rmse (rows-only: fitted models)."""
     from tickweave.operators import ml
 
     w = _model_windows(spark, d)
-    rf = ml.rf_forecast(w, FEATS, num_trees=10)
-    _, _, mlp = ml.mlp_forecast(w, FEATS, epochs=10, lr=1e-3)
-    c = M.compare_models(M.window_persistence_scores(w, "price"), rf, mlp)
-    return _metrics_out(c, ("model",)).join(c.select("model", F.col("rank").cast("bigint").alias("rank")), "model")
+    rf = ml.rf_forecast(w, FEATS, n_out=3, num_trees=100, max_depth=10)
+    ridge = ml.linear_forecast(w, FEATS, n_out=3)
+    c = M.compare_models(M.window_persistence_scores(w, "price"), rf, ridge)
+    return _ranked_out(c)
 
 
 def ohlc_pages(spark, d) -> DataFrame:

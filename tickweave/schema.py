@@ -67,3 +67,6 @@ DAILY_OHLC = T.StructType(
         T.StructField("market_cap", T.DoubleType()),
     ]
 )
+
+# Text form of tick times: fractions of a second are written, and read if there.
+TIME_TEXT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"

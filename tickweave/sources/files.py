@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickweave.schema import DT, KEY, POINT_DOC, TICK_CSV_HEADER, TIE
+from tickweave.schema import DT, KEY, POINT_DOC, TICK_CSV_HEADER, TIE, TIME_TEXT
 
 # The reference tick CSV, column for column (S1); renamed on read.
 _CSV_SCHEMA = T.StructType(
@@ -30,7 +30,7 @@ def _renamed(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").alias(_RENAME.get(c, c)) for c in df.columns])
 
 
-def read_ticks_csv(spark: SparkSession, path: str, ts_format: str = "yyyy-MM-dd HH:mm:ss") -> DataFrame:
+def read_ticks_csv(spark: SparkSession, path: str, ts_format: str = TIME_TEXT) -> DataFrame:
     """Header CSV in the reference layout -> typed tick rows. The unnamed
     index column becomes ``event_id`` (the tie-break of the series order)."""
     df = (
@@ -46,7 +46,7 @@ def read_ticks_csv(spark: SparkSession, path: str, ts_format: str = "yyyy-MM-dd
 def read_ticks_json(spark: SparkSession, path: str) -> DataFrame:
     """JSON lines in the reference layout -> typed tick rows."""
     schema = T.StructType([f for f in _CSV_SCHEMA.fields])
-    return _renamed(spark.read.schema(schema).option("timestampFormat", "yyyy-MM-dd HH:mm:ss").json(path))
+    return _renamed(spark.read.schema(schema).option("timestampFormat", TIME_TEXT).json(path))
 
 
 def points_to_ticks(docs: DataFrame, path_col: str = "_path") -> DataFrame:
@@ -115,9 +115,9 @@ def write_ticks(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     if partition_by_key:
         w = w.partitionBy(KEY)
     if fmt == "csv":
-        w.option("header", True).option("timestampFormat", "yyyy-MM-dd HH:mm:ss").csv(path)
+        w.option("header", True).option("timestampFormat", TIME_TEXT).csv(path)
     elif fmt == "json":
-        w.option("timestampFormat", "yyyy-MM-dd HH:mm:ss").json(path)
+        w.option("timestampFormat", TIME_TEXT).json(path)
     else:
         w.parquet(path)
 

@@ -8,6 +8,7 @@ running it twice adds nothing. The checkpoint belongs in shared storage.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +16,14 @@ from tickweave.schema import DT, KEY, POINT_DOC, TIE
 from tickweave.sources.files import points_to_ticks
 
 
+def _rows(spark: SparkSession, path: str) -> int:
+    """Rows of a Parquet table (from its footers), 0 if it is not there yet."""
+    try:
+        return spark.read.parquet(path).count()
+    except AnalysisException:
+        return 0
+
+
 def ingest_new(
     spark: SparkSession,
     src: str,
@@ -24,6 +33,7 @@ def ingest_new(
 ) -> int:
     """Append ticks from new ``<src>/<coin>/<day>.json`` files to the Parquet
     table ``dst``; returns the number of rows written by this run."""
+    before = _rows(spark, dst)
     reader = spark.readStream.schema(POINT_DOC).option("multiLine", True).option("recursiveFileLookup", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -38,4 +48,5 @@ def ingest_new(
         .start()
     )
     q.awaitTermination()
-    return int(sum(p.get("numInputRows", 0) for p in q.recentProgress))
+    # progress reports are kept for the last batches only; the table knows
+    return _rows(spark, dst) - before
