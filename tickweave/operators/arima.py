@@ -120,7 +120,7 @@ def arima_fit(
     fit = F.col("_ar")[0]
     for i in range(1, long_ar + 1):
         fit = fit + F.col("_ar")[i] * F.col(f"_w{i}")
-    resid = wl.join(bounded_broadcast(ar), key).withColumn("_e", F.col("_w") - fit).drop("_ar", *lags)
+    resid = wl.join(bounded_broadcast(ar), key, "left").withColumn("_e", F.col("_w") - fit).drop("_ar", *lags)
 
     hr = lagged(
         resid,
