@@ -29,6 +29,7 @@ from tickweave.llm.textstats import share, with_counts, with_words
 
 LABELLED_ROWS = 20_000
 THRESHOLD = 0.3
+FEATURES = 9
 P = "__op9_"
 
 
@@ -100,7 +101,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, labelled_rows:
     sample = label_sample(spark, labels, "quality", labelled_rows)
     rows = docs.select(F.col("doc_id"), F.col("text")).join(F.broadcast(sample), "doc_id")
     seen = sorted(with_features(rows, "text", "x").select("x", "y").collect())
-    return train(np.array([r[0] for r in seen]).reshape(len(seen), -1), np.array([r[1] for r in seen], float))
+    return train(np.array([r[0] for r in seen], float).reshape(len(seen), FEATURES), np.array([r[1] for r in seen], float))
 
 
 def with_score(docs: DataFrame, model: Model, out: str = "score", text: str = "text") -> DataFrame:
