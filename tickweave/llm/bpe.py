@@ -36,8 +36,8 @@ from pyspark.sql import types as T
 
 from tickweave.llm.common import written
 
-BUCKETS = 32_768
-DICTIONARY_WORDS = 800_000  # encoded once and broadcast: a bound of about 15 MB
+BUCKETS = 16_384
+DICTIONARY_WORDS = 300_000  # encoded once and broadcast: a bound of about 6 MB
 LONG_WORD = 64  # bytes; longer words are merged rank by rank, all places at once
 
 
@@ -70,13 +70,15 @@ class Bpe:
         buckets = [f"{self.none}"] * BUCKETS
         for token, rank in ranks.items():
             buckets[zlib.crc32(token) % BUCKETS] += f",{base64.b64encode(token).decode()}={rank:0{self.width}d}"
-        # from_json of a literal is folded to a literal array by the optimiser
-        self._map = F.from_json(F.lit(json.dumps(buckets)), "array<string>")
+        # from_json of a literal is folded to a literal array by the optimiser; of
+        # bytes, since plans print them short
+        packed = [base64.b64encode(b.encode()).decode() for b in buckets]
+        self._map = F.from_json(F.lit(json.dumps(packed)), "array<binary>")
 
     def rank(self, keys: Column) -> Column:
         """Ranks of an array of byte strings; ``none`` where there is none."""
         return F.transform(keys, lambda k: F.substring(F.call_function(
-            "substring_index", F.get(self._map, (F.crc32(k) % BUCKETS).cast("int")), F.concat(F.lit(","), F.base64(k), F.lit("=")),
+            "substring_index", F.get(self._map, (F.crc32(k) % BUCKETS).cast("int")).cast("string"), F.concat(F.lit(","), F.base64(k), F.lit("=")),
             F.lit(-1)), 1, self.width).cast("int"))
 
     def _state(self, pieces: Column, ranks: Column) -> Column:
@@ -142,7 +144,7 @@ class Bpe:
             for b in batches:
                 for t in b.column(0):
                     seen.update(find(t.as_py() or ""))
-                    if len(seen) > 400_000:  # partial counts; Spark adds them up
+                    if len(seen) > 200_000:  # partial counts; Spark adds them up
                         yield out()
                         seen.clear()
             yield out()
