@@ -66,7 +66,7 @@ def test_splits_partition_input(seq01):
 
 def test_strata_and_holdout_against_brute_force(seq01):
     st = SP.time_strata(seq01, 12)
-    ho = SP.stratified_holdout(st, 0.1111, bucket_rows=16).toPandas()
+    ho = SP.stratified_holdout(st, 0.1111, digits=1).toPandas()
     assert len(ho) == seq01.count()
     pdf = st.select("currency", "stratum", "event_id").toPandas()
     import hashlib

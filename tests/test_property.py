@@ -94,8 +94,8 @@ def test_exact_quantiles_match_numpy(spark, rows, probs):
 
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(sizes=st.lists(st.integers(0, 90), min_size=1, max_size=3), frac=st.sampled_from([0.1, 0.1111, 0.3, 0.5]),
-       bucket_rows=st.integers(1, 20), k=st.integers(1, 5))
-def test_stratified_holdout_matches_brute_force(spark, sizes, frac, bucket_rows, k):
+       digits=st.integers(1, 3), k=st.integers(1, 5))
+def test_stratified_holdout_matches_brute_force(spark, sizes, frac, digits, k):
     import hashlib
     import math
 
@@ -107,7 +107,7 @@ def test_stratified_holdout_matches_brute_force(spark, sizes, frac, bucket_rows,
             data.append((f"s{si}", t, eid, 1.0, 0.0, 0.0))
             eid += 1
     s = time_strata(sequence(make_ticks(spark, data), chunks=2), k)
-    got = {r["event_id"] for r in stratified_holdout(s, frac, bucket_rows=bucket_rows).filter("holdout").collect()}
+    got = {r["event_id"] for r in stratified_holdout(s, frac, digits=digits).filter("holdout").collect()}
     pdf = s.select("currency", "stratum", "event_id").toPandas()
     exp = set()
     for _, g in pdf.groupby(["currency", "stratum"]):

@@ -67,8 +67,7 @@ def to_usd(scores: DataFrame, stats: DataFrame, feature: str, key: str = KEY) ->
     both actual and predicted, so metrics come out in USD (A11)."""
     from tickweave.operators.scale import inverse_scale
 
-    s = inverse_scale(scores, stats, "actual", feature, key, out="_a")
-    s = inverse_scale(s, stats, "predicted", feature, key, out="_p")
+    s = inverse_scale(scores, stats, ("actual", "predicted"), feature, key, out=("_a", "_p"))
     return s.drop("actual", "predicted").withColumnRenamed("_a", "actual").withColumnRenamed("_p", "predicted")
 
 

@@ -4,10 +4,11 @@ Statistics are one row per group (``by``: the series key, optionally plus a
 split column for per-split fits, C15). They are joined back with a
 size-checked broadcast (``plans.small``), never turned into driver literals.
 
-Quantiles are exact with linear interpolation (C6): each (group, feature) is
-ranked with ``plans.sequence`` (sampled range partition, so a hot series is
-spread over many tasks) and only the two rows around each quantile position
-are aggregated. No aggregate buffers a whole group.
+Quantiles are exact with linear interpolation (C6). Approximate quantiles give a
+narrow bracket around each, counts tell the exact ranks of its ends, and only the
+rows strictly inside are ranked, with ``plans.sequence`` (so a hot series is
+spread over many tasks). No aggregate buffers a whole group, nothing is sorted or
+written but the brackets' rows.
 """
 
 from __future__ import annotations
@@ -49,6 +50,12 @@ def minmax_stats(df: DataFrame, cols: Sequence[str] = FEATURES, by: str | Sequen
     return df.groupBy(*_by(by)).agg(*aggs)
 
 
+# Approximate quantiles err by at most a 10,000th of the rows; brackets reach twice
+# as far to either side. A bracket that misses is noticed and its rows all ranked.
+ACCURACY = 10_000
+BRACKET = 2.0 / ACCURACY
+
+
 def exact_quantiles(
     df: DataFrame,
     cols: Sequence[str],
@@ -63,39 +70,61 @@ def exact_quantiles(
     * (h - floor h), NULLs ignored.
     """
     keys = _by(by)
-    long = (
-        df.select(
-            *keys,
-            tie,
-            F.explode(
-                F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x")) for c in cols])
-            ).alias("_f"),
-        )
-        .select(*keys, tie, "_f.feature", "_f.x")
-        .filter(F.col("x").isNotNull())
-    )
-    s = sequence(long, key=[*keys, "feature"], order=("x", tie))
-    hs = [(F.col("n") - 1).cast("double") * F.lit(float(p)) for p in probs]
-    want: Column = F.lit(False)
-    for h in hs:
-        want = want | (F.col("pos") == F.floor(h)) | (F.col("pos") == F.ceil(h))
-    picked = s.filter(want)
-    aggs = []
-    for i, h in enumerate(hs):
-        aggs += [
-            F.max(F.when(F.col("pos") == F.floor(h), F.col("x"))).alias(f"_lo{i}"),
-            F.max(F.when(F.col("pos") == F.ceil(h), F.col("x"))).alias(f"_hi{i}"),
-            F.max(h - F.floor(h)).alias(f"_d{i}"),
-        ]
-    g = picked.groupBy(*keys, "feature").agg(*aggs)
-    return g.select(
-        *keys,
-        "feature",
-        *[
-            (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_d{i}")).alias(f"q{i}")
-            for i in range(len(probs))
-        ],
+    names = [(i, c, float(p)) for c in cols for i, p in enumerate(probs)]  # (probability, column, its value)
+    x = df.select(F.struct(*keys).alias("_g"), F.col(tie).alias("_tie"), *[F.col(c).cast("double").alias(c) for c in cols])
+    ends = F.array(*[F.lit(min(1.0, max(0.0, float(p) + e))) for p in probs for e in (-BRACKET, BRACKET)])
+    near = x.groupBy("_g").agg(
+        *[F.count(c).alias(f"_n{k}") for k, c in enumerate(cols)],
+        *[F.percentile_approx(c, ends, F.lit(ACCURACY)).alias(f"_q{k}") for k, c in enumerate(cols)],
     )
+    place = {c: k for k, c in enumerate(cols)}
+    near = near.select("_g", *[f"_n{k}" for k in place.values()], *[
+        F.get(f"_q{place[c]}", F.lit(2 * i + e)).alias(f"_{'lh'[e]}{i}_{place[c]}") for i, c, _ in names for e in (0, 1)])
+    joined = x.join(bounded_broadcast(near), "_g")
+    counts = joined.groupBy("_g").agg(*[
+        F.count_if(test).alias(f"_{label}{i}_{place[c]}")
+        for i, c, _ in names
+        for label, test in (("lt", F.col(c) < F.col(f"_l{i}_{place[c]}")), ("le", F.col(c) <= F.col(f"_l{i}_{place[c]}")),
+                            ("lh", F.col(c) < F.col(f"_h{i}_{place[c]}")), ("eh", F.col(c) <= F.col(f"_h{i}_{place[c]}")))])
+
+    def bracket(i: int, c: str, p: float) -> Column:
+        """One quantile of one column: its two places, and the bracket with the
+        ranks of its ends. ``ok`` is false where the bracket misses a place."""
+        k = place[c]
+        h = (F.col(f"_n{k}") - 1).cast("double") * F.lit(p)
+        ok = (F.col(f"_lt{i}_{k}") <= F.floor(h)) & (F.ceil(h) < F.col(f"_eh{i}_{k}"))
+        return F.struct(
+            F.lit(c).alias("feature"), F.lit(i).alias("i"), h.alias("h"), ok.alias("ok"),
+            F.col(f"_l{i}_{k}").alias("lo"), F.col(f"_h{i}_{k}").alias("hi"),
+            F.when(ok, F.col(f"_le{i}_{k}")).otherwise(0).alias("le"), F.col(f"_lh{i}_{k}").alias("lh"))
+
+    found = near.join(counts, "_g").select("_g", F.array(*[bracket(*x) for x in names]).alias("_b"))
+    found = bounded_broadcast(found)
+    value = F.coalesce(*[F.when(F.col("_s.feature") == c, F.col(c)) for c in cols])
+    # rows strictly inside a bracket (of a missed one: all rows) are ranked exactly
+    rows = x.join(found, "_g")
+    own = {c: F.col(c) for c in cols}
+    inside = [
+        F.when(own[c].isNotNull() & (~b["ok"] | ((own[c] > b["lo"]) & (own[c] < b["hi"]))), b)
+        for (i, c, p), b in ((x, F.col("_b")[j]) for j, x in enumerate(names))
+    ]
+    rows = rows.select("_g", "_tie", *cols, F.explode(F.filter(F.array(*inside), lambda b: b.isNotNull())).alias("_s"))
+    rows = rows.select("_g", "_tie", F.col("_s.feature").alias("feature"), F.col("_s.i").alias("i"),
+                       F.col("_s.h").alias("h"), F.col("_s.le").alias("le"), value.alias("x"))
+    ranked = sequence(rows, key=["_g", "feature", "i"], order=("x", "_tie"))
+    at = F.col("pos") + F.col("le")
+    inner = ranked.filter((at == F.floor("h")) | (at == F.ceil("h"))).groupBy("_g", "feature", "i").agg(
+        F.max(F.when(at == F.floor("h"), F.col("x"))).alias("_x0"), F.max(F.when(at == F.ceil("h"), F.col("x"))).alias("_x1"))
+
+    def at_place(place: Column, inner: str) -> Column:
+        return F.when(F.col("ok") & (place < F.col("le")), F.col("lo")).when(
+            F.col("ok") & (place >= F.col("lh")), F.col("hi")).otherwise(F.col(inner))
+
+    g = found.select("_g", F.inline("_b")).join(inner, ["_g", "feature", "i"], "left")
+    lo, hi = at_place(F.floor("h"), "_x0"), at_place(F.ceil("h"), "_x1")
+    g = g.withColumn("_v", lo + (hi - lo) * (F.col("h") - F.floor("h")))
+    g = g.groupBy("_g", "feature").agg(*[F.max(F.when(F.col("i") == i, F.col("_v"))).alias(f"q{i}") for i in range(len(probs))])
+    return g.select(*[F.col("_g")[k].alias(k) for k in keys], "feature", *[f"q{i}" for i in range(len(probs))])
 
 
 def robust_stats(df: DataFrame, cols: Sequence[str] = FEATURES, by: str | Sequence[str] = KEY) -> DataFrame:
@@ -167,9 +196,11 @@ def minmax_scale(
     suffix: str = "",
     keep_stats: bool = False,
     fit_on: Column | None = None,
+    stats: DataFrame | None = None,
 ) -> DataFrame:
-    """M4: (x - min) / (max - min); zero range divides by 1."""
-    st = minmax_stats(_fit_rows(df, fit_on), cols, by)
+    """M4: (x - min) / (max - min); zero range divides by 1 (C7). ``stats``: a
+    fit made before (``minmax_stats``), so that scaling and its inverse share it."""
+    st = minmax_stats(_fit_rows(df, fit_on), cols, by) if stats is None else stats
     j = with_stats(df, st, by)
     out = j.withColumns(
         {f"{c}{suffix}": (F.col(c) - F.col(f"{c}_min")) / _nz(F.col(f"{c}_max") - F.col(f"{c}_min")) for c in cols}
@@ -184,6 +215,7 @@ def scale_chain(
     suffix: str = "",
     keep_stats: bool = False,
     fit_on: Column | None = None,
+    stats: DataFrame | None = None,
 ) -> DataFrame:
     """M4 chain: robust scaling followed by min-max scaling.
 
@@ -193,24 +225,26 @@ def scale_chain(
     min/max aggregation; no quantile pass is needed. ``inverse_scale`` undoes
     both steps with the same statistics.
     """
-    return minmax_scale(df, cols, by, suffix, keep_stats, fit_on)
+    return minmax_scale(df, cols, by, suffix, keep_stats, fit_on, stats)
 
 
 def inverse_scale(
     df: DataFrame,
     stats: DataFrame,
-    col: str,
+    col: str | Sequence[str],
     feature: str = "price",
     by: str | Sequence[str] = KEY,
     log1p: bool = True,
-    out: str | None = None,
+    out: str | Sequence[str] | None = None,
 ) -> DataFrame:
     """M5: undo min-max (and so the chain, C8/C9), then exp(x) - 1 if the
-    series was ln(x+1)-transformed. ``stats`` holds ``{feature}_min/_max``."""
+    series was ln(x+1)-transformed; several columns of one feature may be given
+    at once. ``stats`` holds ``{feature}_min/_max``."""
     st = stats.select(*_by(by), f"{feature}_min", f"{feature}_max")
     j = with_stats(df, st, by)
     lo, hi = F.col(f"{feature}_min"), F.col(f"{feature}_max")
-    x = F.col(col) * _nz(hi - lo) + lo
-    if log1p:
-        x = F.exp(x) - F.lit(1.0)
-    return j.withColumn(out or f"{col}_inv", x).drop(f"{feature}_min", f"{feature}_max")
+    todo = {col: out or f"{col}_inv"} if isinstance(col, str) else dict(zip(col, out or [f"{c}_inv" for c in col]))
+    for c, name in todo.items():
+        x = F.col(c) * _nz(hi - lo) + lo
+        j = j.withColumn(name, F.exp(x) - F.lit(1.0) if log1p else x)
+    return j.drop(f"{feature}_min", f"{feature}_max")

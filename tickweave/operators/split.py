@@ -1,8 +1,8 @@
 """Splits: chronological cuts, last-k, time strata, stratified holdout, hash split.
 
 All are narrow (position arithmetic on a sequenced frame) except the
-stratified holdout, which ranks by hash inside strata with a two-level,
-skew-safe selection (no window over a whole stratum).
+stratified holdout, which finds a hash threshold per stratum (no window over a
+whole stratum).
 """
 
 from __future__ import annotations
@@ -57,47 +57,33 @@ def stratified_holdout(
     key: str = KEY,
     tie: str = TIE,
     out: str = "holdout",
-    bucket_rows: int = 2048,
+    digits: int = 3,
 ) -> DataFrame:
     """In every (series, stratum) mark the round(frac * size) rows with
     the smallest md5(tie) as holdout (a deterministic stratified shuffle).
+    ``tie`` is unique; rows that share one are marked together.
 
-    Exact and skew-safe. The hash's leading 40 bits are cut into 2^b buckets
-    per stratum, b chosen from the stratum size so a bucket holds about
-    ``bucket_rows`` rows. Bucket counts (a small table) give each stratum's
-    boundary bucket: buckets before it are taken whole, buckets after it not
-    at all, and only the boundary bucket is ranked by a window. No task ever
-    holds a whole stratum unless the stratum itself is about one bucket.
+    Exact and skew-safe. The hash's leading ``digits`` hex digits cut a stratum
+    into 16^digits buckets, whatever its size. Bucket counts give each stratum's
+    boundary bucket; only its rows (a 4,096th) are ranked, which gives one
+    threshold (hash, tie) per stratum. One scan then labels every row by comparing
+    it with its threshold.
     """
-    keys = [key, stratum]
-    sizes = sdf.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
-    bits = F.least(
-        F.lit(40),
-        F.greatest(F.lit(0), F.ceil(F.log2(F.col("_size").cast("double") / F.lit(float(bucket_rows))))),
-    ).cast("int")
-    sizes = sizes.withColumn("_bits", bits).withColumn(
-        "_m", F.round(F.col("_size").cast("double") * F.lit(float(frac))).cast("bigint")
-    )
-    h = F.md5(F.col(tie).cast("string"))
-    h40 = F.conv(F.substring(h, 1, 10), 16, 10).cast("bigint")
-    x = (
-        sdf.join(bounded_broadcast(sizes), keys)
-        .withColumn("_h", h)
-        .withColumn("_b", F.call_function("shiftright", h40, F.lit(40) - F.col("_bits")))
-    )
-    counts = x.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_bc"), F.first("_m").alias("_m"))
-    w = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    cum = counts.select(*keys, "_b", "_bc", F.coalesce(F.sum("_bc").over(w), F.lit(0)).alias("_before"))
-    x = x.join(bounded_broadcast(cum), [*keys, "_b"])
-    end = F.col("_before") + F.col("_bc")
-    straddles = (F.col("_before") < F.col("_m")) & (end > F.col("_m"))
-    cols = list(sdf.columns) + [out]
-    # buckets wholly before the m-th row are in, wholly after are out
-    plain = x.filter(~straddles).withColumn(out, end <= F.col("_m"))
-    # only buckets containing the m-th row are ranked
-    rk = Window.partitionBy(*keys, "_b").orderBy("_h", tie)
-    ranked = x.filter(straddles).withColumn(out, (F.row_number().over(rk) + F.col("_before")) <= F.col("_m"))
-    return plain.select(cols).unionByName(ranked.select(cols))
+    x = sdf.select(F.struct(key, stratum).alias("_g"), F.col(tie).alias("_tie"), F.md5(F.col(tie).cast("string")).alias("_h"))
+    x = x.withColumn("_b", F.substring("_h", 1, digits))
+    counts = x.groupBy("_g", "_b").agg(F.count(F.lit(1)).alias("_c"))
+    whole = Window.partitionBy("_g")  # at most 16^digits rows
+    before = F.sum("_c").over(whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_c")
+    m = F.round(F.sum("_c").over(whole).cast("double") * F.lit(float(frac))).cast("bigint")
+    edge = counts.select("_g", "_b", "_c", before.alias("_before"), m.alias("_m"))
+    edge = edge.filter((F.col("_before") < F.col("_m")) & (F.col("_before") + F.col("_c") >= F.col("_m")))
+    edge = edge.select("_g", "_b", (F.col("_m") - F.col("_before")).alias("_left"))
+    rk = F.row_number().over(Window.partitionBy("_g").orderBy("_h", "_tie"))
+    last = x.join(bounded_broadcast(edge), ["_g", "_b"]).withColumn("_r", rk).filter("_r = _left")
+    last = bounded_broadcast(last.select("_g", F.struct("_h", "_tie").alias("_last")))
+    own = F.struct(F.md5(F.col(tie).cast("string")).alias("_h"), F.col(tie).alias("_tie"))
+    marked = sdf.withColumn("_g", F.struct(key, stratum)).join(last, "_g", "left")
+    return marked.withColumn(out, F.coalesce(own <= F.col("_last"), F.lit(False))).select(*sdf.columns, out)
 
 
 def hash_split(

@@ -50,6 +50,12 @@ st as (select currency, event_id, pos, n,
        from t)
 """
 
+# The last tick of every series and second.
+POINTS = T + """,
+s as (select *, row_number() over (partition by currency, date_trunc('second', dt) order by dt desc, event_id desc) as back from t)
+select currency, date_trunc('second', dt) as dt, round(price, 6) as price, round(volume, 6) as volume,
+       round(market_cap, 6) as market_cap from s where back = 1"""
+
 SQL: dict[str, str] = {
     "w1_position": T + "select event_id, currency, pos, n from t",
     "w2_every_nth": H + "select event_id, currency, round(price, 6) as price, p as pos, m as n from h",
@@ -288,7 +294,8 @@ SQL: dict[str, str] = {
       l as (select currency, event_id, ln(price + 1) as lp from t),
       mm as (select currency, min(lp) as lo, max(lp) as hi from l group by 1),
       s as (select event_id, (lp - lo) / coalesce(nullif(hi - lo, 0), 1) as sc, lo, hi from l join mm using (currency))
-      select event_id, round(exp(sc * coalesce(nullif(hi - lo, 0), 1) + lo) - 1, 6) as price_back from s""",
+      select event_id, round(sc, 6) as price_scaled,
+             round(exp(sc * coalesce(nullif(hi - lo, 0), 1) + lo) - 1, 6) as price_back from s""",
     "m7_hash_split": """
       select event_id, case when cast(('0x' || substr(md5(cast(event_id as varchar)), 1, 7)) as bigint) < 0.7 * 268435456
                             then 'train' else 'test' end as split from events""",
@@ -347,7 +354,27 @@ SQL: dict[str, str] = {
       mm as (select currency, min(price) as lo, max(price) as hi from s where split = 'train' group by 1)
       select event_id, split, round((price - lo) / coalesce(nullif(hi - lo, 0), 1), 6) as price_s
       from s join mm using (currency)""",
-    "a11_rmse_usd": PERSIST + "select currency, " + METRICS + " from s group by 1",
+    "a11_rmse_usd": PERSIST
+    + """,
+      mm as (select currency, min(ln(price + 1)) as lo, max(ln(price + 1)) as hi from t group by 1)
+      select currency, """
+    + METRICS
+    + """, round(sqrt(avg(pow((ln(predicted + 1) - ln(actual + 1)) / (hi - lo), 2))), 6) as rmse_scaled
+      from s join mm using (currency) group by 1""",
+    "s3_point_json": POINTS,
+    "s7_ingest": POINTS,
+    "s5_results": """
+      with d as (select event_type as currency, cast(ts as date) as d_, avg(value) as v from events group by 1, 2),
+      b as (select d_, v as base_v from d where currency = 'click'),
+      c as (select d.currency as coin, round(corr(b.base_v, d.v), 6) as corr from d join b using (d_) group by 1)
+      select coin, corr from c union all select coin, corr from c""",
+    "s6_windows": H
+    + """,
+      wn as (select currency, p as window_id, m - 37 as nw from h where p + 38 <= m)
+      select wn.currency, case when window_id < floor(nw * cast(0.9 as double)) then 'train'
+                               when window_id < floor(nw * cast(0.95 as double)) then 'val' else 'test' end as split,
+             wn.window_id, h.p - wn.window_id as h, round(h.price, 6) as v
+      from wn join h on h.currency = wn.currency and h.p between wn.window_id and wn.window_id + 37""",
     "s8_html_rows": T
     + """,
       d as (select currency, cast(dt as date) as d_, arg_min(price, (dt, event_id)) as open, max(price) as high,

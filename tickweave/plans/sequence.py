@@ -4,82 +4,116 @@
 to one task; with few series (or one hot series holding a third of all rows)
 that task is unbounded. Instead:
 
-1. ``repartitionByRange(key, order)`` samples the full sort key and cuts
-   the data into balanced, ordered chunks (spark.sql.shuffle.partitions, or
-   ``chunks``), splitting hot series across many chunks. Each row records its chunk (partition id) and its rank inside the
-   chunk (``monotonically_increasing_id`` after ``sortWithinPartitions``).
-2. The chunked rows are written once to the shared checkpoint folder. This
-   cuts the lineage: the sampled range bounds are not recomputed differently
-   by later jobs or by task retries after an executor loss.
-3. A per-(series, chunk) table (count, first rank) - at most #chunks + #series
-   rows -
-   gets running offsets per series and is joined back behind a size check.
+1. Cut points. The rows are counted and a bounded sample of the sort keys is
+   drawn; evenly spaced sampled keys become 2^d - 1 literal cut points, about
+   ``spark.tickweave.chunkRows`` rows apart. No other job runs at build time and
+   nothing is written.
+2. The chunk of a row is a deterministic expression of its own key: d
+   comparisons down a balanced tree of the cut points. Retried tasks, later jobs
+   and the two branches below therefore always agree on it, and any cut points
+   give right positions; a poor sample only makes chunks uneven.
+3. One narrow pass counts rows per (series, chunk); running sums of that small
+   table (at most #chunks + #series rows) are each chunk's offset.
+4. One exchange on (series, chunk), ``row_number`` inside the chunk, plus the
+   offset. The join with the offsets is on the same key, so it adds no exchange
+   of the rows.
 
 Result columns: the input columns plus ``_chunk`` (int), ``pos`` (bigint,
 0-based, contiguous per series) and ``n`` (bigint, series length). Rows are
-ordered by the order columns ascending with NULLs first, ties are not broken
-beyond the given order (pass a unique tie column such as ``event_id``).
+ordered by the order columns ascending with NULLs first. Rows equal in all order
+columns are ordered by a hash of the whole row, and stay in one chunk: pass a
+unique tie column such as ``event_id`` last.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tickweave.plans.small import bounded_broadcast
 from tickweave.schema import KEY, ORDER
-from tickweave.session import scratch_path
+from tickweave.session import CHUNK_ROWS_CONF, DEFAULT_CHUNK_ROWS, int_conf
+
+MAX_DEPTH = 16  # at most 65,536 chunks: a literal of a few MB
+SAMPLE_PER_CHUNK = 8
 
 
 def _as_list(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
+def _depth(chunks: int) -> int:
+    """Levels of the tree that has at least ``chunks`` leaves."""
+    return min(MAX_DEPTH, max(0, chunks - 1).bit_length())
+
+
+def _levels(df: DataFrame, cols: Sequence[str], rows: int, depth: int) -> list[Column]:
+    """Literal cut points, one array a level; level j holds 2^j of them."""
+    leaves = 2**depth
+    share = min(1.0, leaves * SAMPLE_PER_CHUNK / rows)
+    key = F.struct(*cols)
+    # a bounded sample: about SAMPLE_PER_CHUNK keys a chunk, sorted in one task
+    picked = df.select(key.alias("k")).sample(fraction=share, seed=7).agg(F.array_sort(F.collect_list("k")).alias("s"))
+    at = F.sequence(F.lit(1), F.lit(leaves - 1))
+    cut = F.transform(at, lambda i: F.get(F.col("s"), F.floor(i * F.size("s") / F.lit(leaves)).cast("int")))
+    kind = picked.schema["s"].dataType.elementType
+    # Text may shorten a value (timestamps to milliseconds), so the values are read
+    # back from it before they are put in order: these are the cut points.
+    back = F.transform(F.transform(cut, lambda c: F.to_json(c)), lambda c: F.from_json(c, kind))
+    cuts = F.array_sort(F.filter(back, lambda c: c.isNotNull()))
+    texts = picked.select(F.transform(cuts, lambda c: F.to_json(c))).first()[0]
+    if not texts:
+        return []
+    texts += [texts[-1]] * (leaves - 1 - len(texts))
+    tree = [texts[(leaves >> j + 1) - 1::leaves >> j] for j in range(depth)]
+    return [F.from_json(F.lit("[" + ",".join(level) + "]"), T.ArrayType(kind)) for level in tree]
+
+
 def sequence(
     df: DataFrame,
     key: str | Sequence[str] = KEY,
     order: Sequence[str] = ORDER,
     chunks: int | None = None,
 ) -> DataFrame:
-    spark = df.sparkSession
+    """``df`` with ``_chunk``, ``pos`` and ``n``; ``chunks`` (rounded up to a power
+    of two) overrides the number derived from the row count."""
     keys = _as_list(key)
-    # Without an explicit chunk count the range exchange uses
-    # spark.sql.shuffle.partitions and AQE may coalesce neighbouring ranges to
-    # the advisory partition size; coalesced ranges stay contiguous.
-    ranged = df.repartitionByRange(chunks, *keys, *order) if chunks else df.repartitionByRange(*keys, *order)
-    ranged = (
-        ranged
-        .sortWithinPartitions(*keys, *order)
-        .withColumn("_chunk", F.spark_partition_id())
-        .withColumn("_rid", F.monotonically_increasing_id())
-    )
-    path = scratch_path(spark, "seq")
-    ranged.write.parquet(path)
-    m = spark.read.parquet(path)
+    cols = [*keys, *order]
+    rows = df.count()
+    size = int_conf(df.sparkSession, CHUNK_ROWS_CONF, DEFAULT_CHUNK_ROWS)
+    depth = _depth(chunks or -(-rows // size)) if rows else 0
+    levels = _levels(df, cols, rows, depth) if depth else []
 
-    per_chunk = m.groupBy(*keys, "_chunk").agg(
-        F.count(F.lit(1)).alias("_cnt"), F.min("_rid").alias("_r0")
-    )
-    running = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    ct = per_chunk.select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-        F.col("_chunk").alias("_c"),
-        "_r0",
+    # a struct key: it is never NULL, and equal where its fields are both NULL
+    x = df.withColumn("_k", F.struct(*keys)).withColumn("_chunk", F.lit(0))
+    x = x.withColumn("_o", F.struct(*cols)) if levels else x
+    for level in levels:
+        right = F.coalesce(F.get(level, F.col("_chunk")) <= F.col("_o"), F.lit(False))
+        x = x.withColumn("_chunk", F.col("_chunk") * 2 + right.cast("int"))
+    x = x.drop("_o")
+
+    per_chunk = x.groupBy("_k", "_chunk").agg(F.count(F.lit(1)).alias("_cnt"))
+    series = Window.partitionBy("_k")
+    running = series.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    offsets = per_chunk.select(
+        "_k", "_chunk",
         (F.sum("_cnt").over(running) - F.col("_cnt")).alias("_start"),
-        F.sum("_cnt").over(Window.partitionBy(*keys)).alias("n"),
+        F.sum("_cnt").over(series).alias("n"),
     )
-    # deterministic and narrow (3 columns of the written table): count, no copy
-    ct = bounded_broadcast(ct, materialize=False)
-    cond = [m[k].eqNullSafe(ct[f"_k{i}"]) for i, k in enumerate(keys)]
-    cond.append(m["_chunk"] == ct["_c"])
-    out = m.join(ct, cond).withColumn(
-        "pos", (F.col("_start") + F.col("_rid") - F.col("_r0")).cast("bigint")
-    )
-    return out.drop("_rid", "_r0", "_start", "_c", *[f"_k{i}" for i in range(len(keys))])
+    hashed = [F.col(f"`{f.name}`") for f in df.schema.fields if not _holds_map(f.dataType)]
+    within = Window.partitionBy("_k", "_chunk").orderBy(*order, F.xxhash64(*hashed))
+    out = x.withColumn("_rank", F.row_number().over(within)).join(offsets, ["_k", "_chunk"])
+    pos = (F.col("_start") + F.col("_rank") - 1).cast("bigint").alias("pos")
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], "_chunk", pos, "n")
+
+
+def _holds_map(t: T.DataType) -> bool:
+    """Whether values of the type cannot be hashed."""
+    if isinstance(t, T.StructType):
+        return any(_holds_map(f.dataType) for f in t.fields)
+    return isinstance(t, (T.MapType, T.VariantType)) or isinstance(t, T.ArrayType) and _holds_map(t.elementType)
 
 
 def chunk_table(sdf: DataFrame, key: str | Sequence[str] = KEY) -> DataFrame:

@@ -42,8 +42,8 @@ _SEQ_CACHE: dict[tuple, DataFrame] = {}
 
 
 def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sequenced tick table of ``sf_dir``; the positions are materialised once
-    per session and data directory (a written table in the checkpoint folder)."""
+    """Sequenced tick table of ``sf_dir``; its cut points are sampled once per
+    session and data directory (a lazy plan, nothing is written)."""
     raw = ticks_from_events(spark, sf_dir)
     # replaced files change the key: their times and sizes are part of it
     meta = load_table(spark, sf_dir, "events").select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
@@ -420,9 +420,9 @@ def q_m4_chain(spark, d):
 def q_m5_inverse(spark, d):
     lg = TR.log1p_features(raw_ticks(spark, d), ("price",), suffix="_ln")
     st = S.minmax_stats(lg, ("price_ln",))
-    sc = S.scale_chain(lg, ("price_ln",), suffix="_s")
+    sc = S.scale_chain(lg, ("price_ln",), suffix="_s", stats=st)
     back = S.inverse_scale(sc, st, "price_ln_s", feature="price_ln", out="price_back")
-    return back.select("event_id", r6("price_back").alias("price_back"))
+    return back.select("event_id", r6("price_ln_s").alias("price_scaled"), r6("price_back").alias("price_back"))
 
 
 def q_m7_hash_split(spark, d):
@@ -473,33 +473,88 @@ def q_m18_prep(spark, d):
 
 
 def _round_trip(spark, d, fmt: str):
-    from pyspark.sql import types as TT
-
-    from tickweave.schema import TICK_CSV_HEADER, TIME_TEXT
     from tickweave.session import scratch_path
     from tickweave.sources import files as FS
 
-    t = raw_ticks(spark, d)
-    ref = t.select(
-        F.col("event_id").alias(TICK_CSV_HEADER[0]), F.col("currency").alias(TICK_CSV_HEADER[1]),
-        F.col("dt").cast("timestamp").alias(TICK_CSV_HEADER[2]), F.col("price").alias(TICK_CSV_HEADER[3]),
-        F.col("volume").alias(TICK_CSV_HEADER[4]), F.col("market_cap").alias(TICK_CSV_HEADER[5]),
-        F.lit(None).cast(TT.DoubleType()).alias(TICK_CSV_HEADER[6]),
-        F.lit(None).cast(TT.DoubleType()).alias(TICK_CSV_HEADER[7]),
-    )
     path = scratch_path(spark, f"ticks-{fmt}")
-    out = ref.repartitionByRange(TICK_CSV_HEADER[2], TICK_CSV_HEADER[0]).sortWithinPartitions(
-        TICK_CSV_HEADER[2], TICK_CSV_HEADER[0]).write.option("timestampFormat", TIME_TEXT)
-    if fmt == "csv":
-        out.option("header", True).csv(path)
-        back = FS.read_ticks_csv(spark, path)
-    else:
-        out.json(path)
-        back = FS.read_ticks_json(spark, path)
+    FS.write_ticks(raw_ticks(spark, d), path, fmt)
+    back = FS.read_ticks_csv(spark, path) if fmt == "csv" else FS.read_ticks_json(spark, path)
     return back.select("event_id", "currency", F.col("dt").cast("timestamp_ntz").alias("dt"),
                        r6("price").alias("price"), r6("volume").alias("volume"))
 
 
+def point_docs(spark, d) -> DataFrame:
+    """Point-map documents rendered from the ticks: one per series and day, the
+    last tick of every second; at most 86,400 points in a document."""
+    t = raw_ticks(spark, d).withColumn("epoch", F.unix_seconds(F.col("dt").cast("timestamp")))
+    v = F.array("price", "volume", "market_cap")
+    last = t.groupBy("currency", F.to_date("dt").alias("d_"), "epoch").agg(F.max_by(v, F.struct("dt", "event_id")).alias("v"))
+    point = F.struct(F.col("epoch").cast("string"), F.struct("v"))
+    docs = last.groupBy("currency", "d_").agg(F.map_from_entries(F.collect_list(point)).alias("points"))
+    return docs.select("currency", F.to_json(F.struct(F.struct("points").alias("data"))).alias("value"))
+
+
+def write_point_docs(docs: DataFrame, path: str) -> None:
+    """One file a document, in a folder a series."""
+    docs.write.partitionBy("currency").option("maxRecordsPerFile", 1).mode("append").text(path)
+
+
+def _points_out(t: DataFrame) -> DataFrame:
+    return t.select("currency", F.col("dt").cast("timestamp_ntz").alias("dt"), *[r6(c).alias(c) for c in FEATS])
+
+
+def q_s3_point_json(spark, d):
+    """S3 + F8 + F10: point-map files written and scanned back."""
+    from tickweave.session import scratch_path
+    from tickweave.sources.files import read_point_json
+
+    path = scratch_path(spark, "points")
+    write_point_docs(point_docs(spark, d), path)
+    return _points_out(read_point_json(spark, path))
+
+
+def q_s7_ingest(spark, d):
+    """Point files of one series ingested, the others added, ingested again,
+    and once more with nothing new."""
+    from tickweave.session import scratch_path
+    from tickweave.streaming import ingest_new
+
+    src, dst, seen = (scratch_path(spark, f"ingest-{x}") for x in ("src", "dst", "seen"))
+    docs = point_docs(spark, d)
+    write_point_docs(docs.filter(F.col("currency") == BASE), src)
+    ingest_new(spark, src, dst, seen)
+    write_point_docs(docs.filter(F.col("currency") != BASE), src)
+    ingest_new(spark, src, dst, seen)
+    ingest_new(spark, src, dst, seen)
+    return _points_out(spark.read.parquet(dst))
+
+
+def q_s5_results(spark, d):
+    """The correlation sweep's lines written, appended once more, read back."""
+    from tickweave.session import scratch_path
+    from tickweave.sources.files import write_result
+
+    path = scratch_path(spark, "results")
+    sweep = C.corr_sweep(C.daily_mean(raw_ticks(spark, d)), BASE).select("coin", "corr")
+    write_result(sweep, path)
+    write_result(sweep, path)
+    return spark.read.schema("coin string, corr double").csv(path).select("coin", r6("corr").alias("corr"))
+
+
+def q_s6_windows(spark, d):
+    """Windows written by split, read back, one row per value."""
+    from tickweave.session import scratch_path
+    from tickweave.sources.files import write_windows
+
+    path = scratch_path(spark, "windows")
+    w = W.sliding_windows(hourly(spark, d), FEATS, n_in=35, n_out=3)
+    write_windows(SP.ordered_split(w, (0.9, 0.95)), path)
+    w = spark.read.parquet(path)
+    values = F.concat(F.transform("x", lambda r: r["price"]), F.col("y"))
+    return w.select("currency", "split", "window_id", F.posexplode(values).alias("h", "v")).select(
+        "currency", "split", "window_id", F.col("h").cast("bigint").alias("h"), r6("v").alias("v"))
+
+
 def q_s1_csv_round_trip(spark, d):
     """S1 + S4: ticks written as the reference CSV (sorted sink), scanned back."""
     return _round_trip(spark, d, "csv")
@@ -587,12 +642,17 @@ def q_m6_fit_on_train(spark, d):
 
 def q_a11_rmse_usd(spark, d):
     """A11 + M5: persistence forecast on the ln(x+1), chain-scaled price,
-    predictions and actuals scaled back to USD before the metrics."""
+    predictions and actuals scaled back to USD before the metrics; the rmse of the
+    scaled values beside them."""
     s = TR.log1p_features(ticks(spark, d), ("price",), suffix="_ln")
     st = S.minmax_stats(s, ("price_ln",))
-    sc = S.scale_chain(s, ("price_ln",), suffix="_s")
-    usd = M.to_usd(M.persistence_scores(sc, "price_ln_s"), st, "price_ln")
-    return _metrics_out(M.regression_metrics(usd), ("currency",))
+    sc = S.scale_chain(s, ("price_ln",), suffix="_s", stats=st)
+    scores = M.persistence_scores(sc, "price_ln_s")
+    scores = scores.withColumns({"scaled_p": F.col("predicted"), "scaled_a": F.col("actual")})
+    usd = M.to_usd(scores, st, "price_ln")
+    e = F.col("scaled_p") - F.col("scaled_a")
+    scaled = usd.groupBy("currency").agg(r6(F.sqrt(F.avg(e * e))).alias("rmse_scaled"))
+    return _metrics_out(M.regression_metrics(usd), ("currency",)).join(scaled, "currency")
 
 
 def q_a17_compare_models(spark, d):

@@ -15,6 +15,10 @@ from pyspark.sql import SparkSession
 BLOCK_ROWS_CONF = "spark.tickweave.blockRows"
 DEFAULT_BLOCK_ROWS = 262_144
 
+# Rows per chunk when positions are computed (see plans.sequence).
+CHUNK_ROWS_CONF = "spark.tickweave.chunkRows"
+DEFAULT_CHUNK_ROWS = 1_000_000
+
 # Largest small side (rows) that is broadcast; above it a shuffle join is used.
 BROADCAST_ROWS_CONF = "spark.tickweave.broadcastRows"
 DEFAULT_BROADCAST_ROWS = 1_000_000

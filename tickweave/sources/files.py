@@ -106,18 +106,23 @@ def write_ticks(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     inside each task gives globally ordered files without one sorting task.
     With ``partition_by_key`` the files go to ``currency=<c>/`` folders (range
     on (currency, dt, event_id), so each task writes one or two folders) and
-    later currency filters prune whole folders."""
+    later currency filters prune whole folders. CSV and JSON files use the column
+    names of the tick layout that ``read_ticks_csv`` and ``read_ticks_json`` read."""
     if partition_by_key:
         out = df.repartitionByRange(KEY, DT, TIE).sortWithinPartitions(KEY, DT, TIE)
     else:
         out = df.repartitionByRange(DT, TIE).sortWithinPartitions(DT, TIE)
-    w = out.write.mode(mode)
+    if fmt != "parquet":
+        names = {v: k for k, v in _RENAME.items() if not (partition_by_key and v == KEY)}
+        first = [c for c in _RENAME.values() if c in out.columns]  # CSV is read by place
+        out = out.select(*[F.col(f"`{c}`").alias(names.get(c, c)) for c in [*first, *[c for c in out.columns if c not in first]]])
+    w = out.write.mode(mode).option("timestampFormat", TIME_TEXT).option("timestampNTZFormat", TIME_TEXT)
     if partition_by_key:
         w = w.partitionBy(KEY)
     if fmt == "csv":
-        w.option("header", True).option("timestampFormat", TIME_TEXT).csv(path)
+        w.option("header", True).csv(path)
     elif fmt == "json":
-        w.option("timestampFormat", TIME_TEXT).json(path)
+        w.json(path)
     else:
         w.parquet(path)
 
