@@ -1,5 +1,7 @@
 """Positions and halos: equal to single-task window functions, any chunking."""
 
+import os
+
 import duckdb
 import numpy as np
 import pytest
@@ -90,3 +92,49 @@ def test_task_retries_give_the_same_positions():
     out = subprocess.run([sys.executable, os.path.join(here, "retry_job.py"), SF01],
                          capture_output=True, text=True, timeout=600)
     assert "RETRY_OK" in out.stdout, out.stdout[-2000:] + out.stderr[-2000:]
+
+
+@pytest.mark.parametrize("chunks", [1, 7, 64])
+def test_odd_keys_and_values(spark, chunks):
+    """NULL keys, NaN, infinities, signed zeros, text that JSON escapes, map columns."""
+    import random
+
+    from pyspark.sql import Window
+
+    rng = random.Random(1)
+    vals = [None, float("nan"), float("inf"), -float("inf"), 0.0, -0.0] + [rng.gauss(0, 1) for _ in range(50)]
+    rows = [(rng.choice([None, "a", "", 'b"x\\']), rng.choice(vals), rng.choice([None, "é", "z", "a,b"]), i) for i in range(600)]
+    df = spark.createDataFrame(rows, "k string, x double, y string, id long").withColumn("m", F.create_map(F.lit("a"), "x"))
+    s = sequence(df, key="k", order=("x", "y", "id"), chunks=chunks).select("id", "pos", "n")
+    w = Window.partitionBy("k").orderBy("x", "y", "id")
+    exp = df.select("id", (F.row_number().over(w) - 1).cast("bigint").alias("pos"),
+                    F.count("*").over(Window.partitionBy("k")).alias("n"))
+    assert s.exceptAll(exp).count() == 0 and exp.exceptAll(s).count() == 0
+
+
+def test_positions_write_nothing_and_shuffle_rows_once(spark):
+    from tickweave.session import checkpoint_root
+
+    before = set(os.listdir(checkpoint_root(spark)))
+    s = sequence(ticks_from_events(spark, SF01), chunks=8)
+    plan = s._jdf.queryExecution().executedPlan().toString()
+    assert s.count() == 10000
+    assert set(os.listdir(checkpoint_root(spark))) == before
+    # the rows' exchange, the counts' and the offsets': no more
+    assert plan.count("Exchange hashpartitioning") == 3 and "rangepartitioning" not in plan
+
+
+def test_quantiles_where_brackets_miss(spark, monkeypatch):
+    """Brackets of no width around coarse approximations, ties, NULLs and a
+    series of one value: still exact."""
+    from tickweave.operators import scale
+
+    monkeypatch.setattr(scale, "ACCURACY", 2)
+    monkeypatch.setattr(scale, "BRACKET", 0.0)
+    rows = [("a", i, i, float((i * 37) % 101), 1.0, 1.0) for i in range(500)]
+    rows += [("b", i, 1000 + i, 5.0, 1.0, 1.0) for i in range(30)] + [("c", i, 2000 + i, None, 1.0, 1.0) for i in range(3)]
+    probs = (0.0, 0.1, 0.25, 0.5, 0.75, 1.0)
+    got = {r["currency"]: r for r in scale.exact_quantiles(make_ticks(spark, rows), ("price",), probs).collect()}
+    want = np.quantile([r[3] for r in rows if r[0] == "a"], probs)
+    assert np.allclose([got["a"][f"q{i}"] for i in range(len(probs))], want)
+    assert all(got["b"][f"q{i}"] == 5.0 and got["c"][f"q{i}"] is None for i in range(len(probs)))

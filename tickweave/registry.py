@@ -548,8 +548,9 @@ def q_s6_windows(spark, d):
 
     path = scratch_path(spark, "windows")
     w = W.sliding_windows(hourly(spark, d), FEATS, n_in=35, n_out=3)
-    write_windows(SP.ordered_split(w, (0.9, 0.95)), path)
-    w = spark.read.parquet(path)
+    w = SP.ordered_split(w, (0.9, 0.95))
+    write_windows(w, path)
+    w = spark.read.schema(w.schema).parquet(path)
     values = F.concat(F.transform("x", lambda r: r["price"]), F.col("y"))
     return w.select("currency", "split", "window_id", F.posexplode(values).alias("h", "v")).select(
         "currency", "split", "window_id", F.col("h").cast("bigint").alias("h"), r6("v").alias("v"))
