@@ -124,6 +124,7 @@ def exact_quantiles(
     lo, hi = at_place(F.floor("h"), "_x0"), at_place(F.ceil("h"), "_x1")
     g = g.withColumn("_v", lo + (hi - lo) * (F.col("h") - F.floor("h")))
     g = g.groupBy("_g", "feature").agg(*[F.max(F.when(F.col("i") == i, F.col("_v"))).alias(f"q{i}") for i in range(len(probs))])
+    g = g.filter(F.col("q0").isNotNull())  # no row where there is no value
     return g.select(*[F.col("_g")[k].alias(k) for k in keys], "feature", *[f"q{i}" for i in range(len(probs))])
 
 
