@@ -477,7 +477,7 @@ def _round_trip(spark, d, fmt: str):
     from tickweave.sources import files as FS
 
     path = scratch_path(spark, f"ticks-{fmt}")
-    FS.write_ticks(raw_ticks(spark, d), path, fmt)
+    FS.write_ticks(raw_ticks(spark, d), path, fmt, layout=True)
     back = FS.read_ticks_csv(spark, path) if fmt == "csv" else FS.read_ticks_json(spark, path)
     return back.select("event_id", "currency", F.col("dt").cast("timestamp_ntz").alias("dt"),
                        r6("price").alias("price"), r6("volume").alias("volume"))

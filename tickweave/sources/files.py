@@ -101,18 +101,18 @@ def point_rejects(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_ticks(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
-                partition_by_key: bool = False) -> None:
+                partition_by_key: bool = False, layout: bool = False) -> None:
     """Time-sorted sink: a range partition on (dt, event_id) plus a sort
     inside each task gives globally ordered files without one sorting task.
     With ``partition_by_key`` the files go to ``currency=<c>/`` folders (range
     on (currency, dt, event_id), so each task writes one or two folders) and
-    later currency filters prune whole folders. CSV and JSON files use the column
-    names of the tick layout that ``read_ticks_csv`` and ``read_ticks_json`` read."""
+    later currency filters prune whole folders. With ``layout`` the columns get the
+    names and order that ``read_ticks_csv`` and ``read_ticks_json`` read."""
     if partition_by_key:
         out = df.repartitionByRange(KEY, DT, TIE).sortWithinPartitions(KEY, DT, TIE)
     else:
         out = df.repartitionByRange(DT, TIE).sortWithinPartitions(DT, TIE)
-    if fmt != "parquet":
+    if layout:
         names = {v: k for k, v in _RENAME.items() if not (partition_by_key and v == KEY)}
         first = [c for c in _RENAME.values() if c in out.columns]  # CSV is read by place
         out = out.select(*[F.col(f"`{c}`").alias(names.get(c, c)) for c in [*first, *[c for c in out.columns if c not in first]]])
