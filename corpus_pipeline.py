@@ -8,7 +8,13 @@ the columns of ``documents``:
 2. near_dups    one document of each group of SimHash links stays
 3. secrets      found secrets are replaced in the texts
 4. mix          all rows, in the order of the Pfair mix of their sources
-5. tokens       doc_id, n_tokens, ids_sha256, decoded_sha256 of each text
+5. tokens       doc_id, n_tokens, ids_sha256, decoded_sha256 of each text, in
+                the order of the mix
+
+Reading files back does not keep the order of their rows. A row's place in the
+mix is a function of the rows alone, so the last stage derives it again and
+sorts its result by it: collected rows, and the part files of a write, are in
+the order of the mix.
 
 No SQL says this (a fitted classifier, XXH64 fingerprints, merges), so
 ``ORACLE_SQL`` is None and the tests hold it against brute force.
@@ -17,10 +23,13 @@ No SQL says this (a fitted classifier, XXH64 fingerprints, merges), so
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tickweave.llm import bpe, mixing, qda, secretscan, simhash
 from tickweave.llm.common import prepare, read_table, written
 
+TEXT_HASH = "__text_hash"
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
@@ -44,7 +53,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return bpe.digests(docs, bpe.public_bpe())
+    rows = docs.withColumn(TEXT_HASH, F.xxhash64("text"))
+    rows = written(bpe.digests(rows, bpe.public_bpe(), keep=("source", TEXT_HASH)), "pipeline-digests")
+    return mixing.sorted_by_mix(rows, F.struct("doc_id", TEXT_HASH)).drop("source", TEXT_HASH)
 
 
 STAGES = [("quality", quality), ("near_dups", near_dups), ("secrets", secrets), ("mix", mix), ("tokens", tokens)]

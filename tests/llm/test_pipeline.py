@@ -1,10 +1,13 @@
 """The pipeline's stages against plain Python over the same rows."""
 
 import hashlib
+import math
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
 import tiktoken
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.conftest import SF001
@@ -51,3 +54,51 @@ def test_stages_against_brute_force(spark):
         ids = enc.encode_ordinary(r.text)
         want[r.doc_id] = (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(r.text.encode()).hexdigest())
     assert {r.doc_id: tuple(r)[1:] for r in corpus_pipeline.run(spark, SF001).collect()} == want
+
+
+def brute_mix(rows, size=64):
+    """doc_ids in the order of the mix; rows: (source, hash, doc_id). Slot by
+    slot, the released block with the earliest deadline."""
+    groups = {}
+    for source, h, i in rows:
+        groups.setdefault(source, []).append((h % 2**64, i))
+    names = sorted(groups, key=lambda s: (s is None, s or ""))
+    queues = [[i for _, i in sorted(groups[s])] for s in names]
+    blocks = [-(-len(q) // size) for q in queues]
+    weight = [Fraction(math.isqrt(len(q))) for q in queues]
+    passes = [[Fraction(0)] for _ in names]  # when the fluid share of a source passes 0, 1, 2, ...
+    had, now = [Fraction(0)] * len(names), Fraction(0)
+    while any(h < n for h, n in zip(had, blocks)):
+        total = sum(w for w, h, n in zip(weight, had, blocks) if h < n)
+        rate = [w / total if h < n else 0 for w, h, n in zip(weight, had, blocks)]
+        step = min((len(p) - h) / r for p, h, r in zip(passes, had, rate) if r)  # to the next whole share of any source
+        now, had = now + step, [h + r * step for h, r in zip(had, rate)]
+        for p, h, r in zip(passes, had, rate):
+            if r and h == len(p):
+                p.append(now)
+    out, at = [], [0] * len(names)
+    for slot in range(sum(blocks)):
+        free = [i for i in range(len(names)) if at[i] < blocks[i] and math.floor(passes[i][at[i]]) <= slot]
+        i = min(free, key=lambda i: (math.ceil(passes[i][at[i] + 1]), i))
+        out += queues[i][at[i] * size:(at[i] + 1) * size]
+        at[i] += 1
+    return out
+
+
+def test_result_is_in_the_order_of_the_mix(spark, tmp_path, monkeypatch):
+    sources = ["web"] * 900 + ["books"] * 300 + ["code"] * 130 + [None] * 70
+    rows = [(i, s, f"text {i} " + "word " * (i % 7)) for i, s in enumerate(sources)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    docs.repartition(7, "doc_id").write.parquet(str(tmp_path / "documents.parquet"))
+    hashes = docs.select("source", F.xxhash64(F.struct("doc_id", F.xxhash64("text")), F.lit(42)), "doc_id").collect()
+    want = brute_mix([tuple(r) for r in hashes])
+    assert sorted(want) == list(range(len(rows)))
+    stages = dict(corpus_pipeline.STAGES)
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [(k, stages[k]) for k in ("mix", "tokens")])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # several part files between the stages
+    try:
+        out = corpus_pipeline.run(spark, str(tmp_path))
+        assert [r.doc_id for r in out.collect()] == want
+        assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")

@@ -24,7 +24,7 @@ import hashlib
 import json
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -264,10 +264,11 @@ def public_bpe() -> Bpe:
     return Bpe(load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
 
 
-def digests(docs: DataFrame, bpe: Bpe, text: str = "text", doc_id: str = "doc_id", dictionary_words: int = DICTIONARY_WORDS) -> DataFrame:
+def digests(docs: DataFrame, bpe: Bpe, text: str = "text", doc_id: str = "doc_id", dictionary_words: int = DICTIONARY_WORDS,
+            keep: Sequence[str] = ()) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 (of the ids as little-endian unsigned 32-bit
-    integers) and decoded_sha256 of every row."""
-    rows = bpe.encode(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "text", "ids", dictionary_words)
+    integers) and decoded_sha256 of every row, and its columns ``keep``."""
+    rows = bpe.encode(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), *keep), "text", "ids", dictionary_words)
     pieces = bpe.pieces_by_id()
 
     @F.pandas_udf("ids_sha256 string, decoded_sha256 string")
@@ -276,5 +277,5 @@ def digests(docs: DataFrame, bpe: Bpe, text: str = "text", doc_id: str = "doc_id
         back = [hashlib.sha256(decoded(x, pieces)).hexdigest() for x in arrays]
         return pd.DataFrame({"ids_sha256": own, "decoded_sha256": back})
 
-    rows = rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), hashed("ids").alias("h"))
-    return rows.select("doc_id", "n_tokens", "h.ids_sha256", "h.decoded_sha256")
+    rows = rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), hashed("ids").alias("h"), *keep)
+    return rows.select("doc_id", "n_tokens", "h.ids_sha256", "h.decoded_sha256", *keep)

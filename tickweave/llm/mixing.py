@@ -150,3 +150,8 @@ def in_mixed_order(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` in the order of the mix (files and rows of a write)."""
     rows = mix(docs, key=F.struct("doc_id", F.xxhash64("text")))
     return rows.repartitionByRange(f"{K}slot").sortWithinPartitions(f"{K}pos").drop(f"{K}block", f"{K}slot", f"{K}pos")
+
+
+def sorted_by_mix(df: DataFrame, key: Column) -> DataFrame:
+    """``df`` as one sorted result in the order of the mix that ``key`` gives."""
+    return mix(df, key=key).orderBy(f"{K}pos").drop(f"{K}block", f"{K}slot", f"{K}pos")
