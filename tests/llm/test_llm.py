@@ -285,6 +285,24 @@ def test_op8_pages(spark):
     assert got[1] == (text, len(text)) and got[2] == ("", 0) == got[3]
 
 
+def test_op8_self_closed_and_fallback_elements_lose_no_text():
+    def texts(page):
+        return [b.text for b in htmlcrf.leaf_blocks(page)]
+
+    rest = "<p>First part, with words.</p><p>Second part.</p>"
+    for tag in ("svg", "math", "object", "canvas", "iframe", "noscript", "template", "audio", "video"):
+        for start in (f'<{tag} class="i"/>', f"<{tag}/>", f'<{tag} id="a>b">', f"<{tag.upper()}>"):
+            assert texts(f"<article>{start}{rest}</article>") == ["First part, with words.", "Second part."], start
+        assert texts(f"<article><{tag}>{rest}</{tag}><p>Third.</p></article>") == ["First part, with words.", "Second part.", "Third."]
+    assert texts("<p>Where <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p>") == ["Where x=2 holds."]
+    assert texts('<p>a<svg><title/><style/><path d="M0"/></svg>b</p><p>c</p>') == ["ab", "c"]
+    assert texts("<p>a<svg><title>Icon</title><path/></svg>b</p>") == ["ab"]
+    assert texts("<p>a</p><script>x = '<p>no</p>'</script><STYLE>p {}</style><textarea><p>no</textarea><p>b</p><title>no") == ["a", "b"]
+    assert texts("<p>a</p><script/><p>no</p>") == ["a"]  # outside svg and math a script does not close itself
+    page = f'<html><body><nav><a href=x>Home</a></nav><article><h1>A title</h1><svg class="i"/>{rest}</article><footer>&copy; Site</footer></body></html>'
+    assert htmlcrf.main_text(page, htmlcrf.default_chain()) == "A title\n\nFirst part, with words.\n\nSecond part."
+
+
 def test_op8_viterbi_is_the_best_path():
     chain = htmlcrf.default_chain()
     blocks = htmlcrf.leaf_blocks(htmlcrf.drawn_page(random.Random(5)))[:9]

@@ -11,6 +11,11 @@ No labelled pages are given, so they are drawn here from a seeded generator of
 page layouts whose labels are known by construction; ``train`` takes any other
 labelled pages as well.
 
+Scripts, styles, titles and text areas are skipped, to the end of the page if
+they are not closed. The contents of all other elements, also <svg>, <math>,
+<noscript>, <template>, <object> and the like, are text of the block they stand
+in or blocks of their own, for the chain to judge; a self-closed one is empty.
+
 Defined results: a null or empty page, or one without main text, has an empty
 text of 0 characters; unclosed, crossed and unknown tags are tolerated; null
 ids, null urls and repeated rows are handled row by row; an empty table gives
@@ -38,16 +43,18 @@ BLOCKS = frozenset(
     "table tbody td tfoot th thead tr ul button label".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = "script|style|title|template|noscript|iframe|object|svg|math|textarea|canvas|audio|video"
+RAW = "script|style|title|textarea"  # their contents are no text of the page, whatever they hold
+FOREIGN = frozenset(("svg", "math"))  # inside them <title/> and the like close themselves
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
           "option": ("option",), "tbody": ("tr", "td", "th"), "body": ("head",)}
 NO_P = frozenset("button label option legend summary".split())  # these may stand inside a paragraph
 
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<skip>{SKIPPED})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=skip)\s*>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>"
     r"|<(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>",
     re.S | re.I,
 )
+_RAW_ENDS = {t: re.compile(rf"</{t}\s*>", re.I) for t in RAW.split("|")}
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _PIECES = re.compile(r"[a-z]+")
 
@@ -64,7 +71,7 @@ def leaf_blocks(page: str | None) -> list[Block]:
     stack: list[tuple[str, tuple[str, ...]]] = []
     out: list[Block] = []
     run: list[str] = []
-    linked, link, at = 0, False, 0
+    linked, link, at, foreign = 0, False, 0, 0
 
     def flush() -> None:
         nonlocal linked
@@ -75,14 +82,19 @@ def leaf_blocks(page: str | None) -> list[Block]:
             run.clear()
         linked = 0
 
-    for m in _TOKEN.finditer(page):
+    while m := _TOKEN.search(page, at):
         if m.start() > at:
             run.append(page[at:m.start()])
             linked += link * (m.start() - at)
         at = m.end()
+        if m["raw"] and not (foreign and m[0].endswith("/>")):
+            end = _RAW_ENDS[m["raw"].lower()].search(page, at)
+            at = end.end() if end else len(page)
         tag = (m["tag"] or "").lower()
         if not tag:
             continue
+        if tag in FOREIGN and not m[0].endswith("/>"):
+            foreign = max(0, foreign + (-1 if m["end"] else 1))
         if tag == "a":
             link = not m["end"]
         elif tag == "br":
