@@ -108,6 +108,24 @@ def test_arima_orders_on_known_series(spark):
     assert abs(ahead["ar1000000"] - ahead["ar0"] - 10**6) < 1e-3
 
 
+def test_arima_order_of_a_series_is_its_own(spark):
+    """A long series beside short ones changes nothing for them."""
+    short = {f"s{n}": _ar2(n, n) for n in (34, 36, 40, 60, 100)}
+
+    def fitted(series):
+        rows = [(name, i, 1000 * j + i, float(x), 1.0, 1.0) for j, (name, v) in enumerate(series.items()) for i, x in enumerate(v)]
+        models, resid = A.arima_fit(sequence(make_ticks(spark, rows), chunks=4), "price")
+        ahead = {r["currency"]: r["forecast"] for r in A.arima_forecast(models, resid, steps=3).collect() if r["step"] == 3}
+        return {r["currency"]: (r["d"], r["p"], r["q"], r["nobs"], r["aic"], ahead[r["currency"]]) for r in models.collect()}
+
+    together = fitted({**short, "long": _ar2(400, 2)})
+    assert together["long"][1] is not None and together["s36"][1] is not None
+    for name, values in short.items():
+        alone = fitted({name: values})[name]
+        assert alone[:4] == together[name][:4], name
+        assert alone[1] is not None and np.allclose(alone[4:], together[name][4:]), name
+
+
 def test_models_without_windows(spark):
     none = spark.createDataFrame([], "currency string, window_id long, split string, y array<double>, x array<struct<price:double>>")
     assert ml.rf_forecast(none, ("price",)).count() == 0

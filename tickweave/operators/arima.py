@@ -7,8 +7,8 @@ distributed estimator:
 * d: the smallest d in 0..max_d whose Dickey-Fuller t statistic (constant,
   no augmentation) is below the 5% critical value -2.86; the regressions for
   every d come from one lagged pass and one aggregation.
-* p, q: Hannan-Rissanen. A long AR(m) fitted by least squares gives residuals
-  e; then w_t is regressed on w_{t-1..t-p} and e_{t-1..t-q} for every (p, q)
+* p, q: Hannan-Rissanen. A long AR(m), m by the series' own length, fitted by
+  least squares gives residuals e; then w_t is regressed on w_{t-1..t-p} and e_{t-1..t-q} for every (p, q)
   in the full grid (not stepwise). All 16 fits are solved from sub-matrices
   of one X'X aggregated per series; AIC = N ln(SSR/N) + 2(p+q+1) on a common
   sample picks the order.
@@ -88,6 +88,25 @@ def _differenced(sdf: DataFrame, dsel: DataFrame, col: str, max_d: int, key: str
     return l.withColumn("_w", w).drop(*[f"_y{k}" for k in range(0, max_d + 1)])
 
 
+def _long_ar(wl: DataFrame, lags: list[str], unit: DataFrame, key: str) -> DataFrame:
+    """Per series the coefficients ``_ar`` (constant first) of its AR of its own
+    length ``_m``, 0 beyond."""
+    ne = normal_equations(wl, "_w", lags, key).join(unit.select(key, "_m"), key)
+    k = len(lags) + 1
+    schema = T.StructType([f for f in ne.schema.fields if f.name == key] + [T.StructField("_ar", T.ArrayType(T.DoubleType()))])
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = []
+        for _, r in pdf.iterrows():
+            own, coef = int(r["_m"]) + 1, np.zeros(k)
+            xtx = unpack_xtx(np.asarray(r["xtx"], dtype=float), k)[:own, :own]
+            coef[:own] = solve_ols(xtx, np.asarray(r["xty"], dtype=float)[:own], float(r["yty"]), int(r["nobs"]))[0]
+            rows.append({key: r[key], "_ar": coef.tolist()})
+        return pd.DataFrame(rows, columns=[key, "_ar"])
+
+    return ne.groupBy(key).applyInPandas(fit, schema)
+
+
 def arima_fit(
     sdf: DataFrame,
     col: str = "price",
@@ -103,24 +122,27 @@ def arima_fit(
     input with ``_w`` (differenced series) and ``_e`` (long-AR residuals).
 
     The fit runs on standardised series, so that levels do not cost digits. The
-    long AR grows with the length, 10 log10(n) within 8..24, unless given. A
-    series too short for the fit has a NULL order."""
+    long AR of a series grows with its own length, 10 log10(n) within 8..24,
+    unless given; no series has a say in another's. A series too short for the
+    fit has a NULL order."""
     unit = sdf.groupBy(key).agg(F.avg(col).alias("_mu"), F.nullif(F.stddev_pop(col), F.lit(0.0)).alias("_sd"), F.max("n").alias("_len"))
     unit = bounded_broadcast(unit.withColumn("_sd", F.coalesce("_sd", F.lit(1.0))))
-    if long_ar is None:
-        longest = unit.agg(F.max("_len")).first()[0] or 1
-        long_ar = min(24, max(8, int(10 * np.log10(longest))))
-    sdf = sdf.join(unit.drop("_len"), key).withColumn("_z", (F.col(col) - F.col("_mu")) / F.col("_sd"))
+    own = F.least(F.lit(24), F.greatest(F.lit(8), F.floor(10 * F.log10("_len")).cast("int"))) if long_ar is None else F.lit(long_ar)
+    unit = unit.withColumn("_m", own).drop("_len")
+    longest = unit.agg(F.max("_m")).first()[0] or 1
+    sdf = sdf.join(unit, key).withColumn("_z", (F.col(col) - F.col("_mu")) / F.col("_sd"))
     col = "_z"
     dsel = select_d(sdf, col, max_d, key, adf_lags=adf_lags)
     w = _differenced(sdf, dsel, col, max_d, key)
-    lags = {f"_w{i}": ("_w", i) for i in range(1, long_ar + 1)}
-    wl = lagged(w, lags, key)
-    ar = ols(wl, "_w", list(lags), key).select(key, F.col("coef").alias("_ar"))
+    lags = {f"_w{i}": ("_w", i) for i in range(1, longest + 1)}
+    # lags beyond a series' own are 0: they cost it no rows, and its fit is the
+    # leading part of the one X'X
+    wl = lagged(w, lags, key).withColumns({f"_w{i}": F.when(F.col("_m") >= i, F.col(f"_w{i}")).otherwise(F.lit(0.0)) for i in range(1, longest + 1)})
+    ar = _long_ar(wl, list(lags), unit, key)
     fit = F.col("_ar")[0]
-    for i in range(1, long_ar + 1):
+    for i in range(1, longest + 1):
         fit = fit + F.col("_ar")[i] * F.col(f"_w{i}")
-    resid = wl.join(bounded_broadcast(ar), key, "left").withColumn("_e", F.col("_w") - fit).drop("_ar", *lags)
+    resid = wl.join(bounded_broadcast(ar), key, "left").withColumn("_e", F.col("_w") - fit).drop("_ar", "_m", *lags)
 
     hr = lagged(
         resid,
@@ -129,7 +151,7 @@ def arima_fit(
     )
     xs = [f"_wl{i}" for i in range(1, max_p + 1)] + [f"_el{j}" for j in range(1, max_q + 1)]
     ne = normal_equations(hr, "_w", xs, key)
-    ne = bounded_broadcast(dsel.select(key, "d")).join(ne, key, "left").join(unit.drop("_len"), key)
+    ne = bounded_broadcast(dsel.select(key, "d")).join(ne, key, "left").join(unit, key)
     k = len(xs) + 1
     schema = T.StructType(
         [f for f in ne.schema.fields if f.name == key]
