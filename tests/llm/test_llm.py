@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tests.conftest import SF001
-from tickweave.llm import bpe, htmlcrf, langid, mixing, qda, qualityrules, secretscan, simhash, tokencount, topk
+from tickweave.llm import bpe, common, htmlcrf, langid, mixing, qda, qualityrules, secretscan, simhash, tokencount, topk
 from tickweave.llm.common import prepare
 
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
@@ -353,6 +353,24 @@ def test_op10_round_trip(docs, texts, size):
     same(map(tuple, bpe.digests(some, b, dictionary_words=size).collect()), want)
 
 
+def test_labelled_rows_are_bounded_where_ids_repeat(spark):
+    rows = [(1, "same words")] * 400 + [(2, f"other words {i}") for i in range(900)] + [(i, f"text {i}") for i in range(3, 60)] + [(3, None)] * 5
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    sample = spark.createDataFrame([(i, i % 2) for i in range(1, 60)], "doc_id long, y int")
+    whole = common.labelled_texts(docs, sample, 10_000).select("doc_id", "text", "y").collect()
+    same(map(tuple, whole), [(i, t, i % 2) for i, t in set(rows)])
+    some = common.labelled_texts(docs, sample, 200).collect()
+    assert 120 < len(some) < 300 and {tuple(r) for r in some} <= {tuple(r) for r in whole}
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 60)], "doc_id long, quality int")
+    train, seen = qda.train, []
+    try:
+        qda.train = lambda x, y: seen.append(len(y)) or train(x, y)
+        qda.fit(spark, docs, labels, labelled_rows=100)
+    finally:
+        qda.train = train
+    assert seen[0] < 150
+
+
 def test_empty_tables(spark, docs, labels):
     none, no_labels = docs.limit(0), labels.limit(0)
     vectors = spark.createDataFrame([], "vec_id long, embedding array<float>")

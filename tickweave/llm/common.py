@@ -64,3 +64,11 @@ def label_sample(spark: SparkSession, labels: DataFrame, column: str, bound: int
         .filter(F.col("y") == F.col("y_max")).select("doc_id", "y")
     )
     return hash_sample(one, F.col("doc_id"), bound, one.count())
+
+
+def labelled_texts(docs: DataFrame, sample: DataFrame, bound: int) -> DataFrame:
+    """(doc_id, text, y) of the documents of a ``label_sample``. A repeated row
+    counts once; at most about ``bound`` rows, however often an id occurs."""
+    h = "__text_hash"
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias(h)).join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id", h])
+    return hash_sample(rows, F.struct("doc_id", h), bound, rows.count()).drop(h)

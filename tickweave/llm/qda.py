@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickweave.llm.common import held_out, label_sample
+from tickweave.llm.common import held_out, label_sample, labelled_texts
 from tickweave.llm.textstats import share, with_counts, with_words
 
 LABELLED_ROWS = 20_000
@@ -99,7 +99,7 @@ def train(x: np.ndarray, y: np.ndarray, to_pooled: float = 0.1, to_diagonal: flo
 
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS) -> Model:
     sample = label_sample(spark, labels, "quality", labelled_rows)
-    rows = docs.select(F.col("doc_id"), F.col("text")).join(F.broadcast(sample), "doc_id")
+    rows = labelled_texts(docs, sample, labelled_rows)
     seen = sorted(with_features(rows, "text", "x").select("x", "y").collect())
     return train(np.array([r[0] for r in seen], float).reshape(len(seen), FEATURES), np.array([r[1] for r in seen], float))
 

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickweave.llm.common import label_sample
+from tickweave.llm.common import label_sample, labelled_texts
 from tickweave.llm.textstats import share, with_counts, with_repeats, with_words
 
 LABELLED_ROWS = 20_000
@@ -133,7 +133,7 @@ def learn(rows: list[tuple], bad: list[bool], cuts: int = 64, most_conditions: i
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS) -> list[Rule]:
     """The decision list for ``labels.quality``, from rows outside the held-out fold."""
     sample = label_sample(spark, labels, "quality", labelled_rows)
-    rows = docs.select(F.col("doc_id"), F.col("text")).join(F.broadcast(sample), "doc_id")
+    rows = labelled_texts(docs, sample, labelled_rows)
     stats = with_stats(rows, "text").select("doc_id", *[F.col(f"{P}{f}").cast("double").alias(f) for f in FEATURES], "y")
     seen = sorted(tuple(r) for r in stats.collect())
     return learn([r[1:-1] for r in seen], [r[-1] == 0 for r in seen])
