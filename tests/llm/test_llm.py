@@ -353,6 +353,18 @@ def test_op10_round_trip(docs, texts, size):
     same(map(tuple, bpe.digests(some, b, dictionary_words=size).collect()), want)
 
 
+def test_op10_dictionary_holds_no_long_words(spark):
+    long = ["b" * 3_000, "中" * 400, "x" * 65]
+    texts = [" ".join([*long, "y" * 63, "short"]) for _ in range(3)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    b = bpe.public_bpe()
+    held = {w.encode() for w in bpe.read_dictionary(b.dictionary(docs, "text", 1_000))} - set(b.ranks)
+    assert held and max(map(len, held)) == bpe.DICTIONARY_WORD_BYTES == len(" " + "y" * 63)
+    enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=b.ranks, special_tokens={})
+    want = [(i, hashlib.sha256(np.array(enc.encode_ordinary(t), "<u4").tobytes()).hexdigest()) for i, t in enumerate(texts)]
+    same([(r.doc_id, r.ids_sha256) for r in bpe.digests(docs, b).collect()], want)
+
+
 def test_labelled_rows_are_bounded_where_ids_repeat(spark):
     rows = [(1, "same words")] * 400 + [(2, f"other words {i}") for i in range(900)] + [(i, f"text {i}") for i in range(3, 60)] + [(3, None)] * 5
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)

@@ -37,7 +37,10 @@ from pyspark.sql import types as T
 from tickweave.llm.common import written
 
 BUCKETS = 16_384
-DICTIONARY_WORDS = 300_000  # encoded once and broadcast: a bound of about 6 MB
+DICTIONARY_WORDS = 300_000  # encoded once and broadcast
+# Bytes of the longest word of the dictionary: words and ids (one a byte at most,
+# 4 bytes each) are bounded by 300,000 x 64 x 5 bytes, 96 MB, whatever the texts.
+DICTIONARY_WORD_BYTES = 64
 LONG_WORD = 64  # bytes; longer words are merged rank by rank, all places at once
 
 
@@ -153,10 +156,12 @@ class Bpe:
         return parts.groupBy("word").agg(F.sum("n").alias("n"))
 
     def dictionary(self, docs: DataFrame, text: str, size: int) -> bytes:
-        """The ``size`` most frequent words with their ids, encoded by the fold,
-        and the tokens that are text with their own id, as one Arrow file."""
+        """The ``size`` most frequent words of at most DICTIONARY_WORD_BYTES with
+        their ids, encoded by the fold, and the tokens that are text with their
+        own id, as one Arrow file."""
         parts = max(12, docs.sparkSession.sparkContext.defaultParallelism * 4)
-        top = self.word_counts(docs, text).orderBy(F.col("n").desc(), "word").limit(size).select("word")
+        short = self.word_counts(docs, text).filter(F.length("word") <= DICTIONARY_WORD_BYTES)
+        top = short.orderBy(F.col("n").desc(), "word").limit(size).select("word")
         top = written(top.repartition(parts, "word"), "bpe-words")
         table = top.select("word", self.encode_word(F.col("word")).alias("ids")).toArrow()
         whole = sorted((t, r) for t, r in self.ranks.items() if _is_text(t))
