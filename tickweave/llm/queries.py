@@ -6,7 +6,7 @@ import functools
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickweave.llm import bpe, htmlcrf, langid, mixing, qda, qualityrules, secretscan, simhash, tokencount, topk
+from tickweave.llm import bpe, htmlcrf, langid, mining, mixing, qda, qualityrules, secretscan, simhash, tokencount, topk
 from tickweave.llm.common import prepare, read_table
 
 
@@ -54,6 +54,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read_table(spark, sf_dir, "documents"), bpe.public_bpe())
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mining.every_hundredth(read_table(spark, sf_dir, "embeddings"))
+
+
 def _prepared(query):
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,7 +68,8 @@ def _prepared(query):
 
 
 QUERIES = {f.__name__: _prepared(f) for f in (op1_language_id, op2_token_counts, op3_simhash, op4_secret_scan, op5_quality_rules,
-                                   op6_source_mix, op7_exact_topk, op8_html_text, op9_quality_classifier, op10_byte_bpe)}
+                                   op6_source_mix, op7_exact_topk, op8_html_text, op9_quality_classifier, op10_byte_bpe,
+                                   op11_hard_negatives)}
 
 
 def _kind_sql(kind: str, order: int, pattern: str, group: int, least: int, flags: str = "") -> str:
@@ -107,4 +112,22 @@ pairs as (
   from fine q join fine c on q.vec_id % 100 = 0 and q.vec_id <> c.vec_id),
 ranked as (select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from pairs)
 select query_id, rank, vec_id, score from ranked where rank <= 10""",
+    "op11_hard_negatives": """
+with fine as (
+  select row_number() over () as row, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    [floor(256 * cast(x as double)) for x in embedding]::double[] as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+near as (
+  select a.row, a.vec_id as anchor_id, a.label, a.v, p.vec_id as positive_id, cast(list_dot_product(a.v, p.v) as bigint) as positive_score, p.row as p_row
+  from fine a join fine p on a.vec_id % 100 = 0 and a.label = p.label and a.row <> p.row
+  qualify row_number() over (partition by a.row order by positive_score desc, p.vec_id, p.row) <= 5),
+far as (
+  select r.row, r.p_row, r.anchor_id, r.positive_id, r.positive_score, n.vec_id as negative_id, n.row as n_row,
+    cast(list_dot_product(r.v, n.v) as bigint) as negative_score
+  from near r join fine n on n.label <> r.label)
+select anchor_id, positive_id, cast(row_number() over (partition by row, p_row order by negative_score desc, negative_id, n_row) as integer) as rank,
+  negative_id, positive_score, negative_score
+from far where 30 * positive_score <= 100 * negative_score and 100 * negative_score <= 90 * positive_score
+qualify rank <= 10""",
 }
