@@ -6,7 +6,7 @@ import functools
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickweave.llm import bpe, htmlcrf, langid, mining, mixing, qda, qualityrules, secretscan, simhash, tokencount, topk
+from tickweave.llm import bpe, convtrie, htmlcrf, langid, mining, mixing, qda, qualityrules, secretscan, simhash, tokencount, topk, warc
 from tickweave.llm.common import prepare, read_table
 
 
@@ -58,6 +58,14 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mining.every_hundredth(read_table(spark, sf_dir, "embeddings"))
 
 
+def op12_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digests(read_table(spark, sf_dir, "pages"))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return convtrie.fives(read_table(spark, sf_dir, "conversations"))
+
+
 def _prepared(query):
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,7 +77,7 @@ def _prepared(query):
 
 QUERIES = {f.__name__: _prepared(f) for f in (op1_language_id, op2_token_counts, op3_simhash, op4_secret_scan, op5_quality_rules,
                                    op6_source_mix, op7_exact_topk, op8_html_text, op9_quality_classifier, op10_byte_bpe,
-                                   op11_hard_negatives)}
+                                   op11_hard_negatives, op12_warc_bundles, op13_conversation_trie)}
 
 
 def _kind_sql(kind: str, order: int, pattern: str, group: int, least: int, flags: str = "") -> str:
@@ -130,4 +138,45 @@ select anchor_id, positive_id, cast(row_number() over (partition by row, p_row o
   negative_id, positive_score, negative_score
 from far where 30 * positive_score <= 100 * negative_score and 100 * negative_score <= 90 * positive_score
 qualify rank <= 10""",
+    # base32: every five hex digits are four characters
+    "op12_warc_bundles": """
+with p as (select page_id, url, coalesce(html, '') as t, sha1(coalesce(html, '')) as h from pages),
+g as (select *, max(page_id) over (partition by t) as first from p),
+q as (select *, first is not null and (page_id is null or page_id < first) as copy,
+  [cast('0x' || h[5 * i + 1 : 5 * i + 5] as bigint) for i in range(8)] as parts from g)
+select page_id, url, cast(strlen(t) as bigint) as payload_bytes,
+  list_aggregate([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast((parts[i // 4 + 1] >> (15 - 5 * (i % 4))) & 31 as integer) + 1, 1) for i in range(32)], 'string_agg', '') as payload_digest,
+  case when copy then 'revisit' else 'response' end as record_type, case when copy then first end as refers_to
+from q""",
+    "op13_conversation_trie": """
+with t as (
+  select conv_id, coalesce(role, '') as r, coalesce(text, '') as t,
+    row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) - 1 as pos
+  from conversations where conv_id is not null),
+c as (select conv_id, list({'r': r, 't': t, 'c': conv_id, 'p': pos} order by pos) as turns from t group by conv_id),
+-- CRC-32, a bit at a time
+h as (
+  select conv_id, turns, xor(list_reduce([cast(4294967295 as bigint)] || [cast(ascii(x) as bigint) for x in string_split(cast(conv_id as varchar), '')],
+    lambda s, x: list_reduce([xor(s, x)] || [cast(0 as bigint) for i in range(8)],
+      lambda a, b: case when a & 1 = 1 then xor(a >> 1, cast(3988292384 as bigint)) else a >> 1 end)), cast(4294967295 as bigint)) % 9 as h
+  from c),
+r as (
+  select a.conv_id, coalesce(b.turns[1 : a.h], []) || a.turns[a.h + 1 :] as path
+  from h a left join c b on b.conv_id = a.conv_id - a.conv_id % 5),
+p as (select conv_id, d as depth, path[1 : d] as path, [[x.r, x.t] for x in path[1 : d]] as prefix, len(path) = d as ends from r, unnest(range(0, len(path) + 1)) u(d)),
+n as (
+  select depth, prefix, min(conv_id) as conv_id, count(*) as n_convs, arg_min(path[depth], conv_id) as turn,
+    sha256(coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (ends), '')) as ends_sha256
+  from p group by depth, prefix),
+k as (select depth - 1 as depth, prefix[1 : depth - 1] as prefix, count(*) as n_children from n where depth > 0 group by all),
+w as (
+  select n.*, coalesce(k.n_children, 0) as n_children, coalesce((n.n_convs - 1) * strlen(n.prefix[n.depth][2]), 0) as saved
+  from n left join k on n.depth = k.depth and n.prefix = k.prefix),
+s as (
+  select d as depth, prefix[1 : d] as prefix, cast(sum(saved) as bigint) as saved_tokens, count(*) filter (n_children = 0) as n_leaves
+  from w, unnest(range(0, depth + 1)) u(d) group by all)
+select w.conv_id, w.depth, u.conv_id as parent_conv_id, w.n_convs, w.n_children, s.n_leaves, s.saved_tokens, w.ends_sha256,
+  w.turn.c as turn_conv_id, w.turn.p as turn_position
+from w join s on w.depth = s.depth and w.prefix = s.prefix
+left join n u on u.depth = w.depth - 1 and u.prefix = w.prefix[1 : w.depth - 1]""",
 }
