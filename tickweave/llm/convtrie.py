@@ -115,7 +115,7 @@ def stored_turns(conversations: DataFrame, seed: int = 0, modulus: int = P) -> D
                                  F.octet_length("text").cast("long").alias("bytes")), "trie-turns")
     placed = sequence(narrow, key="conv_id", order=("turn", "r", "t", "k1", "k2")).select("conv_id", "pos", "n", "k1", "k2", "bytes")
     share = lambda j, b: F.pmod(F.xxhash64(F.lit(seed + j), "k1", "k2"), F.lit(modulus)) * _power(b, F.col("pos"), modulus) % modulus
-    placed = placed.withColumns({c: share(j, b) for j, (c, b) in enumerate(zip(C, bases(seed, modulus)))})
+    placed = written(placed.withColumns({c: share(j, b) for j, (c, b) in enumerate(zip(C, bases(seed, modulus)))}), "trie-places")
     summed = running(placed, "conv_id", "pos", C)
     return written(summed.select("conv_id", "pos", "n", "k1", "k2", "bytes", *C, *[(F.col(f"run_{c}") % modulus).alias(s) for c, s in zip(C, S)]), "trie-sums")
 
