@@ -126,22 +126,7 @@ def test_arima_order_of_a_series_is_its_own(spark):
         assert alone[1] is not None and np.allclose(alone[4:], together[name][4:]), name
 
 
-def test_registered_grid_is_the_references(spark, monkeypatch):
-    """Trees 200..1000, leaves 1..3, depths as far as Spark goes, every horizon."""
-    from tickweave.registry import QUERIES
-
-    seen = []
-
-    def spied(windows, features, horizon, depths, trees, min_leaf):
-        seen.append((horizon, set(depths), set(trees), set(min_leaf)))
-        return None, spark.createDataFrame([(1, 1, 1, 1.0)], "max_depth int, num_trees int, min_leaf int, rmse double")
-
-    monkeypatch.setattr(ml, "rf_grid", spied)
-    assert QUERIES["m10_rf_grid"](spark, SF01).count() == 3
-    assert seen == [(h, {10, 20, 30}, {200, 400, 600, 800, 1000}, {1, 2, 3}) for h in (1, 2, 3)]
-
-
 def test_models_without_windows(spark):
     none = spark.createDataFrame([], "currency string, window_id long, split string, y array<double>, x array<struct<price:double>>")
     assert ml.rf_forecast(none, ("price",)).count() == 0
-    assert ml.rf_grid(none, ("price",))[1].count() == 0
+    assert ml.rf_grid(none, ("price",)).count() == 0

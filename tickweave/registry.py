@@ -617,12 +617,7 @@ def q_m10_rf_grid(spark, d):
     from tickweave.operators import ml
 
     w = _model_windows(spark, d).filter("split = 'train'")
-    grid = None
-    for h in (1, 2, 3):
-        _, g = ml.rf_grid(w, FEATS, horizon=h, depths=(10, 20, 30), trees=(200, 400, 600, 800, 1000), min_leaf=(1, 2, 3))
-        g = g.withColumn("horizon", F.lit(h))
-        grid = g if grid is None else grid.unionByName(g)
-    return grid
+    return ml.rf_grid(w, FEATS, n_out=3, depths=(10, 20, 30), trees=(200, 400, 600, 800, 1000), min_leaf=(1, 2, 3))
 
 
 def q_j5_score_join(spark, d):
