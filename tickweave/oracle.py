@@ -183,6 +183,14 @@ SQL: dict[str, str] = {
       select currency, cast(unnest(range(1, 11)) as bigint) as lag, round(unnest(s) / c0, 6) as acf,
              round(1.959963984540054 / sqrt(n), 6) as band95, round(2.5758293035489004 / sqrt(n), 6) as band99
       from a""",
+    "a13_acf_all": T
+    + """,
+      z as (select currency, pos, price - avg(price) over (partition by currency) as z from t),
+      s as (select currency, count(z) as n, sum(z * z) as c0 from z group by 1),
+      p as (select a.currency, b.pos - a.pos as lag, sum(a.z * b.z) as p from z a join z b on a.currency = b.currency and a.pos < b.pos group by all)
+      select currency, lag, round(p / nullif(c0, 0), 6) as acf, round(1.959963984540054 / sqrt(n), 6) as band95,
+             round(2.5758293035489004 / sqrt(n), 6) as band99
+      from p join s using (currency)""",
     "a14_adf": T
     + """,
       l as (select currency, price - lag(price) over w as dy, lag(price) over w as y1

@@ -282,6 +282,13 @@ def q_a13_acf(spark, d):
                     *[r6(c).alias(c) for c in ("acf", "band95", "band99")])
 
 
+def q_a13_acf_all(spark, d):
+    """A13 at every lag of every series (what the autocorrelation plot draws)."""
+    from tickweave.operators.acf import acf_all
+
+    return acf_all(ticks(spark, d), "price").select("currency", "lag", *[r6(c).alias(c) for c in ("acf", "band95", "band99")])
+
+
 def q_a14_adf(spark, d):
     a = ST.adf(ticks(spark, d), "price")
     return a.select("currency", r6("gamma").alias("gamma"), r6("t_stat").alias("t_stat"), "nobs")
