@@ -26,14 +26,14 @@ def test_arima_recovers_ar2_and_forecasts(spark):
     walk = np.cumsum(np.random.default_rng(4).normal(size=1500))
     rows += [("walk", i, 10_000 + i, float(v), 1.0, 1.0) for i, v in enumerate(walk)]
     s = sequence(make_ticks(spark, rows), chunks=4)
-    models, resid = A.arima_fit(s, "price")
+    models = A.arima_fit(s, "price")
     m = models.toPandas().set_index("currency")
     assert m.loc["ar", "d"] == 0 and m.loc["walk", "d"] == 1
     assert m.loc["ar", "p"] >= 2
     coef = m.loc["ar", "coef"]
     if m.loc["ar", "p"] == 2 and m.loc["ar", "q"] == 0:
         assert abs(coef[1] - 0.5) < 0.08 and abs(coef[2] + 0.3) < 0.08
-    fc = A.arima_forecast(models, resid, "price", steps=10).toPandas()
+    fc = A.arima_forecast(models, s, "price", steps=10).toPandas()
     assert len(fc) == 20 and fc.forecast.notna().all()
 
 
@@ -74,7 +74,7 @@ def test_select_d_with_augmented_test(spark):
     rows += [("walk", i, 10_000 + i, float(v), 1.0, 1.0) for i, v in enumerate(walk)]
     rows += [("i2", i, 20_000 + i, float(v), 1.0, 1.0) for i, v in enumerate(twice)]
     s = sequence(make_ticks(spark, rows), chunks=4)
-    d = {r["currency"]: r["d"] for r in A.select_d(s, "price", adf_lags=3).collect()}
+    d = {r["currency"]: r["d"] for r in A.select_d(s, "price", lags=3).collect()}
     assert d == {"ar": 0, "walk": 1, "i2": 2}
 
 
@@ -93,7 +93,8 @@ def test_arima_orders_on_known_series(spark):
     add("walk", np.cumsum(np.random.default_rng(6).normal(size=1500)))
     add("constant", np.full(500, 7.0))
     add("short", _ar2(9, 1))
-    models, resid = A.arima_fit(sequence(make_ticks(spark, rows), chunks=4), "price")
+    s = sequence(make_ticks(spark, rows), chunks=4)
+    models = A.arima_fit(s, "price")
     got = {r["currency"]: r for r in models.collect()}
     for level in (0, 10**6, 10**9):
         r = got[f"ar{level}"]
@@ -103,7 +104,7 @@ def test_arima_orders_on_known_series(spark):
     assert abs(got["ma"]["coef"][1] - 0.8) < 0.1
     assert got["walk"]["d"] == 1 and got["constant"]["d"] == 0
     assert got["short"]["p"] is None and got["short"]["nobs"] == 0
-    ahead = {r["currency"]: r["forecast"] for r in A.arima_forecast(models, resid, steps=1).collect()}
+    ahead = {r["currency"]: r["forecast"] for r in A.arima_forecast(models, s, steps=1).collect()}
     assert abs(ahead["constant"] - 7.0) < 1e-9 and ahead["short"] is None
     assert abs(ahead["ar1000000"] - ahead["ar0"] - 10**6) < 1e-3
 
@@ -114,8 +115,9 @@ def test_arima_order_of_a_series_is_its_own(spark):
 
     def fitted(series):
         rows = [(name, i, 1000 * j + i, float(x), 1.0, 1.0) for j, (name, v) in enumerate(series.items()) for i, x in enumerate(v)]
-        models, resid = A.arima_fit(sequence(make_ticks(spark, rows), chunks=4), "price")
-        ahead = {r["currency"]: r["forecast"] for r in A.arima_forecast(models, resid, steps=3).collect() if r["step"] == 3}
+        s = sequence(make_ticks(spark, rows), chunks=4)
+        models = A.arima_fit(s, "price")
+        ahead = {r["currency"]: r["forecast"] for r in A.arima_forecast(models, s, steps=3).collect() if r["step"] == 3}
         return {r["currency"]: (r["d"], r["p"], r["q"], r["nobs"], r["aic"], ahead[r["currency"]]) for r in models.collect()}
 
     together = fitted({**short, "long": _ar2(400, 2)})

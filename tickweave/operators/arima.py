@@ -1,20 +1,20 @@
 """ARIMA order search (M11) and forecasts (M12), all series at once.
 
-Order search follows the reference's ``auto_arima(d=None, test='adf',
-max_p=3, max_q=3, seasonal=False)`` in intent, with a different, fully
-distributed estimator:
-
-* d: the smallest d in 0..max_d whose Dickey-Fuller t statistic (constant,
-  no augmentation) is below the 5% critical value -2.86; the regressions for
-  every d come from one lagged pass and one aggregation.
-* p, q: Hannan-Rissanen. A long AR(m), m by the series' own length, fitted by
-  least squares gives residuals e; then w_t is regressed on w_{t-1..t-p} and e_{t-1..t-q} for every (p, q)
-  in the full grid (not stepwise). All 16 fits are solved from sub-matrices
-  of one X'X aggregated per series; AIC = N ln(SSR/N) + 2(p+q+1) on a common
-  sample picks the order.
-
-Spark does the passes over the data (lags via block halos, sums of products
-via grouped aggregation); numpy only solves the small per-series systems.
+The search follows the reference's ``auto_arima(d=None, test='adf', max_p=3,
+max_q=3, seasonal=False)`` in intent: d by augmented Dickey-Fuller tests
+(``operators.unitroot``), p and q by a stepwise walk along falling AIC, here of
+Whittle's likelihood instead of the exact Gaussian one.
+
+Whittle's likelihood of a series needs its autocovariances only:
+
+    s2(phi, theta) = mean over frequencies of  f * |phi(e^iw)|^2 / |theta(e^iw)|^2,
+    f = gamma_0 + 2 sum_h gamma_h cos(h w),      AIC = n ln s2 + 2 (p + q + 1).
+
+Autocovariances are sums of products over position blocks (``operators.acf``), so
+no pass recurses along a series and none holds it. With the lags up to 1,024 f is
+the whole periodogram of a shorter series; for a longer one the lags beyond weigh
+as little as the inverse model's memory does (models with an inverse root beyond .99
+are no candidates, as in the reference's search). Per series remain at most 16 fits of at most six parameters in numpy.
 """
 
 from __future__ import annotations
@@ -28,212 +28,209 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickweave.operators.stats import normal_equations, ols, solve_ols, unpack_xtx
+from tickweave.operators.acf import autoproducts
+from tickweave.operators.unitroot import select_d
 from tickweave.plans.neighbors import lagged
 from tickweave.plans.small import bounded_broadcast
 from tickweave.schema import KEY
-
-# Dickey-Fuller 5% critical value, regression with constant, large sample
-# (fixed value).
-DF_CRIT_5 = -2.86
-
-
-def _diff_expr(d: int, shift: int = 0):
-    """Delta^d y at t-shift from lag columns _y0 (=y), _y1, _y2, ..."""
-    e = F.lit(0.0)
-    for k in range(d + 1):
-        e = e + F.lit(float((-1) ** k * comb(d, k))) * F.col(f"_y{k + shift}")
-    return e
-
-
-def select_d(sdf: DataFrame, col: str = "price", max_d: int = 2, key: str = KEY, crit: float = DF_CRIT_5,
-             adf_lags: int = 0) -> DataFrame:
-    """Per series: Dickey-Fuller t statistics of Delta^0..Delta^max_d and the
-    chosen d (the smallest whose statistic is below ``crit``). With
-    ``adf_lags`` = k > 0 the regressions are augmented with k lagged
-    differences and solved from per-series normal equations."""
-    depth = max_d + 1 + adf_lags
-    l = lagged(sdf.withColumn("_y0", F.col(col)), {f"_y{k}": (col, k) for k in range(1, depth + 1)}, key)
-    if adf_lags == 0:
-        aggs = []
-        for d in range(max_d + 1):
-            x = _diff_expr(d, 1)
-            dy = _diff_expr(d, 0) - x
-            se = F.sqrt(F.try_divide((F.lit(1.0) - F.regr_r2(dy, x)) * F.regr_syy(dy, x),
-                                     (F.regr_count(dy, x) - 2) * F.regr_sxx(dy, x)))
-            aggs.append(F.try_divide(F.regr_slope(dy, x), F.nullif(se, F.lit(0.0))).alias(f"t{d}"))
-        g = l.groupBy(key).agg(*aggs)
-    else:
-        g = None
-        for d in range(max_d + 1):
-            cols = {"_dw": _diff_expr(d, 0) - _diff_expr(d, 1), "_w1": _diff_expr(d, 1)}
-            for j in range(1, adf_lags + 1):
-                cols[f"_dw{j}"] = _diff_expr(d, j) - _diff_expr(d, j + 1)
-            fit = ols(l.withColumns(cols), "_dw", ["_w1"] + [f"_dw{j}" for j in range(1, adf_lags + 1)], key)
-            td = fit.select(key, F.col("t")[1].alias(f"t{d}"))
-            g = td if g is None else g.join(td, key, "full")
-    # a series without variation left has no statistic and needs no more differences
-    choose = F.lit(max_d)
-    for d in reversed(range(max_d + 1)):
-        choose = F.when((F.col(f"t{d}") < F.lit(crit)) | F.col(f"t{d}").isNull(), F.lit(d)).otherwise(choose)
-    return g.withColumn("d", choose)
-
-
-def _differenced(sdf: DataFrame, dsel: DataFrame, col: str, max_d: int, key: str) -> DataFrame:
-    l = lagged(sdf.withColumn("_y0", F.col(col)), {f"_y{k}": (col, k) for k in range(1, max_d + 1)}, key)
+from tickweave.session import scratch_path
+
+MAX_LAG = 1_024
+LIMIT = 0.999  # of a partial autocorrelation: keeps roots off the unit circle
+LARGEST_ROOT = 0.99  # of an inverse root: fits beyond follow single waves of the noise and are no candidates
+LEAST_ROWS = 14  # a series needs more for the largest model
+TAIL = 512  # rows from which a forecast rebuilds the last innovations
+
+
+# ------------------------------------------------------ likelihood of one series
+def coefficients(u: np.ndarray) -> np.ndarray:
+    """a_1..a_k of a polynomial 1 - a_1 z - .. - a_k z^k without roots on or inside
+    the unit circle, from any real numbers (partial autocorrelations by tanh)."""
+    a = np.zeros(0)
+    for r in LIMIT * np.tanh(u):
+        a = np.append(a - r * a[::-1], r)
+    return a
+
+
+class Whittle:
+    """The likelihood from autocovariances 0..M."""
+
+    def __init__(self, gamma: np.ndarray):
+        m = len(gamma) - 1
+        size = 1 << max(6, (4 * m + 3).bit_length())
+        whole = np.zeros(size)
+        whole[:m + 1], whole[size - m:] = gamma, gamma[:0:-1]
+        self.f = np.fft.rfft(whole).real
+        weight = np.full(len(self.f), 2.0 / size)
+        weight[0] = weight[-1] = 1.0 / size
+        self.f = self.f * weight
+        self.waves = np.exp(-2j * np.pi * np.outer(np.arange(1, 4), np.arange(len(self.f))) / size)
+
+    def gain(self, a: np.ndarray) -> np.ndarray | float:
+        if not len(a):
+            return 1.0
+        x = 1 - a @ self.waves[:len(a)]
+        return x.real**2 + x.imag**2
+
+    def variance(self, u: np.ndarray, p: int) -> float:
+        return float(np.sum(self.f * self.gain(coefficients(u[:p])) / self.gain(coefficients(u[p:]))))
+
+    def log_variance(self, u: np.ndarray, p: int) -> float:
+        return np.log(max(self.variance(u, p), 1e-300))
+
+    def slope(self, u: np.ndarray, p: int, step: float = 1e-5) -> np.ndarray:
+        e = np.eye(len(u)) * step
+        return np.array([(self.log_variance(u + x, p) - self.log_variance(u - x, p)) / (2 * step) for x in e])
+
+    def fit(self, u: np.ndarray, p: int) -> tuple[float, np.ndarray]:
+        """Least log variance from ``u`` on, by BFGS with halved steps."""
+        value = self.log_variance(u, p)
+        if not len(u):
+            return value, u
+        h, g = np.eye(len(u)), self.slope(u, p)
+        for _ in range(60):
+            step = -h @ g
+            if step @ g >= 0:
+                h, step = np.eye(len(u)), -g
+            size = min(1.0, 1.0 / max(np.abs(step).max(), 1e-12))
+            while size > 1e-6 and self.log_variance(u + size * step, p) > value + 1e-4 * size * (step @ g):
+                size /= 2
+            if size <= 1e-6:
+                break
+            new = u + size * step
+            now, slope = self.log_variance(new, p), self.slope(new, p)
+            s, y = new - u, slope - g
+            if s @ y > 1e-12:
+                r, i = 1 / (s @ y), np.eye(len(u))
+                h = (i - r * np.outer(s, y)) @ h @ (i - r * np.outer(y, s)) + r * np.outer(s, s)
+            done = value - now < 1e-10
+            u, g, value = new, slope, now
+            if done:
+                break
+        return value, u
+
+
+def inside(u: np.ndarray) -> bool:
+    """Whether all inverse roots of the polynomial stay below LARGEST_ROOT."""
+    a = coefficients(u)
+    return not len(a) or np.abs(np.roots([1.0, *-a])).max() < LARGEST_ROOT
+
+
+def search_orders(gamma: np.ndarray, n: int, max_p: int, max_q: int) -> tuple[int, int, np.ndarray, np.ndarray, float, float]:
+    """(p, q, phi, theta, s2, aic) by a stepwise walk: from the best of a few small
+    models to the neighbour of the least AIC, while that falls. A larger model
+    starts from the smaller ones, so it is never worse; theta is that of
+    1 + theta_1 z + .."""
+    w, fits = Whittle(gamma), {}
+
+    def fit(p: int, q: int) -> tuple[float, np.ndarray]:
+        if (p, q) not in fits:
+            starts = [np.insert(fit(p - 1, q)[1], p - 1, x) for x in (0.0, 0.5)] if p else []
+            starts += [np.append(fit(p, q - 1)[1], x) for x in (0.0, -0.5)] if q else []
+            fits[p, q] = min((w.fit(u, p) for u in starts or [np.zeros(0)]), key=lambda x: x[0])
+        return fits[p, q]
+
+    def aic(model: tuple[int, int]) -> float:
+        (value, u), p = fit(*model), model[0]
+        return round(n * value + 2 * (sum(model) + 1), 6) if inside(u[:p]) and inside(u[p:]) else np.inf
+
+    allowed = lambda models: [m for m in models if 0 <= m[0] <= max_p and 0 <= m[1] <= max_q]
+    best = min(allowed([(0, 0), (1, 0), (0, 1), (2, 2)]), key=aic)
+    while (near := min(allowed(itertools.product(*(range(x - 1, x + 2) for x in best))), key=aic)) != best and aic(near) < aic(best):
+        best = near
+    (value, u), p = fit(*best), best[0]
+    return *best, coefficients(u[:p]), -coefficients(u[p:]), float(np.exp(value)), n * value + 2 * (sum(best) + 1)
+
+
+# ---------------------------------------------------------------- all series
+def _differenced(sdf: DataFrame, dsel: DataFrame, max_d: int, key: str) -> DataFrame:
+    """key, pos, n, _w: the d-th differences of ``_y``, d by series; written once."""
+    l = lagged(sdf, {f"_y{k}": ("_y", k) for k in range(1, max_d + 1)}, key).withColumn("_y0", F.col("_y"))
     l = l.join(bounded_broadcast(dsel.select(key, "d")), key)
     w = F.lit(None).cast("double")
     for d in range(max_d + 1):
-        w = F.when(F.col("d") == d, _diff_expr(d, 0)).otherwise(w)
-    return l.withColumn("_w", w).drop(*[f"_y{k}" for k in range(0, max_d + 1)])
-
-
-def _long_ar(wl: DataFrame, lags: list[str], unit: DataFrame, key: str) -> DataFrame:
-    """Per series the coefficients ``_ar`` (constant first) of its AR of its own
-    length ``_m``, 0 beyond."""
-    ne = normal_equations(wl, "_w", lags, key).join(unit.select(key, "_m"), key)
-    k = len(lags) + 1
-    schema = T.StructType([f for f in ne.schema.fields if f.name == key] + [T.StructField("_ar", T.ArrayType(T.DoubleType()))])
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        for _, r in pdf.iterrows():
-            own, coef = int(r["_m"]) + 1, np.zeros(k)
-            xtx = unpack_xtx(np.asarray(r["xtx"], dtype=float), k)[:own, :own]
-            coef[:own] = solve_ols(xtx, np.asarray(r["xty"], dtype=float)[:own], float(r["yty"]), int(r["nobs"]))[0]
-            rows.append({key: r[key], "_ar": coef.tolist()})
-        return pd.DataFrame(rows, columns=[key, "_ar"])
-
-    return ne.groupBy(key).applyInPandas(fit, schema)
-
-
-def arima_fit(
-    sdf: DataFrame,
-    col: str = "price",
-    max_p: int = 3,
-    max_q: int = 3,
-    max_d: int = 2,
-    long_ar: int | None = None,
-    key: str = KEY,
-    adf_lags: int = 0,
-) -> tuple[DataFrame, DataFrame]:
-    """Returns (models, residual frame). models: key, d, p, q, aic, coef
-    (constant, phi_1..p, theta_1..q), sigma2, nobs. The residual frame is the
-    input with ``_w`` (differenced series) and ``_e`` (long-AR residuals).
+        of_d = F.lit(0.0)
+        for k in range(d + 1):
+            of_d = of_d + F.lit(float((-1) ** k * comb(d, k))) * F.col(f"_y{k}")
+        w = F.when(F.col("d") == d, of_d).otherwise(w)
+    path = scratch_path(sdf.sparkSession, "differences")
+    l.select(key, "pos", "n", w.alias("_w")).write.parquet(path)
+    return sdf.sparkSession.read.parquet(path)
+
+
+def arima_fit(sdf: DataFrame, col: str = "price", max_p: int = 3, max_q: int = 3, max_d: int = 2, key: str = KEY,
+              adf_lags: int | None = None) -> DataFrame:
+    """Key, d, p, q, aic, coef (constant, phi_1..p, theta_1..q), sigma2, nobs.
 
     The fit runs on standardised series, so that levels do not cost digits. The
-    long AR of a series grows with its own length, 10 log10(n) within 8..24,
-    unless given; no series has a say in another's. A series too short for the
-    fit has a NULL order."""
-    unit = sdf.groupBy(key).agg(F.avg(col).alias("_mu"), F.nullif(F.stddev_pop(col), F.lit(0.0)).alias("_sd"), F.max("n").alias("_len"))
+    constant is that of the differenced series (a drift for d > 0). A series too
+    short for the fit has a NULL order; no series has a say in another's."""
+    unit = sdf.groupBy(key).agg(F.avg(col).alias("_mu"), F.nullif(F.stddev_pop(col), F.lit(0.0)).alias("_sd"))
     unit = bounded_broadcast(unit.withColumn("_sd", F.coalesce("_sd", F.lit(1.0))))
-    own = F.least(F.lit(24), F.greatest(F.lit(8), F.floor(10 * F.log10("_len")).cast("int"))) if long_ar is None else F.lit(long_ar)
-    unit = unit.withColumn("_m", own).drop("_len")
-    longest = unit.agg(F.max("_m")).first()[0] or 1
-    sdf = sdf.join(unit, key).withColumn("_z", (F.col(col) - F.col("_mu")) / F.col("_sd"))
-    col = "_z"
-    dsel = select_d(sdf, col, max_d, key, adf_lags=adf_lags)
-    w = _differenced(sdf, dsel, col, max_d, key)
-    lags = {f"_w{i}": ("_w", i) for i in range(1, longest + 1)}
-    # lags beyond a series' own are 0: they cost it no rows, and its fit is the
-    # leading part of the one X'X
-    wl = lagged(w, lags, key).withColumns({f"_w{i}": F.when(F.col("_m") >= i, F.col(f"_w{i}")).otherwise(F.lit(0.0)) for i in range(1, longest + 1)})
-    ar = _long_ar(wl, list(lags), unit, key)
-    fit = F.col("_ar")[0]
-    for i in range(1, longest + 1):
-        fit = fit + F.col("_ar")[i] * F.col(f"_w{i}")
-    resid = wl.join(bounded_broadcast(ar), key, "left").withColumn("_e", F.col("_w") - fit).drop("_ar", "_m", *lags)
-
-    hr = lagged(
-        resid,
-        {**{f"_wl{i}": ("_w", i) for i in range(1, max_p + 1)}, **{f"_el{j}": ("_e", j) for j in range(1, max_q + 1)}},
-        key,
-    )
-    xs = [f"_wl{i}" for i in range(1, max_p + 1)] + [f"_el{j}" for j in range(1, max_q + 1)]
-    ne = normal_equations(hr, "_w", xs, key)
-    ne = bounded_broadcast(dsel.select(key, "d")).join(ne, key, "left").join(unit, key)
-    k = len(xs) + 1
-    schema = T.StructType(
-        [f for f in ne.schema.fields if f.name == key]
-        + [
-            T.StructField("d", T.IntegerType()),
-            T.StructField("p", T.IntegerType()),
-            T.StructField("q", T.IntegerType()),
-            T.StructField("aic", T.DoubleType()),
-            T.StructField("coef", T.ArrayType(T.DoubleType())),
-            T.StructField("sigma2", T.DoubleType()),
-            T.StructField("nobs", T.LongType()),
-        ]
-    )
-
-    def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for _, r in pdf.iterrows():
-            if r["xtx"] is None or not r["nobs"] > 2 * k:
-                out.append({key: r[key], "d": int(r["d"]), "p": None, "q": None, "aic": None, "coef": None, "sigma2": None,
-                            "nobs": int(r["nobs"]) if r["nobs"] == r["nobs"] and r["nobs"] else 0})
-                continue
-            mu, sd = float(r["_mu"]), float(r["_sd"])
-            full = unpack_xtx(np.asarray(r["xtx"], dtype=float), k)
-            xty = np.asarray(r["xty"], dtype=float)
-            n = int(r["nobs"])
-            best = None
-            for p, q in itertools.product(range(max_p + 1), range(max_q + 1)):
-                idx = [0] + list(range(1, p + 1)) + list(range(1 + max_p, 1 + max_p + q))
-                b, ssr, _ = solve_ols(full[np.ix_(idx, idx)], xty[idx], float(r["yty"]), n)
-                s2 = max(ssr / max(n, 1), 1e-300)
-                aic = n * np.log(s2) + 2 * (p + q + 1)
-                bic = aic + (np.log(n) - 2) * (p + q + 1)  # chooses: AIC overfits on these residuals
-                if best is None or bic < best[5] - 1e-9:
-                    best = (p, q, b, aic, s2, bic)
-            p, q, b, aic, s2, _ = best
-            # back to the units of the series
-            b = np.array(b, dtype=float)
-            b[0] = b[0] * sd + (mu * (1 - b[1:1 + p].sum()) if int(r["d"]) == 0 else 0.0)
-            aic, s2 = aic + 2 * n * np.log(sd), s2 * sd * sd
-            out.append({key: r[key], "d": int(r["d"]), "p": p, "q": q, "aic": float(aic),
-                        "coef": [float(v) for v in b], "sigma2": float(s2), "nobs": n})
-        frame = pd.DataFrame(out, columns=[f.name for f in schema.fields])
-        return frame.astype({"p": "Int32", "q": "Int32", "nobs": "Int64"})
-
-    resid = resid.withColumn("_w", F.col("_w") * F.col("_sd") + F.when(F.col("d") == 0, F.col("_mu")).otherwise(F.lit(0.0)))
-    resid = resid.withColumn("_e", F.col("_e") * F.col("_sd")).drop("_mu", "_sd", "_z")
-    models = ne.groupBy(key).applyInPandas(search, schema)
-    return models, resid
-
-
-def arima_forecast(models: DataFrame, resid: DataFrame, col: str = "price", steps: int = 100,
-                   key: str = KEY) -> DataFrame:
-    """``steps``-ahead forecast per series from the fitted order, NULL
-    where there is none. Only the last rows of each series (y, w, e), as many
-    as the largest order needs, travel to the per-series function."""
-    most = models.agg(F.max(F.greatest("d", "p", "q"))).first()[0]
-    tail = max(1, most or 0)
-    last = resid.filter(F.col("pos") >= F.col("n") - tail).select(key, "pos", F.col(col).alias("y"), "_w", "_e")
+    z = sdf.select(key, "pos", "n", col).join(unit, key).withColumn("_y", (F.col(col) - F.col("_mu")) / F.col("_sd")).select(key, "pos", "n", "_y")
+    dsel = bounded_broadcast(select_d(z, "_y", max_d, key, lags=adf_lags))
+    w = _differenced(z, dsel, max_d, key)
+    means = bounded_broadcast(w.groupBy(key).agg(F.avg("_w").alias("_mean"), F.count("_w").alias("nobs")))
+    centred = w.join(means.select(key, "_mean"), key).withColumn("_c", F.col("_w") - F.col("_mean"))
+    products = autoproducts(centred, "_c", MAX_LAG, key)
+    gammas = products.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("lag", "product"))), lambda r: r["product"]).alias("products"))
+    ready = dsel.select(key, "d").join(gammas, key, "left").join(means, key, "left").join(unit, key)
+    schema = T.StructType([f for f in ready.schema.fields if f.name == key] + [
+        T.StructField("d", T.IntegerType()), T.StructField("p", T.IntegerType()), T.StructField("q", T.IntegerType()),
+        T.StructField("aic", T.DoubleType()), T.StructField("coef", T.ArrayType(T.DoubleType())),
+        T.StructField("sigma2", T.DoubleType()), T.StructField("nobs", T.LongType())])
+    names = [f.name for f in schema.fields]
+
+    def search(batches):
+        for pdf in batches:
+            out = []
+            for r in pdf.to_dict("records"):
+                d, n = int(r["d"]), int(r["nobs"] or 0)
+                if r["products"] is None or n <= LEAST_ROWS:
+                    out.append((r[key], d, None, None, None, None, None, 0))
+                    continue
+                mu, sd = float(r["_mu"]), float(r["_sd"])
+                p, q, phi, theta, s2, aic = search_orders(np.asarray(r["products"], float)[:n] / n, n, max_p, max_q)
+                # back to the units of the series
+                mean = float(r["_mean"]) * sd + (mu if d == 0 else 0.0)
+                coef = [mean * (1 - phi.sum()), *phi, *theta]
+                out.append((r[key], d, p, q, aic + 2 * n * np.log(sd), [float(c) for c in coef], s2 * sd * sd, n))
+            yield pd.DataFrame(out, columns=names).astype({"p": "Int32", "q": "Int32", "nobs": "Int64"})
+
+    # a fit takes a while: series are dealt one by one, not by their bytes
+    parts = max(1, min(dsel.count(), sdf.sparkSession.sparkContext.defaultParallelism * 4))
+    return ready.repartition(parts, key).mapInPandas(search, schema)
+
+
+def arima_forecast(models: DataFrame, sdf: DataFrame, col: str = "price", steps: int = 100, key: str = KEY) -> DataFrame:
+    """``steps``-ahead forecast per series from the fitted order, NULL where
+    there is none. Only the last TAIL rows of a series travel: innovations before
+    them are taken as 0, which the model has forgotten by its end."""
+    last = sdf.filter(F.col("pos") >= F.col("n") - TAIL).select(key, "pos", F.col(col).alias("y"))
     j = last.join(bounded_broadcast(models.select(key, "d", "p", "q", "coef")), key)
-    schema = T.StructType(
-        [f for f in j.schema.fields if f.name == key]
-        + [T.StructField("step", T.IntegerType()), T.StructField("forecast", T.DoubleType())]
-    )
+    schema = T.StructType([f for f in j.schema.fields if f.name == key] + [T.StructField("step", T.IntegerType()), T.StructField("forecast", T.DoubleType())])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("pos")
+        name, ahead = pdf[key].iloc[0], range(1, steps + 1)
         if pd.isna(pdf["p"].iloc[0]):
-            return pd.DataFrame([{key: pdf[key].iloc[0], "step": h, "forecast": None} for h in range(1, steps + 1)])
-        d, p, q = int(pdf["d"].iloc[0]), int(pdf["p"].iloc[0]), int(pdf["q"].iloc[0])
+            return pd.DataFrame({key: [name] * steps, "step": ahead, "forecast": [None] * steps})
+        d, p, q = (int(pdf[c].iloc[0]) for c in "dpq")
         coef = np.asarray(pdf["coef"].iloc[0], dtype=float)
-        c, phi, theta = coef[0], coef[1: 1 + p], coef[1 + p: 1 + p + q]
-        w = list(pdf["_w"].fillna(0.0).astype(float))
-        e = list(pdf["_e"].fillna(0.0).astype(float))
+        c, phi, theta = coef[0], coef[1:1 + p], coef[1 + p:1 + p + q]
         y = list(pdf["y"].astype(float))
+        w = list(np.diff(y, d))
+        e = [0.0] * len(w)
+        one = lambda t: c + sum(f * w[t - 1 - i] for i, f in enumerate(phi)) + sum(f * e[t - 1 - i] for i, f in enumerate(theta))
+        for t in range(max(p, q), len(w)):
+            x = w[t] - one(t)
+            e[t] = x if np.isfinite(x) else 0.0
         out = []
-        for h in range(1, steps + 1):
-            wn = c + sum(phi[i] * w[-1 - i] for i in range(p)) + sum(theta[j] * e[-1 - j] for j in range(q))
-            w.append(wn)
+        for _ in ahead:
+            w.append(one(len(w)))
             e.append(0.0)
-            yn = wn - sum((-1) ** k * comb(d, k) * y[-k] for k in range(1, d + 1))
-            y.append(yn)
-            out.append({key: pdf[key].iloc[0], "step": h, "forecast": float(yn)})
-        return pd.DataFrame(out, columns=[f.name for f in schema.fields])
+            y.append(w[-1] - sum((-1) ** k * comb(d, k) * y[-k] for k in range(1, d + 1)))
+            out.append(float(y[-1]))
+        return pd.DataFrame({key: [name] * steps, "step": ahead, "forecast": out})
 
     return j.groupBy(key).applyInPandas(run, schema)

@@ -200,6 +200,20 @@ SQL: dict[str, str] = {
                    / ((cast(regr_count(dy, y1) as bigint) - 2) * regr_sxx(dy, y1))), 6) as t_stat,
              cast(regr_count(dy, y1) as bigint) as nobs
       from l group by 1""",
+    "a14_adf_lag1": T
+    + """,
+      l as (select currency, price, lag(price) over w as y1, price - lag(price) over w as dy,
+                   lag(price) over w - lag(price, 2) over w as dy1, lag(price, 2) over w as y2, lag(price, 3) over w as y3
+            from t window w as (partition by currency order by pos)),
+      c as (select currency, sum(price * price) as p0, sum(price * y1) as p1, sum(price * y2) as p2, sum(price * y3) as p3 from l group by 1),
+      m as (select currency, count(*) as n, regr_sxx(dy, y1) as s11, regr_sxx(dy, dy1) as s22, regr_sxy(dy1, y1) as s12,
+                   regr_sxy(dy, y1) as sy1, regr_sxy(dy, dy1) as sy2, regr_syy(dy, y1) as syy
+            from l where dy1 is not null group by 1),
+      b as (select *, s11 * s22 - s12 * s12 as det, (sy1 * s22 - sy2 * s12) / (s11 * s22 - s12 * s12) as g,
+                   (sy2 * s11 - sy1 * s12) / (s11 * s22 - s12 * s12) as h from m)
+      select currency, round(g, 6) as gamma, round(g / sqrt((syy - g * sy1 - h * sy2) / (n - 3) * s22 / det), 6) as t_stat, n as nobs,
+             round(p0, 6) as product0, round(p1, 6) as product1, round(p2, 6) as product2, round(p3, 6) as product3
+      from b join c using (currency)""",
     "w3_windows_long": H
     + """,
       wn as (select currency, p as window_id from h where p + 38 <= m)

@@ -294,6 +294,18 @@ def q_a14_adf(spark, d):
     return a.select("currency", r6("gamma").alias("gamma"), r6("t_stat").alias("t_stat"), "nobs")
 
 
+def q_a14_adf_lag1(spark, d):
+    """A14 with one lagged difference, and the autocovariances 0..3 that M11's
+    likelihood starts from beside it."""
+    from tickweave.operators.acf import autoproducts
+    from tickweave.operators.unitroot import adf_test
+
+    s = ticks(spark, d)
+    t = adf_test(s, "price", lags=1).select("currency", r6("gamma").alias("gamma"), r6("t_stat").alias("t_stat"), "nobs")
+    c = autoproducts(s, "price", 3).groupBy("currency").agg(*[r6(F.max(F.when(F.col("lag") == h, F.col("product")))).alias(f"product{h}") for h in range(4)])
+    return t.join(c, "currency")
+
+
 def _long_windows(w: DataFrame, n_in: int, n_out: int) -> DataFrame:
     xs = F.transform("x", lambda r: r["price"])
     allv = F.concat(xs, F.col("y"))
@@ -575,22 +587,27 @@ def q_s2_json_round_trip(spark, d):
 
 def q_m11_arima_order(spark, d):
     """(d, p, q) per series of the hourly price series (rows-only check)."""
-    models, _ = _arima(spark, d)
+    from tickweave.operators import arima as AR
+
+    models = AR.arima_fit(hourly(spark, d), "price")
     return models.select("currency", "d", "p", "q", r6("aic").alias("aic"), "nobs")
 
 
-def _arima(spark, d):
-    from tickweave.operators import arima as AR
+def q_m11_adf_d(spark, d):
+    """The tests behind d, with lags by the series' length: statistic and
+    p-value of the levels (rows-only: lag lengths beyond plain SQL)."""
+    from tickweave.operators.unitroot import adf_test
 
-    return AR.arima_fit(hourly(spark, d), "price")
+    t = adf_test(hourly(spark, d), "price", trend=True, max_d=2)
+    return t.select("currency", "d", "lags", *[r6(c).alias(c) for c in ("gamma", "t_stat", "p_value")], "nobs")
 
 
 def q_m12_arima_forecast(spark, d):
     """100-step forecast per series from the chosen order."""
     from tickweave.operators import arima as AR
 
-    models, resid = _arima(spark, d)
-    return AR.arima_forecast(models, resid, "price", steps=100).select(
+    s = hourly(spark, d)
+    return AR.arima_forecast(AR.arima_fit(s, "price"), s, "price", steps=100).select(
         "currency", "step", r6("forecast").alias("forecast"))
 
 
