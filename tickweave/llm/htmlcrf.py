@@ -17,8 +17,10 @@ they are not closed. The contents of all other elements, also <svg>, <math>,
 in or blocks of their own, for the chain to judge; a self-closed one is empty.
 
 Defined results: a null or empty page, or one without main text, has an empty
-text of 0 characters; unclosed, crossed and unknown tags are tolerated; null
-ids, null urls and repeated rows are handled row by row; an empty table gives
+text of 0 characters; a page of plain text, without block elements, is all main
+text; unclosed, crossed and unknown tags, stray quotes and unclosed attribute
+values are tolerated and lose no text; very long and very deep pages take time in
+proportion to their length (of ancestors the outer MOST_DEPTH are kept); null ids, null urls and repeated rows are handled row by row; an empty table gives
 an empty result; other columns are ignored.
 """
 
@@ -49,20 +51,87 @@ CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "t
           "option": ("option",), "tbody": ("tr", "td", "th"), "body": ("head",)}
 NO_P = frozenset("button label option legend summary".split())  # these may stand inside a paragraph
 
-_TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>"
-    r"|<(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>",
-    re.S | re.I,
-)
-_RAW_ENDS = {t: re.compile(rf"</{t}\s*>", re.I) for t in RAW.split("|")}
-_NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_TAG = re.compile(r"<(/?)([a-z][a-z0-9:-]*)(?=[\s/>])", re.I)
+# a tag without oddities in one match; anything else is read attribute by attribute
+_PLAIN = re.compile(r"""<(/?)([a-z][a-z0-9:-]*+)((?:\s++[^\s"'<>/=]++(?:=(?:"[^"<>]*+"|'[^'<>]*+'|[^\s"'=<>`/]++))?+)*+)\s*+(/?)>""", re.I)
+_ATTRIBUTE = re.compile(r"[\s/]*+(?:(>)|(=?[^\s/>=]*+)(\s*+=\s*+)?+)")
+_UNQUOTED = re.compile(r"[^\s>]*+")
+_RAW_ENDS = {t: re.compile(rf"</{t}\s*+>", re.I) for t in RAW.split("|")}
+_NAMES = re.compile(r"""\b(?:class|id|role)\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++))""", re.I)
+_NAMED = frozenset(("class", "id", "role"))
 _PIECES = re.compile(r"[a-z]+")
+MOST_DEPTH = 64  # of the ancestors that are kept; what is nested deeper counts as lying in the last of them
+
+
+@dataclass
+class Tag:
+    start: int
+    end: int
+    name: str  # "" for comments, declarations and the like
+    closing: bool = False
+    empty: bool = False  # closes itself
+    names: str = ""  # its class, id and role
+
+
+class Tags:
+    """The tags of a page from left to right, in time linear in its length: what a
+    failed reading has seen is not read again, and a sign is not looked for behind
+    its last place. Only a quote that begins a value opens one, and only if the
+    page closes it; a tag that would swallow the rest of the page ends at its
+    first ">"; without any, the "<" is text."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.last = {c: page.rfind(c) for c in ('"', "'", ">")}
+        self.dead: set[int] = set()  # places between attributes from which no tag ends
+
+    def next(self, at: int) -> Tag | None:
+        page = self.page
+        while (at := page.find("<", at)) >= 0 and at < self.last[">"]:
+            if m := _PLAIN.match(page, at):
+                names = " ".join(x or y or z for x, y, z in _NAMES.findall(m[3])) if m[3] else ""
+                return Tag(at, m.end(), m[2].lower(), bool(m[1]), bool(m[4]), names)
+            if page.startswith("<!--", at):
+                end = page.find("-->", at + 4)
+                return Tag(at, end + 3 if end >= 0 else len(page), "")
+            if m := _TAG.match(page, at):
+                end, names = self._attributes(m.end())
+                end = end or page.find(">", at) + 1
+                return Tag(at, end, m[2].lower(), bool(m[1]), page[end - 2] == "/", names)
+            if page.startswith(("<!", "<?", "</"), at):
+                return Tag(at, page.find(">", at) + 1, "")
+            at += 1
+        if at >= 0 and (at := page.find("<!--", at)) >= 0:
+            return Tag(at, len(page), "")  # a comment that nothing ends
+        return None
+
+    def _attributes(self, at: int) -> tuple[int, str]:
+        """Where the tag ends (0: nowhere), and its class, id and role."""
+        page, seen, names = self.page, [], []
+        while at < len(page) and at not in self.dead:
+            seen.append(at)
+            m = _ATTRIBUTE.match(page, at)
+            at = m.end()
+            if m[1]:
+                return at, " ".join(names)
+            if m[3]:
+                quote = page[at:at + 1]
+                if quote in ('"', "'") and self.last[quote] > at:
+                    end = page.find(quote, at + 1)
+                    value, at = page[at + 1:end], end + 1
+                else:
+                    v = _UNQUOTED.match(page, at)
+                    value, at = v[0], v.end()
+                if m[2].lower() in _NAMED:
+                    names.append(value)
+        self.dead.update(seen)
+        return 0, " ".join(names)
 
 
 @dataclass
 class Block:
     text: str
-    path: list[tuple[str, tuple[str, ...]]]  # (tag, words of its class, id, role), outermost first
+    path: tuple[tuple[str, tuple[str, ...]], ...]  # (tag, words of its class, id, role), outermost first
     linked: int = 0  # characters inside links
 
 
@@ -71,50 +140,56 @@ def leaf_blocks(page: str | None) -> list[Block]:
     stack: list[tuple[str, tuple[str, ...]]] = []
     out: list[Block] = []
     run: list[str] = []
-    linked, link, at, foreign = 0, False, 0, 0
+    linked, link, at, foreign, deeper = 0, False, 0, 0, 0
 
     def flush() -> None:
         nonlocal linked
         if run:
             text = " ".join(htmllib.unescape("".join(run)).split())
             if text:
-                out.append(Block(text, list(stack), linked))
+                out.append(Block(text, tuple(stack), linked))
             run.clear()
         linked = 0
 
-    while m := _TOKEN.search(page, at):
-        if m.start() > at:
-            run.append(page[at:m.start()])
-            linked += link * (m.start() - at)
-        at = m.end()
-        if m["raw"] and not (foreign and m[0].endswith("/>")):
-            end = _RAW_ENDS[m["raw"].lower()].search(page, at)
-            at = end.end() if end else len(page)
-        tag = (m["tag"] or "").lower()
+    tags = Tags(page)
+    while m := tags.next(at):
+        if m.start > at:
+            run.append(page[at:m.start])
+            linked += link * (m.start - at)
+        at, tag = m.end, m.name
+        if tag in _RAW_ENDS:
+            if not m.closing and not (foreign and m.empty):
+                end = _RAW_ENDS[tag].search(page, at)
+                at = end.end() if end else len(page)
+            continue
         if not tag:
             continue
-        if tag in FOREIGN and not m[0].endswith("/>"):
-            foreign = max(0, foreign + (-1 if m["end"] else 1))
+        if tag in FOREIGN and not m.empty:
+            foreign = max(0, foreign + (-1 if m.closing else 1))
         if tag == "a":
-            link = not m["end"]
+            link = not m.closing
         elif tag == "br":
             run.append(" ")
         if tag not in BLOCKS:
             continue
         flush()
-        if m["end"]:
-            if any(tag == t for t, _ in stack):
+        if m.closing:
+            if deeper:
+                deeper -= 1
+            elif any(tag == t for t, _ in stack):
                 while stack.pop()[0] != tag:
                     pass
             continue
+        if len(stack) >= MOST_DEPTH and tag not in VOID:
+            deeper += 1
+            continue
         if stack and stack[-1][0] == "p" and tag not in NO_P:
             stack.pop()
         closing = CLOSES.get(tag, ())
         while stack and stack[-1][0] in closing:
             stack.pop()
         if tag not in VOID:
-            names = " ".join(x or y or z for x, y, z in _NAMES.findall(m["attrs"])) if m["attrs"] else ""
-            stack.append((tag, tuple(dict.fromkeys(_PIECES.findall(names.lower())))))
+            stack.append((tag, tuple(dict.fromkeys(_PIECES.findall(m.names.lower())))))
     if at < len(page):
         run.append(page[at:])
     flush()
@@ -328,7 +403,8 @@ def default_chain(pages: int = 1_000, seed: int = 1) -> Chain:
 
 def main_text(page: str | None, chain: Chain) -> str:
     blocks = leaf_blocks(page)
-    return "\n\n".join(b.text for b, m in zip(blocks, chain.decode(blocks)) if m)
+    plain = not any(b.path for b in blocks)  # text without any element to judge it by
+    return "\n\n".join(b.text for b, m in zip(blocks, [True] * len(blocks) if plain else chain.decode(blocks)) if m)
 
 
 def extract(pages: DataFrame, chain: Chain | None = None) -> DataFrame:
