@@ -15,7 +15,7 @@ import tiktoken
 import xxhash
 from pyspark.sql import functions as F
 
-from tests.conftest import SF001
+from tests.conftest import SF01, SF001
 from tickweave.llm import bpe, common, htmlcrf, langid, mixing, qda, qualityrules, secretscan, simhash, tokencount, topk
 from tickweave.llm.common import prepare
 
@@ -215,6 +215,34 @@ def test_op5_rules(spark, docs, labels, texts):
     truth = {r.doc_id: r.quality for r in labels.collect()}
     good = [r.kept for r in got if truth.get(r.doc_id) == 1 and not r.base_failed]
     assert np.mean(good) > 0.97
+    left = [r.kept for r in got if truth.get(r.doc_id) == 0 and not r.base_failed]
+    assert rules and len(left) >= 5 and np.mean(left) < 0.1
+
+
+def test_op5_rules_on_more_documents(spark):
+    docs, labels = common.read_table(spark, SF01, "documents"), common.read_table(spark, SF01, "labels")
+    rules = qualityrules.fit(spark, docs, labels)
+    truth = {r.doc_id: r.quality for r in labels.collect()}
+    got = [r for r in qualityrules.judge(docs, rules).collect() if r.doc_id in truth and not r.base_failed]
+    for unseen in (False, True):
+        rows = [r for r in got if held(r.doc_id) == unseen]
+        assert np.mean([r.kept for r in rows if truth[r.doc_id] == 0]) <= 0.1
+        assert np.mean([r.kept for r in rows if truth[r.doc_id] == 1]) > 0.97
+
+
+def test_op5_one_bad_rule_ends_nothing():
+    """The condition of most gain is not precise; a rule behind it is."""
+    rng = random.Random(9)
+    rows = [tuple(rng.random() for _ in range(7)) for _ in range(2_000)]
+    bad = [x[0] > 0.5 and rng.random() < 0.6 or x[3] > 0.97 for x in rows]
+    rules = qualityrules.learn(rows, bad)
+    assert any(c.feature == 3 for r in rules for c in r)
+    assert all(np.mean([b for x, b in zip(rows, bad) if all(c.holds(x) for c in r)]) > 0.9 for r in rules)
+
+
+def test_op5_conditions_of_one_statistic_are_merged():
+    a, b, c = qualityrules.Condition(1, False, 0.6), qualityrules.Condition(1, False, 0.5), qualityrules.Condition(1, True, 0.1)
+    assert qualityrules._merged((a, b, c)) == (b, c)
 
 
 def test_op5_learns_conjunctions():

@@ -1,9 +1,9 @@
 """Quality rules: a learned decision list over statistics of the text.
 
 Sequential covering: a rule is grown as a conjunction of threshold conditions
-by information gain on two thirds of the labelled rows, pruned on the rest, and
-kept if it is precise there; the rows that it covers are taken out and the next
-rule is grown. The list is emitted as one ordered Spark ``when`` expression.
+by information gain on two thirds of the labelled rows that pass the base rule,
+pruned on the rest, and kept if it is precise; the rows that it covers are taken
+out and the next rule is grown, from another condition if one was not precise. The list is emitted as one ordered Spark ``when`` expression.
 DataFrame functions only; the driver sees a bounded sample of labelled
 statistics (``LABELLED_ROWS``, a parameter of the fit).
 
@@ -81,16 +81,29 @@ def _masks(rows: list[tuple], cuts: int) -> dict[Condition, int]:
     return out
 
 
+def _merged(rule: Rule) -> Rule:
+    """The rule without conditions that a narrower one on the same side of the same
+    statistic implies."""
+    kept: dict[tuple[int, bool], Condition] = {}
+    for c in rule:
+        old = kept.get((c.feature, c.above))
+        if old is None or (c.cut > old.cut if c.above else c.cut < old.cut):
+            kept[c.feature, c.above] = c
+    return tuple(kept.values())
+
+
 def learn(rows: list[tuple], bad: list[bool], cuts: int = 64, most_conditions: int = 3, most_rules: int = 12,
           precision: float = 0.95, least: int = 5) -> list[Rule]:
-    """Rules whose rows are bad. ``rows``: statistics in the order of FEATURES."""
+    """Rules whose rows are bad. ``rows``: statistics in the order of FEATURES.
+    A rule is taken if at least ``precision`` of its rows are bad. One that misses
+    that ends nothing: its first condition is set aside and another rule is grown."""
     if not rows or all(bad) or not any(bad):
         return []
     masks = _masks(rows, cuts)
     full = (1 << len(rows)) - 1
     is_bad = sum(1 << i for i, b in enumerate(bad) if b)
     prune = sum(1 << i for i in range(0, len(rows), 3))
-    left, rules = full, []
+    left, rules, aside = full, [], set()
 
     def counts(mask: int) -> tuple[int, int]:
         return (mask & is_bad).bit_count(), (mask & ~is_bad).bit_count()
@@ -106,6 +119,8 @@ def learn(rows: list[tuple], bad: list[bool], cuts: int = 64, most_conditions: i
         while n and p and len(rule) < most_conditions:
             best, gain = None, 0.0
             for c, m in masks.items():
+                if not rule and c in aside:
+                    continue
                 q, k = counts(now & m)
                 if q >= least and (g := q * (math.log2(q / (q + k)) - math.log2(p / (p + n)))) > gain + 1e-9:
                     best, gain = c, g
@@ -115,6 +130,7 @@ def learn(rows: list[tuple], bad: list[bool], cuts: int = 64, most_conditions: i
             p, n = counts(now)
         if not rule:
             break
+        first = rule[0]
 
         def worth(r: Rule) -> float:
             q, k = counts(covered(r, left & prune))
@@ -122,20 +138,29 @@ def learn(rows: list[tuple], bad: list[bool], cuts: int = 64, most_conditions: i
 
         while len(rule) > 1 and worth(rule[:-1]) >= worth(rule):
             rule = rule[:-1]
+        rule = _merged(rule)
         p, n = counts(covered(rule, left))
         if p < least or p < precision * (p + n):
-            break
+            aside.add(first)
+            continue
         rules.append(rule)
+        aside.clear()
         left &= ~covered(rule, full)
     return rules
 
 
+def base_failed(p: str = P) -> Column:
+    n, rep = F.col(f"{p}n_words"), F.col(f"{p}n_repeat_words")
+    return (n < 20) | (100 * rep > 30 * n)
+
+
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS) -> list[Rule]:
-    """The decision list for ``labels.quality``, from rows outside the held-out fold."""
+    """The decision list for ``labels.quality``, from rows outside the held-out fold
+    that pass the base rule: only those are left for the list to judge."""
     sample = label_sample(spark, labels, "quality", labelled_rows)
     rows = labelled_texts(docs, sample, labelled_rows)
-    stats = with_stats(rows, "text").select("doc_id", *[F.col(f"{P}{f}").cast("double").alias(f) for f in FEATURES], "y")
-    seen = sorted(tuple(r) for r in stats.collect())
+    stats = with_stats(rows, "text").select("doc_id", *[F.col(f"{P}{f}").cast("double").alias(f) for f in FEATURES], "y", base_failed().alias("failed"))
+    seen = sorted(tuple(r)[:-1] for r in stats.collect() if not r["failed"])
     return learn([r[1:-1] for r in seen], [r[-1] == 0 for r in seen])
 
 
@@ -153,7 +178,6 @@ def verdict(rules: list[Rule]) -> Column:
 def judge(docs: DataFrame, rules: list[Rule], text: str = "text") -> DataFrame:
     """doc_id, the base counts, base_failed and kept of every row."""
     rows = with_stats(docs.select(F.col("doc_id"), F.col(text).alias("text")), "text")
-    n, rep = F.col(f"{P}n_words"), F.col(f"{P}n_repeat_words")
-    failed = (n < 20) | (100 * rep > 30 * n)
+    failed = base_failed()
     return rows.select("doc_id", *[F.col(f"{P}{c}").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
                        failed.alias("base_failed"), (~failed & verdict(rules)).alias("kept"))
