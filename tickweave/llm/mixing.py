@@ -25,12 +25,14 @@ import heapq
 import math
 from fractions import Fraction
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tickweave.llm.common import written
+from tickweave.plans.small import bounded_broadcast
 
 BLOCK_ROWS = 64  # of a small table
 MOST_BLOCKS = 100_000
@@ -152,6 +154,19 @@ def in_mixed_order(docs: DataFrame) -> DataFrame:
     return rows.repartitionByRange(f"{K}slot").sortWithinPartitions(f"{K}pos").drop(f"{K}block", f"{K}slot", f"{K}pos")
 
 
-def sorted_by_mix(df: DataFrame, key: Column) -> DataFrame:
-    """``df`` as one sorted result in the order of the mix that ``key`` gives."""
-    return mix(df, key=key).orderBy(f"{K}pos").drop(f"{K}block", f"{K}slot", f"{K}pos")
+def stored_positions(docs: DataFrame, name: str = "position") -> DataFrame:
+    """``docs`` with each row's place, from 0, in the order in which its files hold
+    the rows: after a write of ``in_mixed_order`` its place in the mix, whatever
+    partitions the files are read in. Rows that come from no file are written
+    first, in the order they have."""
+    file, row = f"{K}file", f"{K}row"
+    place = (F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(row))
+    try:
+        rows = docs.select("*", *place)
+    except AnalysisException:
+        rows = written(docs, "mix-rows").select("*", *place)
+    sizes = rows.groupBy(file).agg((F.max(row) + 1).alias(f"{K}n")).withColumn(f"{K}part", F.expr(f"try_cast(regexp_extract({file}, 'part-([0-9]+)[^/]*$', 1) as bigint)"))
+    before = Window.orderBy(f"{K}part", file).rowsBetween(Window.unboundedPreceding, -1)  # one row a file
+    first = sizes.select(file, F.coalesce(F.sum(f"{K}n").over(before), F.lit(0)).alias(f"{K}first"))
+    rows = rows.join(bounded_broadcast(first), file)
+    return rows.withColumn(name, F.col(f"{K}first") + F.col(row)).select(*[F.col(f"`{c}`") for c in docs.columns if c != name], name)
