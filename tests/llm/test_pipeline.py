@@ -53,7 +53,9 @@ def test_stages_against_brute_force(spark):
     for r in mixed.collect():
         ids = enc.encode_ordinary(r.text)
         want[r.doc_id] = (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(r.text.encode()).hexdigest())
-    assert {r.doc_id: tuple(r)[1:] for r in corpus_pipeline.run(spark, SF001).collect()} == want
+    out = corpus_pipeline.run(spark, SF001).collect()
+    assert {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in out} == want
+    assert sorted(r.position for r in out) == list(range(len(want)))
 
 
 def brute_mix(rows, size=64):
@@ -98,7 +100,43 @@ def test_result_is_in_the_order_of_the_mix(spark, tmp_path, monkeypatch):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # several part files between the stages
     try:
         out = corpus_pipeline.run(spark, str(tmp_path))
-        assert [r.doc_id for r in out.collect()] == want
-        assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+        assert [r.doc_id for r in sorted(out.collect(), key=lambda r: r.position)] == want
+        assert set(out.columns) == {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "position"}
+        # small read splits deal files anew; the places stay, also in a written result
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+        again = corpus_pipeline.run(spark, str(tmp_path))
+        again.write.parquet(str(tmp_path / "result"))
+        assert [r.doc_id for r in spark.read.parquet(str(tmp_path / "result")).orderBy("position").collect()] == want
+        # without the stage the places are others
+        monkeypatch.setattr(corpus_pipeline, "STAGES", [("tokens", stages["tokens"])])
+        plain = [r.doc_id for r in sorted(corpus_pipeline.run(spark, str(tmp_path)).collect(), key=lambda r: r.position)]
+        assert plain != want and sorted(plain) == sorted(want)
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_places_of_rows_from_no_file(spark):
+    from tickweave.llm import mixing
+
+    df = spark.range(50, numPartitions=3).withColumn("position", F.lit("theirs"))
+    got = mixing.stored_positions(df).collect()
+    assert sorted((r.id, r.position) for r in got) == [(i, i) for i in range(50)]
+    assert mixing.stored_positions(df.limit(0)).count() == 0
+
+
+def test_run_on_odd_rows(spark, tmp_path):
+    base = [tuple(r) for r in read_table(spark, SF001, "documents").select("doc_id", "text", "lang", "source").limit(60).collect()]
+    odd = [(None, None, None, None), (None, "", "en", None), (-1, None, None, "a"), (-2, "", None, "a"), (-3, "some words here " * 8_000, "en", "a"),
+           base[0], base[0], (None, base[1][1], "en", "b"), (-4, base[2][1], "en", "b"), (-5, "password: hunter2secret " + base[3][1], "en", None)]
+    schema = "doc_id long, text string, lang string, source string"
+    docs = spark.createDataFrame(base + odd, schema).withColumns({c: F.lit(7) for c in ("position", "score", "fp", "ids", "__text", "n_chars")})
+    labels = read_table(spark, SF001, "labels")
+    for rows, given, folder in ((docs, labels, "odd"), (docs.limit(0), labels, "empty"), (docs, labels.limit(0), "unlabelled")):
+        rows.repartition(3).write.parquet(str(tmp_path / folder / "documents.parquet"))
+        given.write.parquet(str(tmp_path / folder / "labels.parquet"))
+        out = corpus_pipeline.run(spark, str(tmp_path / folder)).collect()
+        assert sorted(r.position for r in out) == list(range(len(out)))
+        ids = [r.doc_id for r in out if r.doc_id is not None]
+        assert len(ids) == len(set(ids)) and set(ids) <= {r[0] for r in base + odd}
+        assert (len(out) == 0) == (folder == "empty")
