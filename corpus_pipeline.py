@@ -8,13 +8,19 @@ the columns of ``documents``:
 2. near_dups    one document of each group of SimHash links stays
 3. secrets      found secrets are replaced in the texts
 4. mix          all rows, in the order of the Pfair mix of their sources
-5. tokens       doc_id, n_tokens, ids_sha256, decoded_sha256 of each text, in
-                the order of the mix
+5. tokens       doc_id, n_tokens, ids_sha256, decoded_sha256 of each text, and
+                position: its place in the mix, from 0
 
-Reading files back does not keep the order of their rows. A row's place in the
-mix is a function of the rows alone, so the last stage derives it again and
-sorts its result by it: collected rows, and the part files of a write, are in
-the order of the mix.
+The mix is computed once, by its stage, which puts rows and part files into its
+order. The last stage reads a row's place off the files, by part and row number, so
+it holds however the files are dealt to tasks.
+
+Defined results: null and empty texts are judged by the quality stage like any
+others, and encode to no tokens if kept; a null source is a source of its own; null
+doc_ids are documents like any others, of which near copies go by their text (of
+copies that all have a null id one stays); repeated rows are copies; very long texts
+pass whole; without usable labels all documents are kept; an empty table gives an
+empty result; extra columns are carried up to the last stage.
 
 No SQL says this (a fitted classifier, XXH64 fingerprints, merges), so
 ``ORACLE_SQL`` is None and the tests hold it against brute force.
@@ -23,13 +29,10 @@ No SQL says this (a fitted classifier, XXH64 fingerprints, merges), so
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tickweave.llm import bpe, mixing, qda, secretscan, simhash
 from tickweave.llm.common import prepare, read_table, written
 
-TEXT_HASH = "__text_hash"
-
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
@@ -53,9 +56,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    rows = docs.withColumn(TEXT_HASH, F.xxhash64("text"))
-    rows = written(bpe.digests(rows, bpe.public_bpe(), keep=("source", TEXT_HASH)), "pipeline-digests")
-    return mixing.sorted_by_mix(rows, F.struct("doc_id", TEXT_HASH)).drop("source", TEXT_HASH)
+    return bpe.digests(mixing.stored_positions(docs), bpe.public_bpe(), keep=("position",))
 
 
 STAGES = [("quality", quality), ("near_dups", near_dups), ("secrets", secrets), ("mix", mix), ("tokens", tokens)]
