@@ -177,3 +177,34 @@ def test_augmented_adf_matches_least_squares(spark):
     assert abs(a["gamma"] - b[1]) < 1e-8 and abs(a["t_stat"] - b[1] / se[1]) < 1e-6
     a0 = ST.adf(sequence(df, chunks=3), "price").first()
     assert a0["nobs"] == len(x) - 1
+
+
+def test_exact_allocation_by_largest_remainders(spark):
+    import math
+
+    rng = np.random.default_rng(1)
+    for frac in (0.1111, 0.25, 0.0, 1.0):
+        sizes = [(f"s{i}", k, int(rng.integers(1, 40))) for i in range(4) for k in range(int(rng.integers(1, 13)))]
+        got = SP.allocated(spark.createDataFrame(sizes, "currency string, stratum int, size long"), frac).collect()
+        for name in {s[0] for s in sizes}:
+            mine = sorted((k, n) for s, k, n in sizes if s == name)
+            total = sum(n for _, n in mine)
+            kept = total - math.ceil(frac * total)
+            whole = {k: n * kept // total for k, n in mine}
+            order = sorted(mine, key=lambda x: (-(x[1] * kept % total), x[0]))
+            for k, _ in order[:kept - sum(whole.values())]:
+                whole[k] += 1
+            assert {r.stratum: r.held for r in got if r.currency == name} == {k: n - whole[k] for k, n in mine}
+
+
+def test_split_chain_over_windows(seq01):
+    w = W.sliding_windows(seq01, ("price",), n_in=5, n_out=2)
+    got = SP.split_chain(w.select("currency", "window_id", "pos", "n")).toPandas()
+    sizes = {r.currency: r.n for r in w.select("currency", "n").distinct().collect()}
+    for name, g in got.groupby("currency"):
+        n = sizes[name]
+        first = int(n * 0.9)
+        assert sorted(g.window_id) == list(range(n)) and set(g[g.split == "test"].window_id) == set(range(first, n))
+        assert (g.split == "val").sum() == int(np.ceil(0.1111 * first))
+        strata = g[g.split == "val"].window_id // (first // 12)
+        assert strata.clip(upper=11).nunique() == 12

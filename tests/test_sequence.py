@@ -129,7 +129,7 @@ def test_quantiles_where_brackets_miss(spark, monkeypatch):
     series of one value: still exact."""
     from tickweave.operators import scale
 
-    monkeypatch.setattr(scale, "ACCURACY", 2)
+    monkeypatch.setattr(scale, "SKETCH_K", 8)
     monkeypatch.setattr(scale, "BRACKET", 0.0)
     rows = [("a", i, i, float((i * 37) % 101), 1.0, 1.0) for i in range(500)]
     rows += [("b", i, 1000 + i, 5.0, 1.0, 1.0) for i in range(30)] + [("c", i, 2000 + i, None, 1.0, 1.0) for i in range(3)]

@@ -4,23 +4,24 @@ Statistics are one row per group (``by``: the series key, optionally plus a
 split column for per-split fits, C15). They are joined back with a
 size-checked broadcast (``plans.small``), never turned into driver literals.
 
-Quantiles are exact with linear interpolation (C6). Approximate quantiles give a
-narrow bracket around each, counts tell the exact ranks of its ends, and only the
-rows strictly inside are ranked, with ``plans.sequence`` (so a hot series is
-spread over many tasks). No aggregate buffers a whole group, nothing is sorted or
-written but the brackets' rows.
+Quantiles are exact with linear interpolation (C6), in two scans. Mergeable sketches
+give a narrow bracket around each; then the rows below every bracket are counted,
+and the distinct values inside, which alone are ranked, by ranges of their value.
+No aggregate buffers a whole group, nothing is sorted or written but the brackets'
+values.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickweave.plans.sequence import sequence
 from tickweave.plans.small import bounded_broadcast
-from tickweave.schema import FEATURES, KEY, TIE
+from tickweave.schema import FEATURES, KEY
+from tickweave.session import scratch_path
 
 
 def _by(by: str | Sequence[str]) -> list[str]:
@@ -50,10 +51,48 @@ def minmax_stats(df: DataFrame, cols: Sequence[str] = FEATURES, by: str | Sequen
     return df.groupBy(*_by(by)).agg(*aggs)
 
 
-# Approximate quantiles err by at most a 10,000th of the rows; brackets reach twice
-# as far to either side. A bracket that misses is noticed and its rows all ranked.
-ACCURACY = 10_000
-BRACKET = 2.0 / ACCURACY
+# A quantile sketch of this k errs by about 0.25% of the rows (99% of the time);
+# brackets reach twice as far to either side. One that misses is noticed.
+SKETCH_K = 2_048
+BRACKET = 0.005
+BUCKETS = 4_096  # of a bracket's values that are ranked together
+MOST_PLACES = 62  # bits of a mask
+
+
+def _located(x: DataFrame, brackets: DataFrame, places: Sequence[tuple[str, float]]) -> DataFrame:
+    """_g, j, h, x0, x1: for every bracket (_g, _b: array of j, h, lo, hi in the order
+    of ``places``) the values at the ranks floor(h) and ceil(h), NULL if outside.
+
+    One scan: a row sends a mask that says below which brackets it lies, and its
+    value for each bracket it lies in. Both are counted with map-side combine, so
+    what moves is a few masks a task and the distinct values inside."""
+    joined = x.join(brackets, "_g")
+    at = [F.col("_b")[j] for j in range(len(places))]
+    mask = F.lit(0).cast("long")
+    for j, (c, _) in enumerate(places):
+        mask = mask + F.when(F.col(c) < at[j]["lo"], F.lit(1 << j).cast("long")).otherwise(F.lit(0).cast("long"))
+    one = lambda j, v, m: F.struct(F.lit(j).alias("j"), v.cast("double").alias("v"), m.cast("long").alias("m"))
+    inside = [F.when((F.col(c) >= at[j]["lo"]) & (F.col(c) <= at[j]["hi"]), one(j, F.col(c), F.lit(0))) for j, (c, _) in enumerate(places)]
+    sent = F.concat(F.array(one(-1, F.lit(None), mask)), F.filter(F.array(*inside), lambda e: e.isNotNull()))
+    path = scratch_path(x.sparkSession, "quantiles")
+    joined.select("_g", F.inline(sent)).groupBy("_g", "j", "v", "m").agg(F.count("*").alias("c")).write.parquet(path)
+    counted = x.sparkSession.read.parquet(path)
+
+    bits = F.array(*[F.struct(F.lit(j).alias("j"), F.shiftright("m", j).bitwiseAND(F.lit(1).cast("long")).alias("bit")) for j in range(len(places))])
+    below = counted.filter("j < 0").select("_g", "c", F.inline(bits)).groupBy("_g", "j").agg(F.sum(F.col("c") * F.col("bit")).alias("below"))
+    places_of = brackets.select("_g", F.inline("_b"))
+    share = F.try_divide(F.col("v") - F.col("lo"), F.col("hi") - F.col("lo"))
+    bucket = F.when((F.col("hi") > F.col("lo")) & (share >= 0) & (share <= 1), F.floor(share * (BUCKETS - 1))).otherwise(0)
+    values = counted.filter("j >= 0").select("_g", "j", "v", "c").join(places_of, ["_g", "j"]).withColumn("k", bucket)
+    sums = values.groupBy("_g", "j", "k").agg(F.sum("c").alias("s"))
+    earlier = Window.partitionBy("_g", "j").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("_g", "j", "k", F.coalesce(F.sum("s").over(earlier), F.lit(0)).alias("start")).join(below, ["_g", "j"])
+    upto = Window.partitionBy("_g", "j", "k").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    values = values.withColumn("last", F.sum("c").over(upto)).join(sums, ["_g", "j", "k"])
+    first = F.col("below") + F.col("start") + F.col("last") - F.col("c")
+    holds = lambda t: (first <= t) & (t < first + F.col("c"))
+    hit = values.groupBy("_g", "j").agg(F.max(F.when(holds(F.floor("h")), F.col("v"))).alias("x0"), F.max(F.when(holds(F.ceil("h")), F.col("v"))).alias("x1"))
+    return places_of.select("_g", "j", "h").join(hit, ["_g", "j"], "left")
 
 
 def exact_quantiles(
@@ -61,69 +100,47 @@ def exact_quantiles(
     cols: Sequence[str],
     probs: Sequence[float],
     by: str | Sequence[str] = KEY,
-    tie: str = TIE,
 ) -> DataFrame:
     """Exact linear-interpolated quantiles, long form: by..., feature, q0..qk.
 
     Same definition as SQL ``percentile`` / ``quantile_cont`` and numpy's
     default: position h = (n-1)*p, value = v[floor h] + (v[ceil h] - v[floor h])
-    * (h - floor h), NULLs ignored.
+    * (h - floor h), NULLs ignored. Two scans: sketches give the brackets, then the
+    places are counted out (``_located``).
     """
     keys = _by(by)
-    names = [(i, c, float(p)) for c in cols for i, p in enumerate(probs)]  # (probability, column, its value)
-    x = df.select(F.struct(*keys).alias("_g"), F.col(tie).alias("_tie"), *[F.col(c).cast("double").alias(c) for c in cols])
+    most = max(1, MOST_PLACES // len(probs))
+    if len(cols) > most:
+        parts = [exact_quantiles(df, cols[i:i + most], probs, by) for i in range(0, len(cols), most)]
+        return functools.reduce(DataFrame.unionByName, parts)
+    places = [(c, float(p)) for c in cols for p in probs]
+    x = df.select(F.struct(*keys).alias("_g"), *[F.col(c).cast("double").alias(c) for c in cols])
     ends = F.array(*[F.lit(min(1.0, max(0.0, float(p) + e))) for p in probs for e in (-BRACKET, BRACKET)])
     near = x.groupBy("_g").agg(
         *[F.count(c).alias(f"_n{k}") for k, c in enumerate(cols)],
-        *[F.percentile_approx(c, ends, F.lit(ACCURACY)).alias(f"_q{k}") for k, c in enumerate(cols)],
-    )
-    place = {c: k for k, c in enumerate(cols)}
-    near = near.select("_g", *[f"_n{k}" for k in place.values()], *[
-        F.get(f"_q{place[c]}", F.lit(2 * i + e)).alias(f"_{'lh'[e]}{i}_{place[c]}") for i, c, _ in names for e in (0, 1)])
-    joined = x.join(bounded_broadcast(near), "_g")
-    counts = joined.groupBy("_g").agg(*[
-        F.count_if(test).alias(f"_{label}{i}_{place[c]}")
-        for i, c, _ in names
-        for label, test in (("lt", F.col(c) < F.col(f"_l{i}_{place[c]}")), ("le", F.col(c) <= F.col(f"_l{i}_{place[c]}")),
-                            ("lh", F.col(c) < F.col(f"_h{i}_{place[c]}")), ("eh", F.col(c) <= F.col(f"_h{i}_{place[c]}")))])
-
-    def bracket(i: int, c: str, p: float) -> Column:
-        """One quantile of one column: its two places, and the bracket with the
-        ranks of its ends. ``ok`` is false where the bracket misses a place."""
-        k = place[c]
-        h = (F.col(f"_n{k}") - 1).cast("double") * F.lit(p)
-        ok = (F.col(f"_lt{i}_{k}") <= F.floor(h)) & (F.ceil(h) < F.col(f"_eh{i}_{k}"))
-        return F.struct(
-            F.lit(c).alias("feature"), F.lit(i).alias("i"), h.alias("h"), ok.alias("ok"),
-            F.col(f"_l{i}_{k}").alias("lo"), F.col(f"_h{i}_{k}").alias("hi"),
-            F.when(ok, F.col(f"_le{i}_{k}")).otherwise(0).alias("le"), F.col(f"_lh{i}_{k}").alias("lh"))
-
-    found = near.join(counts, "_g").select("_g", F.array(*[bracket(*x) for x in names]).alias("_b"))
-    found = bounded_broadcast(found)
-    value = F.coalesce(*[F.when(F.col("_s.feature") == c, F.col(c)) for c in cols])
-    # rows strictly inside a bracket (of a missed one: all rows) are ranked exactly
-    rows = x.join(found, "_g")
-    own = {c: F.col(c) for c in cols}
-    inside = [
-        F.when(own[c].isNotNull() & (~b["ok"] | ((own[c] > b["lo"]) & (own[c] < b["hi"]))), b)
-        for (i, c, p), b in ((x, F.col("_b")[j]) for j, x in enumerate(names))
-    ]
-    rows = rows.select("_g", "_tie", *cols, F.explode(F.filter(F.array(*inside), lambda b: b.isNotNull())).alias("_s"))
-    rows = rows.select("_g", "_tie", F.col("_s.feature").alias("feature"), F.col("_s.i").alias("i"),
-                       F.col("_s.h").alias("h"), F.col("_s.le").alias("le"), value.alias("x"))
-    ranked = sequence(rows, key=["_g", "feature", "i"], order=("x", "_tie"))
-    at = F.col("pos") + F.col("le")
-    inner = ranked.filter((at == F.floor("h")) | (at == F.ceil("h"))).groupBy("_g", "feature", "i").agg(
-        F.max(F.when(at == F.floor("h"), F.col("x"))).alias("_x0"), F.max(F.when(at == F.ceil("h"), F.col("x"))).alias("_x1"))
-
-    def at_place(place: Column, inner: str) -> Column:
-        return F.when(F.col("ok") & (place < F.col("le")), F.col("lo")).when(
-            F.col("ok") & (place >= F.col("lh")), F.col("hi")).otherwise(F.col(inner))
-
-    g = found.select("_g", F.inline("_b")).join(inner, ["_g", "feature", "i"], "left")
-    lo, hi = at_place(F.floor("h"), "_x0"), at_place(F.ceil("h"), "_x1")
-    g = g.withColumn("_v", lo + (hi - lo) * (F.col("h") - F.floor("h")))
-    g = g.groupBy("_g", "feature").agg(*[F.max(F.when(F.col("i") == i, F.col("_v"))).alias(f"q{i}") for i in range(len(probs))])
+        *[F.kll_sketch_agg_double(c, F.lit(SKETCH_K)).alias(f"_s{k}") for k, c in enumerate(cols)])
+    near = near.select("_g", *[f"_n{k}" for k in range(len(cols))], *[
+        F.when(F.col(f"_n{k}") > 0, F.kll_sketch_get_quantile_double(f"_s{k}", ends)).alias(f"_q{k}") for k in range(len(cols))])
+
+    def bracket(j: int, c: str, p: float) -> Column:
+        k, i = cols.index(c), 2 * (j % len(probs))
+        return F.struct(F.lit(j).alias("j"), ((F.col(f"_n{k}") - 1).cast("double") * F.lit(p)).alias("h"),
+                        F.col(f"_q{k}")[i].alias("lo"), F.col(f"_q{k}")[i + 1].alias("hi"))
+
+    brackets = bounded_broadcast(near.select("_g", F.array(*[bracket(j, c, p) for j, (c, p) in enumerate(places)]).alias("_b")))
+    path = scratch_path(df.sparkSession, "quantiles-found")
+    _located(x, brackets, places).write.parquet(path)
+    found = df.sparkSession.read.parquet(path)
+    missed = found.filter("h >= 0 and (x0 is null or x1 is null)")
+    if missed.head(1):  # all rows of those groups, without bounds
+        wide = F.transform("_b", lambda b: F.struct(b["j"].alias("j"), b["h"].alias("h"), F.lit(float("-inf")).alias("lo"), F.lit(float("nan")).alias("hi")))
+        again = bounded_broadcast(brackets.join(missed.select("_g").distinct(), "_g", "left_semi").select("_g", wide.alias("_b")))
+        rest = _located(x, again, places)
+        found = found.join(missed.select("_g").distinct(), "_g", "left_anti").unionByName(rest)
+    value = F.col("x0") + F.when(F.col("x0") == F.col("x1"), 0.0).otherwise((F.col("x1") - F.col("x0")) * (F.col("h") - F.floor("h")))
+    feature = F.element_at(F.array(*[F.lit(c) for c in cols]), F.floor(F.col("j") / len(probs)).cast("int") + 1)
+    found = found.select("_g", feature.alias("feature"), F.pmod("j", F.lit(len(probs))).alias("i"), value.alias("_v"))
+    g = found.groupBy("_g", "feature").agg(*[F.max(F.when(F.col("i") == i, F.col("_v"))).alias(f"q{i}") for i in range(len(probs))])
     g = g.filter(F.col("q0").isNotNull())  # no row where there is no value
     return g.select(*[F.col("_g")[k].alias(k) for k in keys], "feature", *[f"q{i}" for i in range(len(probs))])
 

@@ -50,6 +50,22 @@ def time_strata(sdf: DataFrame, k: int = 12, out: str = "stratum") -> DataFrame:
     )
 
 
+def allocated(sizes: DataFrame, frac: float, key: str = KEY, stratum: str = "stratum") -> DataFrame:
+    """W13, exact allocation: ``sizes`` (key, stratum, size) with ``held``, how many
+    rows of each stratum are held out, by largest remainders. Of n rows of a series
+    ceil(frac * n) are held out in all; the others are shared out in proportion,
+    whole parts first, the rest to the strata with the largest remainders (of equal
+    ones to the first)."""
+    series = Window.partitionBy(key)  # one row a stratum
+    n = F.sum("size").over(series)
+    kept = n - F.ceil(n.cast("double") * F.lit(float(frac))).cast("bigint")
+    x = sizes.withColumns({"_n": n, "_kept": kept})
+    x = x.withColumns({"_whole": idiv(F.col("size") * F.col("_kept"), F.col("_n")), "_over": F.col("size") * F.col("_kept") % F.col("_n")})
+    place = F.row_number().over(series.orderBy(F.desc("_over"), stratum))
+    more = (place <= F.col("_kept") - F.sum("_whole").over(series)).cast("bigint")
+    return x.withColumn("held", F.col("size") - F.col("_whole") - more).select(*sizes.columns, "held")
+
+
 def stratified_holdout(
     sdf: DataFrame,
     frac: float = 0.1111,
@@ -58,9 +74,12 @@ def stratified_holdout(
     tie: str = TIE,
     out: str = "holdout",
     digits: int = 3,
+    allocate: str = "share",
 ) -> DataFrame:
     """In every (series, stratum) mark the round(frac * size) rows with
-    the smallest md5(tie) as holdout (a deterministic stratified shuffle).
+    the smallest md5(tie) as holdout (a deterministic stratified shuffle); with
+    ``allocate`` = "total" as many as ``allocated`` says, so that a series' total is
+    the asked share of its rows.
     ``tie`` is unique; rows that share one are marked together.
 
     Exact and skew-safe. The hash's leading ``digits`` hex digits cut a stratum
@@ -75,6 +94,10 @@ def stratified_holdout(
     whole = Window.partitionBy("_g")  # at most 16^digits rows
     before = F.sum("_c").over(whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_c")
     m = F.round(F.sum("_c").over(whole).cast("double") * F.lit(float(frac))).cast("bigint")
+    if allocate == "total":
+        sizes = counts.groupBy("_g").agg(F.sum("_c").alias("size")).select(F.col("_g")[key].alias(key), F.col("_g")[stratum].alias(stratum), "size")
+        held = allocated(sizes, frac, key, stratum).select(F.struct(key, stratum).alias("_g"), F.col("held").alias("_held"))
+        counts, m = counts.join(bounded_broadcast(held), "_g"), F.col("_held")
     edge = counts.select("_g", "_b", "_c", before.alias("_before"), m.alias("_m"))
     edge = edge.filter((F.col("_before") < F.col("_m")) & (F.col("_before") + F.col("_c") >= F.col("_m")))
     edge = edge.select("_g", "_b", (F.col("_m") - F.col("_before")).alias("_left"))
@@ -86,6 +109,20 @@ def stratified_holdout(
     return marked.withColumn(out, F.coalesce(own <= F.col("_last"), F.lit(False))).select(*sdf.columns, out)
 
 
+def split_chain(windows: DataFrame, cut: float = 0.9, k: int = 12, frac: float = 0.1111, key: str = KEY, tie: str = "window_id",
+                out: str = "split") -> DataFrame:
+    """W9 + W12 + W13 over windows (or any sequenced rows): the first int(cut * n) of
+    each series are training and validation, the rest test; of the first, k time
+    strata give ``frac`` of their rows, exactly allocated, to the validation."""
+    first = F.floor(F.col("n").cast("double") * F.lit(float(cut))).cast("bigint")
+    head = windows.filter(F.col("pos") < first).withColumn("n", first)
+    held = stratified_holdout(time_strata(head, k, "_stratum"), frac, "_stratum", key, tie, "_held", allocate="total")
+    name = F.when(F.col("_held"), "val").otherwise("train")
+    back = held.select(*[c for c in windows.columns if c != "n"], name.alias(out))
+    rest = windows.filter(F.col("pos") >= first).select(*[c for c in windows.columns if c != "n"], F.lit("test").alias(out))
+    return back.unionByName(rest)
+
+
 def hash_split(
     df: DataFrame,
     portion: float,

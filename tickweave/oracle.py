@@ -44,6 +44,14 @@ METRICS = """count(*) as n,
   round(avg(abs(predicted - actual)), 6) as mae,
   round(avg(predicted - actual), 6) as mean_error"""
 
+# Rows held out of each stratum (of st) by largest remainders.
+HELD = """
+      a as (select *, n - cast(ceil(cast(n as double) * cast(0.1111 as double)) as bigint) as kept
+            from (select currency, stratum, count(*) as size, sum(count(*)) over (partition by currency) as n from st group by 1, 2)),
+      b as (select *, size * kept // n as whole, size * kept % n as over from a),
+      c as (select currency, stratum, size - whole - cast(
+                     row_number() over (partition by currency order by over desc, stratum) <= kept - sum(whole) over (partition by currency) as integer) as held
+            from b)"""
 STRATA = T + """,
 st as (select currency, event_id, pos, n,
               cast(case when n // 12 = 0 then 11 else least(pos // (n // 12), 11) end as bigint) as stratum
@@ -258,6 +266,22 @@ SQL: dict[str, str] = {
                    row_number() over (partition by currency, stratum order by md5(cast(event_id as varchar)), event_id) as rk,
                    count(*) over (partition by currency, stratum) as sz from st)
       select currency, event_id, stratum from r where rk <= round(sz * cast(0.1111 as double))""",
+    "w13_holdout_exact": STRATA
+    + "," + HELD
+    + """,
+      r as (select currency, event_id, stratum,
+                   row_number() over (partition by currency, stratum order by md5(cast(event_id as varchar)), event_id) as rk from st)
+      select currency, event_id, stratum from r join c using (currency, stratum) where rk <= held""",
+    "w13_split_chain": H
+    + """,
+      wn as (select currency, p as window_id, m - 37 as n, cast(floor(cast(m - 37 as double) * cast(0.9 as double)) as bigint) as n2 from h where p + 38 <= m),
+      st as (select currency, window_id, least(case when n2 // 12 = 0 then 11 else window_id // (n2 // 12) end, 11) as stratum from wn where window_id < n2),"""
+    + HELD
+    + """,
+      r as (select currency, window_id, stratum,
+                   row_number() over (partition by currency, stratum order by md5(cast(window_id as varchar)), window_id) as rk from st)
+      select currency, window_id, case when rk <= held then 'val' else 'train' end as split from r join c using (currency, stratum)
+      union all select currency, window_id, 'test' from wn where window_id >= n2""",
     "w14_align": H
     + """,
       wn as (select currency, p as window_id from h where p + 38 <= m)

@@ -376,6 +376,19 @@ def q_w13_holdout(spark, d):
     return x.filter("holdout").select("currency", "event_id", F.col("stratum").cast("bigint").alias("stratum"))
 
 
+def q_w13_holdout_exact(spark, d):
+    """W13 with the exact allocation: the series' total is the asked share."""
+    x = SP.stratified_holdout(SP.time_strata(ticks(spark, d), 12), 0.1111, allocate="total")
+    return x.filter("holdout").select("currency", "event_id", F.col("stratum").cast("bigint").alias("stratum"))
+
+
+def q_w13_split_chain(spark, d):
+    """W9 + W12 + W13 chained over 35 -> 3 windows: the first 90% in 12 strata,
+    .1111 of them for validation, the rest test."""
+    w = W.sliding_windows(hourly(spark, d), ("price",), n_in=35, n_out=3).select("currency", "window_id", "pos", "n")
+    return SP.split_chain(w).select("currency", "window_id", "split")
+
+
 def q_w14_align(spark, d):
     w = W.sliding_windows(hourly(spark, d), FEATS, n_in=35, n_out=3)
     a = W.align_horizons(w, 35)
