@@ -105,6 +105,28 @@ def test_html_table_rows(spark):
     assert str(r[1]["day"]) == "2021-09-21" and r[1]["close"] == 1000.5
 
 
+def test_html_tables_without_end_tags_and_nested(spark):
+    from tickweave.sources.html import html_table_rejects, table_cells
+
+    day = lambda d, x: "".join(f"<td>{c}" for c in (d, *[f"${x}.{i}" for i in range(6)]))
+    loose = f"<TABLE><tr><th>Date<th>Open<tr>{day('Sep 22, 2021', 1)}<tr class='a'>{day('Sep 21, 2021', 2)}<tr><td>short</table><p>outside</p></table>"
+    inner = "<table><tr><td>a<td>b</table>"
+    nested = f"<table><tr><td>Sep 20, 2021 {inner}</td>" + "".join(f"<td>${i}.5</td>" for i in range(6)) + f"</tr> stray <tr>{day('never', 3)}</tr></table>"
+    broken = "</table></tr><td>no table</td><table><tr><td>1<!-- <td>no --></td><!-- </table> --><td>2"
+    pages = spark.createDataFrame([(1, "x", loose), (2, "y", nested), (2, "y", nested), (3, "z", broken), (4, "n", None), (5, "e", "")],
+                                  "page_id long, currency string, html string")
+    got = sorted((r.page_id, r.row_no, str(r.day), r.open, r.market_cap) for r in html_table_rows(pages).collect())
+    second = [(2, 0, "2021-09-20", 0.5, 5.5), (2, 2, "None", 3.0, 3.5)]
+    assert got == sorted([(1, 1, "2021-09-22", 1.0, 1.5), (1, 2, "2021-09-21", 2.0, 2.5), *second, *second])
+    cells = sorted((r.page_id, r.row_no, r.depth, r.cells) for r in table_cells(pages.filter("page_id in (1, 3)")).collect())
+    assert [c for c in cells if c[0] == 3] == [(3, 0, 1, ["1", "2"])]
+    assert (1, 3, 1, ["short"]) in cells and (1, 0, 1, []) in cells
+    inside = [r.cells for r in table_cells(pages.filter("page_id = 2")).filter("depth = 2").collect()]
+    assert inside == [["a", "b"]] * 2
+    counts = {r.page_id: (r.rows, r.accepted, r.other_width, r.no_day) for r in html_table_rejects(pages).collect()}
+    assert counts == {1: (3, 2, 1, 0), 2: (6, 2, 2, 2), 3: (1, 0, 1, 0)}
+
+
 def test_driver_pages_have_no_tables(spark):
     from tests.conftest import SF001
     from tickweave.sources import load_table
