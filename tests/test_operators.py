@@ -208,3 +208,20 @@ def test_split_chain_over_windows(seq01):
         assert (g.split == "val").sum() == int(np.ceil(0.1111 * first))
         strata = g[g.split == "val"].window_id // (first // 12)
         assert strata.clip(upper=11).nunique() == 12
+
+
+def test_daily_sparse_beyond_the_pivot(spark):
+    from tickweave.operators import corr as C
+
+    n = 20_000  # the pivot stops at 10,000 series
+    days = spark.range(n).select(F.format_string("s%05d", "id").alias("currency"), F.explode(F.sequence(F.lit(0), F.lit(2))).alias("k"), "id")
+    t = days.filter("k < 2 or id % 2 = 0").select(
+        "currency", F.timestamp_seconds(F.col("k") * 86_400).alias("dt"), F.col("id").alias("event_id"), (F.col("id") + 1.0 + F.col("k")).alias("price"))
+    names = C.series_dictionary(t)
+    assert names.count() == n and names.agg(F.max("idx")).first()[0] == n - 1
+    wide = C.daily_change_sparse(t, names)
+    rows = {str(r.d_): r for r in wide.collect()}
+    assert [len(rows[d].idx) for d in sorted(rows)] == [n, n // 2] and list(rows["1970-01-02"].idx) == list(range(n))
+    few = {str(r.d_): tuple(r)[1:] for r in C.sparse_columns(wide, names, ["s00003", "s00004", "none"]).collect()}
+    assert np.allclose(few["1970-01-02"][:2], [5 / 4 - 1, 6 / 5 - 1]) and few["1970-01-02"][2] is None
+    assert few["1970-01-03"][0] is None and abs(few["1970-01-03"][1] - (7 / 6 - 1)) < 1e-12

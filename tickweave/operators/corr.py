@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tickweave.functions.scalar import safe_div
 from tickweave.operators.stats import guarded_corr
+from tickweave.plans.sequence import sequence
 from tickweave.plans.small import bounded_broadcast
 from tickweave.schema import DT, KEY, TIE
 
@@ -51,6 +52,30 @@ def daily_change_wide(df: DataFrame, currencies: Sequence[str] | None = None, co
     return (g.pivot(key, list(currencies)) if currencies else g.pivot(key)).agg(F.first("chg"))
 
 
+def series_dictionary(df: DataFrame, key: str = KEY) -> DataFrame:
+    """key, idx: the series that have a name, numbered from 0 in its order, whatever
+    their number (``plans.sequence``)."""
+    names = df.filter(F.col(key).isNotNull()).select(key).distinct().withColumn("_one", F.lit(0))
+    return sequence(names, key="_one", order=(key,)).select(key, F.col("pos").cast("int").alias("idx"))
+
+
+def daily_change_sparse(df: DataFrame, dictionary: DataFrame, col: str = "price", key: str = KEY) -> DataFrame:
+    """M16 beyond the number of columns that a pivot can have: one row per day,
+    d_, idx (ascending places in the ``dictionary``) and chg (the changes there). A
+    series without a change that day takes no place."""
+    ch = daily_change(df, col, key).filter(F.col("chg").isNotNull()).join(bounded_broadcast(dictionary), key)
+    row = F.array_sort(F.collect_list(F.struct("idx", "chg")))  # at most one a series
+    return ch.groupBy("d_").agg(row.alias("r")).select("d_", F.transform("r", lambda x: x["idx"]).alias("idx"), F.transform("r", lambda x: x["chg"]).alias("chg"))
+
+
+def sparse_columns(wide: DataFrame, dictionary: DataFrame, names: Sequence[str], key: str = KEY) -> DataFrame:
+    """The columns of a few series out of the sparse daily table, NULL where a series
+    has no change."""
+    places = {r[0]: r[1] for r in dictionary.filter(F.col(key).isin(*names)).collect()}
+    at = lambda n: F.get("chg", (F.nullif(F.array_position("idx", F.lit(places.get(n, -1))), F.lit(0)) - 1).cast("int"))
+    return wide.select("d_", *[at(n).alias(n) for n in names])
+
+
 def movement_label(df: DataFrame, col: str = "price", key: str = KEY) -> DataFrame:
     """move = 1.0 if the daily change is positive else 0.0 (our
     definition; the reference consumes but does not produce the label)."""

@@ -352,6 +352,12 @@ SQL: dict[str, str] = {
       select d_, """
     + ", ".join(f"round(max(chg) filter (where currency = '{c}'), 6) as {c}" for c in ("click", "error", "purchase", "signup", "view"))
     + " from c group by 1",
+    "m16_daily_sparse": """
+      with d as (select event_type as currency, cast(ts as date) as d_, max_by(value, ts) as close
+                 from events group by 1, 2),
+      c as (select currency, d_, close / nullif(lag(close) over (partition by currency order by d_), 0) - 1 as chg from d)
+      select d_, currency, (select count(distinct e.event_type) from events e where e.event_type < c.currency) as idx, round(chg, 6) as chg
+      from c where chg is not null""",
     "m17_label": """
       with d as (select event_type as currency, cast(ts as date) as d_, max_by(value, ts) as close
                  from events group by 1, 2),

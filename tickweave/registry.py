@@ -466,6 +466,14 @@ def q_m16_daily_wide(spark, d):
     return w.select("d_", *[r6(F.col(f"`{c}`")).alias(c) for c in w.columns if c != "d_"])
 
 
+def q_m16_daily_sparse(spark, d):
+    """M16 by series dictionary and sparse day vectors, in long form."""
+    t = raw_ticks(spark, d)
+    names = C.series_dictionary(t)
+    long = C.daily_change_sparse(t, names).select("d_", F.inline(F.arrays_zip("idx", "chg")))
+    return long.join(names, "idx").select("d_", "currency", F.col("idx").cast("bigint").alias("idx"), r6("chg").alias("chg"))
+
+
 def q_m17_label(spark, d):
     return C.movement_label(raw_ticks(spark, d))
 
