@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickweave.plans.neighbors import lagged
+from tickweave.plans.neighbors import lagged, own_rows
 from tickweave.plans.small import bounded_broadcast
 from tickweave.schema import KEY
 
@@ -52,7 +52,7 @@ def count_sum_avg(df: DataFrame, col: str, by: str | Sequence[str] | None = KEY)
 def acf(sdf: DataFrame, col: str = "price", max_lag: int = 10, key: str = KEY) -> DataFrame:
     """Autocorrelation r(h) = sum_t z_t z_{t+h} / sum_t z_t^2 with
     z = x - mean, lags 1..max_lag, plus the 95%/99% bands z/sqrt(n)."""
-    mean = sdf.groupBy(key).agg(F.avg(col).alias("_mean"))
+    mean = own_rows(sdf).groupBy(key).agg(F.avg(col).alias("_mean"))
     z = sdf.join(bounded_broadcast(mean), key).withColumn("_z", F.col(col) - F.col("_mean"))
     z = lagged(z, {f"_z{h}": ("_z", -h) for h in range(1, max_lag + 1)}, key)
     agg = z.groupBy(key).agg(

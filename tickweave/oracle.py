@@ -435,3 +435,4 @@ SQL: dict[str, str] = {
             from t group by 1, 2)
       select currency, d_, try_cast(replace(format('{:,.2f}', open), ',', '') as double) as open, try_cast(replace(format('{:,.2f}', high), ',', '') as double) as high, try_cast(replace(format('{:,.2f}', low), ',', '') as double) as low, try_cast(replace(format('{:,.2f}', close), ',', '') as double) as close, try_cast(replace(format('{:,.2f}', value), ',', '') as double) as value, try_cast(replace(format('{:,.2f}', market_cap), ',', '') as double) as market_cap from d""",
 }
+SQL["w6_stored"] = SQL["w6_pct_change"]

@@ -5,6 +5,7 @@
                    many tasks (never one task per series).
 * ``neighbors``  – fixed-size blocks of consecutive positions plus halo rows, so
                    lag/lead/sliding frames run per block, not per series.
+* ``stored``     – positions written once as a bucketed table of blocks with halos.
 * ``small``      – size-checked broadcast of small sides (stats, chunk tables).
 """
 

@@ -37,7 +37,13 @@ def with_neighbors(
     after: int = 0,
     rows: int | None = None,
 ) -> DataFrame:
-    """Add ``_blk`` and ``_own``; own rows plus halo copies for each block."""
+    """Add ``_blk`` and ``_own``; own rows plus halo copies for each block. A frame
+    that has them stored (``plans.stored``) is taken as it is."""
+    if {"_blk", "_own"} <= set(sdf.columns):
+        stored = sdf.schema["_blk"].metadata
+        if stored.get("before", 0) < before or stored.get("after", 0) < after:
+            raise ValueError(f"the stored halo {stored} is smaller than ({before}, {after})")
+        return sdf
     B = block_rows(sdf, before, after, rows)
     blk = idiv("pos", B)
     if not before and not after:
@@ -66,6 +72,11 @@ def with_neighbors(
     )
 
 
+def own_rows(sdf: DataFrame) -> DataFrame:
+    """The rows without halo copies, of a stored frame or any other."""
+    return sdf.filter("_own").drop("_blk", "_own") if {"_blk", "_own"} <= set(sdf.columns) else sdf
+
+
 def block_window(key: str | Sequence[str] = KEY) -> Window:
     return Window.partitionBy(*_keys(key), "_blk").orderBy("pos")
 

@@ -335,6 +335,17 @@ def q_w6_pct_change(spark, d):
     return x.select("event_id", r6("pct_change").alias("pct_change"))
 
 
+def q_w6_stored(spark, d):
+    """W6 over stored positions: written once as a bucketed table of blocks, read
+    without an exchange."""
+    from tickweave.plans.stored import store_positions
+    from tickweave.session import scratch_path
+
+    path = scratch_path(spark, "positions")
+    stored = store_positions(ticks(spark, d), f"positions_{path.rsplit('-', 1)[-1]}", before=1, after=0, path=path)
+    return TR.pct_change(stored).select("event_id", r6("pct_change").alias("pct_change"))
+
+
 def q_w7_log_return(spark, d):
     x = TR.log_return(ticks(spark, d), "price")
     return x.select("event_id", r6("log_return").alias("log_return"))
