@@ -123,6 +123,11 @@ def split_chain(windows: DataFrame, cut: float = 0.9, k: int = 12, frac: float =
     return back.unionByName(rest)
 
 
+def hash_bucket(tie: str, digits: int = 7) -> Column:
+    """The first ``digits`` hex digits of md5(tie) as a number."""
+    return F.conv(F.substring(F.md5(F.col(tie).cast("string")), 1, digits), 16, 10).cast("bigint")
+
+
 def hash_split(
     df: DataFrame,
     portion: float,
@@ -134,5 +139,4 @@ def hash_split(
     """M7: deterministic random split (C17): bucket = first ``digits`` hex
     digits of md5(tie); bucket < portion * 16^digits -> names[0]. Unlike
     ``randomSplit`` it does not change with partitioning."""
-    bucket = F.conv(F.substring(F.md5(F.col(tie).cast("string")), 1, digits), 16, 10).cast("bigint")
-    return df.withColumn(out, F.when(bucket < F.lit(portion * 16.0**digits), names[0]).otherwise(names[1]))
+    return df.withColumn(out, F.when(hash_bucket(tie, digits) < F.lit(portion * 16.0**digits), names[0]).otherwise(names[1]))

@@ -358,6 +358,17 @@ SQL: dict[str, str] = {
       c as (select currency, d_, close / nullif(lag(close) over (partition by currency order by d_), 0) - 1 as chg from d)
       select d_, currency, (select count(distinct e.event_type) from events e where e.event_type < c.currency) as idx, round(chg, 6) as chg
       from c where chg is not null""",
+    "m8_split_sizes": """
+      with b as (select event_type as k, date_trunc('hour', ts) as t, max_by(value, (ts, event_id)) as close
+                 from events where event_type in ('click', 'view') group by 1, 2),
+      c as (select k, t, close / nullif(lag(close) over (partition by k order by t), 0) - 1 as chg from b),
+      w as (select t, max(chg) filter (where k = 'click') as x, max(chg) filter (where k = 'view') as y from c group by 1),
+      f as (select strftime(t, '%Y-%m-%d %H:%M:%S') as id, y > 0 as up from w where x is not null and y is not null),
+      s as (select portion, up, cast('0x' || substr(md5(id), 1, 7) as bigint) < portion * 268435456.0 as train
+            from f, (select unnest([0.5, 0.6, 0.7, 0.8, 0.9, 0.95])::double as portion))
+      select portion, count(*) filter (train) as n_train, count(*) filter (not train) as n_test,
+             count(*) filter (train and up) as up_train, count(*) filter (not train and up) as up_test
+      from s group by 1""",
     "m17_label": """
       with d as (select event_type as currency, cast(ts as date) as d_, max_by(value, ts) as close
                  from events group by 1, 2),

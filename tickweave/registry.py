@@ -650,6 +650,13 @@ def q_m8_movement_rf(spark, d):
     return ml.movement_sweep(ml.movement_frame(raw_ticks(spark, d), BASE, "view"))
 
 
+def q_m8_split_sizes(spark, d):
+    """M8's training and test sets: sizes and labels for every train portion."""
+    from tickweave.operators import ml
+
+    return ml.movement_split_sizes(ml.movement_frame(raw_ticks(spark, d), BASE, "view"))
+
+
 def _model_windows(spark, d):
     s = P.every_nth(ticks(spark, d), HOURLY, drop_first=1)
     s = TR.log1p_features(s, FEATS)
