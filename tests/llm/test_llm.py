@@ -281,6 +281,20 @@ def test_op6_positions(docs):
     assert mixing.in_mixed_order(docs).columns == docs.columns
 
 
+def test_op6_many_rows_of_one_key(spark):
+    """Null ids, and one id with a third of all rows: every place once, in many tasks."""
+    n = 90_000
+    rows = spark.range(n).select(F.when(F.col("id") < 50_000, F.lit(None).cast("long")).when(F.col("id") < 80_000, 7).otherwise(F.col("id")).alias("doc_id"),
+                                 F.lit("web").alias("source"))
+    got = mixing.positions(rows)
+    assert got.agg(F.count("*"), F.countDistinct("position"), F.min("position"), F.max("position")).first()[:] == (n, n, 0, n - 1)
+    assert got.groupBy("doc_id").count().filter("doc_id is null or doc_id = 7").agg(F.sum("count")).first()[0] == 80_000
+    # the null ids lie in one hash chunk, in several parts of it
+    spots = mixing.mix(rows.withColumn("tie", F.monotonically_increasing_id()), tie="tie")
+    plan = spots._jdf.queryExecution().optimizedPlan().toString()
+    assert "__mix_part" in plan
+
+
 def test_op7_topk(spark):
     rng = np.random.default_rng(2)
     rows = [(int(i), [float(x) for x in rng.normal(size=9)]) for i in range(700)]

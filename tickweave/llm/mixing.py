@@ -10,8 +10,8 @@ proportion; no row is dropped or repeated.
 
 Only (source, number of rows) reaches the driver, where the blocks are
 scheduled; their number is bounded (``MOST_BLOCKS``: blocks grow with the
-table). Places within a source come from counted hash chunks, so that no task
-ever ranks a whole source.
+table). Places within a source come from counted hash chunks, and chunks of many
+rows with one key from counted parts, so that no task ever ranks a whole source.
 
 Defined results: a null source is a source of its own (weight 1 unless given);
 an empty table gives an empty result; repeated rows and null ids each keep
@@ -103,10 +103,11 @@ def target_weights(sizes: dict[str | None, int], weights: dict[str | None, float
 
 
 def mix(df: DataFrame, source: str = "source", key: Column | None = None, weights: dict[str | None, float] | None = None,
-        seed: int = 42, block_rows: int = BLOCK_ROWS, most_blocks: int = MOST_BLOCKS) -> DataFrame:
+        seed: int = 42, block_rows: int = BLOCK_ROWS, most_blocks: int = MOST_BLOCKS, tie: str | None = None) -> DataFrame:
     """``df`` with ``__mix_block`` (of its source), ``__mix_slot`` (when the
     block is placed) and ``__mix_pos`` (place of the row in the mix, from 0).
-    ``key`` orders the rows within a source (by its hash; default doc_id)."""
+    ``key`` orders the rows within a source (by its hash; default doc_id); ``tie``, a
+    column that is another in every row, spreads rows of one key over tasks."""
     spark = df.sparkSession
     h = F.xxhash64(key if key is not None else F.col("doc_id"), F.lit(seed))
     rows = df.withColumns({f"{K}src": F.col(source).cast("string"), f"{K}h": h})
@@ -130,10 +131,18 @@ def mix(df: DataFrame, source: str = "source", key: Column | None = None, weight
     top = F.shiftrightunsigned(f"{K}h", 33)
     rows = rows.withColumn(f"{K}chunk", F.shiftright(top * F.col(f"{K}chunks"), 31)).drop(f"{K}s", f"{K}src", f"{K}chunks")
     counts = written(rows.groupBy(f"{K}no", f"{K}chunk").count(), "mix-chunks")
-    before = Window.partitionBy(f"{K}no").orderBy(f"{K}chunk").rowsBetween(Window.unboundedPreceding, -1)
-    first = counts.select(f"{K}no", f"{K}chunk", F.coalesce(F.sum("count").over(before), F.lit(0)).alias(f"{K}first"))
-    inside = Window.partitionBy(f"{K}no", f"{K}chunk").orderBy(F.shiftrightunsigned(F.col(f"{K}h"), 1), F.col(f"{K}h"))
-    rows = rows.join(first, [f"{K}no", f"{K}chunk"])
+    at = [f"{K}no", f"{K}chunk"]
+    hot = counts.filter(F.col("count") > 4 * CHUNK_ROWS)
+    if tie and hot.head(1):  # many rows of one key: parts by the hash of their own tie
+        parts = hot.select(*at, F.ceil(F.col("count") / CHUNK_ROWS).alias(f"{K}parts"))
+        rows = rows.join(bounded_broadcast(parts), at, "left")
+        rows = rows.withColumn(f"{K}part", F.pmod(F.xxhash64(tie, F.lit(seed)), F.coalesce(f"{K}parts", F.lit(1).cast("long")))).drop(f"{K}parts")
+        at.append(f"{K}part")
+        counts = written(rows.groupBy(*at).count(), "mix-parts")
+    before = Window.partitionBy(f"{K}no").orderBy(*at[1:]).rowsBetween(Window.unboundedPreceding, -1)
+    first = counts.select(*at, F.coalesce(F.sum("count").over(before), F.lit(0)).alias(f"{K}first"))
+    inside = Window.partitionBy(*at).orderBy(F.shiftrightunsigned(F.col(f"{K}h"), 1), F.col(f"{K}h"))
+    rows = rows.join(first, at)
     rows = rows.withColumn(f"{K}in", F.col(f"{K}first") + F.row_number().over(inside) - 1)
     rows = rows.withColumn(f"{K}block", F.floor(F.col(f"{K}in") / size))
     slot_table = spark.createDataFrame(plan or [(-1, -1, -1, -1)], f"{K}no int, {K}block long, {K}slot long, {K}at long")
@@ -144,7 +153,9 @@ def mix(df: DataFrame, source: str = "source", key: Column | None = None, weight
 
 def positions(docs: DataFrame) -> DataFrame:
     """doc_id, source, block, slot, position of every row."""
-    rows = mix(docs.select("doc_id", "source"))
+    # written, so that a retried task finds every row under its own number again
+    rows = written(docs.select("doc_id", "source", F.monotonically_increasing_id().alias(f"{K}row")), "mix-rows")
+    rows = mix(rows, tie=f"{K}row")
     return rows.select("doc_id", "source", F.col(f"{K}block").alias("block"), F.col(f"{K}slot").alias("slot"), F.col(f"{K}pos").alias("position"))
 
 
