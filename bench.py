@@ -36,6 +36,7 @@ from tickweave.sources.events import ticks_from_events  # noqa: E402
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
 REPEATS = int(os.environ.get("BENCH_REPEATS", "5"))
+SLOW, SLOW_REPEATS = ("m9_rf_forecast", "m11_arima_order", "m12_arima_forecast"), 2  # model jobs of several seconds
 PARTS = [int(x) for x in os.environ.get("BENCH_PARTITIONS", "1,11,18,50").split(",")]
 
 
@@ -84,13 +85,14 @@ def main() -> None:
     jobs["m18_prep"] = prep_job(spark)
     jobs["flagship"] = lambda: R.flagship(spark, SF_DIR)
     for name in ("a8_corr_sweep", "a5_robust_stats", "a13_acf", "a14_adf", "w3_windows_long",
-                 "w13_holdout", "a10_metrics", "m16_daily_wide", "w1_position"):
+                 "w13_holdout", "a10_metrics", "m16_daily_wide", "w1_position",
+                 "m3_robust", "a13_acf_all", "m9_rf_forecast", "m11_arima_order", "m12_arima_forecast"):
         jobs[name] = (lambda nm: (lambda: R.QUERIES[nm](spark, SF_DIR)))(name)
 
     results = {}
     for name, q in jobs.items():
         times = []
-        for i in range(REPEATS + 1):
+        for i in range((SLOW_REPEATS if name in SLOW else REPEATS) + 1):
             R.reset_cache()
             t0 = time.perf_counter()
             run(q())
