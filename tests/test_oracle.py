@@ -52,5 +52,5 @@ def test_query_matches_duckdb(spark, con, name):
 
 def test_every_query_has_oracle_or_is_a_model_job():
     rows_only = {q for q in set(QUERIES) - set(SQL) if not q.startswith("op") and q != "pipeline"}
-    assert rows_only == {"m8_movement_rf", "m9_rf_forecast", "m10_rf_grid", "m11_arima_order",
+    assert rows_only == {"m8_movement_rf", "m9_rf_forecast", "m10_rf_grid", "m11_adf_d", "m11_arima_order",
                          "m12_arima_forecast", "a17_compare_models"}
