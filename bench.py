@@ -36,7 +36,7 @@ from tickweave.sources.events import ticks_from_events  # noqa: E402
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
 REPEATS = int(os.environ.get("BENCH_REPEATS", "5"))
-SLOW, SLOW_REPEATS = ("m9_rf_forecast", "m11_arima_order", "m12_arima_forecast"), 2  # model jobs of several seconds
+SLOW, SLOW_REPEATS = ("m9_rf_forecast", "m11_arima_order", "m12_arima_forecast"), 1  # model jobs of several seconds
 PARTS = [int(x) for x in os.environ.get("BENCH_PARTITIONS", "1,11,18,50").split(",")]
 
 
