@@ -11,6 +11,7 @@ from fractions import Fraction
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 import tiktoken
 import xxhash
 from pyspark.sql import functions as F
@@ -395,6 +396,16 @@ def test_op10_round_trip(docs, texts, size):
     same(map(tuple, bpe.digests(some, b, dictionary_words=size).collect()), want)
 
 
+def test_op10_finder_finds_what_regex_finds():
+    pattern = public_tokenizers.PATTERN
+    want, find = regex.compile(pattern).findall, bpe.finder(pattern)
+    chars = [*map(chr, range(0, 0xD800, 3)), *map(chr, range(0xE000, 0x110000, 97)), *"\x1c\x1f\x85\u180e\u200b\u3000\ufeff"]
+    for c in chars:
+        x = f"a{c}1 {c}{c}  b'll {c}2\n {c}"
+        assert find(x) == want(x)
+    assert bpe.finder(r"(?i:\w)+").__self__.pattern == r"(?i:\w)+"  # other classes are left to regex
+
+
 def test_op10_dictionary_holds_no_long_words(spark):
     long = ["b" * 3_000, "中" * 400, "x" * 65]
     texts = [" ".join([*long, "y" * 63, "short"]) for _ in range(3)]

@@ -10,7 +10,9 @@ per task, then one exchange of distinct words). The ``dictionary_words`` most
 frequent of them (a fixed bound) are encoded once by the fold and broadcast. A
 second pass looks up each word of a document there; the words beyond the bound
 are encoded by the same fold inside their own row, so no text and no word
-occurrence is ever shuffled, and the result does not depend on the bound.
+occurrence is ever shuffled, and the result does not depend on the bound. The
+ids of looked up words stay packed beside the fold and are put together with its
+ids afterwards.
 
 Defined results: a null text is an empty text; an empty text has no tokens,
 the hash of no bytes, and decodes to no bytes. Repeated rows are encoded row by
@@ -22,9 +24,10 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -138,7 +141,7 @@ class Bpe:
         pattern = self.pattern
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            find, seen = regex.compile(pattern).findall, Counter()
+            find, seen = finder(pattern), Counter()
 
             def out() -> pa.RecordBatch:
                 return pa.RecordBatch.from_arrays([pa.array([w.encode() for w in seen], pa.binary()),
@@ -172,26 +175,42 @@ class Bpe:
             f.write_table(own)  # last: a token is never cut further
         return sink.getvalue().to_pybytes()
 
-    def encode(self, docs: DataFrame, text: str = "text", out: str = "ids", dictionary_words: int = DICTIONARY_WORDS) -> DataFrame:
-        """``docs`` with a column ``out``: the token ids (array<int>) of the whole
-        text, as the public tokenizer library gives them without special tokens."""
-        pattern, held = self.pattern, "__bpe_pieces"
+    def _folded(self, docs: DataFrame, text: str, dictionary_words: int) -> DataFrame:
+        """``docs`` with ``__bpe_known`` and ``__bpe_rare``, of which ``put_together``
+        makes the ids."""
+        pattern = self.pattern
         shared = docs.sparkSession.sparkContext.broadcast(self.dictionary(docs, text, dictionary_words))
         place = docs.columns.index(text)
 
         def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            known, find = read_dictionary(shared.value), regex.compile(pattern).findall
+            known, find = read_dictionary(shared.value), finder(pattern)
             for b in batches:
                 for i in range(0, b.num_rows, PIECE_ROWS):
                     part = b.slice(i, PIECE_ROWS)
                     found = split_words(part.column(place), known, find)
-                    yield pa.RecordBatch.from_arrays([*part.columns, found], [*part.schema.names, held])
+                    yield pa.RecordBatch.from_arrays([*part.columns, *found], [*part.schema.names, KNOWN, "__bpe_words"])
 
-        ids, word = T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("word", T.BinaryType())
+        fields = T.StructType().add("ids", T.BinaryType()).add("cuts", T.ArrayType(T.IntegerType()))
         both = docs.withColumn(text, F.col(text).cast("string"))
-        both = both.mapInArrow(pieces, T.StructType([*both.schema.fields, T.StructField(held, T.ArrayType(T.StructType([ids, word])))]))
-        ids_of = F.transform(held, lambda s: F.when(s["word"].isNull(), s["ids"]).otherwise(F.concat(s["ids"], self.encode_word(s["word"]))))
-        return both.withColumn(out, F.flatten(ids_of)).drop(held)
+        both = both.mapInArrow(pieces, T.StructType([*both.schema.fields]).add(KNOWN, fields).add("__bpe_words", T.ArrayType(T.BinaryType())))
+        each = F.transform("__bpe_words", self.encode_word)
+        rare = _let(each, lambda x: F.struct(F.flatten(x).alias("ids"), F.transform(x, lambda i: F.size(i)).alias("sizes")))
+        return both.withColumn(RARE, rare).drop("__bpe_words")
+
+    def encode(self, docs: DataFrame, text: str = "text", out: str = "ids", dictionary_words: int = DICTIONARY_WORDS) -> DataFrame:
+        """``docs`` with a column ``out``: the token ids (array<int>) of the whole
+        text, as the public tokenizer library gives them without special tokens."""
+
+        rows = self._folded(docs, text, dictionary_words)
+        kept = [c for c in rows.columns if c not in (KNOWN, RARE)]
+
+        def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                found = pa.array(list(put_together(b)), pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([*[b.column(c) for c in kept], found], [*kept, out])
+
+        schema = T.StructType(rows.select(*kept).schema.fields).add(out, T.ArrayType(T.IntegerType()))
+        return rows.mapInArrow(whole, schema)
 
     def pieces_by_id(self) -> list[bytes]:
         by_rank = {r: t for t, r in self.ranks.items()}
@@ -215,6 +234,12 @@ def decoded(ids: np.ndarray, pieces: list[bytes]) -> bytes:
     return b"".join(map(pieces.__getitem__, ids.tolist()))
 
 
+def joined(pieces: pa.BinaryArray) -> memoryview:
+    """All bytes of an array, in its order."""
+    ends = np.frombuffer(pieces.buffers()[1], np.int32)[pieces.offset:pieces.offset + len(pieces) + 1]
+    return memoryview(pieces.buffers()[2] or b"")[ends[0]:ends[-1]]
+
+
 def _is_text(token: bytes) -> bool:
     try:
         return bool(token.decode())
@@ -236,30 +261,71 @@ def read_dictionary(file: bytes) -> dict[str, bytes]:
     return {w.as_py().decode(): raw[a:b] for w, a, b in zip(words, at, at[1:])}
 
 
-def split_words(texts: pa.Array, known: dict[str, bytes], find) -> pa.Array:
-    """Per text the ids of known words, cut where a word is not known:
-    list<struct<ids, word>>."""
-    runs, lengths, words, ends = [], [], [], [0]
+def finder(pattern: str) -> Callable[[str], list[str]]:
+    """``regex.findall`` of the pattern. Texts without characters beyond U+FFFF go
+    through ``re``, about twice as fast, with the pattern's classes (``\\p{L}``,
+    ``\\p{N}``, ``\\s``) spelled out as ``regex`` knows them."""
+    slow = regex.compile(pattern).findall
+    chars, classes = "".join(map(chr, range(0x10000))), {}
+    for name in (r"\p{L}", r"\p{N}", r"\s"):
+        runs = (m.group() for m in regex.finditer(name + "+", chars))
+        classes[name] = "".join(f"\\u{ord(r[0]):04x}-\\u{ord(r[-1]):04x}" for r in runs)
+    spelled, inside = [], False
+    for part in re.findall(r"\\[pP]\{\w+\}|\\.|.", pattern, re.DOTALL):
+        if part in classes:
+            spelled.append(classes[part] if inside else f"[{classes[part]}]")
+        elif part == r"\S" and not inside:
+            spelled.append(f"[^{classes[chr(92) + 's']}]")
+        elif len(part) > 1 and part[1].isalnum():
+            return slow  # another class
+        else:
+            inside = part == "[" or (inside and part != "]")
+            spelled.append(part)
+    fast = re.compile("".join(spelled)).findall
+
+    def find(text: str) -> list[str]:
+        return fast(text) if text.isascii() or max(text) <= "\uffff" else slow(text)
+
+    return find
+
+
+KNOWN, RARE = "__bpe_known", "__bpe_rare"
+
+
+def split_words(texts: pa.Array, known: dict[str, bytes], find) -> tuple[pa.Array, pa.Array]:
+    """Per text the ids of its known words, packed, with the places among them of
+    the words that are not known, and these words."""
+    ids, cuts, words, ends = [], [], [], [0]
     for t in texts:
-        n = 0
-        for w in find(t.as_py() or ""):
-            x = known.get(w)
-            if x is None:
-                lengths.append(n)
-                words.append(w.encode())
-                n = 0
-            else:
-                runs.append(x)
-                n += len(x)
-        if n:
-            lengths.append(n)
-            words.append(None)
+        found = find(t.as_py() or "")
+        runs = list(map(known.get, found))
+        if None in runs:
+            n, all_runs, runs = 0, runs, []
+            for w, x in zip(found, all_runs):
+                if x is None:
+                    cuts.append(n)
+                    words.append(w.encode())
+                else:
+                    runs.append(x)
+                    n += len(x) // 4
+        ids.append(b"".join(runs))
         ends.append(len(words))
-    flat = np.frombuffer(b"".join(runs), "<i4")
-    cuts = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64) // 4]).astype(np.int32)
-    ids = pa.ListArray.from_arrays(pa.array(cuts), pa.array(flat))
-    rows = pa.StructArray.from_arrays([ids, pa.array(words, pa.binary())], ["ids", "word"])
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows)
+    offsets = pa.array(ends, pa.int32())
+    places = pa.ListArray.from_arrays(offsets, pa.array(cuts, pa.int32()))
+    return (pa.StructArray.from_arrays([pa.array(ids, pa.binary()), places], ["ids", "cuts"]),
+            pa.ListArray.from_arrays(offsets, pa.array(words, pa.binary())))
+
+
+def put_together(rows: pa.RecordBatch) -> Iterator[np.ndarray]:
+    """The ids of each text: those of the known words, with those of the others at
+    their places."""
+    known, rare = rows.column(KNOWN), rows.column(RARE)
+    lists = [known.field("cuts"), rare.field("sizes"), rare.field("ids")]
+    (cuts, cut_ends), (sizes, _), (ids, id_ends) = [(x.values.to_numpy(zero_copy_only=False), x.offsets.to_numpy()) for x in lists]
+    first = lists[1].offsets.to_numpy()[0] - cut_ends[0]
+    for packed, a, b, c, d in zip(known.field("ids"), cut_ends, cut_ends[1:], id_ends, id_ends[1:]):
+        x = np.frombuffer(packed.as_buffer(), "<i4")
+        yield np.insert(x, np.repeat(cuts[a:b], sizes[first + a:first + b]), ids[c:d]) if b > a else x
 
 
 def public_bpe() -> Bpe:
@@ -273,14 +339,21 @@ def digests(docs: DataFrame, bpe: Bpe, text: str = "text", doc_id: str = "doc_id
             keep: Sequence[str] = ()) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 (of the ids as little-endian unsigned 32-bit
     integers) and decoded_sha256 of every row, and its columns ``keep``."""
-    rows = bpe.encode(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), *keep), "text", "ids", dictionary_words)
-    pieces = bpe.pieces_by_id()
-
-    @F.pandas_udf("ids_sha256 string, decoded_sha256 string")
-    def hashed(arrays: pd.Series) -> pd.DataFrame:
-        own = [hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in arrays]
-        back = [hashlib.sha256(decoded(x, pieces)).hexdigest() for x in arrays]
-        return pd.DataFrame({"ids_sha256": own, "decoded_sha256": back})
-
-    rows = rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), hashed("ids").alias("h"), *keep)
-    return rows.select("doc_id", "n_tokens", "h.ids_sha256", "h.decoded_sha256", *keep)
+    rows = bpe._folded(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), *keep), "text", dictionary_words)
+    pieces = pa.array(bpe.pieces_by_id(), pa.binary())
+
+    kept = ["doc_id", *keep]
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n, own, back = [], [], []
+            for x in put_together(b):
+                n.append(len(x))
+                own.append(hashlib.sha256(np.ascontiguousarray(x, "<u4")).hexdigest())
+                back.append(hashlib.sha256(joined(pieces.take(pa.array(x, pa.int32())))).hexdigest())
+            found = [pa.array(n, pa.int64()), pa.array(own, pa.string()), pa.array(back, pa.string())]
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in kept], *found], schema.fieldNames())
+
+    schema = T.StructType(rows.select(*kept).schema.fields)
+    schema = schema.add("n_tokens", T.LongType()).add("ids_sha256", T.StringType()).add("decoded_sha256", T.StringType())
+    return rows.select(*kept, KNOWN, RARE).mapInArrow(hashed, schema).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *keep)
