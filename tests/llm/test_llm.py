@@ -10,6 +10,7 @@ from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import regex
 import tiktoken
@@ -418,6 +419,48 @@ def test_op10_dictionary_holds_no_long_words(spark):
     same([(r.doc_id, r.ids_sha256) for r in bpe.digests(docs, b).collect()], want)
 
 
+def test_op10_cuts_where_no_match_goes_over():
+    pattern = public_tokenizers.PATTERN
+    assert pattern == bpe.CUT_PATTERN and bpe.cutter(r"\w+")("a b") == ["a b"]
+    want, find, cut = regex.compile(pattern).findall, bpe.finder(pattern), bpe.cutter(pattern)
+    assert cut("a bc d") == ["a", "bc", "d"]
+    spaces = [c for c in map(chr, range(0x10000)) if regex.match(r"\s", c)]
+    gaps = ["", " ", "  ", "   ", *spaces, *(f" {c}" for c in spaces), *(f"{c} " for c in spaces), "\n \n", " \n \n ", "\x1c", " \x1c", "\x1c "]
+    r = random.Random(5)
+    texts = [f"{g}a{g}1{g}'ll{g}.{g}\u00e9{g}\U0001f600{g}" for g in gaps]
+    texts += ["".join(r.choice(gaps) + r.choice(["a", "b2", "'s", "!?", "\u4e2d", "\U0001f600"]) for _ in range(40)) + r.choice(gaps) for _ in range(300)]
+    for t in texts:
+        runs = cut(t)
+        assert [w for i, run in enumerate(runs) for w in find(f" {run}" if i else run)] == want(t)
+
+
+def test_op10_a_rare_word_is_folded_once(spark):
+    """Words beyond the broadcast come from their partition's folder, not from a fold a row."""
+    r = random.Random(9)
+    rare = ["".join(r.choices("abdehinorst", k=9)) for _ in range(150)]
+    rows = [(i, " ".join(["the the of"] + [rare[(i * 7 + k) % 150] for k in range(20)] + ["z" * 80] * (i == 3))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3, "doc_id")
+    b = bpe.public_bpe()
+    words = b.words(docs, "text").collect()
+    assert len(words) == len({bytes(w.word) for w in words}) and max(len(w.parts) for w in words) == 3
+    enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=b.ranks, special_tokens={})
+    assert all(w.ids == enc.encode_ordinary(bytes(w.word).decode()) for w in words)
+    folded = {x.doc_id: list(x.sizes) for x in b._folded(docs, "text", 5).select("doc_id", F.col(bpe.RARE)["sizes"].alias("sizes")).collect()}
+    assert len(folded) == 60 and all(bool(n) == (i == 3) for i, n in folded.items())
+    got = {x.doc_id: x.ids for x in b.encode(docs, dictionary_words=5).collect()}
+    assert got == {i: enc.encode_ordinary(t) for i, t in rows}
+
+
+def test_op10_words_in_no_dictionary_are_folded_in_their_row():
+    b = bpe.public_bpe()
+    find, cut = bpe.finder(b.pattern), bpe.cutter(b.pattern)
+    text, known = "the the zq ab. the zq", {"the": b"\1\0\0\0", " the": b"\2\0\0\0", " ab": b"\3\0\0\0\4\0\0\0", ".": b"\5\0\0\0"}
+    packed, words = bpe.split_words(pa.array([text, "", None, text]), known, find, cut, {})
+    one = {"ids": np.array([1, 2, 3, 4, 5, 2], "<i4").tobytes(), "cuts": [2, 6]}
+    none = {"ids": b"", "cuts": []}
+    assert packed.to_pylist() == [one, none, none, one] and words.to_pylist() == [[b" zq", b" zq"], [], [], [b" zq", b" zq"]]
+
+
 def test_labelled_rows_are_bounded_where_ids_repeat(spark):
     rows = [(1, "same words")] * 400 + [(2, f"other words {i}") for i in range(900)] + [(i, f"text {i}") for i in range(3, 60)] + [(3, None)] * 5
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)

@@ -5,14 +5,17 @@ fold is the list of pieces and the list of ranks of neighbouring pairs; each
 step joins the leftmost pair of lowest rank. Ranks come from a literal map
 (hash buckets, so a lookup costs the same for any vocabulary).
 
-Plan. One pass counts the distinct words of the whole corpus (partial counts
-per task, then one exchange of distinct words). The ``dictionary_words`` most
-frequent of them (a fixed bound) are encoded once by the fold and broadcast. A
-second pass looks up each word of a document there; the words beyond the bound
-are encoded by the same fold inside their own row, so no text and no word
-occurrence is ever shuffled, and the result does not depend on the bound. The
-ids of looked up words stay packed beside the fold and are put together with its
-ids afterwards.
+Plan. One pass counts the distinct words of the whole corpus, with the
+partitions they occur in (partial counts per task, then one exchange of distinct
+words), and the fold encodes each of at most 64 bytes once. The most frequent, at
+most ``dictionary_words`` (a fixed bound), are broadcast; the others are written in
+one folder a partition of the documents. A second pass looks up each word of a
+document in the broadcast and in its partition's folder; words in neither (longer
+ones, or all if the second scan is partitioned in another way) are encoded by the
+same fold inside their own row. So no text and no word occurrence is ever shuffled,
+a task holds the words of its own partition, and the result depends neither on the
+bound nor on the partitions. The ids of looked up words stay packed beside the fold
+and are put together with its ids afterwards.
 
 Defined results: a null text is an empty text; an empty text has no tokens,
 the hash of no bytes, and decodes to no bytes. Repeated rows are encoded row by
@@ -33,14 +36,18 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
+from pyarrow import fs, parquet
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickweave.llm.common import written
+from tickweave.llm.warc import _opened
+from tickweave.session import scratch_path
 
 BUCKETS = 16_384
-DICTIONARY_WORDS = 300_000  # encoded once and broadcast
+DICTIONARY_WORDS = 300_000  # broadcast
 # Bytes of the longest word of the dictionary: words and ids (one a byte at most,
 # 4 bytes each) are bounded by 300,000 x 64 x 5 bytes, 96 MB, whatever the texts.
 DICTIONARY_WORD_BYTES = 64
@@ -136,37 +143,52 @@ class Bpe:
         return F.when(n == 0, F.array().cast("array<int>")).otherwise(self.rank(state["p"]))
 
     # ------------------------------------------------------------- documents
-    def word_counts(self, docs: DataFrame, text: str) -> DataFrame:
-        """(word, n) of all pre-tokens of all texts."""
+    def words(self, docs: DataFrame, text: str) -> DataFrame:
+        """(word, n, parts, ids) of all pre-tokens of at most DICTIONARY_WORD_BYTES of
+        all texts, written: how often they occur, in which partitions of ``docs``, and
+        what the fold makes of them."""
         pattern = self.pattern
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            find, seen = finder(pattern), Counter()
+            find, cut, part = finder(pattern), cutter(pattern), TaskContext.get().partitionId()
+            runs, first, chars = Counter(), Counter(), 0
 
             def out() -> pa.RecordBatch:
-                return pa.RecordBatch.from_arrays([pa.array([w.encode() for w in seen], pa.binary()),
-                                                   pa.array(list(seen.values()), pa.int64())], ["word", "n"])
+                seen = Counter()
+                for space, some in (("", first), (" ", runs)):
+                    for run, n in some.items():
+                        for w in find(space + run):
+                            seen[w] += n
+                held = [(w, n) for w, n in ((w.encode(), n) for w, n in seen.items()) if len(w) <= DICTIONARY_WORD_BYTES]
+                return pa.RecordBatch.from_arrays([pa.array([w for w, _ in held], pa.binary()), pa.array([n for _, n in held], pa.int64()),
+                                                   pa.array([part] * len(held), pa.int32())], ["word", "n", "part"])
 
             for b in batches:
                 for t in b.column(0):
-                    seen.update(find(t.as_py() or ""))
-                    if len(seen) > 200_000:  # partial counts; Spark adds them up
+                    found = cut(t.as_py() or "")
+                    first[found[0]] += 1
+                    runs.update(found[1:])
+                    chars += sum(map(len, found))
+                    if len(runs) + len(first) > HELD_RUNS or chars > HELD_CHARS:  # partial counts; Spark adds them up
                         yield out()
-                        seen.clear()
+                        runs.clear()
+                        first.clear()
+                        chars = 0
             yield out()
 
-        parts = docs.select(F.col(text).cast("string").alias("t")).mapInArrow(count, "word binary, n long")
-        return parts.groupBy("word").agg(F.sum("n").alias("n"))
+        counts = docs.select(F.col(text).cast("string").alias("t")).mapInArrow(count, "word binary, n long, part int")
+        words = counts.groupBy("word").agg(F.sum("n").alias("n"), F.collect_set("part").alias("parts"))
+        return written(words.withColumn("ids", self.encode_word(F.col("word"))), "bpe-words")
 
     def dictionary(self, docs: DataFrame, text: str, size: int) -> bytes:
-        """The ``size`` most frequent words of at most DICTIONARY_WORD_BYTES with
-        their ids, encoded by the fold, and the tokens that are text with their
+        """The most frequent words, at most ``size``, of at most DICTIONARY_WORD_BYTES
+        with their ids, encoded by the fold, and the tokens that are text with their
         own id, as one Arrow file."""
-        parts = max(12, docs.sparkSession.sparkContext.defaultParallelism * 4)
-        short = self.word_counts(docs, text).filter(F.length("word") <= DICTIONARY_WORD_BYTES)
-        top = short.orderBy(F.col("n").desc(), "word").limit(size).select("word")
-        top = written(top.repartition(parts, "word"), "bpe-words")
-        table = top.select("word", self.encode_word(F.col("word")).alias("ids")).toArrow()
+        words = self.words(docs, text)
+        return self._packed(words.filter(F.col("n") > rare_count(words, size)))
+
+    def _packed(self, words: DataFrame) -> bytes:
+        table = words.select("word", "ids").toArrow()
         whole = sorted((t, r) for t, r in self.ranks.items() if _is_text(t))
         own = pa.table([pa.array([t for t, _ in whole], pa.binary()), pa.array([[r] for _, r in whole], pa.list_(pa.int32()))], ["word", "ids"])
         sink = pa.BufferOutputStream()
@@ -178,16 +200,22 @@ class Bpe:
     def _folded(self, docs: DataFrame, text: str, dictionary_words: int) -> DataFrame:
         """``docs`` with ``__bpe_known`` and ``__bpe_rare``, of which ``put_together``
         makes the ids."""
-        pattern = self.pattern
-        shared = docs.sparkSession.sparkContext.broadcast(self.dictionary(docs, text, dictionary_words))
+        spark, pattern = docs.sparkSession, self.pattern
+        words = self.words(docs, text)
+        rare_n, folder = rare_count(words, dictionary_words), scratch_path(spark, "bpe-rare")
+        shared = spark.sparkContext.broadcast(self._packed(words.filter(F.col("n") > rare_n)))
+        others = words.filter(F.col("n") <= rare_n).select("word", "ids", F.explode("parts").alias("part"))
+        others.repartition("part").write.partitionBy("part").parquet(folder)
         place = docs.columns.index(text)
 
         def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            known, find = read_dictionary(shared.value), finder(pattern)
+            known = part_dictionary(folder, TaskContext.get().partitionId())
+            known.update(read_dictionary(shared.value))  # last, for its tokens
+            find, cut, runs = finder(pattern), cutter(pattern), {}
             for b in batches:
                 for i in range(0, b.num_rows, PIECE_ROWS):
                     part = b.slice(i, PIECE_ROWS)
-                    found = split_words(part.column(place), known, find)
+                    found = split_words(part.column(place), known, find, cut, runs)
                     yield pa.RecordBatch.from_arrays([*part.columns, *found], [*part.schema.names, KNOWN, "__bpe_words"])
 
         fields = T.StructType().add("ids", T.BinaryType()).add("cuts", T.ArrayType(T.IntegerType()))
@@ -250,15 +278,62 @@ def _is_text(token: bytes) -> bool:
 PIECE_ROWS = 64  # documents whose pieces a task holds at once
 
 
-def read_dictionary(file: bytes) -> dict[str, bytes]:
+HELD_RUNS, HELD_CHARS = 400_000, 100_000_000  # runs that a task holds at once
+RUN_CHARS = 64  # of a run whose ids are kept
+
+
+def rare_count(words: DataFrame, size: int) -> int:
+    """The least number such that at most ``size`` words occur more often. The driver
+    gets one row a number: as many as there are different ones."""
+    table, held = words.groupBy("n").count().toArrow(), 0
+    for n, count in sorted(zip(*table.to_pydict().values()), reverse=True):
+        held += count
+        if held > size:
+            return n
+    return 0
+
+
+def _ids_of(table: pa.Table) -> dict[str, bytes]:
     """Word -> its ids as little-endian 32-bit integers."""
-    table = pa.ipc.open_file(pa.BufferReader(file)).read_all().combine_chunks()
     if not table.num_rows:
         return {}
+    table = table.combine_chunks()
     words, ids = table.column("word").chunk(0), table.column("ids").chunk(0)
     raw, offsets = np.asarray(ids.flatten(), "<i4").tobytes(), ids.offsets.to_numpy()
     at = (4 * (offsets - offsets[0])).tolist()
-    return {w.as_py().decode(): raw[a:b] for w, a, b in zip(words, at, at[1:])}
+    return {w: raw[a:b] for w, a, b in zip(words.cast(pa.string()).to_pylist(), at, at[1:])}
+
+
+def read_dictionary(file: bytes) -> dict[str, bytes]:
+    """The words of a file of ``Bpe.dictionary``."""
+    return _ids_of(pa.ipc.open_file(pa.BufferReader(file)).read_all())
+
+
+def part_dictionary(folder: str, part: int) -> dict[str, bytes]:
+    """The rarer words of one partition of the documents."""
+    system, root = _opened(folder)
+    files = system.get_file_info(fs.FileSelector(f"{root}/part={part}", allow_not_found=True))
+    found = {}
+    for f in files:
+        if f.base_name.endswith(".parquet"):
+            with system.open_input_file(f.path) as source:
+                found.update(_ids_of(parquet.ParquetFile(source).read(["word", "ids"])))
+    return found
+
+
+# The pattern of which it is known that no match goes over a space before a
+# character that is none: words take a space only in front, white space leaves its
+# last character to them, and looking ahead ends at a space as at the end.
+CUT_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+def cutter(pattern: str) -> Callable[[str], list[str]]:
+    """Cuts a text into runs whose words can be found one by one: every run but the
+    first has lost the space before it."""
+    if pattern != CUT_PATTERN:
+        return lambda text: [text]
+    doubtful, cut = re.compile(r" (?!\S)").search, re.compile(r" (?=\S)").split
+    return lambda text: cut(text) if doubtful(text) else text.split(" ")
 
 
 def finder(pattern: str) -> Callable[[str], list[str]]:
@@ -292,23 +367,37 @@ def finder(pattern: str) -> Callable[[str], list[str]]:
 KNOWN, RARE = "__bpe_known", "__bpe_rare"
 
 
-def split_words(texts: pa.Array, known: dict[str, bytes], find) -> tuple[pa.Array, pa.Array]:
+def split_words(texts: pa.Array, known: dict[str, bytes], find, cut, kept: dict[str, bytes]) -> tuple[pa.Array, pa.Array]:
     """Per text the ids of its known words, packed, with the places among them of
-    the words that are not known, and these words."""
+    the words that are not known, and these words. ``kept`` has the ids of runs."""
     ids, cuts, words, ends = [], [], [], [0]
     for t in texts:
-        found = find(t.as_py() or "")
-        runs = list(map(known.get, found))
-        if None in runs:
-            n, all_runs, runs = 0, runs, []
-            for w, x in zip(found, all_runs):
-                if x is None:
-                    cuts.append(n)
-                    words.append(w.encode())
-                else:
-                    runs.append(x)
-                    n += len(x) // 4
-        ids.append(b"".join(runs))
+        runs = cut(t.as_py() or "")
+        packed = list(map(kept.get, runs))
+        packed[0] = None  # has no space before it
+        packed.append(None)
+        i, done, n = 0, 0, 0
+        while i < len(runs):
+            found = find(f" {runs[i]}" if i else runs[i])
+            own = list(map(known.get, found))
+            if None in own:
+                n += sum(map(len, packed[done:i])) // 4
+                done, m = i + 1, n
+                for w, x in zip(found, own):
+                    if x is None:
+                        cuts.append(m)
+                        words.append(w.encode())
+                    else:
+                        m += len(x) // 4
+                n, packed[i] = m, b"".join(x for x in own if x is not None)
+            else:
+                packed[i] = b"".join(own)
+                if i and len(runs[i]) <= RUN_CHARS:
+                    if len(kept) >= HELD_RUNS:
+                        kept.clear()
+                    kept[runs[i]] = packed[i]
+            i = packed.index(None, i)
+        ids.append(b"".join(packed[:-1]))
         ends.append(len(words))
     offsets = pa.array(ends, pa.int32())
     places = pa.ListArray.from_arrays(offsets, pa.array(cuts, pa.int32()))
