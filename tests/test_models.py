@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SF01, make_ticks
 from tickweave.operators import arima as A
+from tickweave.operators import metrics as M
 from tickweave.operators import ml
 from tickweave.operators import split as SP
 from tickweave.operators import windows as W
@@ -128,6 +129,35 @@ def test_arima_order_of_a_series_is_its_own(spark):
         assert alone[1] is not None and np.allclose(alone[4:], together[name][4:]), name
 
 
+def test_models_share_stored_windows(spark):
+    """Written once; the same scores as from the windows themselves."""
+    rng = np.random.default_rng(16)
+    v = np.sin(np.arange(300) / 5.0) + 0.05 * rng.normal(size=300)
+    s = sequence(make_ticks(spark, [("s", i, i, float(x), float(i), 1.0) for i, x in enumerate(v)]), chunks=3)
+    w = SP.ordered_split(W.sliding_windows(s, ("volume", "price"), n_in=10, n_out=2), (0.8, 0.9))
+    runs = spark.sparkContext.accumulator(0)
+
+    @F.udf("boolean")
+    def counted(i):
+        runs.add(1)
+        return True
+
+    n = w.count()
+    stored = ml.stored_windows(w.filter(counted("window_id")), ("volume", "price"))
+    assert runs.value == n == stored.count()
+    for feature in ("volume", "price"):
+        a, b = [sorted(map(tuple, M.window_persistence_scores(x, feature).collect()), key=repr) for x in (w.filter(F.size("y") == 2), stored)]
+        assert a == b and len(a) == 2 * w.filter("split = 'test'").count()
+    ml.rf_forecast(stored, ("volume", "price"), n_out=2, num_trees=2).collect()
+    ml.linear_forecast(stored, ("volume", "price"), n_out=2).collect()
+    assert runs.value == n  # no model computed the windows again
+    for model in (lambda x: ml.rf_forecast(x, ("price",), n_out=2, num_trees=5), lambda x: ml.linear_forecast(x, ("price",), n_out=2)):
+        plain = W.sliding_windows(s, ("price",), n_in=10, n_out=2)
+        plain = SP.ordered_split(plain, (0.8, 0.9))
+        a, b = [{(r.window_id, r.horizon): (r.actual, r.predicted) for r in model(x).collect()} for x in (plain, ml.stored_windows(plain, ("price",)))]
+        assert a.keys() == b.keys() and all(np.allclose(a[k], b[k]) for k in a)
+
+
 def test_models_without_windows(spark):
     none = spark.createDataFrame([], "currency string, window_id long, split string, y array<double>, x array<struct<price:double>>")
     assert ml.rf_forecast(none, ("price",)).count() == 0
