@@ -429,8 +429,11 @@ def test_op10_cuts_where_no_match_goes_over():
     r = random.Random(5)
     texts = [f"{g}a{g}1{g}'ll{g}.{g}\u00e9{g}\U0001f600{g}" for g in gaps]
     texts += ["".join(r.choice(gaps) + r.choice(["a", "b2", "'s", "!?", "\u4e2d", "\U0001f600"]) for _ in range(40)) + r.choice(gaps) for _ in range(300)]
+    assert all(find(f" {c}") == [f" {c}"] for c in map(chr, range(0x110000)) if c.isalpha())
     for t in texts:
         runs = cut(t)
+        counted = [(space, run) for space, run, n in bpe.run_counts(pa.chunked_array([[t]]), pattern) for _ in range(n)]
+        assert sorted(counted) == sorted((" " if i else "", run) for i, run in enumerate(runs))
         assert [w for i, run in enumerate(runs) for w in find(f" {run}" if i else run)] == want(t)
 
 
@@ -455,9 +458,11 @@ def test_op10_words_in_no_dictionary_are_folded_in_their_row():
     b = bpe.public_bpe()
     find, cut = bpe.finder(b.pattern), bpe.cutter(b.pattern)
     text, known = "the the zq ab. the zq", {"the": b"\1\0\0\0", " the": b"\2\0\0\0", " ab": b"\3\0\0\0\4\0\0\0", ".": b"\5\0\0\0"}
-    packed, words = bpe.split_words(pa.array([text, "", None, text]), known, find, cut, {})
+    bare, spaced = bpe.by_space(known)
+    packed, words = bpe.split_words(pa.array([text, "", None, text]), bare, spaced, find, cut, 3)
     one = {"ids": np.array([1, 2, 3, 4, 5, 2], "<i4").tobytes(), "cuts": [2, 6]}
     none = {"ids": b"", "cuts": []}
+    assert spaced.keys() == {"the", "ab", "ab."}
     assert packed.to_pylist() == [one, none, none, one] and words.to_pylist() == [[b" zq", b" zq"], [], [], [b" zq", b" zq"]]
 
 

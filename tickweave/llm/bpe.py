@@ -35,6 +35,7 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyarrow import fs, parquet
 from pyspark import TaskContext
@@ -150,31 +151,29 @@ class Bpe:
         pattern = self.pattern
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            find, cut, part = finder(pattern), cutter(pattern), TaskContext.get().partitionId()
-            runs, first, chars = Counter(), Counter(), 0
+            find, part = finder(pattern), TaskContext.get().partitionId()
 
-            def out() -> pa.RecordBatch:
+            def out(texts: list[pa.Array]) -> pa.RecordBatch:
                 seen = Counter()
-                for space, some in (("", first), (" ", runs)):
-                    for run, n in some.items():
+                for space, run, n in run_counts(pa.chunked_array(texts), pattern):
+                    if space and run.isalpha():
+                        seen[f" {run}"] += n
+                    else:
                         for w in find(space + run):
                             seen[w] += n
                 held = [(w, n) for w, n in ((w.encode(), n) for w, n in seen.items()) if len(w) <= DICTIONARY_WORD_BYTES]
                 return pa.RecordBatch.from_arrays([pa.array([w for w, _ in held], pa.binary()), pa.array([n for _, n in held], pa.int64()),
                                                    pa.array([part] * len(held), pa.int32())], ["word", "n", "part"])
 
+            texts, size = [], 0
             for b in batches:
-                for t in b.column(0):
-                    found = cut(t.as_py() or "")
-                    first[found[0]] += 1
-                    runs.update(found[1:])
-                    chars += sum(map(len, found))
-                    if len(runs) + len(first) > HELD_RUNS or chars > HELD_CHARS:  # partial counts; Spark adds them up
-                        yield out()
-                        runs.clear()
-                        first.clear()
-                        chars = 0
-            yield out()
+                texts.append(b.column(0).drop_null())
+                size += b.nbytes
+                if size > HELD_BYTES:  # partial counts; Spark adds them up
+                    yield out(texts)
+                    texts, size = [], 0
+            if texts:
+                yield out(texts)
 
         counts = docs.select(F.col(text).cast("string").alias("t")).mapInArrow(count, "word binary, n long, part int")
         words = counts.groupBy("word").agg(F.sum("n").alias("n"), F.collect_set("part").alias("parts"))
@@ -189,7 +188,8 @@ class Bpe:
 
     def _packed(self, words: DataFrame) -> bytes:
         table = words.select("word", "ids").toArrow()
-        whole = sorted((t, r) for t, r in self.ranks.items() if _is_text(t))
+        find = finder(self.pattern)
+        whole = sorted((t, r) for t, r in self.ranks.items() if _is_text(t) and find(t.decode()) == [t.decode()])
         own = pa.table([pa.array([t for t, _ in whole], pa.binary()), pa.array([[r] for _, r in whole], pa.list_(pa.int32()))], ["word", "ids"])
         sink = pa.BufferOutputStream()
         with pa.ipc.new_file(sink, own.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as f:
@@ -211,11 +211,12 @@ class Bpe:
         def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known = part_dictionary(folder, TaskContext.get().partitionId())
             known.update(read_dictionary(shared.value))  # last, for its tokens
-            find, cut, runs = finder(pattern), cutter(pattern), {}
+            find, cut, (bare, spaced) = finder(pattern), cutter(pattern), by_space(known)
+            most = len(spaced) + KEPT_RUNS
             for b in batches:
                 for i in range(0, b.num_rows, PIECE_ROWS):
                     part = b.slice(i, PIECE_ROWS)
-                    found = split_words(part.column(place), known, find, cut, runs)
+                    found = split_words(part.column(place), bare, spaced, find, cut, most)
                     yield pa.RecordBatch.from_arrays([*part.columns, *found], [*part.schema.names, KNOWN, "__bpe_words"])
 
         fields = T.StructType().add("ids", T.BinaryType()).add("cuts", T.ArrayType(T.IntegerType()))
@@ -278,8 +279,8 @@ def _is_text(token: bytes) -> bool:
 PIECE_ROWS = 64  # documents whose pieces a task holds at once
 
 
-HELD_RUNS, HELD_CHARS = 400_000, 100_000_000  # runs that a task holds at once
-RUN_CHARS = 64  # of a run whose ids are kept
+HELD_BYTES = 48 << 20  # of texts whose runs are counted at once
+KEPT_RUNS, RUN_CHARS = 200_000, 64  # runs of more than a word whose ids a task keeps, and their length
 
 
 def rare_count(words: DataFrame, size: int) -> int:
@@ -293,6 +294,10 @@ def rare_count(words: DataFrame, size: int) -> int:
     return 0
 
 
+def _strings(x: pa.Array) -> list[str]:
+    return x.to_numpy(zero_copy_only=False).tolist()
+
+
 def _ids_of(table: pa.Table) -> dict[str, bytes]:
     """Word -> its ids as little-endian 32-bit integers."""
     if not table.num_rows:
@@ -301,7 +306,7 @@ def _ids_of(table: pa.Table) -> dict[str, bytes]:
     words, ids = table.column("word").chunk(0), table.column("ids").chunk(0)
     raw, offsets = np.asarray(ids.flatten(), "<i4").tobytes(), ids.offsets.to_numpy()
     at = (4 * (offsets - offsets[0])).tolist()
-    return {w: raw[a:b] for w, a, b in zip(words.cast(pa.string()).to_pylist(), at, at[1:])}
+    return {w: raw[a:b] for w, a, b in zip(_strings(words.cast(pa.string())), at, at[1:])}
 
 
 def read_dictionary(file: bytes) -> dict[str, bytes]:
@@ -336,6 +341,37 @@ def cutter(pattern: str) -> Callable[[str], list[str]]:
     return lambda text: cut(text) if doubtful(text) else text.split(" ")
 
 
+# A space before white space (all that ``re`` takes for it) or the end
+DOUBTFUL = r" (?:[\s\x0b\x1c-\x1f\x{85}\pZ]|$)"
+
+
+def run_counts(texts: pa.ChunkedArray, pattern: str) -> Iterator[tuple[str, str, int]]:
+    """(the space before it or nothing, run, n) of the runs of all texts, none null."""
+    cut, first, runs = cutter(pattern), Counter(), Counter()
+    plain = pc.invert(pc.match_substring_regex(texts, DOUBTFUL)) if pattern == CUT_PATTERN else pc.is_null(texts)
+    split = pc.split_pattern(texts.filter(plain), " ")
+    first.update(pc.list_element(split, 0).to_pylist())
+    counts = pc.list_slice(split, 1).combine_chunks().flatten().value_counts()
+    runs.update(dict(zip(_strings(counts.field(0)), counts.field(1).to_numpy().tolist())))
+    for t in texts.filter(pc.invert(plain)):
+        found = cut(t.as_py())
+        first[found[0]] += 1
+        runs.update(found[1:])
+    yield from (("", run, n) for run, n in first.items())
+    yield from ((" ", run, n) for run, n in runs.items())
+
+
+def by_space(words: dict[str, bytes]) -> tuple[dict[str, bytes], dict[str, bytes]]:
+    """The words without a space before them, and the others without that space."""
+    bare, spaced = {}, {}
+    for w, ids in words.items():
+        if w[0] == " ":
+            spaced[w[1:]] = ids
+        else:
+            bare[w] = ids
+    return bare, spaced
+
+
 def finder(pattern: str) -> Callable[[str], list[str]]:
     """``regex.findall`` of the pattern. Texts without characters beyond U+FFFF go
     through ``re``, about twice as fast, with the pattern's classes (``\\p{L}``,
@@ -367,19 +403,20 @@ def finder(pattern: str) -> Callable[[str], list[str]]:
 KNOWN, RARE = "__bpe_known", "__bpe_rare"
 
 
-def split_words(texts: pa.Array, known: dict[str, bytes], find, cut, kept: dict[str, bytes]) -> tuple[pa.Array, pa.Array]:
+def split_words(texts: pa.Array, bare: dict[str, bytes], spaced: dict[str, bytes], find, cut, most: int) -> tuple[pa.Array, pa.Array]:
     """Per text the ids of its known words, packed, with the places among them of
-    the words that are not known, and these words. ``kept`` has the ids of runs."""
+    the words that are not known, and these words. A word in ``spaced`` is a run, as
+    it is found when alone; other runs are added there, up to ``most``."""
     ids, cuts, words, ends = [], [], [], [0]
     for t in texts:
         runs = cut(t.as_py() or "")
-        packed = list(map(kept.get, runs))
+        packed = list(map(spaced.get, runs))
         packed[0] = None  # has no space before it
         packed.append(None)
         i, done, n = 0, 0, 0
         while i < len(runs):
             found = find(f" {runs[i]}" if i else runs[i])
-            own = list(map(known.get, found))
+            own = [spaced.get(w[1:]) if w[0] == " " else bare.get(w) for w in found]
             if None in own:
                 n += sum(map(len, packed[done:i])) // 4
                 done, m = i + 1, n
@@ -392,10 +429,8 @@ def split_words(texts: pa.Array, known: dict[str, bytes], find, cut, kept: dict[
                 n, packed[i] = m, b"".join(x for x in own if x is not None)
             else:
                 packed[i] = b"".join(own)
-                if i and len(runs[i]) <= RUN_CHARS:
-                    if len(kept) >= HELD_RUNS:
-                        kept.clear()
-                    kept[runs[i]] = packed[i]
+                if i and len(runs[i]) <= RUN_CHARS and len(spaced) < most:
+                    spaced[runs[i]] = packed[i]
             i = packed.index(None, i)
         ids.append(b"".join(packed[:-1]))
         ends.append(len(words))
