@@ -466,6 +466,43 @@ def test_op10_words_in_no_dictionary_are_folded_in_their_row():
     assert packed.to_pylist() == [one, none, none, one] and words.to_pylist() == [[b" zq", b" zq"], [], [], [b" zq", b" zq"]]
 
 
+def test_op10_a_task_holds_few_texts_and_words_at_once(monkeypatch):
+    """Two counting tasks and a heap share an executor's memory: 48 MB of texts and all
+    their words at once were too much for it."""
+    r = random.Random(3)
+    texts = [None if i % 50 == 0 else "".join(r.choices("abcdefgh ", k=1_000)) * 20 for i in range(2_000)]
+    batches = pa.table({"t": texts}).to_batches(max_chunksize=512)
+    sizes = []
+
+    def whole(groups):
+        for g in groups:
+            sizes.append(g.nbytes)
+            yield from g.to_pylist()
+
+    assert list(whole(bpe.held_texts(iter(batches)))) == [t for t in texts if t is not None]
+    assert len(sizes) > 2 and max(sizes) <= bpe.HELD_BYTES + bpe.PIECE_ROWS * 20_100 < 20 << 20
+
+
+def test_op10_counts_are_whole_however_few_are_held(spark, docs, monkeypatch):
+    """Partial counts add up, whatever a task holds."""
+    b = bpe.public_bpe()
+    want = {bytes(w.word): (w.n, sorted(w.parts)) for w in b.words(docs, "text").collect()}
+    monkeypatch.setattr(bpe, "HELD_BYTES", 2_000)
+    monkeypatch.setattr(bpe, "HELD_WORDS", 50)
+    monkeypatch.setattr(bpe, "DICTIONARY_ROWS", 7)
+    assert {bytes(w.word): (w.n, sorted(w.parts)) for w in b.words(docs, "text").collect()} == want
+
+
+def test_op10_the_fold_gives_the_ids_of_the_library(spark):
+    b = bpe.public_bpe()
+    enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=b.ranks, special_tokens={})
+    r = random.Random(4)
+    words = {"".join(r.choices(a, k=n)) for a in ("a", "ab", "abdehinorst", "\u00e9\u4e2d\U0001f600a", "=-") for n in (1, 2, 3, 5, 16, 31, 32, 63, 64, 65, 66, 130)}
+    words = [(w.encode(), [b.ranks[w.encode()]] if w.encode() in b.ranks else enc._encode_single_piece(w.encode())) for w in sorted(words)]
+    rows = spark.createDataFrame(words, "word binary, want array<int>").withColumn("got", b.encode_word(F.col("word"))).collect()
+    assert len(rows) > 40 and all(x.got == x.want for x in rows if bytes(x.word) not in b.ranks)
+
+
 def test_labelled_rows_are_bounded_where_ids_repeat(spark):
     rows = [(1, "same words")] * 400 + [(2, f"other words {i}") for i in range(900)] + [(i, f"text {i}") for i in range(3, 60)] + [(3, None)] * 5
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)

@@ -31,6 +31,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -89,11 +90,15 @@ class Bpe:
         packed = [base64.b64encode(b.encode()).decode() for b in buckets]
         self._map = F.from_json(F.lit(json.dumps(packed)), "array<binary>")
 
+    def rank_of(self, key: Column) -> Column:
+        """The rank of a byte string; ``none`` if there is none."""
+        return F.substring(F.call_function(
+            "substring_index", F.get(self._map, (F.crc32(key) % BUCKETS).cast("int")).cast("string"), F.concat(F.lit(","), F.base64(key), F.lit("=")),
+            F.lit(-1)), 1, self.width).cast("int")
+
     def rank(self, keys: Column) -> Column:
         """Ranks of an array of byte strings; ``none`` where there is none."""
-        return F.transform(keys, lambda k: F.substring(F.call_function(
-            "substring_index", F.get(self._map, (F.crc32(k) % BUCKETS).cast("int")).cast("string"), F.concat(F.lit(","), F.base64(k), F.lit("=")),
-            F.lit(-1)), 1, self.width).cast("int"))
+        return F.transform(keys, self.rank_of)
 
     def _state(self, pieces: Column, ranks: Column) -> Column:
         """Pieces, ranks of neighbouring pairs, and the place (from 1) of the
@@ -107,15 +112,40 @@ class Bpe:
         pairs = F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.substring(word, i, F.lit(2)))
         return self._state(pieces, self.rank(F.when(n > 1, pairs).otherwise(_no_pieces())))
 
-    def _merge_one(self, s: Column) -> Column:
-        """The state after joining the leftmost pair of lowest rank."""
-        p, r, i = s["p"], s["r"], s["i"]
-        x = F.concat(F.get(p, i - 1), F.get(p, i))
-        before = F.when(i > 1, F.array(F.concat(F.get(p, i - 2), x))).otherwise(_no_pieces())
-        after = F.when(i < F.size(r), F.array(F.concat(x, F.get(p, i + 1)))).otherwise(_no_pieces())
-        return self._state(
-            F.concat(F.slice(p, F.lit(1), i - 1), F.array(x), F.slice(p, i + 2, F.size(p))),
-            F.concat(F.slice(r, F.lit(1), F.greatest(i - 2, F.lit(0))), self.rank(F.concat(before, after)), F.slice(r, i + 2, F.size(r))))
+    def _packed_start(self, word: Column) -> Column:
+        """The bytes of a word of at most LONG_WORD, each as one number: the rank of the
+        pair that the piece begins, its place from 1 and its length. The least number is
+        the leftmost pair of lowest rank."""
+        n = F.octet_length(word)
+        return F.transform(F.sequence(F.lit(1), n), lambda i: self._number(
+            F.when(i < n, self.rank_of(F.substring(word, i, F.lit(2)))).otherwise(self.none), i * 128 + 1))
+
+    def _number(self, rank: Column, place: Column) -> Column:
+        return F.shiftleft(rank.cast("long"), 14) + place
+
+    def _place(self, number: Column) -> tuple[Column, Column]:
+        return F.shiftright(number, 7).bitwiseAND(F.lit(127)).cast("int"), number.bitwiseAND(F.lit(127)).cast("int")
+
+    def _merge_one(self, a: Column, word: Column) -> Column:
+        """The numbers after joining the leftmost pair of lowest rank; the same
+        if no pair can be joined."""
+        def start(x: Column) -> Column:
+            return self._place(x)[0]
+
+        def length(x: Column) -> Column:
+            return self._place(x)[1]
+
+        def joined(m: Column, i: Column) -> Column:
+            n, before, after = length(m) + length(F.get(a, i)), F.get(a, i - 2), F.get(a, i + 1)
+            left, new = F.substring(word, start(before), length(before) + n), F.substring(word, start(m), n + length(after))
+            places = [before.bitwiseAND(F.lit(16383)), (start(m) * 128 + n).cast("long")]
+            changed = F.zip_with(
+                F.when(i > 1, F.array(left, new)).otherwise(F.array(new)), F.when(i > 1, F.array(*places)).otherwise(F.array(places[1])),
+                lambda key, place: self._number(F.coalesce(self.rank_of(key), F.lit(self.none)), place))
+            return F.concat(F.slice(a, F.lit(1), F.greatest(i - 2, F.lit(0))), changed, F.slice(a, i + 2, F.size(a)))
+
+        return _let(F.array_min(a), lambda m: F.when(m >= self.none << 14, a).otherwise(
+            _let(F.array_position(a, m).cast("int"), lambda i: joined(m, i))))
 
     def _merge_all(self, s: Column) -> Column:
         """The state after joining every pair of the lowest rank, left to right
@@ -136,12 +166,11 @@ class Bpe:
         """Token ids (array<int>) of one pre-token given as bytes. A pre-token that
         is a token itself is for the caller to look up."""
         n = F.octet_length(word)
-
-        def step(s: Column, _: Column) -> Column:
-            return F.when(s["i"] == 0, s).when(n <= LONG_WORD, self._merge_one(s)).otherwise(self._merge_all(s))
-
-        state = F.aggregate(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), self._start(word), step)
-        return F.when(n == 0, F.array().cast("array<int>")).otherwise(self.rank(state["p"]))
+        steps = F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1)))
+        packed = F.aggregate(steps, self._packed_start(word), lambda a, _: self._merge_one(a, word))
+        short = F.transform(packed, lambda x: F.substring(word, *self._place(x)))
+        state = F.aggregate(steps, self._start(word), lambda s, _: F.when(s["i"] == 0, s).otherwise(self._merge_all(s)))
+        return F.when(n == 0, F.array().cast("array<int>")).otherwise(self.rank(F.when(n <= LONG_WORD, short).otherwise(state["p"])))
 
     # ------------------------------------------------------------- documents
     def words(self, docs: DataFrame, text: str) -> DataFrame:
@@ -153,27 +182,25 @@ class Bpe:
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             find, part = finder(pattern), TaskContext.get().partitionId()
 
-            def out(texts: list[pa.Array]) -> pa.RecordBatch:
-                seen = Counter()
-                for space, run, n in run_counts(pa.chunked_array(texts), pattern):
+            def out(seen: Counter) -> Iterator[pa.RecordBatch]:
+                held = ((w, n) for w, n in ((w.encode(), n) for w, n in seen.items()) if len(w) <= DICTIONARY_WORD_BYTES)
+                while some := list(islice(held, DICTIONARY_ROWS)):
+                    yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in some], pa.binary()), pa.array([n for _, n in some], pa.int64()),
+                                                      pa.array([part] * len(some), pa.int32())], ["word", "n", "part"])
+
+            seen = Counter()
+            for texts in held_texts(batches):
+                for space, run, n in run_counts(texts, pattern):
                     if space and run.isalpha():
                         seen[f" {run}"] += n
                     else:
                         for w in find(space + run):
                             seen[w] += n
-                held = [(w, n) for w, n in ((w.encode(), n) for w, n in seen.items()) if len(w) <= DICTIONARY_WORD_BYTES]
-                return pa.RecordBatch.from_arrays([pa.array([w for w, _ in held], pa.binary()), pa.array([n for _, n in held], pa.int64()),
-                                                   pa.array([part] * len(held), pa.int32())], ["word", "n", "part"])
-
-            texts, size = [], 0
-            for b in batches:
-                texts.append(b.column(0).drop_null())
-                size += b.nbytes
-                if size > HELD_BYTES:  # partial counts; Spark adds them up
-                    yield out(texts)
-                    texts, size = [], 0
-            if texts:
-                yield out(texts)
+                if len(seen) > HELD_WORDS:  # partial counts; Spark adds them up
+                    yield from out(seen)
+                    seen = Counter()
+            yield from out(seen)
+            pa.default_memory_pool().release_unused()  # the process lives on
 
         counts = docs.select(F.col(text).cast("string").alias("t")).mapInArrow(count, "word binary, n long, part int")
         words = counts.groupBy("word").agg(F.sum("n").alias("n"), F.collect_set("part").alias("parts"))
@@ -187,7 +214,8 @@ class Bpe:
         return self._packed(words.filter(F.col("n") > rare_count(words, size)))
 
     def _packed(self, words: DataFrame) -> bytes:
-        table = words.select("word", "ids").toArrow()
+        # the most frequent first: they lie together in the tasks' memory, and are found faster
+        table = words.select("word", "ids", "n").toArrow().sort_by([("n", "descending")]).select(["word", "ids"])
         find = finder(self.pattern)
         whole = sorted((t, r) for t, r in self.ranks.items() if _is_text(t) and find(t.decode()) == [t.decode()])
         own = pa.table([pa.array([t for t, _ in whole], pa.binary()), pa.array([[r] for _, r in whole], pa.list_(pa.int32()))], ["word", "ids"])
@@ -209,9 +237,7 @@ class Bpe:
         place = docs.columns.index(text)
 
         def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            known = part_dictionary(folder, TaskContext.get().partitionId())
-            known.update(read_dictionary(shared.value))  # last, for its tokens
-            find, cut, (bare, spaced) = finder(pattern), cutter(pattern), by_space(known)
+            find, cut, (bare, spaced) = finder(pattern), cutter(pattern), known_words(folder, TaskContext.get().partitionId(), shared.value)
             most = len(spaced) + KEPT_RUNS
             for b in batches:
                 for i in range(0, b.num_rows, PIECE_ROWS):
@@ -277,10 +303,14 @@ def _is_text(token: bytes) -> bool:
 
 
 PIECE_ROWS = 64  # documents whose pieces a task holds at once
+DICTIONARY_ROWS = 32_768  # words that are read or given to Spark at once
 
 
-HELD_BYTES = 48 << 20  # of texts whose runs are counted at once
-KEPT_RUNS, RUN_CHARS = 200_000, 64  # runs of more than a word whose ids a task keeps, and their length
+# What a counting task holds: bytes of texts whose runs are counted at once (their
+# runs take several times that), and words with a count, of which the texts at hand
+# may add more. Two tasks share an executor's memory with its heap.
+HELD_BYTES, HELD_WORDS = 10 << 20, 400_000
+KEPT_RUNS, RUN_CHARS = 50_000, 64  # runs of more than a word whose ids a task keeps, and their length
 
 
 def rare_count(words: DataFrame, size: int) -> int:
@@ -314,16 +344,26 @@ def read_dictionary(file: bytes) -> dict[str, bytes]:
     return _ids_of(pa.ipc.open_file(pa.BufferReader(file)).read_all())
 
 
-def part_dictionary(folder: str, part: int) -> dict[str, bytes]:
-    """The rarer words of one partition of the documents."""
+def part_dictionary(folder: str, part: int) -> Iterator[dict[str, bytes]]:
+    """The rarer words of one partition of the documents, some at a time."""
     system, root = _opened(folder)
     files = system.get_file_info(fs.FileSelector(f"{root}/part={part}", allow_not_found=True))
-    found = {}
     for f in files:
         if f.base_name.endswith(".parquet"):
             with system.open_input_file(f.path) as source:
-                found.update(_ids_of(parquet.ParquetFile(source).read(["word", "ids"])))
-    return found
+                for rows in parquet.ParquetFile(source).iter_batches(DICTIONARY_ROWS, columns=["word", "ids"]):
+                    yield _ids_of(pa.table(rows))
+
+
+def known_words(folder: str, part: int, shared: bytes) -> tuple[dict[str, bytes], dict[str, bytes]]:
+    """``by_space`` of the words of a partition and the shared ones."""
+    bare, spaced = {}, {}
+    file = pa.ipc.open_file(pa.BufferReader(shared))
+    rows = (x.slice(i, DICTIONARY_ROWS) for x in map(file.get_batch, range(file.num_record_batches)) for i in range(0, x.num_rows, DICTIONARY_ROWS))
+    for words in (*part_dictionary(folder, part), *map(_ids_of, map(pa.table, rows))):
+        for mine, found in zip((bare, spaced), by_space(words)):
+            mine.update(found)  # the shared ones last, for the tokens
+    return bare, spaced
 
 
 # The pattern of which it is known that no match goes over a space before a
@@ -341,10 +381,26 @@ def cutter(pattern: str) -> Callable[[str], list[str]]:
     return lambda text: cut(text) if doubtful(text) else text.split(" ")
 
 
+TAILS = frozenset(".,;:!?")  # after letters, a word of their own if they end a run
+
 # A space before white space (all that ``re`` takes for it) or the end
 DOUBTFUL = r" (?:[\s\x0b\x1c-\x1f\x{85}\pZ]|$)"
 
 
+def held_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.ChunkedArray]:
+    """The texts, none null, in groups of about HELD_BYTES."""
+    texts, size = [], 0
+    for b in batches:
+        for i in range(0, b.num_rows, PIECE_ROWS):
+            texts.append(b.column(0).slice(i, PIECE_ROWS).drop_null())
+            size += texts[-1].nbytes
+            if size > HELD_BYTES:
+                yield pa.chunked_array(texts)
+                texts, size = [], 0
+    if texts:
+        yield pa.chunked_array(texts)
+
+
 def run_counts(texts: pa.ChunkedArray, pattern: str) -> Iterator[tuple[str, str, int]]:
     """(the space before it or nothing, run, n) of the runs of all texts, none null."""
     cut, first, runs = cutter(pattern), Counter(), Counter()
@@ -415,7 +471,11 @@ def split_words(texts: pa.Array, bare: dict[str, bytes], spaced: dict[str, bytes
         packed.append(None)
         i, done, n = 0, 0, 0
         while i < len(runs):
-            found = find(f" {runs[i]}" if i else runs[i])
+            run = runs[i]
+            if i and run[-1:] in TAILS and run[:-1].isalpha():
+                found = [f" {run[:-1]}", run[-1]]
+            else:
+                found = find(f" {run}" if i else run)
             own = [spaced.get(w[1:]) if w[0] == " " else bare.get(w) for w in found]
             if None in own:
                 n += sum(map(len, packed[done:i])) // 4
