@@ -310,7 +310,7 @@ DICTIONARY_ROWS = 32_768  # words that are read or given to Spark at once
 # runs take several times that), and words with a count, of which the texts at hand
 # may add more. Two tasks share an executor's memory with its heap.
 HELD_BYTES, HELD_WORDS = 10 << 20, 400_000
-KEPT_RUNS, RUN_CHARS = 50_000, 64  # runs of more than a word whose ids a task keeps, and their length
+KEPT_RUNS, RUN_CHARS = 100_000, 64  # runs of more than a word whose ids a task keeps, and their length
 
 
 def rare_count(words: DataFrame, size: int) -> int:
@@ -473,10 +473,11 @@ def split_words(texts: pa.Array, bare: dict[str, bytes], spaced: dict[str, bytes
         while i < len(runs):
             run = runs[i]
             if i and run[-1:] in TAILS and run[:-1].isalpha():
-                found = [f" {run[:-1]}", run[-1]]
+                own = [spaced.get(run[:-1]), bare.get(run[-1])]
+                found = (f" {run[:-1]}", run[-1]) if None in own else ()
             else:
                 found = find(f" {run}" if i else run)
-            own = [spaced.get(w[1:]) if w[0] == " " else bare.get(w) for w in found]
+                own = [spaced.get(w[1:]) if w[0] == " " else bare.get(w) for w in found]
             if None in own:
                 n += sum(map(len, packed[done:i])) // 4
                 done, m = i + 1, n
@@ -489,8 +490,8 @@ def split_words(texts: pa.Array, bare: dict[str, bytes], spaced: dict[str, bytes
                 n, packed[i] = m, b"".join(x for x in own if x is not None)
             else:
                 packed[i] = b"".join(own)
-                if i and len(runs[i]) <= RUN_CHARS and len(spaced) < most:
-                    spaced[runs[i]] = packed[i]
+                if i and len(spaced) < most and len(run) <= RUN_CHARS:
+                    spaced[run] = packed[i]
             i = packed.index(None, i)
         ids.append(b"".join(packed[:-1]))
         ends.append(len(words))
