@@ -530,3 +530,28 @@ def test_empty_tables(spark, docs, labels):
                mixing.positions(none), mixing.in_mixed_order(none), topk.every_hundredth(vectors), htmlcrf.extract(pages),
                qda.classify(none, qda.fit(spark, none, no_labels)), bpe.digests(none, bpe.public_bpe())):
         assert df.count() == 0
+
+
+def test_op10_counts_of_a_word_add_up_over_batches(monkeypatch):
+    """However the sorted rows are cut: a word's rows, more than are held at once, too."""
+    r = random.Random(6)
+    rows = sorted((w.encode(), p, r.randrange(1, 9)) for w in ("a", " a", "b" * 5, "é", "") for p in range(r.randrange(1, 40)) for _ in range(r.randrange(1, 3)))
+    words, parts, n = zip(*rows)
+    table = pa.table([pa.array(words, pa.binary()), pa.array(n, pa.int64()), pa.array(parts, pa.int32())], ["word", "n", "part"])
+    want = [(w, sum(k for x, _, k in rows if x == w), sorted({p for x, p, _ in rows if x == w})) for w in sorted({x[0] for x in rows})]
+    for held, size in ((1, 1), (7, 3), (7, 50), (10_000, 5)):
+        monkeypatch.setattr(bpe, "DICTIONARY_ROWS", held)
+        got = pa.Table.from_batches(bpe.added_up(iter(table.to_batches(max_chunksize=size))))
+        assert list(zip(*got.to_pydict().values())) == want
+    assert list(bpe.added_up(iter([]))) == []
+
+
+def test_op10_words_do_not_pass_through_the_driver(spark, docs, monkeypatch):
+    """The frequent words lie in a folder; the driver gets counts of counts and, as the
+    tasks, the vocabulary's own tokens."""
+    sent, arrow = [], type(docs).toArrow
+    monkeypatch.setattr(type(docs), "toArrow", lambda self: sent.append(self.columns) or arrow(self))
+    b = bpe.public_bpe()
+    rows = bpe.digests(docs, b, dictionary_words=500)
+    assert sent == [["n", "count"]]
+    same([r.n_tokens for r in rows.collect()], [len(x.own) for x in b.encode(docs.select("text"), out="own").select("own").collect()])

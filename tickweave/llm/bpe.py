@@ -7,10 +7,11 @@ step joins the leftmost pair of lowest rank. Ranks come from a literal map
 
 Plan. One pass counts the distinct words of the whole corpus, with the
 partitions they occur in (partial counts per task, then one exchange of distinct
-words), and the fold encodes each of at most 64 bytes once. The most frequent, at
-most ``dictionary_words`` (a fixed bound), are broadcast; the others are written in
-one folder a partition of the documents. A second pass looks up each word of a
-document in the broadcast and in its partition's folder; words in neither (longer
+words, sorted and added up), and the fold encodes each of at most 64 bytes once. The most frequent, at
+most ``dictionary_words`` (a fixed bound), are written in one folder that all tasks
+read, so that the driver never holds them; the others in one folder a partition of the
+documents. A second pass looks up each word of a
+document in the shared folder and in its partition's; words in neither (longer
 ones, or all if the second scan is partitioned in another way) are encoded by the
 same fold inside their own row. So no text and no word occurrence is ever shuffled,
 a task holds the words of its own partition, and the result depends neither on the
@@ -49,7 +50,7 @@ from tickweave.llm.warc import _opened
 from tickweave.session import scratch_path
 
 BUCKETS = 16_384
-DICTIONARY_WORDS = 300_000  # broadcast
+DICTIONARY_WORDS = 300_000  # read by every task
 # Bytes of the longest word of the dictionary: words and ids (one a byte at most,
 # 4 bytes each) are bounded by 300,000 x 64 x 5 bytes, 96 MB, whatever the texts.
 DICTIONARY_WORD_BYTES = 64
@@ -79,8 +80,10 @@ class Bpe:
         if missing:
             raise ValueError(f"the vocabulary has no token for {len(missing)} of the 256 bytes")
         self.ranks, self.pattern = ranks, pattern
-        self.width = len(str(max(ranks.values()))) + 1
-        self.none = 10**self.width - 1  # more than any rank
+        self.none = max(ranks.values()) + 1  # more than any rank
+        self.width, self.bits = len(str(self.none)), self.none.bit_length()
+        if 2 * self.bits + 14 > 62:
+            raise ValueError("the ranks are too large: the fold packs a rank, an id and a place into one number")
         # A bucket is one string: the answer for "not found", then ",BASE64=rank" a token.
         buckets = [f"{self.none}"] * BUCKETS
         for token, rank in ranks.items():
@@ -114,21 +117,24 @@ class Bpe:
 
     def _packed_start(self, word: Column) -> Column:
         """The bytes of a word of at most LONG_WORD, each as one number: the rank of the
-        pair that the piece begins, its place from 1 and its length. The least number is
-        the leftmost pair of lowest rank."""
-        n = F.octet_length(word)
-        return F.transform(F.sequence(F.lit(1), n), lambda i: self._number(
-            F.when(i < n, self.rank_of(F.substring(word, i, F.lit(2)))).otherwise(self.none), i * 128 + 1))
+        pair that the piece begins, its place from 1, its length, and its id + 1 if it
+        was joined (0 for a byte). The least number is the leftmost pair of lowest rank."""
+        n, one, two = F.octet_length(word), F.lit(1 << self.bits), F.lit(1 << 7 + self.bits).cast("long")
+        pairs = F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(word, i, F.lit(2)))
+        return F.transform(pairs, lambda pair, i: self._number(F.when(i + 1 < n, self.rank_of(pair)).otherwise(self.none), two * (i + 1) + one))
 
     def _number(self, rank: Column, place: Column) -> Column:
-        return F.shiftleft(rank.cast("long"), 14) + place
+        return F.shiftleft(rank.cast("long"), 14 + self.bits) + place
 
     def _place(self, number: Column) -> tuple[Column, Column]:
-        return F.shiftright(number, 7).bitwiseAND(F.lit(127)).cast("int"), number.bitwiseAND(F.lit(127)).cast("int")
+        return (F.shiftright(number, 7 + self.bits).bitwiseAND(F.lit(127)).cast("int"),
+                F.shiftright(number, self.bits).bitwiseAND(F.lit(127)).cast("int"))
 
     def _merge_one(self, a: Column, word: Column) -> Column:
         """The numbers after joining the leftmost pair of lowest rank; the same
         if no pair can be joined."""
+        ranks = 14 + self.bits
+
         def start(x: Column) -> Column:
             return self._place(x)[0]
 
@@ -138,13 +144,15 @@ class Bpe:
         def joined(m: Column, i: Column) -> Column:
             n, before, after = length(m) + length(F.get(a, i)), F.get(a, i - 2), F.get(a, i + 1)
             left, new = F.substring(word, start(before), length(before) + n), F.substring(word, start(m), n + length(after))
-            places = [before.bitwiseAND(F.lit(16383)), (start(m) * 128 + n).cast("long")]
+            # the rank of a pair is the id of what it makes
+            own = m.bitwiseAND(F.lit(127 << 7 + self.bits)) + F.shiftleft(n.cast("long"), self.bits) + F.shiftright(m, ranks) + 1
+            places = [before.bitwiseAND(F.lit((1 << ranks) - 1)), own]
             changed = F.zip_with(
                 F.when(i > 1, F.array(left, new)).otherwise(F.array(new)), F.when(i > 1, F.array(*places)).otherwise(F.array(places[1])),
                 lambda key, place: self._number(F.coalesce(self.rank_of(key), F.lit(self.none)), place))
             return F.concat(F.slice(a, F.lit(1), F.greatest(i - 2, F.lit(0))), changed, F.slice(a, i + 2, F.size(a)))
 
-        return _let(F.array_min(a), lambda m: F.when(m >= self.none << 14, a).otherwise(
+        return _let(F.array_min(a), lambda m: F.when(m >= F.lit(self.none << ranks), a).otherwise(
             _let(F.array_position(a, m).cast("int"), lambda i: joined(m, i))))
 
     def _merge_all(self, s: Column) -> Column:
@@ -162,15 +170,22 @@ class Bpe:
 
         return _let(flags, joined)
 
+    def _steps(self, word: Column) -> Column:
+        return F.sequence(F.lit(1), F.greatest(F.octet_length(word) - 1, F.lit(1)))
+
+    def encode_short(self, word: Column) -> Column:
+        """``encode_word`` of a word of 1 to LONG_WORD bytes."""
+        packed = F.aggregate(self._steps(word), self._packed_start(word), lambda a, _: self._merge_one(a, word))
+        mask = F.lit((1 << self.bits) - 1)
+        return F.transform(packed, lambda x: F.when(x.bitwiseAND(mask) > 0, (x.bitwiseAND(mask) - 1).cast("int")).otherwise(
+            self.rank_of(F.substring(word, self._place(x)[0], F.lit(1)))))
+
     def encode_word(self, word: Column) -> Column:
         """Token ids (array<int>) of one pre-token given as bytes. A pre-token that
         is a token itself is for the caller to look up."""
         n = F.octet_length(word)
-        steps = F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1)))
-        packed = F.aggregate(steps, self._packed_start(word), lambda a, _: self._merge_one(a, word))
-        short = F.transform(packed, lambda x: F.substring(word, *self._place(x)))
-        state = F.aggregate(steps, self._start(word), lambda s, _: F.when(s["i"] == 0, s).otherwise(self._merge_all(s)))
-        return F.when(n == 0, F.array().cast("array<int>")).otherwise(self.rank(F.when(n <= LONG_WORD, short).otherwise(state["p"])))
+        state = F.aggregate(self._steps(word), self._start(word), lambda s, _: F.when(s["i"] == 0, s).otherwise(self._merge_all(s)))
+        return F.when(n == 0, F.array().cast("array<int>")).when(n <= LONG_WORD, self.encode_short(word)).otherwise(self.rank(state["p"]))
 
     # ------------------------------------------------------------- documents
     def words(self, docs: DataFrame, text: str) -> DataFrame:
@@ -203,8 +218,9 @@ class Bpe:
             pa.default_memory_pool().release_unused()  # the process lives on
 
         counts = docs.select(F.col(text).cast("string").alias("t")).mapInArrow(count, "word binary, n long, part int")
-        words = counts.groupBy("word").agg(F.sum("n").alias("n"), F.collect_set("part").alias("parts"))
-        return written(words.withColumn("ids", self.encode_word(F.col("word"))), "bpe-words")
+        sorted_counts = counts.repartition("word").sortWithinPartitions("word", "part")
+        words = sorted_counts.mapInArrow(added_up, "word binary, n long, parts array<int>")
+        return written(words.withColumn("ids", self.encode_short(F.col("word"))), "bpe-words")
 
     def dictionary(self, docs: DataFrame, text: str, size: int) -> bytes:
         """The most frequent words, at most ``size``, of at most DICTIONARY_WORD_BYTES
@@ -214,30 +230,30 @@ class Bpe:
         return self._packed(words.filter(F.col("n") > rare_count(words, size)))
 
     def _packed(self, words: DataFrame) -> bytes:
-        # the most frequent first: they lie together in the tasks' memory, and are found faster
-        table = words.select("word", "ids", "n").toArrow().sort_by([("n", "descending")]).select(["word", "ids"])
+        return _arrow_file(words.select("word", "ids").toArrow(), self._own())  # a token is never cut further
+
+    def _own(self) -> pa.Table:
+        """The tokens that are text, and found whole, with their own id."""
         find = finder(self.pattern)
         whole = sorted((t, r) for t, r in self.ranks.items() if _is_text(t) and find(t.decode()) == [t.decode()])
-        own = pa.table([pa.array([t for t, _ in whole], pa.binary()), pa.array([[r] for _, r in whole], pa.list_(pa.int32()))], ["word", "ids"])
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_file(sink, own.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as f:
-            f.write_table(table.cast(own.schema))
-            f.write_table(own)  # last: a token is never cut further
-        return sink.getvalue().to_pybytes()
+        return pa.table([pa.array([t for t, _ in whole], pa.binary()), pa.array([[r] for _, r in whole], pa.list_(pa.int32()))], ["word", "ids"])
 
     def _folded(self, docs: DataFrame, text: str, dictionary_words: int) -> DataFrame:
         """``docs`` with ``__bpe_known`` and ``__bpe_rare``, of which ``put_together``
         makes the ids."""
         spark, pattern = docs.sparkSession, self.pattern
         words = self.words(docs, text)
-        rare_n, folder = rare_count(words, dictionary_words), scratch_path(spark, "bpe-rare")
-        shared = spark.sparkContext.broadcast(self._packed(words.filter(F.col("n") > rare_n)))
+        rare_n, folder, shared = rare_count(words, dictionary_words), scratch_path(spark, "bpe-rare"), scratch_path(spark, "bpe-shared")
+        # the most frequent first: they lie together in the tasks' memory, and are found faster
+        often = words.filter(F.col("n") > rare_n).repartition(1).sortWithinPartitions(F.desc("n"))
+        often.select("word", "ids").write.parquet(shared)
         others = words.filter(F.col("n") <= rare_n).select("word", "ids", F.explode("parts").alias("part"))
         others.repartition("part").write.partitionBy("part").parquet(folder)
+        own = spark.sparkContext.broadcast(_arrow_file(self._own()))
         place = docs.columns.index(text)
 
         def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            find, cut, (bare, spaced) = finder(pattern), cutter(pattern), known_words(folder, TaskContext.get().partitionId(), shared.value)
+            find, cut, (bare, spaced) = finder(pattern), cutter(pattern), known_words([f"{folder}/part={TaskContext.get().partitionId()}", shared], own.value)
             most = len(spaced) + KEPT_RUNS
             for b in batches:
                 for i in range(0, b.num_rows, PIECE_ROWS):
@@ -339,30 +355,36 @@ def _ids_of(table: pa.Table) -> dict[str, bytes]:
     return {w: raw[a:b] for w, a, b in zip(_strings(words.cast(pa.string())), at, at[1:])}
 
 
+def _arrow_file(*tables: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_file(sink, tables[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as f:
+        for table in tables:
+            f.write_table(table.cast(tables[0].schema))
+    return sink.getvalue().to_pybytes()
+
+
 def read_dictionary(file: bytes) -> dict[str, bytes]:
     """The words of a file of ``Bpe.dictionary``."""
     return _ids_of(pa.ipc.open_file(pa.BufferReader(file)).read_all())
 
 
-def part_dictionary(folder: str, part: int) -> Iterator[dict[str, bytes]]:
-    """The rarer words of one partition of the documents, some at a time."""
+def stored_words(folder: str) -> Iterator[dict[str, bytes]]:
+    """The words of one folder, if there is one, some at a time."""
     system, root = _opened(folder)
-    files = system.get_file_info(fs.FileSelector(f"{root}/part={part}", allow_not_found=True))
-    for f in files:
+    for f in system.get_file_info(fs.FileSelector(root, allow_not_found=True)):
         if f.base_name.endswith(".parquet"):
             with system.open_input_file(f.path) as source:
                 for rows in parquet.ParquetFile(source).iter_batches(DICTIONARY_ROWS, columns=["word", "ids"]):
                     yield _ids_of(pa.table(rows))
 
 
-def known_words(folder: str, part: int, shared: bytes) -> tuple[dict[str, bytes], dict[str, bytes]]:
-    """``by_space`` of the words of a partition and the shared ones."""
+def known_words(folders: Sequence[str], own: bytes) -> tuple[dict[str, bytes], dict[str, bytes]]:
+    """``by_space`` of the words of all folders and of the file of tokens, which go last."""
     bare, spaced = {}, {}
-    file = pa.ipc.open_file(pa.BufferReader(shared))
-    rows = (x.slice(i, DICTIONARY_ROWS) for x in map(file.get_batch, range(file.num_record_batches)) for i in range(0, x.num_rows, DICTIONARY_ROWS))
-    for words in (*part_dictionary(folder, part), *map(_ids_of, map(pa.table, rows))):
-        for mine, found in zip((bare, spaced), by_space(words)):
-            mine.update(found)  # the shared ones last, for the tokens
+    for words in (*map(stored_words, folders), [read_dictionary(own)]):
+        for some in words:
+            for mine, found in zip((bare, spaced), by_space(some)):
+                mine.update(found)
     return bare, spaced
 
 
@@ -401,6 +423,35 @@ def held_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.ChunkedArray]:
         yield pa.chunked_array(texts)
 
 
+def added_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word, n, parts) of rows (word, n, part) that are sorted by word and part. An
+    aggregate with a set would sort them as well, twice, and keep an object a word."""
+    def out(rows: pa.Table, end: int) -> pa.RecordBatch:
+        word, n, part = (c.combine_chunks() for c in rows.slice(0, end).columns)
+        part, first, fresh = part.to_numpy(), np.ones(end, bool), np.ones(end, bool)
+        first[1:] = pc.not_equal(word[1:], word[:-1]).to_numpy(zero_copy_only=False)
+        fresh[1:] = first[1:] | (part[1:] != part[:-1])
+        starts, parts = np.flatnonzero(first), np.flatnonzero(fresh)
+        offsets = np.append(np.searchsorted(parts, starts), len(parts)).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(part[parts]))
+        return pa.RecordBatch.from_arrays([word.take(pa.array(starts)), pa.array(np.add.reduceat(n.to_numpy(), starts)), lists], ["word", "n", "parts"])
+
+    held, rows = [], 0
+    for b in batches:
+        held, rows = [*held, b], rows + b.num_rows
+        if rows >= DICTIONARY_ROWS:
+            table = pa.Table.from_batches(held)
+            # the last word may go on in the next batch
+            word, end = table["word"], rows - 1
+            while end and word[end - 1] == word[rows - 1]:
+                end -= 1
+            if end:
+                yield out(table, end)
+            held, rows = table.slice(end).to_batches(), rows - end
+    if rows:
+        yield out(pa.Table.from_batches(held), rows)
+
+
 def run_counts(texts: pa.ChunkedArray, pattern: str) -> Iterator[tuple[str, str, int]]:
     """(the space before it or nothing, run, n) of the runs of all texts, none null."""
     cut, first, runs = cutter(pattern), Counter(), Counter()
