@@ -208,6 +208,9 @@ class Bpe:
                 for space, run, n in run_counts(texts, pattern):
                     if space and run.isalpha():
                         seen[f" {run}"] += n
+                    elif space and run[-1:] in TAILS and run[:-1].isalpha():
+                        seen[f" {run[:-1]}"] += n
+                        seen[run[-1]] += n
                     else:
                         for w in find(space + run):
                             seen[w] += n
